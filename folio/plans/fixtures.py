@@ -216,14 +216,25 @@ def fx_transfer(spark: SparkSession, sf_dir: str, pages: DataFrame | None = None
 
 
 def fx_eval_sets(spark: SparkSession, sf_dir: str, pages: DataFrame | None = None) -> DataFrame:
-    """Ground-truth and model boundary arrays per package (some without a model set)."""
+    """Ground-truth and model boundary arrays per package (some without a model set).
+
+    Both boundary sets come from one window pass and one aggregation over the
+    pages (``fx_gt_starts`` / ``fx_model_starts`` are the same rules one at a time).
+    """
     p = pages if pages is not None else fx_pages(spark, sf_dir)
-    gt = (fx_gt_starts(spark, sf_dir, p).groupBy("filename")
-          .agg(F.max("total_pages").alias("total_pages"),
-               F.sort_array(F.collect_list("page_num")).alias("gt_starts")))
-    model = (fx_model_starts(spark, sf_dir, p).where(F.substring("filename", -7, 7) != "7_ORDER")
-             .groupBy("filename").agg(F.sort_array(F.collect_list("page_num")).alias("model_starts")))
-    return gt.join(model, "filename", "left")
+    w = Window.partitionBy("filename").orderBy("page_num")
+    first = F.col("page_num") == 1
+    flagged = p.select(
+        "filename", "page_num", "total_pages",
+        (first | (F.col("l_returnflag") != F.lag("l_returnflag").over(w))).alias("gt_start"),
+        (first | (F.col("l_linestatus") != F.lag("l_linestatus").over(w))).alias("model_start"))
+    agg = flagged.groupBy("filename").agg(
+        F.max(F.when(F.col("gt_start"), F.col("total_pages"))).alias("total_pages"),
+        F.sort_array(F.collect_list(F.when(F.col("gt_start"), F.col("page_num")))).alias("gt_starts"),
+        F.sort_array(F.collect_list(F.when(F.col("model_start"), F.col("page_num")))).alias("model_starts"))
+    no_model = F.substring("filename", -7, 7) == "7_ORDER"
+    return agg.select("filename", "total_pages", "gt_starts",
+                      F.when(~no_model, F.col("model_starts")).alias("model_starts"))
 
 
 def fx_parsed(spark: SparkSession, sf_dir: str, elements: DataFrame | None = None) -> DataFrame:
