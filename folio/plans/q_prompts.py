@@ -1 +1,181 @@
-"""Queries (filled in step by step)."""
+"""Prompt-plan and response queries (PRM1-10, INT15, AGG11)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from folio.functions import prompt_text as P
+from folio.functions.common import array_text
+from folio.operators import prompts as PR
+from folio.operators import signals as SG
+from folio.plans import fixtures as fx
+from folio.plans.q_signals import PACKAGE_SQL, SIGNALS_CTES, signals_df
+from folio.plans.q_views import AS_OF_TEXT
+from folio.plans.registry import query
+
+
+def sql_text(s: str) -> str:
+    """A Python string as an oracle SQL literal (newlines as chr(10))."""
+    parts = s.split("\n")
+    return " || chr(10) || ".join("'" + p.replace("'", "''") + "'" for p in parts)
+
+
+def pkg_df(spark, sf_dir):
+    return SG.package_summary(signals_df(spark, sf_dir))
+
+
+@query("prompt_plan", f"""WITH {SIGNALS_CTES}, {PACKAGE_SQL}
+SELECT filename, total_pages,
+  CASE WHEN total_pages <= 30 THEN 'S' WHEN total_pages <= 60 THEN 'M' ELSE 'L' END AS token_bucket,
+  CASE WHEN total_pages <= 30 THEN 500 WHEN total_pages <= 60 THEN 800 ELSE 2000 END AS max_tokens,
+  md5({sql_text(P.BOUNDARY_SYSTEM + P.INPUT_OPEN)} || package_summary || {sql_text(P.BOUNDARY_TAIL)}) AS prompt_md5
+FROM pkg WHERE total_pages <= 50""")
+def q_prompt_plan(spark, sf_dir):
+    plan = PR.prompt_plan(pkg_df(spark, sf_dir))
+    return plan.select("filename", "total_pages", "token_bucket", "max_tokens",
+                       F.md5(PR.primary_prompt(F.col("package_summary"))).alias("prompt_md5"))
+
+
+def long_pkg(spark, sf_dir):
+    return fx.fx_long_pages(spark, sf_dir).groupBy("filename").agg(F.max("total_pages").alias("total_pages"))
+
+
+CHUNK_PLAN_SQL = """plan AS (SELECT filename, total_pages, CAST(s.i - 1 AS INT) AS chunk_idx, s.st AS chunk_start,
+    least(s.st + 49, total_pages) AS chunk_end,
+    CASE WHEN least(s.st + 49, total_pages) - s.st <= 30 THEN 'S' WHEN least(s.st + 49, total_pages) - s.st <= 60 THEN 'M'
+         ELSE 'L' END AS token_bucket
+  FROM (SELECT filename, max(total_pages) AS total_pages FROM fx_long_pages GROUP BY filename) p,
+  LATERAL (SELECT unnest(generate_series(1, p.total_pages - 3, 47)) AS st,
+                  unnest(generate_series(1, len(generate_series(1, p.total_pages - 3, 47)))) AS i) s
+  WHERE p.total_pages > 50)"""
+
+
+@query("chunk_plan", f"WITH {CHUNK_PLAN_SQL} SELECT * FROM plan")
+def q_chunk_plan(spark, sf_dir):
+    return PR.chunk_plan(long_pkg(spark, sf_dir)).select(
+        "filename", "total_pages", "chunk_idx", "chunk_start", "chunk_end", "token_bucket")
+
+
+@query("chunk_text", f"""WITH {CHUNK_PLAN_SQL},
+ct AS (SELECT c.filename, c.chunk_idx, c.chunk_start, c.chunk_end, c.total_pages,
+  string_agg(concat('=== PAGE ', CAST(p.page_num AS STRING), ' ===', chr(10), p.page_block,
+             CASE WHEN p.page_num < p.total_pages THEN chr(10) ELSE '' END), chr(10) ORDER BY p.page_num) AS chunk_summary
+  FROM plan c JOIN fx_long_pages p ON p.filename = c.filename AND p.page_num BETWEEN c.chunk_start AND c.chunk_end
+  GROUP BY c.filename, c.chunk_idx, c.chunk_start, c.chunk_end, c.total_pages)
+SELECT filename, chunk_idx, chunk_summary,
+  md5({sql_text(P.BOUNDARY_SYSTEM + P.INPUT_OPEN + P.CHUNK_HEAD)} || CAST(chunk_start AS STRING) || '-' ||
+      CAST(chunk_end AS STRING) || {sql_text(P.CHUNK_MID)} || CAST(total_pages AS STRING) || {sql_text(P.CHUNK_NOTE)}
+      || chunk_summary || {sql_text(P.BOUNDARY_TAIL)}) AS prompt_md5
+FROM ct""")
+def q_chunk_text(spark, sf_dir):
+    pages = fx.fx_long_pages(spark, sf_dir)
+    plan = PR.chunk_plan(long_pkg(spark, sf_dir))
+    text = PR.chunk_text(pages)
+    j = plan.join(text, ["filename", "chunk_idx"])
+    prompt = PR.chunk_prompt(F.col("chunk_start"), F.col("chunk_end"), F.col("total_pages"), F.col("chunk_summary"))
+    return j.select("filename", "chunk_idx", "chunk_summary", F.md5(prompt).alias("prompt_md5"))
+
+
+def parse_sql(src: str, raw: str = "raw_response") -> str:
+    """CTEs p0..p2 over ``src`` adding ``parsed_starts`` (oracle form of PRM7)."""
+    return f"""p0 AS (SELECT *, regexp_extract(trim(regexp_replace({raw}, '```(?:json)?\\s*', '', 'g')),
+    '(?s)\\{{.*?\\}}', 0) AS obj FROM {src}),
+p1 AS (SELECT *, CASE WHEN obj <> '' AND json_valid(obj) THEN obj END AS js FROM p0),
+p2 AS (SELECT *, json_type(js, '$.predicted_starts') AS pst,
+    list_transform(CASE WHEN json_type(js, '$.predicted_starts') = 'ARRAY'
+                        THEN json_extract(js, '$.predicted_starts[*]') END,
+      lambda e: CASE WHEN json_type(e) IN ('BIGINT', 'UBIGINT', 'DOUBLE')
+                       THEN CASE WHEN abs(CAST(e AS DOUBLE)) < 2.0e9 THEN CAST(trunc(CAST(e AS DOUBLE)) AS INTEGER) ELSE 0 END
+                     WHEN json_type(e) = 'VARCHAR' THEN TRY_CAST(trim(json_extract_string(e, '$')) AS INTEGER)
+                     WHEN json_type(e) = 'BOOLEAN' THEN CASE WHEN CAST(e AS BOOLEAN) THEN 1 ELSE 0 END END) AS ints
+  FROM p1),
+parsed AS (SELECT * EXCLUDE (obj, js, pst, ints),
+    CASE WHEN js IS NULL THEN NULL WHEN pst IS NULL THEN [1] WHEN pst <> 'ARRAY' THEN NULL
+         WHEN list_contains(list_transform(ints, lambda x: x IS NULL), true) THEN NULL
+         ELSE list_sort(list_distinct(list_concat([1], list_filter(ints, lambda x: x >= 1 AND x <= total_pages)))) END
+      AS parsed_starts
+  FROM p2)"""
+
+
+def responses_df(spark, sf_dir):
+    return PR.with_parsed(fx.fx_responses(spark, sf_dir))
+
+
+@query("parse_starts", f"""WITH {parse_sql('fx_responses')}
+SELECT filename, total_pages, raw_response, {'array_to_string(parsed_starts, \',\')'} AS starts_txt FROM parsed""")
+def q_parse_starts(spark, sf_dir):
+    r = responses_df(spark, sf_dir)
+    return r.select("filename", "total_pages", "raw_response", array_text(F.col("parsed_starts")).alias("starts_txt"))
+
+
+@query("split_outcomes", f"""WITH {parse_sql('fx_responses')}
+SELECT filename, CASE WHEN error_message IS NULL AND parsed_starts IS NOT NULL THEN 'success' ELSE 'failure' END AS outcome
+FROM parsed""")
+def q_split_outcomes(spark, sf_dir):
+    ok, bad = PR.split_outcomes(responses_df(spark, sf_dir))
+    return (ok.select("filename", F.lit("success").alias("outcome"))
+            .unionByName(bad.select("filename", F.lit("failure").alias("outcome"))))
+
+
+@query("response_counts", f"""WITH {parse_sql('fx_responses')}
+SELECT count(*) AS n_responses, CAST(count_if(error_message IS NOT NULL) AS BIGINT) AS n_errors,
+  CAST(count_if(error_message IS NULL) AS BIGINT) AS n_success,
+  CAST(count_if(error_message IS NULL AND parsed_starts IS NOT NULL) AS BIGINT) AS n_parsed FROM parsed""")
+def q_response_counts(spark, sf_dir):
+    return PR.response_counts(responses_df(spark, sf_dir))
+
+
+@query("unpack_response", "SELECT filename, total_pages, raw_response, error_message FROM fx_responses")
+def q_unpack_response(spark, sf_dir):
+    r = fx.fx_responses(spark, sf_dir)
+    packed = r.select("filename", "total_pages",
+                      F.struct(F.col("raw_response").alias("result"),
+                               F.col("error_message").alias("errorMessage")).alias("llm_result"))
+    return PR.unpack_response(packed)
+
+
+@query("log_responses", f"""WITH {parse_sql('fx_responses')}
+SELECT filename, 'primary_pass' AS stage, 'primary' AS model_used,
+  CASE WHEN total_pages <= 30 THEN 'S' WHEN total_pages <= 60 THEN 'M' ELSE 'L' END AS prompt_token_bucket,
+  raw_response, error_message, array_to_string(parsed_starts, ',') AS starts_txt, false AS is_fallback,
+  TIMESTAMP '{AS_OF_TEXT}' AS processing_timestamp, 'run-1' AS run_id, CAST(NULL AS VARCHAR) AS day_id
+FROM parsed""")
+def q_log_responses(spark, sf_dir):
+    r = responses_df(spark, sf_dir).withColumn("token_bucket", PR.token_bucket(F.col("total_pages")))
+    log = PR.log_responses(r, "primary_pass", "primary", False, "run-1", None,
+                           F.lit(AS_OF_TEXT).cast("timestamp"))
+    return log.withColumn("starts_txt", array_text(F.col("parsed_starts"))).drop("parsed_starts")
+
+
+RULE_SQL = """flags AS (SELECT c.filename, c.page_num, c.total_pages,
+    c.page_num = 1 OR regexp_matches(c.page_indicator, '^([Pp]age\\s+1\\s*(/|of)|-\\s*1\\s*/)')
+    OR (NOT regexp_matches(c.page_indicator, '^[Pp]age\\s+0*([2-9]|[1-9]\\d+)\\s*(/|of)|^-\\s*0*([2-9]|[1-9]\\d+)\\s*/')
+        AND ((c.invoice_number <> '' AND coalesce(p.invoice_number, '') <> '' AND c.invoice_number <> p.invoice_number)
+          OR (c.doc_ref <> '' AND coalesce(p.doc_ref, '') <> '' AND c.doc_ref <> p.doc_ref)
+          OR (c.form_number <> '' AND c.form_number <> coalesce(p.form_number, '')))) AS is_start
+  FROM sig c LEFT JOIN sig p ON p.filename = c.filename AND p.page_num + 1 = c.page_num),
+rules AS (SELECT filename, max(total_pages) AS total_pages,
+  list_sort(list_distinct(list_concat([1], list(page_num) FILTER (WHERE is_start)))) AS predicted_starts
+  FROM flags GROUP BY filename)"""
+
+
+@query("rule_boundaries", f"""WITH {SIGNALS_CTES}, {RULE_SQL}
+SELECT filename, total_pages, array_to_string(predicted_starts, ',') AS starts_txt FROM rules""")
+def q_rule_boundaries(spark, sf_dir):
+    s = PR.starts_per_package(PR.rule_boundaries(signals_df(spark, sf_dir)))
+    return s.select("filename", "total_pages", array_text(F.col("predicted_starts")).alias("starts_txt"))
+
+
+@query("invoke", f"""WITH {SIGNALS_CTES},
+cue AS (SELECT filename, page_num, total_pages,
+  page_num = 1 OR regexp_matches(page_indicator, '^([Pp]age\\s+1\\s*(/|of)|-\\s*1\\s*/)')
+  OR (invoice_number <> '' AND coalesce(last_value(nullif(invoice_number, '') IGNORE NULLS) OVER (PARTITION BY filename
+      ORDER BY page_num ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') NOT IN ('', invoice_number)) AS is_start
+  FROM sig)
+SELECT filename, '{{"predicted_starts": [' || string_agg(CAST(page_num AS STRING), ', ' ORDER BY page_num)
+  FILTER (WHERE is_start) || ']}}' AS raw_response, CAST(NULL AS VARCHAR) AS error_message
+FROM cue WHERE total_pages <= 50 GROUP BY filename""")
+def q_invoke(spark, sf_dir):
+    plan = PR.prompt_plan(pkg_df(spark, sf_dir)).withColumn("prompt", PR.primary_prompt(F.col("package_summary")))
+    out = PR.invoke(plan, PR.cue_predictor, ["filename"])
+    return PR.unpack_response(out)
