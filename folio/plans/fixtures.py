@@ -164,8 +164,11 @@ def fx_long_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw model output text: eight response shapes, one eighth each."""
-    o = table(spark, sf_dir, "orders")
-    m8 = F.col("o_orderkey") % 8
+    return fx_responses_from(table(spark, sf_dir, "orders"))
+
+
+def fx_responses_from(o: DataFrame, shift: int = 0) -> DataFrame:
+    m8 = (F.col("o_orderkey") + shift) % 8
     raw = (F.when(m8 == 0, F.lit('{"predicted_starts": [1, 3, 9]}'))
            .when(m8 == 1, F.lit('```json\n{"predicted_starts": [9, 3, 3]}\n```'))
            .when(m8 == 2, F.lit('sure: {"predicted_starts": [2, "5"]} done'))
@@ -181,6 +184,11 @@ def fx_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fx_fallback_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fallback-model text: the same eight shapes as ``fx_responses``, shifted by three."""
+    return fx_responses_from(table(spark, sf_dir, "orders"), shift=3)
+
+
 def fx_manifest(spark: SparkSession, sf_dir: str, log: DataFrame | None = None) -> DataFrame:
     """Directory listings per volume and batch, derived from the log keys."""
     lg = log if log is not None else fx_log(spark, sf_dir)

@@ -69,6 +69,12 @@ SELECT concat(CAST(o_orderkey AS STRING),'_ORDER') AS filename, CAST(1 + o_order
     WHEN 2 THEN 'sure: {"predicted_starts": [2, "5"]} done' WHEN 3 THEN '{bad' WHEN 4 THEN '{}' WHEN 5 THEN '{"predicted_starts": null}'
     WHEN 6 THEN 'no json' END AS raw_response,
   CASE WHEN o_orderkey % 8 = 7 THEN 'timeout' END AS error_message FROM orders""",
+    "fx_fallback_responses": r"""
+SELECT concat(CAST(o_orderkey AS STRING),'_ORDER') AS filename, CAST(1 + o_orderkey % 60 AS INT) AS total_pages,
+  CASE (o_orderkey + 3) % 8 WHEN 0 THEN '{"predicted_starts": [1, 3, 9]}' WHEN 1 THEN concat('```json', chr(10), '{"predicted_starts": [9, 3, 3]}', chr(10), '```')
+    WHEN 2 THEN 'sure: {"predicted_starts": [2, "5"]} done' WHEN 3 THEN '{bad' WHEN 4 THEN '{}' WHEN 5 THEN '{"predicted_starts": null}'
+    WHEN 6 THEN 'no json' END AS raw_response,
+  CASE WHEN (o_orderkey + 3) % 8 = 7 THEN 'timeout' END AS error_message FROM orders""",
     "fx_manifest": r"""
 SELECT v.volume, k.day_id, k.filename
 FROM (SELECT DISTINCT day_id, filename, CAST(substr(day_id,5,2) AS INT) AS m, CAST(folder_id AS BIGINT) AS f FROM fx_log) k

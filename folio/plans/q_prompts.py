@@ -76,25 +76,25 @@ def q_chunk_text(spark, sf_dir):
     return j.select("filename", "chunk_idx", "chunk_summary", F.md5(prompt).alias("prompt_md5"))
 
 
-def parse_sql(src: str, raw: str = "raw_response") -> str:
-    """CTEs p0..p2 over ``src`` adding ``parsed_starts`` (oracle form of PRM7)."""
-    return f"""p0 AS (SELECT *, regexp_extract(trim(regexp_replace({raw}, '```(?:json)?\\s*', '', 'g')),
+def parse_sql(src: str, raw: str = "raw_response", prefix: str = "p", out: str = "parsed") -> str:
+    """CTEs {prefix}0..2 and ``out`` over ``src`` adding ``parsed_starts`` (oracle form of PRM7)."""
+    return f"""{prefix}0 AS (SELECT *, regexp_extract(trim(regexp_replace({raw}, '```(?:json)?\\s*', '', 'g')),
     '(?s)\\{{.*?\\}}', 0) AS obj FROM {src}),
-p1 AS (SELECT *, CASE WHEN obj <> '' AND json_valid(obj) THEN obj END AS js FROM p0),
-p2 AS (SELECT *, json_type(js, '$.predicted_starts') AS pst,
+{prefix}1 AS (SELECT *, CASE WHEN obj <> '' AND json_valid(obj) THEN obj END AS js FROM {prefix}0),
+{prefix}2 AS (SELECT *, json_type(js, '$.predicted_starts') AS pst,
     list_transform(CASE WHEN json_type(js, '$.predicted_starts') = 'ARRAY'
                         THEN json_extract(js, '$.predicted_starts[*]') END,
       lambda e: CASE WHEN json_type(e) IN ('BIGINT', 'UBIGINT', 'DOUBLE')
                        THEN CASE WHEN abs(CAST(e AS DOUBLE)) < 2.0e9 THEN CAST(trunc(CAST(e AS DOUBLE)) AS INTEGER) ELSE 0 END
                      WHEN json_type(e) = 'VARCHAR' THEN TRY_CAST(trim(json_extract_string(e, '$')) AS INTEGER)
                      WHEN json_type(e) = 'BOOLEAN' THEN CASE WHEN CAST(e AS BOOLEAN) THEN 1 ELSE 0 END END) AS ints
-  FROM p1),
-parsed AS (SELECT * EXCLUDE (obj, js, pst, ints),
+  FROM {prefix}1),
+{out} AS (SELECT * EXCLUDE (obj, js, pst, ints),
     CASE WHEN js IS NULL THEN NULL WHEN pst IS NULL THEN [1] WHEN pst <> 'ARRAY' THEN NULL
          WHEN list_contains(list_transform(ints, lambda x: x IS NULL), true) THEN NULL
          ELSE list_sort(list_distinct(list_concat([1], list_filter(ints, lambda x: x >= 1 AND x <= total_pages)))) END
       AS parsed_starts
-  FROM p2)"""
+  FROM {prefix}2)"""
 
 
 def responses_df(spark, sf_dir):
