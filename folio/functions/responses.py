@@ -6,7 +6,7 @@ anything unparseable becomes data (NULL, or the unchanged proposal).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The response clean-up and extraction patterns.
@@ -15,27 +15,35 @@ FIRST_OBJECT_RE = r"(?s)\{.*?\}"   # non-greedy: a nested object is cut at the i
 ARRAY_RE = r"(?s)\[.*\]"           # greedy: first '[' to last ']'
 CORRECTION_SCHEMA = "array<struct<action:string,from_page:int,to_page:int>>"
 
-_NUMERIC = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DECIMAL", "DOUBLE", "FLOAT")
+# First three letters of the numeric variant type names (BIGINT, INT, SMALLINT, TINYINT,
+# DECIMAL, DOUBLE, FLOAT).
+_NUMERIC3 = ("BIG", "INT", "SMA", "TIN", "DEC", "DOU", "FLO")
 
 
 def strip_fences(raw: Column) -> Column:
     return F.trim(F.regexp_replace(raw, FENCE_RE, ""))
 
 
-def _variant_to_int(e: Column) -> Column:
-    """One JSON value -> INT the way int() coerces it; NULL where int() would fail."""
-    kind = F.schema_of_variant(e)
+def _typed(e: Column) -> Column:
+    """Pair a JSON value with its type name, so the type is computed once."""
+    return F.struct(F.substring(F.schema_of_variant(e), 1, 3).alias("k"), e.alias("e"))
+
+
+def _typed_to_int(t: Column) -> Column:
+    """One typed JSON value -> INT the way int() coerces it; NULL where int() would fail."""
+    k, e = t["k"], t["e"]
     num = F.try_variant_get(e, "$", "double")
     as_num = F.when(F.abs(num) < F.lit(2.0e9), num.cast("int")).otherwise(F.lit(0))  # out of range -> dropped later
     as_str = F.trim(F.try_variant_get(e, "$", "string")).try_cast("int")
     as_bool = F.try_variant_get(e, "$", "boolean").cast("int")
-    is_num = F.lit(False)
-    for k in _NUMERIC:
-        is_num = is_num | kind.startswith(k)
-    return (F.when(is_num, as_num).when(kind == "STRING", as_str).when(kind == "BOOLEAN", as_bool)
+    return (F.when(k.isin(*_NUMERIC3), as_num).when(k == "STR", as_str).when(k == "BOO", as_bool)
             .otherwise(F.lit(None).cast("int")))
 
 
+def _variant_to_int(e: Column) -> Column:
+    return _typed_to_int(_typed(e))
+
+
 def parse_starts(raw: Column, total_pages: Column) -> Column:
     """PRM7: response text -> sorted boundary set within 1..total_pages, always with 1.
 
@@ -59,6 +67,27 @@ def parse_starts(raw: Column, total_pages: Column) -> Column:
             .otherwise(parsed))
 
 
+def with_parsed_starts(df: DataFrame, raw: str = "raw_response", total: str = "total_pages",
+                       out: str = "parsed_starts") -> DataFrame:
+    """``parse_starts`` as staged projections: the JSON value, the list and its
+    integers are each computed once and then read by every branch (the single
+    expression form recomputes them per branch)."""
+    obj = F.regexp_extract(strip_fences(F.col(raw)), FIRST_OBJECT_RE, 0)
+    s1 = df.withColumn("_v", F.try_parse_json(F.when(obj != "", obj)))
+    s2 = s1.withColumn("_ps", F.variant_get(F.col("_v"), "$.predicted_starts", "variant"))
+    items = F.try_variant_get(F.col("_ps"), "$", "array<variant>")
+    s3 = s2.withColumn("_typed", F.when(F.schema_of_variant(F.col("_ps")).startswith("ARRAY"),
+                                        F.transform(items, _typed)))
+    s3 = s3.withColumn("_ints", F.transform(F.col("_typed"), _typed_to_int)).drop("_typed")
+    ints = F.col("_ints")
+    inside = F.filter(ints, lambda x: (x >= 1) & (x <= F.col(total)))
+    res = (F.when(F.col("_v").isNull(), F.lit(None).cast("array<int>"))
+           .when(F.col("_ps").isNull(), F.array(F.lit(1)))
+           .when(ints.isNull() | F.exists(ints, lambda x: x.isNull()), F.lit(None).cast("array<int>"))
+           .otherwise(F.array_sort(F.array_union(F.array(F.lit(1)), inside))))
+    return s3.withColumn(out, res).drop("_v", "_ps", "_ints")
+
+
 def apply_corrections(proposed: Column, response: Column, total_pages: Column) -> Column:
     """BND9: apply verification corrections in order.
 

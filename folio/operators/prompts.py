@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folio.functions import prompt_text as P
-from folio.functions.responses import parse_starts
+from folio.functions.responses import with_parsed_starts
 from folio.operators.signals import ordered_text
 from folio.schemas import LLM_RESPONSES, conform
 
@@ -98,7 +98,8 @@ def unpack_response(df: DataFrame, col: str = "llm_result") -> DataFrame:
 
 
 def with_parsed(df: DataFrame, raw: str = "raw_response", out: str = "parsed_starts") -> DataFrame:
-    return df.withColumn(out, parse_starts(F.col(raw), F.col("total_pages")))
+    """PRM7 over a response relation (needs ``total_pages``)."""
+    return with_parsed_starts(df, raw, "total_pages", out)
 
 
 def is_success() -> Column:

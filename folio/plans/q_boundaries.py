@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folio.functions.common import array_text
-from folio.functions.responses import parse_starts
 from folio.operators import boundaries as BD
 from folio.operators import prompts as PR
 from folio.plans import fixtures as fx
@@ -33,7 +32,7 @@ def chunk_responses(plan):
                                 (F.col("chunk_end") + 5).cast("string"), F.lit("]}")))
     r = plan.select("filename", "total_pages", "chunk_idx", "chunk_start", "chunk_end", raw.alias("raw_response"),
                     F.when(err, F.lit("timeout")).alias("error_message"))
-    return r.withColumn("chunk_starts", parse_starts(F.col("raw_response"), F.col("total_pages")))
+    return PR.with_parsed(r, out="chunk_starts")
 
 
 CHUNK_RESP_SQL = """cresp0 AS (SELECT *, CAST(split_part(filename, '_', 1) AS BIGINT) AS k FROM plan),
