@@ -232,21 +232,26 @@ def volume_counts(manifest: DataFrame, volumes: Sequence[str] = VOLUMES) -> Data
 
 
 def flow_counters(fun: DataFrame, volumes: DataFrame, gate: DataFrame | None = None) -> DataFrame:
-    """AGG9: live-flow stage counters per batch (delivery buckets are not added to
-    'predicted'; processing and delivery are separate axes)."""
+    """AGG9: live-flow stage counters and their error counters per batch.
+
+    Processing and delivery are separate axes: a file stays 'done' while its
+    delivery advances, so delivery buckets are not added to 'parsed' or
+    'predicted'.
+    """
     j = fun.join(volumes, "day_id", "left")
     if gate is not None:
         j = j.join(gate.select("day_id", "n_sampled", "n_annotated"), "day_id", "left")
-    z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
-    out = [F.col("day_id"),
-           z("n_inbox").alias("uploaded"),
-           (z("n_parsing") + z("n_parsed") + z("n_predicted")).alias("parsed"),
-           z("n_predicted").alias("predicted"),
-           (z("n_sftp_pending") + z("n_delivered") + z("n_sftp_failed") + z("n_deferred")).alias("delivering"),
-           z("n_delivered").alias("delivered"),
-           z("n_error").alias("parse_errors"),
-           z("n_sftp_failed").alias("delivery_errors"),
-           z("n_needs_review").alias("needs_review")]
-    if gate is not None:
-        out += [z("n_sampled").alias("sampled"), z("n_annotated").alias("annotated")]
-    return j.select(*out)
+    z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") if c in j.columns else F.lit(0).cast("bigint")
+    return j.select(
+        F.col("day_id"),
+        z("n_inbox").alias("inbox"),
+        (z("n_parsed") + z("n_predicted")).alias("parsed"),
+        z("n_predicted").alias("predicted"),
+        z("n_annotated").alias("gate"),
+        (z("n_sftp_pending") + z("n_delivered") + z("n_sftp_failed") + z("n_deferred")).alias("split"),
+        z("n_delivered").alias("delivered"),
+        z("n_error").alias("parsed_errors"),
+        z("n_needs_review").alias("predicted_errors"),
+        (z("n_sampled") - z("n_annotated")).alias("gate_errors"),
+        z("n_deferred").alias("split_errors"),
+        z("n_sftp_failed").alias("delivered_errors"))
