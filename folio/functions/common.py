@@ -12,7 +12,7 @@ KEYS = ("day_id", "filename")
 
 def count_if(cond: Column) -> Column:
     """``SUM(CASE WHEN cond THEN 1 ELSE 0 END)`` as BIGINT (0 on an empty group)."""
-    return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
+    return F.coalesce(F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))), F.lit(0)).cast("bigint")
 
 
 def weighted_if(cond: Column, weight: Column) -> Column:
