@@ -75,16 +75,31 @@ def segments(cand: DataFrame, gt_docs: DataFrame | None = None, keys=KEYS) -> Da
                       "split_source")
 
 
+PAGE_BLOCK = 64
+
+
 def page_documents(pages: DataFrame, starts: DataFrame, starts_col: str = "predicted_starts") -> DataFrame:
-    """WIN5: the output document (1-based) holding each page = number of starts <= page.
+    """WIN5: the output document (1-based) holding each page.
 
-    The package's start list is joined to its pages (one small row per package)
-    instead of a running sum over a window, so a huge package is not sorted in
-    one task.
+    Each document [start, end] is cut into the 64-page blocks it spans and joined
+    to the pages on (filename, block) with the range as a residual test: a page
+    meets at most the documents overlapping its block, so the work stays linear
+    even for a package with very many pages and documents (no running sum over
+    one huge window, no per-page scan of the whole start list).
     """
-    s = starts.select("filename", F.col(starts_col).alias("_starts"))
-    j = pages.join(s, "filename")
-    return j.withColumn("doc_index", F.size(F.filter("_starts", lambda x: x <= F.col("page_num")))).drop("_starts")
+    if "total_pages" not in starts.columns:  # bound of the last document
+        starts = starts.join(pages.groupBy("filename").agg(F.max("page_num").alias("total_pages")), "filename")
+    docs = starts.select("filename", "total_pages", F.posexplode(F.col(starts_col)).alias("i", "start"),
+                         F.col(starts_col).alias("_s"))
+    docs = docs.select("filename", (F.col("i") + 1).cast("int").alias("doc_index"), "start",
+                       F.coalesce(F.get("_s", F.col("i") + 1) - 1, F.col("total_pages")).alias("end"))
+    blk = lambda c: F.floor(c / PAGE_BLOCK).cast("int")
+    d = docs.where(F.col("end") >= F.col("start")).select(
+        "*", F.explode(F.sequence(blk(F.col("start")), blk(F.col("end")))).alias("_blk"))
+    p = pages.withColumn("_blk", blk(F.col("page_num")))
+    j = p.join(d.select("filename", "_blk", "doc_index", "start", "end"), ["filename", "_blk"])
+    return (j.where((F.col("page_num") >= F.col("start")) & (F.col("page_num") <= F.col("end")))
+            .drop("_blk", "start", "end"))
 
 
 def split_summary(segs: DataFrame) -> DataFrame:

@@ -1,0 +1,91 @@
+"""The split stage as one job: parsed documents -> signals -> predictions -> split_results.
+
+Composition of the operators in the order the reference runs them.  Every model
+call is followed by ``cut_lineage`` (a table in the shared checkpoint folder),
+so retries, lost executors or a second action never call a model twice.
+Predictors are plain callables ``(prompt, max_tokens) -> text`` run in Arrow
+batches; their failures are data.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from folio.functions import prompt_text as P
+from folio.operators import boundaries as BD
+from folio.operators import prompts as PR
+from folio.operators import signals as SG
+from folio.operators.state import event_rows
+from folio.sources.sinks import cut_lineage
+
+Predictor = Callable[[str, int], str]
+
+
+def _materialize(df: DataFrame, name: str, on: bool) -> DataFrame:
+    return cut_lineage(df, name) if on else df
+
+
+def _call(prompts: DataFrame, fn: Predictor, keys: list[str], name: str, on: bool) -> DataFrame:
+    return _materialize(PR.unpack_response(PR.invoke(prompts, fn, keys)), name, on)
+
+
+def split_stage(parsed: DataFrame, predictor: Predictor, fallback: Predictor | None = None,
+                verifier: Predictor | None = None, *, run_id: str, day_id: str | None = None,
+                primary_model: str = "primary", fallback_model: str = "fallback", at: Column | None = None,
+                materialize: bool = True) -> dict[str, DataFrame]:
+    at = at if at is not None else F.current_timestamp()
+    tag = f"{run_id}-{day_id or 'all'}"
+    signals = SG.page_signals(SG.parse_elements(parsed), run_id, day_id)
+    pkg = SG.package_summary(signals, parsed.select("filename", "folder_id") if "folder_id" in parsed.columns else None)
+    pkg = _materialize(pkg, f"{tag}/package_summaries", materialize)
+
+    # single call: primary, then fallback for failures
+    plan = PR.prompt_plan(pkg).withColumn("prompt", PR.primary_prompt(F.col("package_summary")))
+    prim = PR.with_parsed(_call(plan, predictor, ["filename", "total_pages", "token_bucket"], f"{tag}/primary",
+                                materialize))
+    _, failures = PR.split_outcomes(prim)
+    fb_plan = BD.fallback_prompts(plan, failures)
+    fb = PR.with_parsed(_call(fb_plan, fallback or predictor, ["filename", "total_pages", "token_bucket"],
+                              f"{tag}/fallback", materialize))
+    single = BD.resolve_single(prim, fb)
+
+    # chunked: packages above the single-call limit
+    chunks = PR.chunk_plan(pkg.select("filename", "total_pages")).join(PR.chunk_text(signals), ["filename", "chunk_idx"])
+    chunks = chunks.withColumn("prompt", PR.chunk_prompt(F.col("chunk_start"), F.col("chunk_end"),
+                                                         F.col("total_pages"), F.col("chunk_summary")))
+    chunks = chunks.withColumn("max_tokens", PR.max_tokens(F.col("token_bucket")))
+    cresp = _call(chunks, predictor, ["filename", "total_pages", "chunk_idx", "chunk_start", "chunk_end", "token_bucket"],
+                  f"{tag}/chunks", materialize)
+    cparsed = PR.with_parsed(cresp, out="chunk_starts")
+    merged = BD.merge_chunks(cparsed)
+    large = pkg.where(F.col("total_pages") > P.MAX_PAGES_SINGLE_CALL)
+    resolved = _materialize(BD.combine(single, merged, BD.large_missing(large, merged)), f"{tag}/resolved", materialize)
+
+    # verification of proposed boundaries
+    batch = BD.with_verify_prompt(BD.verify_batch(BD.verify_windows(BD.proposed(resolved), signals)))
+    if verifier is not None:
+        vb = batch.withColumn("max_tokens", F.lit(P.TOKENS_VERIFY))
+        vr = _call(vb, verifier, ["filename", "total_pages"], f"{tag}/verify", materialize)
+        vr = vr.select("filename", F.col("raw_response").alias("verify_response"),
+                       F.col("error_message").alias("verify_error"))
+        corrected = BD.apply_corrections(batch.join(vr, "filename"))
+    else:
+        corrected = batch.withColumn("verify_response", F.lit(None).cast("string")) \
+                         .withColumn("verify_error", F.lit("no verifier configured"))
+        corrected = BD.apply_corrections(corrected)
+    final = BD.final_boundaries(corrected, resolved)
+
+    log = (PR.log_responses(prim, "primary_pass", primary_model, False, run_id, day_id, at)
+           .unionByName(PR.log_responses(fb, "retry_fallback", fallback_model, True, run_id, day_id, at))
+           .unionByName(PR.log_responses(cparsed.withColumnRenamed("chunk_starts", "parsed_starts"), "chunk",
+                                         primary_model, False, run_id, day_id, at)))
+    info = BD.model_info(log)
+    split = BD.split_results(final, pkg, info, resolved, run_id, day_id, at)
+    review = BD.review_events(resolved)
+    events = event_rows(review.withColumn("day_id", F.lit(day_id).cast("string")), "split", "needs_review",
+                        "pipeline", at, detail=F.col("detail"), run_id=run_id)
+    return {"page_signals": signals, "package_summaries": pkg, "responses": log, "resolved": resolved,
+            "split_results": split, "events": events}

@@ -14,6 +14,29 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
+def zero_count_if(sql: str) -> str:
+    """Wrap every ``count_if(..)`` of an oracle query in ``coalesce(.., 0)``.
+
+    The oracle engine's ``count_if`` is NULL when the condition is NULL on every
+    row of a group; Spark's (and SUM(CASE ..)) is 0, which is what the
+    operators return.
+    """
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j])
+        out.append(f"coalesce({key}{zero_count_if(sql[j + len(key):k])}, 0)")  # inner part keeps its ')'
+
+        i = k
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(spark, sf_dir)`` under ``name`` with its oracle SQL (if any)."""
 
@@ -22,7 +45,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query key {name}")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = with_fixtures(sql)
+            ORACLE[name] = zero_count_if(with_fixtures(sql))
         return fn
 
     return deco
