@@ -40,9 +40,17 @@ def n_pages_expr(parsed_content: Column) -> Column:
 
 
 def parse_elements(parsed: DataFrame, keep: tuple[str, ...] = ("filename",)) -> DataFrame:
-    """SRC3 / SIG1: one row per element with a page; elements without a bbox page are dropped."""
-    e = parsed.select(*keep, F.explode(_elements(F.col("parsed_content"))).alias("e"))
-    out = e.select(*keep,
+    """SRC3 / SIG1: one row per element with a page; elements without a bbox page are dropped.
+
+    Each row also carries its package's page total (SIG4: the highest element
+    page), read from the package's own JSON row, so signals need no extra
+    aggregation and join for it.
+    """
+    tree = parsed.select(*keep, _elements(F.col("parsed_content")).alias("_els"))  # parse once
+    els = F.col("_els")
+    pages = F.transform(els, lambda x: F.get(x["bbox"], 0)["page_id"] + 1)
+    e = tree.select(*keep, F.array_max(pages).cast("int").alias("total_pages"), F.explode(els).alias("e"))
+    out = e.select(*keep, "total_pages",
                    (F.get(F.col("e.bbox"), 0)["page_id"] + 1).alias("page_num"),
                    F.col("e.type").alias("element_type"),
                    F.col("e.content").alias("content"),
@@ -75,7 +83,8 @@ def total_pages(elements: DataFrame) -> DataFrame:
 def _pages(elements: DataFrame) -> DataFrame:
     """Page text and first heading in one aggregation per (filename, page)."""
     head = _is_heading()
-    return elements.groupBy("filename", "page_num").agg(
+    extra = [F.max("total_pages").alias("total_pages")] if "total_pages" in elements.columns else []
+    return elements.groupBy("filename", "page_num").agg(*extra,
         F.concat_ws(" ", F.transform(F.sort_array(F.collect_list(F.struct("element_id", "content"))),
                                      lambda x: x["content"])).alias("full_text"),
         F.min_by(F.when(head, F.col("content")), F.when(head, F.col("element_id"))).alias("first_element"))
@@ -89,9 +98,10 @@ def page_signals(elements: DataFrame, run_id: str | None = None, day_id: str | N
     is split by adaptive skew-join handling, not gathered into one window task).
     """
     pages = _pages(elements)
-    totals = total_pages(elements)
+    if "total_pages" not in pages.columns:
+        pages = pages.join(total_pages(elements), "filename")
     t = F.col("full_text")
-    sig = pages.join(totals, "filename").select(
+    sig = pages.select(
         "filename", "page_num", "total_pages",
         F.coalesce(F.col("first_element"), F.lit("")).alias("first_element"),
         F.left(t, F.lit(HEADER_LEN)).alias("header"),
@@ -122,26 +132,26 @@ def _labelled(page_num: Column, text: Column) -> Column:
     return F.concat(F.lit("=== PAGE "), page_num.cast("string"), F.lit(" ===\n"), text)
 
 
-def ordered_text(df: DataFrame, keys: list[str], pos: str, text: str, out: str, sep: str = "\n") -> DataFrame:
+def ordered_text(df: DataFrame, keys: list[str], pos: str, text: str, out: str, sep: str = "\n",
+                 max_cols: tuple[str, ...] = ()) -> DataFrame:
     """Join ``text`` per ``keys`` in ``pos`` order, in two steps so no single task
     sorts every piece of a very large group: slabs of ``SUMMARY_SLAB`` positions
-    first, then the slabs in order."""
+    first, then the slabs in order.  ``max_cols`` are carried along as maxima."""
     slab = F.floor(F.col(pos) / SUMMARY_SLAB)
+    mx = [F.max(c).alias(c) for c in max_cols]
     parts = (df.withColumn("_slab", slab).groupBy(*keys, "_slab")
              .agg(F.concat_ws(sep, F.transform(F.sort_array(F.collect_list(F.struct(F.col(pos), F.col(text)))),
-                                               lambda x: x[text])).alias("_part")))
+                                               lambda x: x[text])).alias("_part"), *mx))
     return (parts.groupBy(*keys)
             .agg(F.concat_ws(sep, F.transform(F.sort_array(F.collect_list(F.struct("_slab", "_part"))),
-                                              lambda x: x["_part"])).alias(out)))
+                                              lambda x: x["_part"])).alias(out), *mx))
 
 
 def package_summary(signals: DataFrame, folders: DataFrame | None = None) -> DataFrame:
     """SIG13: one text per package, page blocks in page order under ``=== PAGE n ===``."""
     labelled = signals.select("filename", "page_num", "total_pages",
                               _labelled(F.col("page_num"), F.col("page_block")).alias("_blk"))
-    text = ordered_text(labelled, ["filename"], "page_num", "_blk", "package_summary")
-    tot = signals.groupBy("filename").agg(F.max("total_pages").alias("total_pages"))
-    out = tot.join(text, "filename")
+    out = ordered_text(labelled, ["filename"], "page_num", "_blk", "package_summary", max_cols=("total_pages",))
     if folders is not None:
         out = out.join(folders.select("filename", "folder_id"), "filename")
     return out

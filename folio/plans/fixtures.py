@@ -105,10 +105,11 @@ def fx_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     w = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # same sort, one window pass
     return li.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("_ORDER")).alias("filename"),
         F.row_number().over(w).cast("int").alias("page_num"),
-        F.count(F.lit(1)).over(Window.partitionBy("l_orderkey")).cast("int").alias("total_pages"),
+        F.count(F.lit(1)).over(whole).cast("int").alias("total_pages"),
         "l_returnflag", "l_linestatus", "l_suppkey",
     )
 
@@ -154,10 +155,11 @@ def fx_long_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     w = Window.partitionBy("l_suppkey").orderBy(
         "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return li.select(
         F.concat(F.col("l_suppkey").cast("string"), F.lit("_LONG")).alias("filename"),
         F.row_number().over(w).cast("int").alias("page_num"),
-        F.count(F.lit(1)).over(Window.partitionBy("l_suppkey")).cast("int").alias("total_pages"),
+        F.count(F.lit(1)).over(whole).cast("int").alias("total_pages"),
         F.concat(F.lit("block "), F.col("l_orderkey").cast("string")).alias("page_block"),
     )
 
