@@ -75,15 +75,20 @@ def with_parsed_starts(df: DataFrame, raw: str = "raw_response", total: str = "t
     obj = F.regexp_extract(strip_fences(F.col(raw)), FIRST_OBJECT_RE, 0)
     s1 = df.withColumn("_v", F.try_parse_json(F.when(obj != "", obj)))
     s2 = s1.withColumn("_ps", F.variant_get(F.col("_v"), "$.predicted_starts", "variant"))
-    items = F.try_variant_get(F.col("_ps"), "$", "array<variant>")
-    s3 = s2.withColumn("_typed", F.when(F.schema_of_variant(F.col("_ps")).startswith("ARRAY"),
-                                        F.transform(items, _typed)))
-    s3 = s3.withColumn("_ints", F.transform(F.col("_typed"), _typed_to_int)).drop("_typed")
+    s2 = s2.withColumn("_kind", F.schema_of_variant(F.col("_ps")))
+    # All-integer lists (the usual answer) are read in one vectorised step; only
+    # mixed lists take the per-element path, where any unreadable element fails
+    # the whole answer.
+    fast = F.try_variant_get(F.col("_ps"), "$", "array<bigint>")
+    slow = F.transform(F.transform(F.try_variant_get(F.col("_ps"), "$", "array<variant>"), _typed), _typed_to_int)
+    slow = F.when(~F.exists(slow, lambda x: x.isNull()), slow.cast("array<bigint>"))
+    s3 = s2.withColumn("_ints", F.when(F.col("_kind") == "ARRAY<BIGINT>", fast)
+                       .when(F.col("_kind").startswith("ARRAY"), slow)).drop("_kind")
     ints = F.col("_ints")
-    inside = F.filter(ints, lambda x: (x >= 1) & (x <= F.col(total)))
+    inside = F.filter(ints, lambda x: (x >= 1) & (x <= F.col(total))).cast("array<int>")
     res = (F.when(F.col("_v").isNull(), F.lit(None).cast("array<int>"))
            .when(F.col("_ps").isNull(), F.array(F.lit(1)))
-           .when(ints.isNull() | F.exists(ints, lambda x: x.isNull()), F.lit(None).cast("array<int>"))
+           .when(ints.isNull(), F.lit(None).cast("array<int>"))
            .otherwise(F.array_sort(F.array_union(F.array(F.lit(1)), inside))))
     return s3.withColumn(out, res).drop("_v", "_ps", "_ints")
 
