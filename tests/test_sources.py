@@ -65,3 +65,44 @@ def test_streaming_intake_registers_each_file_once(spark):
     rows = spark.read.schema(PROCESSING_LOG).parquet(log).select("day_id", "filename", "status").collect()
     assert sorted((r["day_id"], r["filename"], r["status"]) for r in rows) == [
         ("202402", "A1_a", "pending"), ("202402", "B2_b", "pending"), ("202402", "C3_c", "pending")]
+
+
+def test_append_and_batch_prunes_partitions(spark, sf_small):
+    from folio.plans import fixtures as fx
+    from folio.schemas import PROCESSING_LOG
+    root = tempfile.mkdtemp(prefix="folio-log-")
+    log = fx.fx_log(spark, sf_small)
+    SNK.append(log, root, PROCESSING_LOG)
+    table = spark.read.schema(PROCESSING_LOG).parquet(root)
+    one = SRC.batch(table, "199601")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day_id" in plan and "199601" in plan
+    assert one.count() == log.where(F.col("day_id") == "199601").count()
+
+
+def test_overwrite_partitions_replaces_only_touched_batches(spark):
+    from folio.schemas import PROCESSING_LOG, conform
+    root = tempfile.mkdtemp(prefix="folio-ow-")
+    rows = spark.createDataFrame([("a", "d1", "pending"), ("b", "d2", "pending")], "filename string, day_id string, status string")
+    SNK.overwrite_partitions(conform(rows, PROCESSING_LOG), root)
+    upd = spark.createDataFrame([("a", "d1", "done")], "filename string, day_id string, status string")
+    SNK.overwrite_partitions(conform(upd, PROCESSING_LOG), root)
+    SNK.overwrite_partitions(conform(upd, PROCESSING_LOG), root)
+    got = sorted((r["filename"], r["status"]) for r in spark.read.schema(PROCESSING_LOG).parquet(root).collect())
+    assert got == [("a", "done"), ("b", "pending")]
+
+
+def test_events_run_row_and_null_pages(spark, sf_small):
+    from folio.operators import intake as IN
+    from folio.plans import fixtures as fx
+    root = tempfile.mkdtemp(prefix="folio-ev-")
+    parsed = spark.createDataFrame([("d1", "A1_x", None), ("d1", "B2_y", 3)], "day_id string, filename string, n_pages int")
+    ev = IN.flag_null_pages(parsed, F.lit("2024-01-01 00:00:00").cast("timestamp"), "r1")
+    assert [r["filename"] for r in ev.collect()] == ["A1_x"] and ev.first()["event_type"] == "needs_review"
+    assert SNK.append_events(ev, root) and spark.read.parquet(root).count() == 1
+    assert SNK.append_events(ev.drop("event_id").withColumnRenamed("stage", "x"), "/proc/not-writable") is False
+    out = IN.run_outcome(fx.fx_log(spark, sf_small).where(F.col("day_id") == "199601"))
+    row = SNK.run_row(out, "r1", F.lit("2024-01-01 00:00:00").cast("timestamp"),
+                      F.lit("2024-01-01 00:30:00").cast("timestamp"), F.col("total")).first()
+    assert row["duration_min"] == 30.0 and row["notes"] == "day_id=199601" and row["status"] in (
+        "success", "partial_failure", "failed")
