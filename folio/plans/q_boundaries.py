@@ -309,7 +309,7 @@ def q_boundary_stats(spark, sf_dir):
 
 
 def response_log(spark, sf_dir):
-    at = F.lit(AS_OF_TEXT).cast("timestamp")
+    at = F.lit(AS_OF_TEXT).cast("timestamp_ntz")
     prim = primary_df(spark, sf_dir)
     fb = fallback_df(spark, sf_dir, prim)
     return (PR.log_responses(prim, "primary_pass", "primary", False, "run-1", None, at)
@@ -343,7 +343,7 @@ def q_split_results(spark, sf_dir):
     pkg = pkg_df(spark, sf_dir)
     info = BD.model_info(response_log(spark, sf_dir))
     source = resolved_single(spark, sf_dir)
-    sr = BD.split_results(final, pkg, info, source, "run-1", None, F.lit(AS_OF_TEXT).cast("timestamp"))
+    sr = BD.split_results(final, pkg, info, source, "run-1", None, F.lit(AS_OF_TEXT).cast("timestamp_ntz"))
     return sr.select("filename", "total_pages", array_text(F.col("predicted_starts")).alias("starts_txt"),
                      "n_documents", "model_used", "fallback_used", "verification_applied", "processing_timestamp",
                      "run_id", "needs_review", "boundary_source")

@@ -143,7 +143,7 @@ FROM parsed""")
 def q_log_responses(spark, sf_dir):
     r = responses_df(spark, sf_dir).withColumn("token_bucket", PR.token_bucket(F.col("total_pages")))
     log = PR.log_responses(r, "primary_pass", "primary", False, "run-1", None,
-                           F.lit(AS_OF_TEXT).cast("timestamp"))
+                           F.lit(AS_OF_TEXT).cast("timestamp_ntz"))
     return log.withColumn("starts_txt", array_text(F.col("parsed_starts"))).drop("parsed_starts")
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folio.plans.oracle_fixtures import with_fixtures
 
@@ -37,13 +40,27 @@ def zero_count_if(sql: str) -> str:
         i = k
 
 
+def wall_clock(df: DataFrame) -> DataFrame:
+    """Return zone-aware timestamp columns as zone-less wall-clock values, the type
+    of the source tables, so results do not depend on the session time zone."""
+    if not any(isinstance(f.dataType, T.TimestampType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, T.TimestampType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(spark, sf_dir)`` under ``name`` with its oracle SQL (if any)."""
 
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query key {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return wall_clock(fn(spark, sf_dir))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = zero_count_if(with_fixtures(sql))
         return fn
