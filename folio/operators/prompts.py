@@ -139,32 +139,49 @@ RESULT_TYPE = T.StructType([T.StructField("result", T.StringType()), T.StructFie
 
 
 def invoke(prompts: DataFrame, predictor: Callable[[str, int], str], keys: list[str],
-           prompt_col: str = "prompt", budget_col: str = "max_tokens") -> DataFrame:
+           prompt_col: str = "prompt", budget_col: str = "max_tokens", partitions: int | None = None,
+           concurrency: int = 1) -> DataFrame:
     """PRM9: call ``predictor(prompt, max_tokens)`` on every row, failures as data.
 
     Runs in Arrow batches through ``mapInPandas``; each row's exception becomes
     its ``errorMessage`` so one bad call never fails the task (``failOnError``
-    off).  Materialise the result (``cut_lineage``) before using it twice, so a
-    model is not called again on recomputation.
+    off).  ``partitions`` spreads the prompts evenly (round robin) over that many
+    tasks, so calls are not stuck behind a skewed upstream partition;
+    ``concurrency`` > 1 overlaps the latency-bound calls of one task with a
+    bounded thread pool.  Cut the result's lineage (``sinks.cut_lineage``) before
+    using it twice, so a model is never called again on recomputation.
     """
     schema = T.StructType([f for f in prompts.select(*keys).schema.fields] + [T.StructField("llm_result", RESULT_TYPE)])
     cols = [*keys, prompt_col] + ([budget_col] if budget_col in prompts.columns else [])
 
+    def call(prompt, budget):
+        try:
+            return {"result": predictor(prompt, budget), "errorMessage": None}
+        except Exception as ex:  # noqa: BLE001 - failures are data here
+            return {"result": None, "errorMessage": f"{type(ex).__name__}: {ex}"[:2000]}
+
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
-        for pdf in batches:
-            results = []
-            budgets = pdf[budget_col] if budget_col in pdf.columns else [None] * len(pdf)
-            for prompt, budget in zip(pdf[prompt_col], budgets):
-                try:
-                    results.append({"result": predictor(prompt, budget), "errorMessage": None})
-                except Exception as ex:  # noqa: BLE001 - failures are data here
-                    results.append({"result": None, "errorMessage": f"{type(ex).__name__}: {ex}"[:2000]})
-            out = pdf[keys].copy()
-            out["llm_result"] = pd.Series(results, index=pdf.index)
-            yield out
-
-    return prompts.select(*cols).mapInPandas(run, schema)
+        pool = None
+        if concurrency > 1:
+            from concurrent.futures import ThreadPoolExecutor
+            pool = ThreadPoolExecutor(max_workers=concurrency)
+        try:
+            for pdf in batches:
+                budgets = pdf[budget_col] if budget_col in pdf.columns else [None] * len(pdf)
+                pairs = list(zip(pdf[prompt_col], budgets))
+                results = list(pool.map(lambda a: call(*a), pairs)) if pool else [call(p, b) for p, b in pairs]
+                out = pdf[keys].copy()
+                out["llm_result"] = pd.Series(results, index=pdf.index)
+                yield out
+        finally:
+            if pool:
+                pool.shutdown()
+
+    src = prompts.select(*cols)
+    if partitions:
+        src = src.repartition(partitions)
+    return src.mapInPandas(run, schema)
 
 
 def rule_boundaries(signals: DataFrame) -> DataFrame:

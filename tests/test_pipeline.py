@@ -41,3 +41,18 @@ def test_failures_fall_back_then_need_review(spark, sf_small):
     assert out["events"].count() == n3
     errs = out["responses"].where(F.col("error_message").startswith("TimeoutError")).count()
     assert errs == n3
+
+
+def test_invoke_concurrency_and_spreading_keep_every_row(spark, sf_small):
+    plan = spark.range(0, 500).select(F.col("id").cast("string").alias("filename"),
+                                      F.concat(F.lit("p"), F.col("id").cast("string")).alias("prompt"))
+
+    def echo(prompt, budget):
+        if prompt.endswith("7"):
+            raise ValueError("bad")
+        return prompt.upper()
+
+    out = PR.unpack_response(PR.invoke(plan, echo, ["filename"], partitions=7, concurrency=4))
+    rows = {r["filename"]: (r["raw_response"], r["error_message"]) for r in out.collect()}
+    assert len(rows) == 500
+    assert rows["12"] == ("P12", None) and rows["17"][0] is None and rows["17"][1].startswith("ValueError")
