@@ -115,21 +115,24 @@ def fx_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_elements(spark: SparkSession, sf_dir: str, pages: DataFrame | None = None) -> DataFrame:
-    """Exploded parsed elements: a title on open pages, a text element on every page."""
+    """Exploded parsed elements: a title on open pages, a text element on every page.
+
+    Both elements of a page come out of one pass over the pages (an explode of
+    a two-slot array; the title slot is empty on pages that are not open).
+    """
     p = pages if pages is not None else fx_pages(spark, sf_dir)
     pn, tp = F.col("page_num"), F.col("total_pages")
-    titles = p.where(F.col("l_linestatus") == "O").select(
-        "filename", "page_num", ((pn - 1) * 2).cast("int").alias("element_id"),
-        F.lit("title").alias("element_type"),
-        F.concat(F.lit("Commercial "), F.col("l_returnflag"), F.lit(" Form CBP 7501")).alias("content"))
-    texts = p.select(
-        "filename", "page_num", (1 + (pn - 1) * 2).cast("int").alias("element_id"),
-        F.lit("text").alias("element_type"),
+    title = F.when(F.col("l_linestatus") == "O", F.struct(
+        ((pn - 1) * 2).cast("int").alias("element_id"), F.lit("title").alias("element_type"),
+        F.concat(F.lit("Commercial "), F.col("l_returnflag"), F.lit(" Form CBP 7501")).alias("content")))
+    text = F.struct(
+        (1 + (pn - 1) * 2).cast("int").alias("element_id"), F.lit("text").alias("element_type"),
         F.concat(F.lit("invoice number: INV-"), F.col("l_suppkey").cast("string"), F.lit(" rev "),
                  F.col("l_returnflag"), F.lit(" Page "), pn.cast("string"), F.lit(" of "),
                  tp.cast("string"), F.lit(" end Page "), pn.cast("string"), F.lit("/"),
                  tp.cast("string")).alias("content"))
-    return titles.unionByName(texts)
+    e = p.select("filename", "page_num", F.explode(F.array(title, text)).alias("e")).where(F.col("e").isNotNull())
+    return e.select("filename", "page_num", "e.element_id", "e.element_type", "e.content")
 
 
 def _change_starts(pages: DataFrame, flag: str) -> DataFrame:
