@@ -351,3 +351,18 @@ def q_batch_actions(spark, sf_dir):
         F.count(F.lit(1)).alias("n_inbox"))
     b = bs.join(inb, "day_id", "left").fillna(0, ["n_inbox"])
     return ST.batch_actions(b).select("day_id", "lifecycle", F.array_join("actions", ",").alias("actions"))
+
+
+@query("run_row", f"""SELECT 'run-1' AS run_id, CAST(NULL AS VARCHAR) AS job_run_id, TIMESTAMP '{AS_OF_TEXT}' AS started_at,
+  TIMESTAMP '{AS_OF_TEXT}' + INTERVAL 30 MINUTES AS completed_at,
+  CASE WHEN count_if(status = 'error') > 0 AND count_if(status = 'parsed') > 0 THEN 'partial_failure'
+       WHEN count_if(status = 'error') > 0 THEN 'failed' ELSE 'success' END AS status,
+  count(*) AS n_total, CAST(count_if(status = 'parsed') + count_if(status = 'done') AS BIGINT) AS n_success,
+  CAST(count_if(status = 'skipped') AS BIGINT) AS n_skipped, CAST(count_if(status = 'error') AS BIGINT) AS n_error,
+  'primary' AS primary_model, 'fallback' AS fallback_model, 30.0 AS duration_min, concat('day_id=', day_id) AS notes
+FROM fx_log GROUP BY day_id""")
+def q_run_row(spark, sf_dir):
+    from folio.sources.sinks import run_row
+    out = IN.run_outcome(fx.fx_log(spark, sf_dir), "parse")
+    start = as_of()
+    return run_row(out, "run-1", start, start + F.expr("INTERVAL 30 MINUTES"), F.col("total"), "primary", "fallback")
