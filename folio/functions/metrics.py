@@ -47,23 +47,46 @@ def tolerant_fold(gt: Column, pred: Column) -> Column:
     For each ground-truth page g (ascending) the first unused predicted page
     among g, g-1, g+1 is taken, which is what a nearest-first scan of the
     sorted predictions picks (ties go to the lower page).  Returns
-    ``struct(u, m, o)``: unused predictions, matches, off-by-one matches.
+    ``struct(m, o)``: matches and off-by-one matches.
+
+    Linear after one sort: the pages a greedy pass takes are strictly
+    increasing, so "unused" is just "above the last page taken" (``last``).
+    Both lists are merged in ascending order (a prediction before a
+    ground-truth page of the same number) and folded once.  A ground-truth
+    page that finds neither g nor g-1 waits (``wait``) for the next element:
+    it takes g+1 only if that is the very next prediction.
     """
-    zero = F.lit(0)
-    init = F.struct(pred.alias("u"), zero.alias("m"), zero.alias("o"))
-
-    def step(acc: Column, g: Column) -> Column:
-        u = acc["u"]
-        hit = (F.when(F.array_contains(u, g), g)
-               .when(F.array_contains(u, g - 1), g - 1)
-               .when(F.array_contains(u, g + 1), g + 1))
+    ev = F.array_sort(F.concat(F.transform(pred, lambda p: F.struct(p.alias("v"), F.lit(0).alias("t"))),
+                               F.transform(gt, lambda g: F.struct(g.alias("v"), F.lit(1).alias("t")))))
+    none = F.lit(None).cast("int")
+    init = F.struct(none.alias("last"), none.alias("p1"), none.alias("p2"), none.alias("wait"),
+                    F.lit(0).alias("m"), F.lit(0).alias("o"))
+
+    def step(s: Column, e: Column) -> Column:
+        v, is_gt = e["v"], e["t"] == 1
+        last, p1, p2, wait = s["last"], s["p1"], s["p2"], s["wait"]
+        free = lambda x: x.isNotNull() & (last.isNull() | (x > last))
+        # a waiting page g takes g+1 when g+1 is the next prediction
+        take_next = ~is_gt & wait.isNotNull() & (v == wait + 1) & free(v)
+        last1 = F.when(take_next, v).otherwise(last)
+        m1 = s["m"] + F.when(take_next, 1).otherwise(0)
+        o1 = s["o"] + F.when(take_next, 1).otherwise(0)
+        # predictions seen so far: the two largest (p1 >= p2)
+        np1 = F.when(is_gt, p1).otherwise(v)
+        np2 = F.when(is_gt, p2).otherwise(p1)
+        free1 = lambda x: x.isNotNull() & (last1.isNull() | (x > last1))
+        hit_g = is_gt & (np1 == v) & free1(np1)
+        prev = F.when(np1 == v, np2).otherwise(np1)  # largest prediction below g
+        hit_gm1 = is_gt & ~hit_g & (prev == v - 1) & free1(prev)
+        got = F.when(hit_g, v).when(hit_gm1, v - 1)
         return F.struct(
-            F.when(hit.isNull(), u).otherwise(F.array_remove(u, hit)).alias("u"),
-            (acc["m"] + F.when(hit.isNull(), 0).otherwise(1)).alias("m"),
-            (acc["o"] + F.when(hit.isNull() | (hit == g), 0).otherwise(1)).alias("o"),
-        )
+            F.coalesce(got, last1).alias("last"), np1.alias("p1"), np2.alias("p2"),
+            F.when(is_gt & got.isNull(), v).when(is_gt, none).when(take_next, none)
+             .when(wait.isNotNull() & (v > wait + 1), none).otherwise(wait).alias("wait"),
+            (m1 + F.when(got.isNotNull(), 1).otherwise(0)).alias("m"),
+            (o1 + F.when(hit_gm1, 1).otherwise(0)).alias("o"))
 
-    return F.aggregate(gt, init, step)
+    return F.aggregate(ev, init, step)
 
 
 def with_metrics(df: DataFrame, gt: str, model: str) -> DataFrame:

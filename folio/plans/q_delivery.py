@@ -1,5 +1,5 @@
 """Segment, delivery, sampling, export, flow and end-to-end queries
-(SEG1-6, WIN3-5, AGG9, AGG12, DLV1-7, SMP1, SNK6, pipeline_run)."""
+(SEG1-6, WIN3-5, AGG9, AGG12, DLV1-7, SMP1, SNK6, split_job)."""
 
 from __future__ import annotations
 
@@ -379,7 +379,7 @@ def q_flow_counters(spark, sf_dir):
 # ---- end to end ---------------------------------------------------------------------------
 
 
-@query("pipeline_run", f"""WITH {SIGNALS_CTES},
+@query("split_job", f"""WITH {SIGNALS_CTES},
 cue AS (SELECT filename, page_num, total_pages,
   page_num = 1 OR regexp_matches(page_indicator, '^([Pp]age\\s+1\\s*(/|of)|-\\s*1\\s*/)')
   OR (invoice_number <> '' AND coalesce(last_value(nullif(invoice_number, '') IGNORE NULLS) OVER (PARTITION BY filename
@@ -392,7 +392,7 @@ resp AS (SELECT filename, max(total_pages) AS total_pages, '{{"predicted_starts"
 SELECT filename, array_to_string(CASE WHEN parsed_starts IS NULL THEN [1] ELSE parsed_starts END, ',') AS starts_txt,
   len(CASE WHEN parsed_starts IS NULL THEN [1] ELSE parsed_starts END) AS n_documents,
   CASE WHEN parsed_starts IS NULL THEN 'ultimate_fallback' ELSE 'primary' END AS boundary_source FROM parsed""")
-def q_pipeline_run(spark, sf_dir):
+def q_split_job(spark, sf_dir):
     """Parsed JSON -> signals -> summaries -> prompts -> stand-in model -> parse ->
     resolution -> final boundaries (no verifier configured: proposals are kept)."""
     plan = PR.prompt_plan(pkg_df(spark, sf_dir)).withColumn("prompt", PR.primary_prompt(F.col("package_summary")))

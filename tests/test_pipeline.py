@@ -6,7 +6,7 @@ import __spark_entry__ as E
 from folio.functions.common import array_text
 from folio.operators import prompts as PR
 from folio.plans import fixtures as fx
-from folio.plans.pipeline import split_stage
+from folio.plans.split_job import split_stage
 
 
 def test_split_stage_matches_single_call_query(spark, sf_small):
@@ -15,7 +15,7 @@ def test_split_stage_matches_single_call_query(spark, sf_small):
     sr = out["split_results"]
     assert sr.count() == parsed.count() == sr.select("filename").distinct().count()
     got = {r["filename"]: r["s"] for r in sr.select("filename", array_text(F.col("predicted_starts")).alias("s")).collect()}
-    want = {r["filename"]: r["starts_txt"] for r in E.queries()["pipeline_run"](spark, sf_small).collect()}
+    want = {r["filename"]: r["starts_txt"] for r in E.queries()["split_job"](spark, sf_small).collect()}
     assert got == want
     assert sr.where(F.col("boundary_source") != "primary").count() == 0
 
