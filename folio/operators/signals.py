@@ -94,8 +94,9 @@ def page_signals(elements: DataFrame, run_id: str | None = None, day_id: str | N
     """SIG5-12: per-page text signals and the compact page block.
 
     Each pattern is evaluated once; the block reuses the columns.  Package totals
-    come from a per-package aggregate joined back on filename (a skewed package
-    is split by adaptive skew-join handling, not gathered into one window task).
+    are carried from ``parse_elements``; for other element sources they come
+    from a per-package aggregate joined back on filename (a skewed package is
+    split by adaptive skew-join handling, not gathered into one window task).
     """
     pages = _pages(elements)
     if "total_pages" not in pages.columns:

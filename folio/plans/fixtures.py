@@ -3,7 +3,7 @@
 The reference keeps its state in a handful of tables (processing log, split
 results, events, parsed documents ...).  The test data is TPC-H shaped, so each
 adapter below derives one state relation from it with plain DataFrame
-expressions.  The same relations are written as SQL in ``plans/oracle.py`` so
+expressions.  The same relations are written as SQL in ``plans/oracle_fixtures.py`` so
 an independent engine can check every query.  All adapters are lazy and
 scale with their input tables; nothing is collected.
 """

@@ -23,18 +23,21 @@ BASE_CONF = {
     # is kept explicit so that nothing grows into a broadcast by accident.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # State tables are partitioned by day_id and bucketed by filename; letting a join on
+    # (day_id, filename) use that filename bucketing avoids re-shuffling both sides.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app_name: str = "folio") -> SparkSession:
+                app_name: str = "folio", extra: dict[str, str] | None = None) -> SparkSession:
     master = master or os.environ.get("FOLIO_MASTER", "local[*]")
     builder = SparkSession.builder.master(master).appName(app_name)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("FOLIO_DRIVER_MEMORY", "16g"))
-    for k, v in BASE_CONF.items():
+    for k, v in {**BASE_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

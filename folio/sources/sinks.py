@@ -79,3 +79,18 @@ def write_ground_truth(gt: DataFrame, path: str) -> None:
 def write_records(records: DataFrame, path: str, col: str = "record") -> None:
     """SNK6: one JSON text line per exported prediction."""
     records.select(col).write.mode("overwrite").text(path)
+
+
+def save_state_table(df: DataFrame, table: str, buckets: int, partition: str | None = "day_id",
+                     bucket_col: str = "filename", mode: str = "overwrite") -> None:
+    """Write a state table bucketed (and sorted) by ``filename`` and partitioned by batch.
+
+    Tables written this way with the same bucket count join and window on
+    (day_id, filename) without a shuffle: the processing log and split results
+    meet in the file-status view bucket by bucket.  Choose ``buckets`` so a
+    bucket of one batch stays around a few hundred MB.
+    """
+    w = df.write.mode(mode).format("parquet").bucketBy(buckets, bucket_col).sortBy(bucket_col)
+    if partition and partition in df.columns:
+        w = w.partitionBy(partition)
+    w.saveAsTable(table)

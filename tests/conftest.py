@@ -11,7 +11,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from folio.session import get_session
-    s = get_session(master="local[*]", shuffle_partitions=8)
+    import tempfile
+    s = get_session(master="local[*]", shuffle_partitions=8,
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="folio-wh-")})
     yield s
 
 

@@ -39,3 +39,40 @@ def test_apply_corrections(spark, resp, want):
     df = spark.createDataFrame([([5, 9], resp, 12)], "p array<int>, r string, t int")
     got = df.select(apply_corrections(F.col("p"), F.col("r"), F.col("t")).alias("x")).first()["x"]
     assert got == want
+
+
+def corrections_py(proposed, corrections, total):
+    """The correction rule spelled out item by item (malformed items are no-ops)."""
+    result = set([1] + list(proposed))
+    for c in corrections:
+        action = (c.get("action") or "").lower()
+        frm, to = c.get("from_page"), c.get("to_page")
+        if action in ("move", "remove") and frm and frm in result and frm != 1:
+            result.discard(frm)
+        if action == "move" and to and 1 <= to <= total:
+            result.add(to)
+    return sorted(result)
+
+
+def test_apply_corrections_random(spark):
+    import json
+    import random
+    rnd = random.Random(11)
+    rows, want = [], []
+    for i in range(2000):
+        total = rnd.randint(1, 30)
+        proposed = sorted(set(rnd.sample(range(2, 40), rnd.randint(0, 6))))
+        items = []
+        for _ in range(rnd.randint(0, 5)):
+            c = {"action": rnd.choice(["move", "remove", "confirm", "MOVE", "Remove", "add"])}
+            if rnd.random() < 0.9:
+                c["from_page"] = rnd.randint(-1, total + 3)
+            if rnd.random() < 0.7:
+                c["to_page"] = rnd.randint(-1, total + 3)
+            items.append(c)
+        rows.append((i, proposed, "```json\n" + json.dumps(items) + "\n```" if i % 3 == 0 else json.dumps(items), total))
+        want.append(corrections_py(proposed, items, total))
+    df = spark.createDataFrame(rows, "i int, p array<int>, r string, t int")
+    got = {r["i"]: r["x"] for r in df.select("i", apply_corrections(F.col("p"), F.col("r"), F.col("t")).alias("x")).collect()}
+    for i in range(len(rows)):
+        assert got[i] == want[i], rows[i]

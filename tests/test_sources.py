@@ -106,3 +106,22 @@ def test_events_run_row_and_null_pages(spark, sf_small):
                       F.lit("2024-01-01 00:30:00").cast("timestamp"), F.col("total")).first()
     assert row["duration_min"] == 30.0 and row["notes"] == "day_id=199601" and row["status"] in (
         "success", "partial_failure", "failed")
+
+
+def test_bucketed_state_tables_join_without_shuffle(spark, sf_small):
+    from folio.operators import views as V
+    from folio.plans import fixtures as fx
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # show the planned join, not a broadcast
+    try:
+        import uuid
+        tag = uuid.uuid4().hex[:8]
+        SNK.save_state_table(fx.fx_log(spark, sf_small), f"t_log_{tag}", 8)
+        SNK.save_state_table(fx.fx_split(spark, sf_small), f"t_split_{tag}", 8)
+        st = V.file_status(spark.table(f"t_log_{tag}"), spark.table(f"t_split_{tag}"))
+        plan = st._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        ref = V.file_status(fx.fx_log(spark, sf_small), fx.fx_split(spark, sf_small))
+        cols = ["day_id", "filename", "status", "log_seq", "split_seq"]
+        assert sorted(map(tuple, st.select(*cols).collect())) == sorted(map(tuple, ref.select(*cols).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
