@@ -56,3 +56,38 @@ def test_invoke_concurrency_and_spreading_keep_every_row(spark, sf_small):
     rows = {r["filename"]: (r["raw_response"], r["error_message"]) for r in out.collect()}
     assert len(rows) == 500
     assert rows["12"] == ("P12", None) and rows["17"][0] is None and rows["17"][1].startswith("ValueError")
+
+
+def test_intake_stage_registers_parses_and_transitions(spark):
+    import json
+    import os
+    import tempfile
+
+    from folio.plans.intake_job import intake_stage
+    from folio.schemas import PARSED_DOCUMENTS, PROCESSING_LOG
+
+    root = tempfile.mkdtemp(prefix="folio-inbox-")
+    os.makedirs(f"{root}/202403")
+    for name, body in (("A1_a", b"two"), ("B2_b", b"none"), ("C3_c", b"boom")):
+        with open(f"{root}/202403/{name}.pdf", "wb") as f:
+            f.write(body)
+
+    def parser(blob: bytes) -> str:
+        if blob == b"boom":
+            raise RuntimeError("cannot parse")
+        pages = 2 if blob == b"two" else 0
+        els = [{"id": i, "type": "text", "content": f"p{i}", "bbox": [{"page_id": i}]} for i in range(pages)]
+        return json.dumps({"document": {"elements": els}})
+
+    log = spark.createDataFrame([], PROCESSING_LOG)
+    parsed = spark.createDataFrame([], PARSED_DOCUMENTS)
+    out = intake_stage(spark, root, "202403", log, parsed, parser, run_id="r1")
+    assert sorted(r["status"] for r in out["new_log_rows"].collect()) == ["pending"] * 3
+    pages = {r["filename"]: r["n_pages"] for r in out["parsed_documents"].collect()}
+    assert pages == {"A1_a": 2, "B2_b": None}
+    st = {r["filename"]: (r["status"], r["error_stage"], r["n_pages"]) for r in out["log"].collect()}
+    assert st == {"A1_a": ("parsed", None, 2), "B2_b": ("parsed", None, None), "C3_c": ("error", "parsing", None)}
+    ev = sorted((r["filename"], r["event_type"]) for r in out["events"].collect())
+    assert ev == [("B2_b", "needs_review"), ("C3_c", "error")]
+    o = out["outcome"].first()
+    assert (o["parsed"], o["errored"], o["run_status"]) == (2, 1, "partial_failure")
