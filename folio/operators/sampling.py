@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.functions.common import KEYS
+from folio.schemas import SPLIT_RESULTS
 
 # Fixed value: the seed text that makes the sample of a batch repeatable.
 SAMPLE_SEED_PREFIX = "check-sample-"
@@ -60,6 +61,8 @@ def annotation_sample(split: DataFrame, pct: float) -> DataFrame:
 def export_predictions(pending: DataFrame, split: DataFrame) -> DataFrame:
     """SNK6: one JSON record per sampled, not yet annotated file: its latest prediction,
     or a stub with note 'not_yet_processed'."""
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in SPLIT_RESULTS.fields if f.name not in split.columns]
+    split = split.select("*", *missing)
     p = split.select(*KEYS, "folder_id", "total_pages", "n_documents", "predicted_starts", "model_used",
                      "fallback_used", "verification_applied", F.coalesce(F.col("needs_review"), F.lit(False))
                      .alias("needs_review"), "boundary_source", "processing_timestamp")
