@@ -48,3 +48,20 @@ def array_text(arr: Column, sep: str = ",") -> Column:
 def valid_name(c: Column) -> Column:
     """Id safety predicate: only ``[A-Za-z0-9._-]``, non-empty, no ``..``."""
     return c.rlike(r"^[A-Za-z0-9._-]+$") & ~c.contains("..")
+
+
+def to_int(c: Column) -> Column:
+    """String -> INT; blank or unparseable -> NULL (the app's re-typing of warehouse text)."""
+    t = F.trim(c.cast("string"))
+    return F.when(t != "", t.try_cast("int"))
+
+
+def to_float(c: Column) -> Column:
+    """String -> DOUBLE; blank or unparseable -> NULL."""
+    t = F.trim(c.cast("string"))
+    return F.when(t != "", t.try_cast("double"))
+
+
+def to_bool(c: Column) -> Column:
+    """'true' (any case, padded) -> true, any other text -> false, NULL -> NULL."""
+    return F.when(c.isNotNull(), F.lower(F.trim(c.cast("string"))) == "true")

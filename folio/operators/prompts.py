@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
@@ -222,7 +224,8 @@ def starts_per_package(flags: DataFrame) -> DataFrame:
         .alias("predicted_starts"))
 
 
-_PAGE_HEAD = None
+_PAGE_HEAD = re.compile(r"=== PAGE (\d+) ===\n")
+_FIRST_OF = re.compile(r"^([Pp]age\s+1\s*(/|of)|-\s*1\s*/)")
 
 
 def cue_predictor(prompt: str, max_tokens: int | None = None) -> str:
@@ -232,20 +235,13 @@ def cue_predictor(prompt: str, max_tokens: int | None = None) -> str:
     page indicator reads "page 1 of N" or whose invoice number differs from the
     previous page's, in the JSON form the prompt asks for.
     """
-    import json
-    import re
-
-    global _PAGE_HEAD
-    if _PAGE_HEAD is None:
-        _PAGE_HEAD = re.compile(r"=== PAGE (\d+) ===\n")
-    first_of = re.compile(r"^([Pp]age\s+1\s*(/|of)|-\s*1\s*/)")
     parts = _PAGE_HEAD.split(prompt)
     starts, prev_inv = [], None
     for i in range(1, len(parts) - 1, 2):
         page, body = int(parts[i]), parts[i + 1]
         fields = dict(line.split(": ", 1) for line in body.split("\n") if ": " in line)
         ind, inv = fields.get("page_indicator", ""), fields.get("invoice_number", "")
-        if page == 1 or first_of.match(ind) or (inv and prev_inv and inv != prev_inv):
+        if page == 1 or _FIRST_OF.match(ind) or (inv and prev_inv and inv != prev_inv):
             starts.append(page)
         prev_inv = inv or prev_inv
     return json.dumps({"predicted_starts": starts})

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from folio.operators.intake import STEM_RE, path_keys
+from folio.operators.intake import path_keys
 from folio.schemas import GROUND_TRUTH, MANIFEST
 
 # <root>/<volume>/<day_id>/<name>.<ext>
@@ -73,7 +73,3 @@ def params_df(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType)
     """SRC6: a small parameter relation (explicit schema, never interpolated into SQL).
     Join it with ``F.broadcast`` only when it is known to be small."""
     return spark.createDataFrame(list(rows), schema)
-
-
-def stem(path_col: str = "path") -> F.Column:
-    return F.regexp_extract(F.col(path_col), STEM_RE, 1)

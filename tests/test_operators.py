@@ -140,3 +140,11 @@ def test_boundary_sets_contain_one_sorted_in_range(spark, sf_small):
     for r in s.collect():
         b = r["predicted_starts"]
         assert b[0] == 1 and b == sorted(set(b)) and b[-1] <= r["total_pages"]
+
+
+def test_retyping_helpers(spark):
+    from folio.functions.common import to_bool, to_float, to_int
+    df = spark.createDataFrame([(" 12 ", "1.5", " TRUE "), ("", "x", "no"), (None, None, None), ("7x", " 2 ", "true")],
+                               "a string, b string, c string")
+    got = [tuple(r) for r in df.select(to_int(F.col("a")), to_float(F.col("b")), to_bool(F.col("c"))).collect()]
+    assert got == [(12, 1.5, True), (None, None, False), (None, None, None), (None, 2.0, True)]
