@@ -58,3 +58,19 @@ def test_query_matches_oracle(spark, duck, sf_small, key):
     assert sorted(sdf.columns) == sorted(rel.columns)
     assert len(srows) == len(drows)
     assert _digest(sdf.columns, srows) == _digest(rel.columns, drows)
+
+
+def test_plans_have_no_pair_joins_or_row_udfs(spark, sf_small):
+    """Planned physical plans: no nested-loop/cartesian joins, no row-at-a-time Python,
+    Arrow Python only in the model-call hook."""
+    for key, fn in sorted(E.queries().items()):
+        plan = fn(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, key
+        assert "BatchEvalPython" not in plan, key
+        if key not in ("invoke", "split_job"):
+            assert "MapInPandas" not in plan and "ArrowEvalPython" not in plan, key
+
+
+def test_latest_per_key_limits_before_the_shuffle(spark, sf_small):
+    plan = E.queries()["file_status"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
