@@ -332,7 +332,7 @@ def q_model_info(spark, sf_dir):
 @query("split_results", f"""WITH {SIGNALS_CTES}, {PACKAGE_SQL}, {WINDOW_SQL}, {CORRECT_SQL}, {FINAL_SQL},
 {LOG_SQL}
 SELECT fin.filename, pkg.total_pages, array_to_string(fin.predicted_starts, ',') AS starts_txt,
-  len(fin.predicted_starts) AS n_documents,
+  CAST(len(fin.predicted_starts) AS INTEGER) AS n_documents,
   CASE WHEN m.fallback_used THEN m.fallback_model ELSE m.primary_model END AS model_used, m.fallback_used,
   true AS verification_applied, TIMESTAMP '{AS_OF_TEXT}' AS processing_timestamp, 'run-1' AS run_id,
   r.boundary_source = 'ultimate_fallback' AS needs_review, r.boundary_source

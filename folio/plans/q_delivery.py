@@ -390,7 +390,7 @@ resp AS (SELECT filename, max(total_pages) AS total_pages, '{{"predicted_starts"
   FROM cue GROUP BY filename HAVING max(total_pages) <= 50),
 {parse_sql("resp")}
 SELECT filename, array_to_string(CASE WHEN parsed_starts IS NULL THEN [1] ELSE parsed_starts END, ',') AS starts_txt,
-  len(CASE WHEN parsed_starts IS NULL THEN [1] ELSE parsed_starts END) AS n_documents,
+  CAST(len(CASE WHEN parsed_starts IS NULL THEN [1] ELSE parsed_starts END) AS INTEGER) AS n_documents,
   CASE WHEN parsed_starts IS NULL THEN 'ultimate_fallback' ELSE 'primary' END AS boundary_source FROM parsed""")
 def q_split_job(spark, sf_dir):
     """Parsed JSON -> signals -> summaries -> prompts -> stand-in model -> parse ->

@@ -69,7 +69,8 @@ EVAL_COLS = ["filename", "day_id", "total_pages", "gt_n_documents", "gt_is_multi
 
 @query("evaluate", EVAL_CTES + f"""
 SELECT filename, day_id, total_pages, {atext('gt_starts')} AS gt_txt, {atext('model_starts')} AS model_txt,
-  len(gt_starts) AS gt_n_documents, gt_is_multidoc, len(model_starts) AS model_n_documents, exact_match,
+  CAST(len(gt_starts) AS INTEGER) AS gt_n_documents, gt_is_multidoc, CAST(len(model_starts) AS INTEGER) AS model_n_documents,
+  exact_match,
   n_true_positive, n_false_positive, n_false_negative, precision, recall, f1, n_offby1, precision_tol,
   recall_tol, f1_tol, multidoc_correct FROM ev""")
 def q_evaluate(spark, sf_dir):
@@ -184,7 +185,7 @@ def q_batch_list(spark, sf_dir):
 @query("build_ground_truth", f"""WITH c AS (SELECT filename, total_pages,
     list_sort(list_distinct(list_concat([1], list_filter(list_concat(gt_starts, [0, total_pages + 1]),
       lambda x: x >= 1 AND x <= total_pages)))) AS s FROM fx_eval_sets)
-SELECT filename, total_pages, len(s) > 1 AS is_multidoc, {atext('s')} AS starts_txt, len(s) AS n_documents,
+SELECT filename, total_pages, len(s) > 1 AS is_multidoc, {atext('s')} AS starts_txt, CAST(len(s) AS INTEGER) AS n_documents,
   array_to_string(list_transform(generate_series(1, len(s)),
     lambda i: concat(CAST(s[i] AS STRING), '-', CAST(coalesce(s[i + 1] - 1, total_pages) AS STRING))), ';') AS docs_txt,
   1 AS schema_version
@@ -200,7 +201,7 @@ def q_build_ground_truth(spark, sf_dir):
                     "n_documents", docs.alias("docs_txt"), "schema_version")
 
 
-@query("to_documents", """SELECT filename, i AS doc_index, gt_starts[i] AS start,
+@query("to_documents", """SELECT filename, CAST(i AS INTEGER) AS doc_index, gt_starts[i] AS start,
   coalesce(gt_starts[i + 1] - 1, total_pages) AS "end"
 FROM (SELECT filename, total_pages, gt_starts, generate_subscripts(gt_starts, 1) AS i FROM fx_eval_sets) t""")
 def q_to_documents(spark, sf_dir):

@@ -359,7 +359,8 @@ def q_batch_actions(spark, sf_dir):
        WHEN count_if(status = 'error') > 0 THEN 'failed' ELSE 'success' END AS status,
   count(*) AS n_total, CAST(count_if(status = 'parsed') + count_if(status = 'done') AS BIGINT) AS n_success,
   CAST(count_if(status = 'skipped') AS BIGINT) AS n_skipped, CAST(count_if(status = 'error') AS BIGINT) AS n_error,
-  'primary' AS primary_model, 'fallback' AS fallback_model, 30.0 AS duration_min, concat('day_id=', day_id) AS notes
+  'primary' AS primary_model, 'fallback' AS fallback_model, CAST(30.0 AS DOUBLE) AS duration_min,
+  concat('day_id=', day_id) AS notes
 FROM fx_log GROUP BY day_id""")
 def q_run_row(spark, sf_dir):
     from folio.sources.sinks import run_row

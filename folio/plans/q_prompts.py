@@ -40,8 +40,8 @@ def long_pkg(spark, sf_dir):
     return fx.fx_long_pages(spark, sf_dir).groupBy("filename").agg(F.max("total_pages").alias("total_pages"))
 
 
-CHUNK_PLAN_SQL = """plan AS (SELECT filename, total_pages, CAST(s.i - 1 AS INT) AS chunk_idx, s.st AS chunk_start,
-    least(s.st + 49, total_pages) AS chunk_end,
+CHUNK_PLAN_SQL = """plan AS (SELECT filename, total_pages, CAST(s.i - 1 AS INT) AS chunk_idx, CAST(s.st AS INT) AS chunk_start,
+    CAST(least(s.st + 49, total_pages) AS INT) AS chunk_end,
     CASE WHEN least(s.st + 49, total_pages) - s.st <= 30 THEN 'S' WHEN least(s.st + 49, total_pages) - s.st <= 60 THEN 'M'
          ELSE 'L' END AS token_bucket
   FROM (SELECT filename, max(total_pages) AS total_pages FROM fx_long_pages GROUP BY filename) p,

@@ -18,7 +18,7 @@ ORACLE: dict[str, str] = {}
 
 
 def zero_count_if(sql: str) -> str:
-    """Wrap every ``count_if(..)`` of an oracle query in ``coalesce(.., 0)``.
+    """Wrap every ``count_if(..)`` of an oracle query in ``CAST(coalesce(.., 0) AS BIGINT)``.
 
     The oracle engine's ``count_if`` is NULL when the condition is NULL on every
     row of a group; Spark's (and SUM(CASE ..)) is 0, which is what the
@@ -35,7 +35,7 @@ def zero_count_if(sql: str) -> str:
             depth += {"(": 1, ")": -1}.get(sql[k], 0)
             k += 1
         out.append(sql[i:j])
-        out.append(f"coalesce({key}{zero_count_if(sql[j + len(key):k])}, 0)")  # inner part keeps its ')'
+        out.append(f"CAST(coalesce({key}{zero_count_if(sql[j + len(key):k])}, 0) AS BIGINT)")  # inner part keeps its ')'
 
         i = k
 

@@ -48,9 +48,9 @@ w AS (
                        WHEN list_contains(u, gt[i] + 1) THEN gt[i] + 1 END AS hit FROM w WHERE i <= len(gt)) z),
 tol AS (SELECT filename, m AS tp_tol, o AS n_offby1 FROM w WHERE i = len(gt) + 1),
 cnt AS (SELECT mb.*, tol.tp_tol, tol.n_offby1,
-    len(list_filter(p, lambda x: list_contains(g, x))) AS tp,
-    len(list_filter(p, lambda x: NOT list_contains(g, x))) AS fp,
-    len(list_filter(g, lambda x: NOT list_contains(p, x))) AS fn
+    CAST(len(list_filter(p, lambda x: list_contains(g, x))) AS INTEGER) AS tp,
+    CAST(len(list_filter(p, lambda x: NOT list_contains(g, x))) AS INTEGER) AS fp,
+    CAST(len(list_filter(g, lambda x: NOT list_contains(p, x))) AS INTEGER) AS fn
   FROM mb LEFT JOIN tol ON tol.filename = mb.filename),
 met AS (SELECT *,
     CASE WHEN model_starts IS NOT NULL THEN gfull = pfull END AS exact_match,

@@ -56,6 +56,9 @@ def test_query_matches_oracle(spark, duck, sf_small, key):
     rel = duck.sql(E.oracle_sql()[key])
     drows = rel.fetchall()
     assert sorted(sdf.columns) == sorted(rel.columns)
+    from tools.check_oracle import spark_type
+    stypes = {f.name: spark_type(f.dataType) for f in sdf.schema.fields}
+    assert stypes == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert len(srows) == len(drows)
     assert _digest(sdf.columns, srows) == _digest(rel.columns, drows)
 
