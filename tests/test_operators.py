@@ -1,6 +1,5 @@
 """Operator properties checked against brute force on small inputs."""
 
-import os
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
