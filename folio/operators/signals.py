@@ -32,11 +32,16 @@ def _elements(parsed_content: Column) -> Column:
 
 
 def n_pages_expr(parsed_content: Column) -> Column:
-    """INT5: pages = max(first bbox page_id, missing -> 0) + 1; NULL when no elements."""
-    els = _elements(parsed_content)
-    top = F.aggregate(els, F.lit(0), lambda acc, e: F.greatest(
-        acc, F.coalesce(F.get(e["bbox"], 0)["page_id"], F.lit(0))))
-    return F.when(els.isNull() | (F.size(els) == 0), F.lit(None).cast("int")).otherwise(top + 1)
+    """INT5: pages = max(first bbox page_id, missing -> 0) + 1; NULL when no elements.
+
+    One fold over the parsed list (so the JSON is parsed once): it starts at NULL,
+    so a missing or empty list stays NULL.
+    """
+    el_type = PARSED_TREE["document"].dataType["elements"].dataType
+    els = F.coalesce(_elements(parsed_content), F.array().cast(el_type))
+    top = F.aggregate(els, F.lit(None).cast("int"), lambda acc, e: F.greatest(
+        F.coalesce(acc, F.lit(0)), F.coalesce(F.get(e["bbox"], 0)["page_id"], F.lit(0))))
+    return top + 1
 
 
 def parse_elements(parsed: DataFrame, keep: tuple[str, ...] = ("filename",)) -> DataFrame:
