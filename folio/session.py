@@ -58,3 +58,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
+    """Settings sized to the input so tasks stay in memory and the cluster stays busy.
+
+    * file splits of ``target_partition_bytes`` (each scan task reads about that much);
+    * initial shuffle partitions: enough for ``target_partition_bytes`` per partition on
+      the full input and at least 3 waves of tasks, AQE coalescing small ones afterwards;
+    * AQE skew-join splitting for partitions 5x the median and above 4x the target.
+
+    For 100 TB on 1000 executors x 8 cores: 819,200 scan splits, 819,200 initial
+    shuffle partitions (coalesced at run time to about 128 MB each).
+    """
+    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    mb = f"{target_partition_bytes // (1024 * 1024)}m"
+    return {
+        "spark.sql.files.maxPartitionBytes": mb,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": mb,
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * target_partition_bytes // (1024 * 1024)}m",
+    }

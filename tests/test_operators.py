@@ -147,3 +147,10 @@ def test_retyping_helpers(spark):
                                "a string, b string, c string")
     got = [tuple(r) for r in df.select(to_int(F.col("a")), to_float(F.col("b")), to_bool(F.col("c"))).collect()]
     assert got == [(12, 1.5, True), (None, None, False), (None, None, None), (None, 2.0, True)]
+
+
+def test_scale_conf_sizes_partitions_to_input():
+    from folio.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4, 8000)
+    assert c["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // (128 * 1024 ** 2))
+    assert scale_conf(10 * 1024 ** 2, 8)["spark.sql.shuffle.partitions"] == "24"
