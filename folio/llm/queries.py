@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import chat_format, exact_dedup, sharding, url_filter
+from folio.llm import bpe, chat_format, exact_dedup, pii, sharding, url_filter
 from folio.llm.common import scratch, sha256_hex, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,22 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("conv_id", "n_turns", sha256_hex(F.col("turns")).alias("turns_sha256"),
                     F.length("loss").cast("long").alias("loss_chars"), sha256_hex(F.col("loss")).alias("loss_sha256"),
                     "formatted_chars"))
+
+
+@query("op8_pii")
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
+def vocabulary_path() -> str:
+    """The vocabulary that op9 names; other callers pass their own path to ``bpe.load``."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op9_bpe")
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (bpe.encode(docs, bpe.load(vocabulary_path()), digests_only=True)
+            .select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256"))
