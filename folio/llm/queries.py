@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import bpe, chat_format, exact_dedup, pii, sharding, url_filter
+from folio.llm import bpe, chat_format, decontaminate, exact_dedup, pii, sharding, toxicity, url_filter
 from folio.llm.common import scratch, sha256_hex, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,15 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return (bpe.encode(docs, bpe.load(vocabulary_path()), digests_only=True)
             .select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+@query("op1_decontaminate")
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity.fit(docs, labels))
+    return scored.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
