@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import bpe, chat_format, decontaminate, exact_dedup, pii, sharding, toxicity, url_filter
+from folio.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, pii, sharding, toxicity, url_filter
 from folio.llm.common import scratch, sha256_hex, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = toxicity.score(docs.select("doc_id", "text"), toxicity.fit(docs, labels))
     return scored.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op7_jaccard_join")
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(table(spark, sf_dir, "documents"), n=3, least=90)
