@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, pii, sharding, toxicity, url_filter
+from folio.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, pii, sharding, suffix_dedup, toxicity, url_filter
 from folio.llm.common import scratch, sha256_hex, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_jaccard_join")
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.components(table(spark, sf_dir, "documents"), n=3, least=90)
+
+
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
