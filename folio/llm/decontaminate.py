@@ -258,8 +258,8 @@ def find(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose text holds no item.  No row is shuffled."""
-    marked = mark(docs, benchmark, column="__hits", **options)
-    return marked.where(F.size("__hits") == 0).drop("__hits")
+    marked = mark(docs.select(F.struct("*").alias("row"), "text"), benchmark, **options)
+    return marked.where(F.size("hits") == 0).select("row.*")
 
 
 def chunks(texts: list[str | None], size: int = 2_000_000) -> Iterator[list[str | None]]:

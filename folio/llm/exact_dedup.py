@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import WHITE, keep
+from folio.llm.common import WHITE, keep, keep_rows
 
 INDEX_SCHEMA = "digest binary, keep_id long, keep_chars long, group_size long, batch string"
 
@@ -33,7 +33,7 @@ def normalised(text: Column) -> Column:
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.length(body).cast("long").alias("chars"),
-                       F.unhex(F.sha2(normalised(F.col(text)).cast("binary"), 256)).alias("digest"))
+                       F.unhex(F.sha2(normalised(F.col(text)).cast("binary"), 256)).alias("digest"), F.xxhash64(body).alias("text_hash"))
 
 
 class DigestIndex:
@@ -83,16 +83,21 @@ class DigestIndex:
         own = F.col("batch") == F.lit(batch)
         return (keyed.join(index, "digest")
                 .select("doc_id", "keep_id", F.when(own, F.col("group_size")).otherwise(F.lit(None)).alias("group_size"),
-                        (own & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"),
-                        F.lower(F.hex("digest")).alias("text_sha256")))
+                        (own & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("keep_chars"))).alias("kept"),
+                        F.lower(F.hex("digest")).alias("text_sha256"), "text_hash"))
 
 
 def dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """Judge all rows of ``docs`` as one new batch against ``index`` (a new, empty one by
     default).  ``group_size`` counts the batch's rows of that text; it is null for a text that
     an earlier batch brought.  Rows that repeat an id with the same text are all kept or
-    all dropped."""
+    all dropped here; ``drop_copies`` leaves one."""
     index = index or DigestIndex(docs.sparkSession)
     keyed = keep(digests(docs), "digests")
     batch = index.add(keyed)
     return index.judge(keyed, batch)
+
+
+def drop_copies(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    return keep_rows(docs, dedup(docs, index).select("doc_id", "text_hash", F.col("kept").alias("stays")))

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import hash_bitmap, keep, may_contain, ship
+from folio.llm.common import hash_bitmap, keep, keep_rows, may_contain, ship
 from folio.llm.components import connected_components
 
 MAX_KEPT_WORDS = 500_000
@@ -304,23 +304,37 @@ def link_edges(sets: DataFrame, least: int) -> DataFrame:
     return sets.groupBy("region", "cell").applyInPandas(run, "a binary, b binary")
 
 
-def components(docs: DataFrame, n: int = 5, least: int = 80, max_region: int = MAX_REGION, bits: int = FILTER_BITS) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row; links at ``least`` percent of ``n``-word shingles."""
+def grouped(docs: DataFrame, n: int = 5, least: int = 80, max_region: int = MAX_REGION, bits: int = FILTER_BITS) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, first) for every row; links at ``least`` percent of ``n``-word
+    shingles.  ``first``: the row is its component's first one, by id (null last), then by text hash."""
     rows = keep(shingle_sets(docs, n, least), "shingle-sets")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     sets = keep(rows.where("size > 0").groupBy("sid").agg(
-        F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("text_hash").alias("text_hash"),
+        F.min(row).alias("least_row"), F.first("size").alias("size"), F.first("text_hash").alias("text_hash"),
         F.first("shingles").alias("shingles")), "sets")
     edges = region_edges(shared_shingles(sets, least, bits), least)
     regions = connected_components(edges).select(F.col("node").alias("sid"), F.col("label").alias("region"))
     wanted = keep(sets.select("sid", "text_hash").join(regions, "sid"), "wanted")
     whole = keep(full_sets(docs, wanted, n, bits), "full-sets")
     links = connected_components(link_edges(split_regions(whole, least, max_region), least))
-    reps = sets.select("sid", "rep")
-    least_id = (links.select(F.col("node").alias("sid"), "label").join(reps, "sid")
-                .select("sid", "label", "rep"))
-    label_id = least_id.groupBy("label").agg(F.min("rep").alias("component_id"))
-    by_set = least_id.join(label_id, "label").select("sid", "component_id")
-    ids = keep(reps.join(by_set, "sid", "left").select("sid", F.coalesce("component_id", "rep").alias("component_id")), "component-ids")
-    found = rows.select("doc_id", "size", "sid").where("size > 0").join(ids, "sid")
-    empty = rows.where("size = 0").select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return found.select("doc_id", F.col("size").alias("n_shingles"), "component_id").unionByName(empty)
+    own = sets.select("sid", "least_row")
+    linked = links.select(F.col("node").alias("sid"), "label").join(own, "sid")
+    best = linked.groupBy("label").agg(F.min("least_row").alias("best"))
+    by_set = linked.join(best, "label").select("sid", "best")
+    ids = keep(own.join(by_set, "sid", "left").select("sid", F.coalesce("best", "least_row").alias("best")), "components")
+    found = (rows.where("size > 0").select("doc_id", "text_hash", "size", "sid").join(ids, "sid")
+             .select("doc_id", "text_hash", F.col("size").alias("n_shingles"), F.col("best.doc_id").alias("component_id"),
+                     (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))).alias("first")))
+    empty = rows.where("size = 0").select("doc_id", "text_hash", F.col("size").alias("n_shingles"),
+                                          F.col("doc_id").alias("component_id"), F.lit(True).alias("first"))
+    return found.unionByName(empty)
+
+
+def components(docs: DataFrame, n: int = 5, least: int = 80, **options) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row; ``component_id``: the least id reachable by links."""
+    return grouped(docs, n, least, **options).select("doc_id", "n_shingles", "component_id")
+
+
+def drop_near_copies(docs: DataFrame, n: int = 5, least: int = 80, **options) -> DataFrame:
+    """The rows of ``docs`` that are the first of their component, with all their columns."""
+    return keep_rows(docs, grouped(docs, n, least, **options).select("doc_id", "text_hash", F.col("first").alias("stays")))

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from folio.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, pii, sharding, suffix_dedup, toxicity, url_filter
 from folio.llm.common import scratch, sha256_hex, table
 
@@ -78,7 +79,7 @@ ranked AS (
          count(*) OVER (PARTITION BY text_sha256) AS group_size FROM keyed)
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM ranked""")
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.dedup(table(spark, sf_dir, "documents"))
+    return exact_dedup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 #: The conversation that op10 adds, with control strings in both texts.
@@ -156,3 +157,8 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_suffix_dedup")
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -222,3 +222,9 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     others = [c for c in docs.columns if c not in ("score", "predicted")]
     return (docs.select(*[F.col(f"`{c}`") for c in others]).withColumn("score", run(F.col(text)))
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+
+
+def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that the model does not reject, with all their columns."""
+    scored = score(docs.select(F.struct("*").alias("row"), "text"), model)
+    return scored.where("predicted = 0").select("row.*")
