@@ -9,7 +9,7 @@ the only bound here).  Spark joins it to the texts (broadcast of that bounded li
 features by label, keeps the ``n_features`` most telling ones, and brings one short sparse row per
 sampled text to the driver, where the weights are fitted.
 
-Counterfactuals: in each sampled text that names an identity term, the term is swapped for another one of
+Counterfactuals: in each sampled text that names an identity term, the term is swapped for each other one of
 its group, and the squared change of the score's logit is penalised by ``swap_weight``.  So a group's
 mention in neutral text moves the score little, whatever the labels of the texts that name it.
 
@@ -78,15 +78,8 @@ def counts(ws: set[str]) -> Counter:
 
 
 def swaps(ws: set[str], groups) -> list[set[str]]:
-    """The text's word sets with one identity term swapped for the next one of its group that the text lacks."""
-    out = []
-    for group in groups:
-        for i, term in enumerate(group):
-            if term in ws:
-                other = next((t for k in range(1, len(group)) if (t := group[(i + k) % len(group)]) not in ws), None)
-                if other:
-                    out.append(ws - {term} | {other})
-    return out
+    """The text's word sets with one identity term swapped for each other one of its group that the text lacks."""
+    return [ws - {term} | {other} for group in groups for term in group if term in ws for other in group if other not in ws]
 
 
 def is_held_out(key: Column) -> Column:
