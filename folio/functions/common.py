@@ -31,15 +31,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
             .where(F.col("_rn") == 1).drop("_rn"))
 
 
-def safe_div(num: Column, den: Column) -> Column:
-    """``num / den`` as DOUBLE, 0.0 when the denominator is 0 (as the reference does)."""
-    return F.when(den == 0, F.lit(0.0)).otherwise(num.cast("double") / den.cast("double"))
-
-
-def f1(p: Column, r: Column) -> Column:
-    return F.when(p + r == 0, F.lit(0.0)).otherwise(2 * p * r / (p + r))
-
-
 def array_text(arr: Column, sep: str = ",") -> Column:
     """Sorted integer array as text, e.g. ``[1,5,9]`` -> ``'1,5,9'`` (stable to hash)."""
     return F.array_join(F.transform(arr, lambda x: x.cast("string")), sep)

@@ -41,35 +41,7 @@ def units4(x: Column) -> Column:
     return F.round(x * 10000).cast("bigint")
 
 
-def _small_fold(gt: Column, pred: Column) -> Column:
-    """The greedy matching as a direct fold: per ground-truth page, look up g, g-1,
-    g+1 among the unused predictions.  O(|gt| x |model|), cheapest on small sets."""
-    init = F.struct(pred.alias("u"), F.lit(0).alias("m"), F.lit(0).alias("o"))
-
-    def step(acc: Column, g: Column) -> Column:
-        u = acc["u"]
-        hit = (F.when(F.array_contains(u, g), g).when(F.array_contains(u, g - 1), g - 1)
-               .when(F.array_contains(u, g + 1), g + 1))
-        return F.struct(F.when(hit.isNull(), u).otherwise(F.array_remove(u, hit)).alias("u"),
-                        (acc["m"] + F.when(hit.isNull(), 0).otherwise(1)).alias("m"),
-                        (acc["o"] + F.when(hit.isNull() | (hit == g), 0).otherwise(1)).alias("o"))
-
-    r = F.aggregate(gt, init, step)
-    return F.struct(r["m"].alias("m"), r["o"].alias("o"))
-
-
-# Above this many (ground truth x model) pairs a package uses the linear fold.
-SMALL_FOLD_PAIRS = 4096
-
-
 def tolerant_fold(gt: Column, pred: Column) -> Column:
-    """Greedy matching: the direct fold for small sets, the linear fold for large ones
-    (both exact; the choice is per row)."""
-    return F.when(F.size(gt) * F.size(pred) <= SMALL_FOLD_PAIRS, _small_fold(gt, pred)) \
-            .otherwise(_linear_fold(gt, pred))
-
-
-def _linear_fold(gt: Column, pred: Column) -> Column:
     """Greedy one-to-one matching within one page, ground truth ascending.
 
     For each ground-truth page g (ascending) the first unused predicted page
@@ -131,16 +103,13 @@ def with_metrics(df: DataFrame, gt: str, model: str) -> DataFrame:
     g, p = F.array_remove(F.col("_gfull"), 1), F.array_remove(F.col("_pfull"), 1)
     sets = base.select("*", g.alias("_g"), p.alias("_p"))
     g, p = F.col("_g"), F.col("_p")
-    small = F.size(g) * F.size(p) <= SMALL_FOLD_PAIRS
     counted = sets.select(
         "*",
         F.size(F.array_intersect(g, p)).alias("_tp"),
         F.size(F.array_except(p, g)).alias("_fp"),
         F.size(F.array_except(g, p)).alias("_fn"),
-        # each fold only on the rows it is meant for (direct fold for small sets)
-        F.when(small, _small_fold(g, p)).alias("_fold_s"),
-        F.when(~small, _linear_fold(g, p)).alias("_fold_l"),
-    ).withColumn("_fold", F.coalesce("_fold_s", "_fold_l")).drop("_fold_s", "_fold_l")
+        tolerant_fold(g, p).alias("_fold"),
+    )
     tp, fp, fn = F.col("_tp"), F.col("_fp"), F.col("_fn")
     tpt, ng, npred = F.col("_fold.m"), F.size("_g"), F.size("_p")
     gm, pm = F.size("_gfull") > 1, F.size("_pfull") > 1

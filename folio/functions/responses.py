@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 FENCE_RE = r"```(?:json)?\s*"
 FIRST_OBJECT_RE = r"(?s)\{.*?\}"   # non-greedy: a nested object is cut at the inner brace
 ARRAY_RE = r"(?s)\[.*\]"           # greedy: first '[' to last ']'
-CORRECTION_SCHEMA = "array<struct<action:string,from_page:int,to_page:int>>"
+BEYOND = -1
 
 # First three letters of the numeric variant type names (BIGINT, INT, SMALLINT, TINYINT,
 # DECIMAL, DOUBLE, FLOAT).
@@ -30,41 +30,18 @@ def _typed(e: Column) -> Column:
 
 
 def _typed_to_int(t: Column) -> Column:
-    """One typed JSON value -> INT the way int() coerces it; NULL where int() would fail."""
+    """One typed JSON value -> BIGINT the way int() coerces it; NULL where int() would fail.
+
+    A number beyond 18 digits is in no package: it becomes ``BEYOND``, which every page range drops.
+    """
     k, e = t["k"], t["e"]
     num = F.try_variant_get(e, "$", "double")
-    as_num = F.when(F.abs(num) < F.lit(2.0e9), num.cast("int")).otherwise(F.lit(0))  # out of range -> dropped later
-    as_str = F.trim(F.try_variant_get(e, "$", "string")).try_cast("int")
-    as_bool = F.try_variant_get(e, "$", "boolean").cast("int")
+    as_num = F.when(F.abs(num) < F.lit(1.0e18), num.cast("bigint")).otherwise(F.lit(BEYOND))
+    txt = F.trim(F.try_variant_get(e, "$", "string"))
+    as_str = F.when(txt.rlike(r"^[+-]?0*[0-9]{1,18}$"), txt.try_cast("bigint")).when(txt.rlike(r"^[+-]?[0-9]+$"), F.lit(BEYOND))
+    as_bool = F.try_variant_get(e, "$", "boolean").cast("bigint")
     return (F.when(k.isin(*_NUMERIC3), as_num).when(k == "STR", as_str).when(k == "BOO", as_bool)
-            .otherwise(F.lit(None).cast("int")))
-
-
-def _variant_to_int(e: Column) -> Column:
-    return _typed_to_int(_typed(e))
-
-
-def parse_starts(raw: Column, total_pages: Column) -> Column:
-    """PRM7: response text -> sorted boundary set within 1..total_pages, always with 1.
-
-    NULL when there is no ``{..}``, it is not JSON, ``predicted_starts`` is not a
-    list (JSON null included) or an element cannot be read as an integer.  A
-    missing key means ``[1]``.  (A string value is a failure here; the
-    reference would iterate its characters.)
-    """
-    obj = F.regexp_extract(strip_fences(raw), FIRST_OBJECT_RE, 0)
-    v = F.try_parse_json(F.when(obj != "", obj))
-    ps = F.variant_get(v, "$.predicted_starts", "variant")
-    items = F.try_variant_get(ps, "$", "array<variant>")
-    ints = F.transform(items, _variant_to_int)
-    inside = F.filter(ints, lambda x: (x >= 1) & (x <= total_pages))
-    parsed = F.array_sort(F.array_union(F.array(F.lit(1)), inside))
-    one = F.array(F.lit(1))  # missing key -> [1] (page 1 is always added back)
-    return (F.when(v.isNull(), F.lit(None).cast("array<int>"))
-            .when(ps.isNull(), one)
-            .when(~F.schema_of_variant(ps).startswith("ARRAY"), F.lit(None).cast("array<int>"))
-            .when(F.exists(ints, lambda x: x.isNull()), F.lit(None).cast("array<int>"))
-            .otherwise(parsed))
+            .otherwise(F.lit(None).cast("bigint")))
 
 
 def with_parsed_starts(df: DataFrame, raw: str = "raw_response", total: str = "total_pages",
@@ -81,7 +58,7 @@ def with_parsed_starts(df: DataFrame, raw: str = "raw_response", total: str = "t
     # the whole answer.
     fast = F.try_variant_get(F.col("_ps"), "$", "array<bigint>")
     slow = F.transform(F.transform(F.try_variant_get(F.col("_ps"), "$", "array<variant>"), _typed), _typed_to_int)
-    slow = F.when(~F.exists(slow, lambda x: x.isNull()), slow.cast("array<bigint>"))
+    slow = F.when(~F.exists(slow, lambda x: x.isNull()), slow)
     s3 = s2.withColumn("_ints", F.when(F.col("_kind") == "ARRAY<BIGINT>", fast)
                        .when(F.col("_kind").startswith("ARRAY"), slow)).drop("_kind")
     ints = F.col("_ints")
@@ -104,18 +81,26 @@ def apply_corrections(proposed: Column, response: Column, total_pages: Column) -
     """
     start = F.array_sort(F.array_union(F.array(F.lit(1)), F.coalesce(proposed, F.array().cast("array<int>"))))
     arr_txt = F.regexp_extract(strip_fences(response), ARRAY_RE, 0)
-    items = F.from_json(F.when((response.isNotNull()) & (response != "") & (arr_txt != ""), arr_txt),
-                        CORRECTION_SCHEMA)
+    listed = F.try_parse_json(F.when(response.isNotNull() & (arr_txt != ""), arr_txt))
+    items = F.transform(F.try_variant_get(listed, "$", "array<variant>"), lambda e: F.struct(
+        F.lower(F.try_variant_get(e, "$.action", "string")).alias("action"),
+        _page(F.try_variant_get(e, "$.from_page", "variant")).alias("from_page"),
+        _page(F.try_variant_get(e, "$.to_page", "variant")).alias("to_page")))
 
     def step(acc: Column, c: Column) -> Column:
-        action = F.lower(c["action"])
-        frm, to = c["from_page"], c["to_page"]
-        can_drop = frm.isNotNull() & (frm != 0) & (frm != 1)
-        dropped = F.when(can_drop, F.array_remove(acc, frm)).otherwise(acc)
+        action, frm, to = c["action"], c["from_page"], c["to_page"]
+        can_drop = frm.isNotNull() & (frm != 1)
+        dropped = F.when(can_drop, F.filter(acc, lambda x: x != frm)).otherwise(acc)
         can_add = to.isNotNull() & (to >= 1) & (to <= total_pages)
-        moved = F.when(can_add, F.array_union(dropped, F.array(to))).otherwise(dropped)
-        return (F.when(c.isNull(), acc).when(action == "move", moved).when(action == "remove", dropped)
-                .otherwise(acc))
+        moved = F.when(can_add, F.array_union(dropped, F.array(to.cast("int")))).otherwise(dropped)
+        return F.when(action == "move", moved).when(action == "remove", dropped).otherwise(acc)
+
+    none = F.array().cast("array<struct<action:string,from_page:bigint,to_page:bigint>>")
+    return F.array_sort(F.aggregate(F.coalesce(items, none), start, step))
+
 
-    folded = F.aggregate(F.coalesce(items, F.array().cast(CORRECTION_SCHEMA)), start, step)
-    return F.array_sort(folded)
+def _page(v: Column) -> Column:
+    """A correction's page: a whole number, also one written as 3.0; anything else is none."""
+    num = F.try_variant_get(v, "$", "double")
+    kind = F.substring(F.schema_of_variant(v), 1, 3)
+    return F.when(kind.isin(*_NUMERIC3) & (num == F.floor(num)) & (F.abs(num) < F.lit(1.0e9)), num.cast("bigint"))

@@ -35,7 +35,7 @@ def route_delivery(queue: DataFrame, local: DataFrame, remote_folders: DataFrame
     route = (F.when(F.col("out_name").isNull(), F.lit("missing_local"))
              .when(F.col("_remote").isNull(), F.lit("deferred")).otherwise(F.lit("upload")))
     remote_folder = F.concat(F.lit(remote_base.rstrip("/") + "/"), F.col("folder_id"))
-    return j.select(*queue.columns, "out_name", *[c for c in ("local_size",) if c in own.columns],
+    return j.select(*queue.columns, "out_name", *[c for c in ("local_size", "upload_error") if c in own.columns],
                     route.alias("route"), remote_folder.alias("remote_folder"),
                     F.concat(remote_folder, F.lit("/"), F.col("out_name")).alias("remote_path"))
 
@@ -60,12 +60,12 @@ def folder_completeness(tasks: DataFrame) -> DataFrame:
 
 
 def file_outcome(verified: DataFrame, folders: DataFrame) -> DataFrame:
-    """DLV5/DLV6: per package delivered only if every PDF verified in a complete folder;
+    """DLV5/DLV6: per package delivered only if every PDF was uploaded and verified in a complete folder;
     otherwise the reason by precedence upload error > size check > incomplete folder."""
     f = folders.select("folder_id", "complete", "n_missing")
     j = verified.join(f, "folder_id", "left")
-    good = F.col("verified") & F.coalesce(F.col("complete"), F.lit(False))
     upload_err = F.col("upload_error") if "upload_error" in j.columns else F.lit(None).cast("string")
+    good = F.col("verified") & F.coalesce(F.col("complete"), F.lit(False)) & upload_err.isNull()
     agg = j.groupBy(*[c for c in ("day_id", "filename") if c in j.columns]).agg(
         F.count(F.lit(1)).alias("n_expected"), count_if(good).alias("n_ok"),
         F.min_by(upload_err, F.when(upload_err.isNotNull(), F.col("out_name"))).alias("_upload"),
@@ -90,15 +90,22 @@ def apply_delivery(log: DataFrame, outcome: DataFrame, deferred: DataFrame, remo
                    run_id: str | None = None) -> DataFrame:
     """DLV7: in the order the delivery job writes them: deferred (remote folder
     missing) first, then delivered (guarded on status 'done'), then failed with
-    its reason."""
-    df = deferred.select(*KEYS, F.concat(F.lit(f"remote folder missing: {remote_base.rstrip('/')}/"),
-                                         F.col("folder_id")).alias("why"))
-    a = guarded_update(log, df, {"sftp_delivery_status": F.lit("deferred"), "sftp_delivery_error": F.col("u_why")},
-                       run_id=run_id).drop("updated")
-    d = outcome.where(F.col("outcome") == "delivered").select(*KEYS, "remote_folder")
-    b = guarded_update(a, d, {"sftp_delivery_status": F.lit("delivered"), "sftp_delivered_at": at,
-                              "sftp_target_folder": F.col("u_remote_folder"), "sftp_delivery_error": F.lit(None)},
-                       guard=F.col("status") == "done", run_id=run_id).drop("updated")
-    fl = outcome.where(F.col("outcome") == "failed").select(*KEYS, "fail_reason")
-    return guarded_update(b, fl, {"sftp_delivery_status": F.lit("failed"),
-                                  "sftp_delivery_error": F.col("u_fail_reason")}, run_id=run_id)
+    its reason.  The three sets are one update relation with a column each, so the log is
+    joined once; a later set overrules an earlier one."""
+    one = lambda df, kind, value: df.select(*KEYS, F.lit(kind).alias("kind"), value.alias("value"))
+    base = f"remote folder missing: {remote_base.rstrip('/')}/"
+    updates = (one(deferred, "deferred", F.concat(F.lit(base), F.col("folder_id")))
+               .unionByName(one(outcome.where(F.col("outcome") == "delivered"), "delivered", F.col("remote_folder")))
+               .unionByName(one(outcome.where(F.col("outcome") == "failed"), "failed", F.col("fail_reason"))))
+    said = lambda k: F.max(F.when(F.col("kind") == k, F.struct("value"))).alias(k)
+    t = updates.groupBy(*KEYS).agg(said("deferred"), said("delivered"), said("failed"))
+    sent = F.col("u_delivered").isNotNull() & (F.col("status") == "done")
+    state = (F.when(F.col("u_failed").isNotNull(), F.lit("failed")).when(sent, F.lit("delivered"))
+             .when(F.col("u_deferred").isNotNull(), F.lit("deferred")).otherwise(F.col("sftp_delivery_status")))
+    error = (F.when(F.col("u_failed").isNotNull(), F.col("u_failed.value")).when(sent, F.lit(None))
+             .when(F.col("u_deferred").isNotNull(), F.col("u_deferred.value")).otherwise(F.col("sftp_delivery_error")))
+    return guarded_update(log, t, {
+        "sftp_delivery_status": state, "sftp_delivery_error": error,
+        "sftp_delivered_at": F.when(sent, at).otherwise(F.col("sftp_delivered_at")),
+        "sftp_target_folder": F.when(sent, F.col("u_delivered.value")).otherwise(F.col("sftp_target_folder"))},
+        guard=sent | F.col("u_deferred").isNotNull() | F.col("u_failed").isNotNull(), run_id=run_id)

@@ -19,8 +19,8 @@ OVERSIZED_MESSAGE = "File exceeds 100MB limit"
 NULL_PAGES_DETAIL = "n_pages NULL: ai_parse_document returned no positioned elements"
 STEM_RE = r"([^/]+)\.pdf$"
 FOLDER_RE = r"^([A-Za-z0-9]+)_"
-# A batch is split into this many files per sort group when numbering parse chunks.
-FILES_PER_SORT_GROUP = 100_000
+# Hash buckets over which a batch's files are numbered (three hex digits of a name's md5).
+NUMBER_BUCKETS_HEX = 3
 
 
 def path_keys(df: DataFrame, path: str = "path") -> DataFrame:
@@ -60,29 +60,26 @@ def register(inbox: DataFrame, parsed: DataFrame, log: DataFrame, run_id: str |
     return conform(rows, PROCESSING_LOG)
 
 
-def _hex8(c: Column) -> Column:
-    return F.conv(F.substring(F.md5(c), 1, 8), 16, 10).cast("bigint")
-
-
 def parse_queue(inbox: DataFrame, parsed: DataFrame) -> DataFrame:
     """INT7: files still to parse; up to 74 MB in parallel chunks of 100, 74-100 MB one by one.
 
-    Chunks are numbered inside a batch by filename.  A batch with very many files
-    is first cut into sort groups (by a hash of the name) so no single task has
-    to number all of them; each chunk still holds at most 100 files.
+    Files of a batch and queue are numbered from 1 by (hash bucket, filename), whatever their number: the files per
+    bucket are counted, a running count over the 4,096 buckets gives each bucket's first number, and a task
+    only ranks the files of one bucket.
     """
     todo = inbox.where(F.col("length") <= MAX_FILE_SIZE_MB * MB).join(
         parsed.select(*KEYS).distinct(), list(KEYS), "left_anti")
-    per_day = todo.groupBy("day_id").agg(F.count(F.lit(1)).alias("_n"))
-    t = todo.join(per_day, "day_id").withColumn(
-        "sort_group", F.pmod(_hex8(F.col("filename")), F.greatest(F.lit(1), F.ceil(F.col("_n") / FILES_PER_SORT_GROUP))))
     parallel = F.col("length") <= LARGE_FILE_THRESHOLD_MB * MB
-    t = t.withColumn("queue", F.when(parallel, F.lit("parallel")).otherwise(F.lit("sequential")))
-    w = Window.partitionBy("day_id", "sort_group", "queue").orderBy("filename")
-    rn = F.row_number().over(w)
-    return t.select(*[c for c in t.columns if c != "_n"],
-                    F.when(parallel, F.ceil(rn / PARSE_CHUNK_SIZE)).cast("int").alias("chunk"),
-                    F.when(~parallel, rn).cast("int").alias("sequence"))
+    bucket = F.conv(F.substring(F.md5("filename"), 1, NUMBER_BUCKETS_HEX), 16, 10).cast("int")
+    t = todo.withColumn("queue", F.when(parallel, F.lit("parallel")).otherwise(F.lit("sequential"))).withColumn("_b", bucket)
+    per = ["day_id", "queue"]
+    before = Window.partitionBy(*per).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    first = (t.groupBy(*per, "_b").agg(F.count(F.lit(1)).alias("_n"))
+             .select(*per, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first")))
+    n = F.col("_first") + F.row_number().over(Window.partitionBy(*per, "_b").orderBy("filename"))
+    return t.join(first, [*per, "_b"]).select(
+        *todo.columns, "queue", F.when(F.col("queue") == "parallel", F.ceil(n / PARSE_CHUNK_SIZE)).cast("int").alias("chunk"),
+        F.when(F.col("queue") == "sequential", n).cast("int").alias("sequence"))
 
 
 def flag_null_pages(parsed: DataFrame, at: Column, run_id: str | None = None) -> DataFrame:

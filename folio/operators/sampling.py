@@ -68,8 +68,10 @@ def export_predictions(pending: DataFrame, split: DataFrame) -> DataFrame:
                      .alias("needs_review"), "boundary_source", "processing_timestamp")
     j = pending.select(*KEYS).join(p, list(KEYS), "left")
     has = F.col("total_pages").isNotNull() | F.col("predicted_starts").isNotNull()
+    nulls = {"ignoreNullFields": "false"}  # a record always has all its keys
     full = F.to_json(F.struct("filename", "folder_id", "day_id", "total_pages", "n_documents", "predicted_starts",
                               "model_used", "fallback_used", "verification_applied", "needs_review",
-                              "boundary_source", F.col("processing_timestamp").cast("string").alias("processed_at")))
-    stub = F.to_json(F.struct("filename", "day_id", F.lit("not_yet_processed").alias("note")))
+                              "boundary_source", F.col("processing_timestamp").cast("string").alias("processed_at")), nulls)
+    stub = F.to_json(F.struct("filename", "day_id", F.lit("not_yet_processed").alias("note"),
+                              F.lit(None).cast("array<int>").alias("predicted_starts")), nulls)
     return j.select(*KEYS, has.alias("has_prediction"), F.when(has, full).otherwise(stub).alias("record"))

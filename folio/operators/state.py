@@ -3,7 +3,8 @@
 Parquet tables have no MERGE/UPDATE, so an update is a left join of the table
 with the update keys and a ``when(matched & guard, new).otherwise(old)`` per
 column.  Written back with dynamic partition overwrite only the touched
-``day_id`` partitions are rewritten.  Every action also yields its audit events.
+``day_id`` partitions are rewritten: ``sinks.rewrite_batches`` hands an update the rows of the targets' batches
+only (``touched``).  Every action also yields its audit events.
 """
 
 from __future__ import annotations
@@ -22,6 +23,14 @@ LOG_UPDATABLE = ("status", "error_message", "error_stage", "model_used", "n_page
 STRANDED_MESSAGE = "stranded in parsing at end of run — see pipeline_events"
 
 
+def touched(table: DataFrame, targets: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """The rows of the batches that ``targets`` names.  On a table partitioned by ``day_id`` the semi join
+    prunes partitions at run time."""
+    if "day_id" not in keys or "day_id" not in table.columns:
+        return table
+    return table.join(targets.select("day_id").distinct(), "day_id", "left_semi").select(*table.columns)
+
+
 def guarded_update(table: DataFrame, targets: DataFrame, sets: Mapping[str, Column],
                    guard: Column | None = None, keys: Sequence[str] = KEYS,
                    run_id: str | None = None, whitelist: Sequence[str] | None = LOG_UPDATABLE) -> DataFrame:

@@ -214,11 +214,12 @@ def file_detail(status: DataFrame, events: DataFrame, responses: DataFrame | Non
     """AGG13: status row, last events, last responses (text cut to 2000) for one file."""
     key = (F.col("day_id") == day_id) & (F.col("filename") == filename)
     st = status.where(key)
-    ev = events.where(key).orderBy(F.col("event_ts").desc()).limit(n_events)
+    last = lambda df, ts, ids: df.orderBy(F.col(ts).desc(), *[F.col(c).desc() for c in ids if c in df.columns])
+    ev = last(events.where(key), "event_ts", ["event_id"]).limit(n_events)
     rs = None
     if responses is not None:
-        rs = (responses.where(key).withColumn("raw_response", F.left(F.col("raw_response"), F.lit(2000)))
-              .orderBy(F.col("processing_timestamp").desc()).limit(n_responses))
+        rs = (last(responses.where(key), "processing_timestamp", ["raw_response", "stage", "model_used"]).limit(n_responses)
+              .withColumn("raw_response", F.left(F.col("raw_response"), F.lit(2000))))
     return st, ev, rs
 
 

@@ -58,14 +58,16 @@ def fx_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """split_results rows (without the array column)."""
+    """split_results rows (without the array column), one per order.  Some name files that the log does
+    not have, so logged files without a split result come from a join that finds nothing."""
     o = table(spark, sf_dir, "orders")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     source = (F.when(k % 13 == 0, "ultimate_fallback").when(k % 5 == 0, "fallback")
               .when(k % 7 == 0, "chunked").otherwise("primary"))
-    return o.where((k % 16 > 5) | (k % 3 == 0)).select(
+    other = F.when((k % 16 > 5) | (k % 3 == 0), F.lit("")).otherwise(F.lit("_X"))
+    return o.select(
         _day_id(F.col("o_orderdate")).alias("day_id"),
-        _pkg_filename(c).alias("filename"),
+        F.concat(_pkg_filename(c), other).alias("filename"),
         (c - c % 64).cast("string").alias("folder_id"),
         k.alias("split_seq"),
         (1 + k % 60).cast("int").alias("total_pages"),
@@ -176,7 +178,7 @@ def fx_responses_from(o: DataFrame, shift: int = 0) -> DataFrame:
     m8 = (F.col("o_orderkey") + shift) % 8
     raw = (F.when(m8 == 0, F.lit('{"predicted_starts": [1, 3, 9]}'))
            .when(m8 == 1, F.lit('```json\n{"predicted_starts": [9, 3, 3]}\n```'))
-           .when(m8 == 2, F.lit('sure: {"predicted_starts": [2, "5"]} done'))
+           .when(m8 == 2, F.lit('sure: {"predicted_starts": [2, "5", "99999999999", 1e20, 7.9]} done'))
            .when(m8 == 3, F.lit("{bad"))
            .when(m8 == 4, F.lit("{}"))
            .when(m8 == 5, F.lit('{"predicted_starts": null}'))
@@ -225,6 +227,7 @@ def fx_transfer(spark: SparkSession, sf_dir: str, pages: DataFrame | None = None
         (1000 + pn).cast("bigint").alias("local_size"),
         remote.alias("remote_size"),
         (s % 11 != 0).alias("remote_folder_exists"),
+        F.when((pn + s) % 23 == 0, F.concat(F.lit("conn reset "), F.repeat(F.lit("x"), (s % 400).cast("int")))).alias("upload_error"),
     )
 
 

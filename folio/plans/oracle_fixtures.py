@@ -28,12 +28,13 @@ SELECT replace(substr(CAST(o_orderdate AS STRING),1,7),'-','') AS day_id,
 FROM orders""",
     "fx_split": r"""
 SELECT replace(substr(CAST(o_orderdate AS STRING),1,7),'-','') AS day_id,
-  concat(CAST(o_custkey - o_custkey % 64 AS STRING), '_PKG', CAST(o_custkey - o_custkey % 16 AS STRING)) AS filename,
+  concat(CAST(o_custkey - o_custkey % 64 AS STRING), '_PKG', CAST(o_custkey - o_custkey % 16 AS STRING),
+    CASE WHEN o_orderkey % 16 > 5 OR o_orderkey % 3 = 0 THEN '' ELSE '_X' END) AS filename,
   CAST(o_custkey - o_custkey % 64 AS STRING) AS folder_id, o_orderkey AS split_seq, CAST(1 + o_orderkey % 60 AS INT) AS total_pages,
   CAST(1 + o_orderkey % 7 AS INT) AS n_documents, o_orderdate AS processing_timestamp,
   o_orderkey % 13 = 0 AS needs_review,
   CASE WHEN o_orderkey % 13 = 0 THEN 'ultimate_fallback' WHEN o_orderkey % 5 = 0 THEN 'fallback' WHEN o_orderkey % 7 = 0 THEN 'chunked' ELSE 'primary' END AS boundary_source
-FROM orders WHERE o_orderkey % 16 > 5 OR o_orderkey % 3 = 0""",
+FROM orders""",
     "fx_events": r"""
 SELECT CAST(event_id AS STRING) AS event_id, concat('run-', CAST(event_id % 20 AS STRING)) AS run_id,
   concat(CAST(1995 + event_id % 7 AS STRING), lpad(CAST(1 + event_id % 12 AS STRING),2,'0')) AS day_id,
@@ -66,13 +67,13 @@ SELECT concat(CAST(l_suppkey AS STRING),'_LONG') AS filename,
     "fx_responses": r"""
 SELECT concat(CAST(o_orderkey AS STRING),'_ORDER') AS filename, CAST(1 + o_orderkey % 60 AS INT) AS total_pages,
   CASE o_orderkey % 8 WHEN 0 THEN '{"predicted_starts": [1, 3, 9]}' WHEN 1 THEN concat('```json', chr(10), '{"predicted_starts": [9, 3, 3]}', chr(10), '```')
-    WHEN 2 THEN 'sure: {"predicted_starts": [2, "5"]} done' WHEN 3 THEN '{bad' WHEN 4 THEN '{}' WHEN 5 THEN '{"predicted_starts": null}'
+    WHEN 2 THEN 'sure: {"predicted_starts": [2, "5", "99999999999", 1e20, 7.9]} done' WHEN 3 THEN '{bad' WHEN 4 THEN '{}' WHEN 5 THEN '{"predicted_starts": null}'
     WHEN 6 THEN 'no json' END AS raw_response,
   CASE WHEN o_orderkey % 8 = 7 THEN 'timeout' END AS error_message FROM orders""",
     "fx_fallback_responses": r"""
 SELECT concat(CAST(o_orderkey AS STRING),'_ORDER') AS filename, CAST(1 + o_orderkey % 60 AS INT) AS total_pages,
   CASE (o_orderkey + 3) % 8 WHEN 0 THEN '{"predicted_starts": [1, 3, 9]}' WHEN 1 THEN concat('```json', chr(10), '{"predicted_starts": [9, 3, 3]}', chr(10), '```')
-    WHEN 2 THEN 'sure: {"predicted_starts": [2, "5"]} done' WHEN 3 THEN '{bad' WHEN 4 THEN '{}' WHEN 5 THEN '{"predicted_starts": null}'
+    WHEN 2 THEN 'sure: {"predicted_starts": [2, "5", "99999999999", 1e20, 7.9]} done' WHEN 3 THEN '{bad' WHEN 4 THEN '{}' WHEN 5 THEN '{"predicted_starts": null}'
     WHEN 6 THEN 'no json' END AS raw_response,
   CASE WHEN (o_orderkey + 3) % 8 = 7 THEN 'timeout' END AS error_message FROM orders""",
     "fx_manifest": r"""
@@ -86,7 +87,8 @@ WHERE v.volume = 'inbox' OR (v.volume = 'archive' AND k.m = 12)
 SELECT filename, concat(filename,'_',lpad(CAST(page_num AS STRING),3,'0'),'.pdf') AS out_name,
   CAST(l_suppkey AS STRING) AS folder_id, CAST(1000 + page_num AS BIGINT) AS local_size,
   CASE WHEN (page_num + l_suppkey) % 37 = 0 THEN NULL WHEN (page_num + l_suppkey) % 29 = 0 THEN CAST(7 AS BIGINT) ELSE CAST(1000 + page_num AS BIGINT) END AS remote_size,
-  l_suppkey % 11 <> 0 AS remote_folder_exists FROM fx_pages""",
+  l_suppkey % 11 <> 0 AS remote_folder_exists,
+  CASE WHEN (page_num + l_suppkey) % 23 = 0 THEN concat('conn reset ', repeat('x', l_suppkey % 400)) END AS upload_error FROM fx_pages""",
     "fx_eval_sets": r"""
 SELECT g.filename, g.total_pages, g.starts AS gt_starts, m.starts AS model_starts
 FROM (SELECT filename, max(total_pages) AS total_pages, list(page_num ORDER BY page_num) AS starts FROM fx_gt_starts GROUP BY filename) g

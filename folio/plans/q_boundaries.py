@@ -53,7 +53,7 @@ def verify_responses(batch):
             .when(k == 1, F.lit("[]"))
             .when(k == 2, F.concat(F.lit('```json\n[{"action": "move", "from_page": '), p2, F.lit(', "to_page": '),
                                    p2n, F.lit("}]\n```")))
-            .when(k == 3, F.concat(F.lit('[{"action": "remove", "from_page": '), last, F.lit("}]")))
+            .when(k == 3, F.concat(F.lit('[{"action": "remove", "from_page": '), last, F.lit('.0}, 7, null, "x", {"action": "remove", "from_page": "2"}]')))
             .when(k == 4, F.lit("not json"))
             .otherwise(F.concat(F.lit('[{"action": "confirm", "from_page": '), p2,
                                 F.lit('}, {"action": "move", "from_page": 1, "to_page": '),
@@ -66,7 +66,8 @@ VERIFY_RESP_SQL = """vr AS (SELECT *,
   CASE CAST(split_part(filename, '_', 1) AS BIGINT) % 6 WHEN 0 THEN NULL WHEN 1 THEN '[]'
     WHEN 2 THEN concat('```json', chr(10), '[{"action": "move", "from_page": ', CAST(all_proposed[1] AS STRING),
                        ', "to_page": ', CAST(all_proposed[1] + 1 AS STRING), '}]', chr(10), '```')
-    WHEN 3 THEN concat('[{"action": "remove", "from_page": ', CAST(all_proposed[len(all_proposed)] AS STRING), '}]')
+    WHEN 3 THEN concat('[{"action": "remove", "from_page": ', CAST(all_proposed[len(all_proposed)] AS STRING),
+                       '.0}, 7, null, "x", {"action": "remove", "from_page": "2"}]')
     WHEN 4 THEN 'not json'
     ELSE concat('[{"action": "confirm", "from_page": ', CAST(all_proposed[1] AS STRING),
                 '}, {"action": "move", "from_page": 1, "to_page": ', CAST(total_pages AS STRING),
@@ -135,7 +136,6 @@ merged AS (SELECT filename, total_pages,
   list_sort(list_distinct(list_concat([1], list(b)))) AS parsed_starts, 'L' AS token_bucket, 'chunked' AS boundary_source
   FROM (SELECT filename, total_pages, chunk_start, chunk_end, unnest(parsed_starts) AS b FROM cparsed) e
   WHERE b BETWEEN chunk_start AND chunk_end GROUP BY filename, total_pages),
-lpkg AS (SELECT filename, max(total_pages) AS total_pages FROM fx_long_pages GROUP BY filename),
 missing AS (SELECT filename, total_pages, [1] AS parsed_starts, 'L' AS token_bucket, 'ultimate_fallback' AS boundary_source
   FROM lpkg WHERE total_pages > 50 AND filename NOT IN (SELECT filename FROM merged))"""
 
@@ -254,8 +254,10 @@ CORRECT_SQL = f"""{VERIFY_RESP_SQL},
 vr2 AS (SELECT *, regexp_extract(trim(regexp_replace(verify_response, '```(?:json)?\\s*', '', 'g')), '(?s)\\[.*\\]', 0) AS arr_txt
   FROM vr),
 vr3 AS (SELECT *, CASE WHEN verify_response IS NOT NULL AND verify_response <> '' AND arr_txt <> '' AND json_valid(arr_txt)
-    THEN from_json(arr_txt, '[{{"action":"VARCHAR","from_page":"INTEGER","to_page":"INTEGER"}}]') END AS items FROM vr2),
-corr AS (SELECT filename, total_pages, verify_error, list_sort(list_reduce(coalesce(items, []),
+    THEN list_transform(json_extract(arr_txt, '$[*]'), lambda e: {{'action': json_extract_string(e, '$.action'),
+      'from_page': CASE WHEN json_type(e, '$.from_page') IN ('BIGINT', 'UBIGINT', 'DOUBLE') THEN CAST(json_extract_string(e, '$.from_page') AS DOUBLE) END,
+      'to_page': CASE WHEN json_type(e, '$.to_page') IN ('BIGINT', 'UBIGINT', 'DOUBLE') THEN CAST(json_extract_string(e, '$.to_page') AS DOUBLE) END}}) END AS items FROM vr2),
+corr0 AS (SELECT filename, total_pages, verify_error, list_sort(list_reduce(coalesce(items, []),
   lambda acc, c: CASE
     WHEN lower(c.action) = 'move' THEN
       CASE WHEN c.to_page IS NOT NULL AND c.to_page BETWEEN 1 AND total_pages
@@ -266,8 +268,9 @@ corr AS (SELECT filename, total_pages, verify_error, list_sort(list_reduce(coale
     WHEN lower(c.action) = 'remove' AND c.from_page IS NOT NULL AND c.from_page NOT IN (0, 1)
       THEN list_filter(acc, lambda x: x <> c.from_page)
     ELSE acc END,
-  list_sort(list_distinct(list_concat([1], all_proposed))))) AS corrected_starts
-FROM vr3)"""
+  CAST(list_sort(list_distinct(list_concat([1], all_proposed))) AS DOUBLE[]))) AS corrected_raw
+FROM vr3),
+corr AS (SELECT filename, total_pages, verify_error, CAST(corrected_raw AS INTEGER[]) AS corrected_starts FROM corr0)"""
 
 
 def corrected_df(spark, sf_dir):
@@ -312,14 +315,19 @@ def response_log(spark, sf_dir):
     at = F.lit(AS_OF_TEXT).cast("timestamp_ntz")
     prim = primary_df(spark, sf_dir)
     fb = fallback_df(spark, sf_dir, prim)
+    chunks = chunk_responses(PR.chunk_plan(long_pkg(spark, sf_dir))).withColumnRenamed("chunk_starts", "parsed_starts")
     return (PR.log_responses(prim, "primary_pass", "primary", False, "run-1", None, at)
+            .unionByName(PR.log_responses(chunks, "chunk_pass", "chunk", False, "run-1", None, at))
             .unionByName(PR.log_responses(fb.withColumn("token_bucket", PR.token_bucket(F.col("total_pages"))),
                                           "retry_fallback", "fallback", True, "run-1", None, at)))
 
 
 LOG_SQL = f"""{PRIMARY_SQL},
+{CHUNK_MERGE_SQL},
+whence AS (SELECT filename, boundary_source FROM res UNION ALL SELECT filename, boundary_source FROM merged
+  UNION ALL SELECT filename, boundary_source FROM missing),
 rlog AS (SELECT filename, 'primary' AS model_used, false AS is_fallback FROM prim
-  UNION ALL SELECT filename, 'fallback', true FROM fparsed),
+  UNION ALL SELECT filename, 'fallback', true FROM fparsed UNION ALL SELECT filename, 'chunk', false FROM plan),
 minfo AS (SELECT filename, max(is_fallback) AS fallback_used, max(CASE WHEN is_fallback THEN model_used END) AS fallback_model,
   max(CASE WHEN NOT is_fallback THEN model_used END) AS primary_model FROM rlog GROUP BY filename)"""
 
@@ -337,12 +345,12 @@ SELECT fin.filename, pkg.total_pages, array_to_string(fin.predicted_starts, ',')
   true AS verification_applied, TIMESTAMP '{AS_OF_TEXT}' AS processing_timestamp, 'run-1' AS run_id,
   r.boundary_source = 'ultimate_fallback' AS needs_review, r.boundary_source
 FROM fin JOIN pkg ON pkg.filename = fin.filename LEFT JOIN minfo m ON m.filename = fin.filename
-LEFT JOIN res r ON r.filename = fin.filename""")
+LEFT JOIN whence r ON r.filename = fin.filename""")
 def q_split_results(spark, sf_dir):
     final = final_df(spark, sf_dir)
     pkg = pkg_df(spark, sf_dir)
     info = BD.model_info(response_log(spark, sf_dir))
-    source = resolved_single(spark, sf_dir)
+    source = combined_df(spark, sf_dir)
     sr = BD.split_results(final, pkg, info, source, "run-1", None, F.lit(AS_OF_TEXT).cast("timestamp_ntz"))
     return sr.select("filename", "total_pages", array_text(F.col("predicted_starts")).alias("starts_txt"),
                      "n_documents", "model_used", "fallback_used", "verification_applied", "processing_timestamp",

@@ -213,7 +213,7 @@ def transfer_queue(spark, sf_dir):
 TASKS_SQL = f"""q AS (SELECT DISTINCT t.filename, t.folder_id, od.day_id FROM fx_transfer t JOIN {ORDER_DAY_SQL} od
   ON od.filename = t.filename),
 rf AS (SELECT DISTINCT folder_id FROM fx_transfer WHERE remote_folder_exists),
-tasks AS (SELECT q.filename, q.folder_id, q.day_id, l.out_name, l.local_size,
+tasks AS (SELECT q.filename, q.folder_id, q.day_id, l.out_name, l.local_size, l.upload_error,
   CASE WHEN l.out_name IS NULL THEN 'missing_local' WHEN rf.folder_id IS NULL THEN 'deferred' ELSE 'upload' END AS route,
   concat('{REMOTE_BASE}/', q.folder_id) AS remote_folder, concat('{REMOTE_BASE}/', q.folder_id, '/', l.out_name) AS remote_path
   FROM q LEFT JOIN fx_transfer l ON l.folder_id = q.folder_id AND regexp_extract(l.out_name, '^(.*)_\\d{{3,}}\\.pdf$', 1) = q.filename
@@ -228,7 +228,8 @@ ver AS (SELECT tk.*, r.remote_size, r.remote_size IS NOT NULL AND r.remote_size
 fc AS (SELECT folder_id, remote_folder, count(*) AS n_expected, count_if(remote_size IS NOT NULL) AS n_present,
   count(*) - count_if(remote_size IS NOT NULL) AS n_missing, count(*) - count_if(remote_size IS NOT NULL) = 0 AS complete
   FROM ver GROUP BY folder_id, remote_folder),
-fo0 AS (SELECT v.day_id, v.filename, count(*) AS n_expected, count_if(v.verified AND coalesce(fc.complete, false)) AS n_ok,
+fo0 AS (SELECT v.day_id, v.filename, count(*) AS n_expected, count_if(v.verified AND coalesce(fc.complete, false) AND v.upload_error IS NULL) AS n_ok,
+  arg_min(v.upload_error, CASE WHEN v.upload_error IS NOT NULL THEN v.out_name END) AS uerr,
   arg_min(v.issue, CASE WHEN v.issue IS NOT NULL THEN v.out_name END) AS vissue,
   arg_min(concat('folder incomplete: ', v.folder_id, ' missing ', CAST(fc.n_missing AS STRING), ' files'),
           CASE WHEN NOT coalesce(fc.complete, false) THEN v.out_name END) AS fissue,
@@ -236,14 +237,14 @@ fo0 AS (SELECT v.day_id, v.filename, count(*) AS n_expected, count_if(v.verified
   FROM ver v LEFT JOIN fc ON fc.folder_id = v.folder_id GROUP BY v.day_id, v.filename),
 fo AS (SELECT day_id, filename, n_expected, n_ok, remote_folder,
   CASE WHEN n_ok = n_expected THEN 'delivered' ELSE 'failed' END AS outcome,
-  CASE WHEN n_ok <> n_expected THEN coalesce('verify failed: ' || substr(vissue, 1, 300), fissue) END AS fail_reason
+  CASE WHEN n_ok <> n_expected THEN coalesce('upload error: ' || substr(uerr, 1, 300), 'verify failed: ' || substr(vissue, 1, 300), fissue) END AS fail_reason
   FROM fo0)"""
 
 
 def tasks_df(spark, sf_dir):
     t, q = transfer_queue(spark, sf_dir)
     rf = t.where(F.col("remote_folder_exists")).select("folder_id")
-    return DL.route_delivery(q, t.select("folder_id", "out_name", "local_size"), rf, REMOTE_BASE)
+    return DL.route_delivery(q, t.select("folder_id", "out_name", "local_size", "upload_error"), rf, REMOTE_BASE)
 
 
 def verified_df(spark, sf_dir):
@@ -334,22 +335,27 @@ def q_annotation_sample(spark, sf_dir):
 @query("export_predictions", f"""WITH {FILE_STATUS_CTES}, {SAMPLE_SQL},
 pend AS (SELECT * FROM smp s WHERE NOT EXISTS (SELECT 1 FROM fx_manifest g WHERE g.volume = 'ground_truth'
   AND g.day_id = s.day_id AND g.filename = s.filename))
-SELECT p.day_id, p.filename, l.total_pages IS NOT NULL AS has_prediction, CAST(l.n_documents AS VARCHAR) AS n_documents,
-  l.boundary_source, CASE WHEN l.total_pages IS NULL THEN 'not_yet_processed' END AS note
-FROM pend p LEFT JOIN latest l ON l.day_id = p.day_id AND l.filename = p.filename""")
+SELECT p.day_id, p.filename, l.total_pages IS NOT NULL AS has_prediction,
+  CAST(CASE WHEN l.total_pages IS NULL
+       THEN json_object('filename', p.filename, 'day_id', p.day_id, 'note', 'not_yet_processed', 'predicted_starts', NULL)
+       ELSE json_object('filename', p.filename, 'folder_id', l.folder_id, 'day_id', p.day_id, 'total_pages', l.total_pages,
+         'n_documents', l.n_documents, 'predicted_starts', [1, l.n_documents + 1],
+         'model_used', CASE WHEN l.boundary_source <> 'ultimate_fallback' THEN 'model-' || l.boundary_source END,
+         'fallback_used', l.boundary_source = 'fallback', 'verification_applied', true, 'needs_review', l.needs_review,
+         'boundary_source', l.boundary_source, 'processed_at', strftime(l.processing_timestamp, '%Y-%m-%d %H:%M:%S')) END AS VARCHAR) AS record
+FROM pend p LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY day_id, filename
+  ORDER BY processing_timestamp DESC, split_seq DESC) AS nth FROM fx_split) WHERE nth = 1) l
+  ON l.day_id = p.day_id AND l.filename = p.filename""")
 def q_export_predictions(spark, sf_dir):
     man = fx.fx_manifest(spark, sf_dir)
     pend = sample_df(spark, sf_dir).join(man.where(F.col("volume") == "ground_truth").select(*KEYS), list(KEYS),
                                          "left_anti")
-    split = V.latest_split(fx.fx_split(spark, sf_dir))
-    for c, t in (("model_used", "string"), ("fallback_used", "boolean"), ("verification_applied", "boolean"),
-                 ("predicted_starts", "array<int>")):
-        split = split.withColumn(c, F.lit(None).cast(t))
-    ex = SM.export_predictions(pend, split)
-    return ex.select("day_id", "filename", "has_prediction",
-                     F.get_json_object("record", "$.n_documents").alias("n_documents"),
-                     F.get_json_object("record", "$.boundary_source").alias("boundary_source"),
-                     F.get_json_object("record", "$.note").alias("note"))
+    source = F.col("boundary_source")
+    split = V.latest_split(fx.fx_split(spark, sf_dir)).withColumns({
+        "predicted_starts": F.array(F.lit(1), F.col("n_documents") + 1),
+        "model_used": F.when(source != "ultimate_fallback", F.concat(F.lit("model-"), source)),
+        "fallback_used": source == "fallback", "verification_applied": F.lit(True)})
+    return SM.export_predictions(pend, split).select("day_id", "filename", "has_prediction", "record")
 
 
 @query("flow_counters", f"""WITH {FILE_STATUS_CTES},

@@ -14,7 +14,7 @@ from folio.plans.q_views import AS_OF_TEXT, BATCH_STATUS_CTES, FILE_STATUS_CTES,
 from folio.plans.registry import query
 from folio.schemas import PROCESSING_LOG
 
-ROOT = "/Volumes/docs"
+ROOT = "/data/docs"
 
 
 def log_df(spark, sf_dir):
@@ -77,9 +77,11 @@ SELECT day_id, filename, folder_id, file_size_mb, CASE WHEN size_category = 'ove
   CASE WHEN size_category = 'oversized' THEN 'File exceeds 100MB limit' END AS error_message, 0 AS retry_count,
   TIMESTAMP '{AS_OF_TEXT}' AS created_at, 'run-1' AS run_id
 FROM ikeys k WHERE NOT EXISTS (SELECT 1 FROM fx_split s WHERE s.day_id = k.day_id AND s.filename = k.filename)
-  AND NOT EXISTS (SELECT 1 FROM fx_log l WHERE l.day_id = k.day_id AND l.filename = k.filename AND l.retry_count >= 1)""")
+  AND NOT EXISTS (SELECT 1 FROM fx_log l WHERE l.day_id = k.day_id AND CASE WHEN l.retry_count >= 1 THEN l.filename ELSE l.filename || '_0' END = k.filename)""")
 def q_register(spark, sf_dir):
-    log = fx.fx_log(spark, sf_dir).where(F.col("retry_count") >= 1)
+    # files of first attempts are logged under another name, so their registration finds nothing
+    log = fx.fx_log(spark, sf_dir).withColumn("filename", F.when(F.col("retry_count") >= 1, F.col("filename"))
+                                              .otherwise(F.concat("filename", F.lit("_0"))))
     r = IN.register(keyed_inbox(spark, sf_dir), fx.fx_split(spark, sf_dir), log, "run-1", as_of())
     return r.select("day_id", "filename", "folder_id", "file_size_mb", "status", "error_message", "retry_count",
                     "created_at", "run_id")
@@ -88,16 +90,14 @@ def q_register(spark, sf_dir):
 @query("parse_queue", f"""WITH {INBOX_SQL},
 todo AS (SELECT * FROM ikeys k WHERE length <= 100 * 1048576
   AND NOT EXISTS (SELECT 1 FROM fx_split s WHERE s.day_id = k.day_id AND s.filename = k.filename)),
-g AS (SELECT *, CAST('0x' || substr(md5(filename), 1, 8) AS BIGINT) % greatest(1, CAST(ceil(count(*) OVER (PARTITION BY day_id)
-    / 100000.0) AS BIGINT)) AS sort_group,
-  CASE WHEN length <= 74 * 1048576 THEN 'parallel' ELSE 'sequential' END AS queue FROM todo),
-r AS (SELECT *, row_number() OVER (PARTITION BY day_id, sort_group, queue ORDER BY filename) AS rn FROM g)
-SELECT day_id, filename, length, queue, sort_group,
+g AS (SELECT *, CASE WHEN length <= 74 * 1048576 THEN 'parallel' ELSE 'sequential' END AS queue FROM todo),
+r AS (SELECT *, row_number() OVER (PARTITION BY day_id, queue ORDER BY substr(md5(filename), 1, 3), filename) AS rn FROM g)
+SELECT day_id, filename, length, queue,
   CAST(CASE WHEN queue = 'parallel' THEN ceil(rn / 100.0) END AS INTEGER) AS chunk,
   CAST(CASE WHEN queue = 'sequential' THEN rn END AS INTEGER) AS sequence FROM r""")
 def q_parse_queue(spark, sf_dir):
     q = IN.parse_queue(keyed_inbox(spark, sf_dir), fx.fx_split(spark, sf_dir))
-    return q.select("day_id", "filename", "length", "queue", "sort_group", "chunk", "sequence")
+    return q.select("day_id", "filename", "length", "queue", "chunk", "sequence")
 
 
 @query("quarantine_plan", f"""SELECT DISTINCT day_id, filename, concat('{ROOT}/inbox/', day_id, '/', filename, '.pdf') AS src,
@@ -238,7 +238,7 @@ def q_reset_deferred(spark, sf_dir):
     return _upd_out(ST.reset_deferred(log_df(spark, sf_dir), "199806"))
 
 
-@query("mark_parsed", f"""WITH p AS (SELECT day_id, filename, max({{'total_pages'}}) AS n_pages FROM fx_split GROUP BY day_id, filename)
+@query("mark_parsed", f"""WITH p AS (SELECT day_id, filename, max(total_pages) AS n_pages FROM fx_split GROUP BY day_id, filename)
 SELECT l.day_id, l.filename, l.log_seq,
   CASE WHEN p.day_id IS NOT NULL AND l.status IN ('pending', 'parsing') THEN 'parsed' ELSE l.status END AS status,
   l.error_message, l.error_stage, l.retry_count, l.sftp_delivery_status,
@@ -246,7 +246,7 @@ SELECT l.day_id, l.filename, l.log_seq,
   CASE WHEN p.day_id IS NOT NULL AND l.status IN ('pending', 'parsing') THEN TIMESTAMP '{AS_OF_TEXT}' ELSE l.completed_at END
     AS completed_at,
   p.day_id IS NOT NULL AND l.status IN ('pending', 'parsing') AS updated
-FROM fx_log l LEFT JOIN p ON p.day_id = l.day_id AND p.filename = l.filename""".replace("{'total_pages'}", "total_pages"))
+FROM fx_log l LEFT JOIN p ON p.day_id = l.day_id AND p.filename = l.filename""")
 def q_mark_parsed(spark, sf_dir):
     parsed = fx.fx_split(spark, sf_dir).select(*KEYS, F.col("total_pages").alias("n_pages"))
     return _upd_out(ST.mark_parsed(log_df(spark, sf_dir), parsed, "run-1", as_of()))

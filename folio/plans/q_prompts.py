@@ -37,14 +37,19 @@ def q_prompt_plan(spark, sf_dir):
 
 
 def long_pkg(spark, sf_dir):
-    return fx.fx_long_pages(spark, sf_dir).groupBy("filename").agg(F.max("total_pages").alias("total_pages"))
+    """Packages for the chunk path: the long ones, and those of the single-call adapter above its page limit."""
+    over = fx.fx_responses(spark, sf_dir).where(F.col("total_pages") > P.MAX_PAGES_SINGLE_CALL).select("filename", "total_pages")
+    return (fx.fx_long_pages(spark, sf_dir).groupBy("filename").agg(F.max("total_pages").alias("total_pages"))
+            .unionByName(over))
 
 
-CHUNK_PLAN_SQL = """plan AS (SELECT filename, total_pages, CAST(s.i - 1 AS INT) AS chunk_idx, CAST(s.st AS INT) AS chunk_start,
+CHUNK_PLAN_SQL = """lpkg AS (SELECT filename, max(total_pages) AS total_pages FROM fx_long_pages GROUP BY filename
+  UNION ALL SELECT filename, total_pages FROM fx_responses WHERE total_pages > 50),
+plan AS (SELECT filename, total_pages, CAST(s.i - 1 AS INT) AS chunk_idx, CAST(s.st AS INT) AS chunk_start,
     CAST(least(s.st + 49, total_pages) AS INT) AS chunk_end,
     CASE WHEN least(s.st + 49, total_pages) - s.st <= 30 THEN 'S' WHEN least(s.st + 49, total_pages) - s.st <= 60 THEN 'M'
          ELSE 'L' END AS token_bucket
-  FROM (SELECT filename, max(total_pages) AS total_pages FROM fx_long_pages GROUP BY filename) p,
+  FROM lpkg p,
   LATERAL (SELECT unnest(generate_series(1, p.total_pages - 3, 47)) AS st,
                   unnest(generate_series(1, len(generate_series(1, p.total_pages - 3, 47)))) AS i) s
   WHERE p.total_pages > 50)"""
@@ -85,8 +90,9 @@ def parse_sql(src: str, raw: str = "raw_response", prefix: str = "p", out: str =
     list_transform(CASE WHEN json_type(js, '$.predicted_starts') = 'ARRAY'
                         THEN json_extract(js, '$.predicted_starts[*]') END,
       lambda e: CASE WHEN json_type(e) IN ('BIGINT', 'UBIGINT', 'DOUBLE')
-                       THEN CASE WHEN abs(CAST(e AS DOUBLE)) < 2.0e9 THEN CAST(trunc(CAST(e AS DOUBLE)) AS INTEGER) ELSE 0 END
-                     WHEN json_type(e) = 'VARCHAR' THEN TRY_CAST(trim(json_extract_string(e, '$')) AS INTEGER)
+                       THEN CASE WHEN abs(CAST(e AS DOUBLE)) < 1.0e18 THEN CAST(trunc(CAST(e AS DOUBLE)) AS BIGINT) ELSE -1 END
+                     WHEN json_type(e) = 'VARCHAR' AND regexp_matches(trim(json_extract_string(e, '$')), '^[+-]?[0-9]+$')
+                       THEN coalesce(TRY_CAST(trim(json_extract_string(e, '$')) AS BIGINT), -1)
                      WHEN json_type(e) = 'BOOLEAN' THEN CASE WHEN CAST(e AS BOOLEAN) THEN 1 ELSE 0 END END) AS ints
   FROM {prefix}1),
 {out} AS (SELECT * EXCLUDE (obj, js, pst, ints),

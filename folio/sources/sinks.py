@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folio.operators.state import touched
 from folio.schemas import PIPELINE_EVENTS, RUN_HISTORY, conform
 from folio.session import ensure_checkpoint_dir
 
@@ -26,13 +29,24 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str = "day_id") ->
      .partitionBy(partition).parquet(path))
 
 
+def rewrite_batches(path: str, targets: DataFrame, update: Callable[[DataFrame], DataFrame], partition: str = "day_id") -> None:
+    """SNK2: apply an update to the batches that ``targets`` (day_id, ...) names and rewrite those partitions.
+
+    ``update`` gets the stored rows of those batches and returns their new rows; other
+    partitions are neither read (run-time partition pruning) nor written.
+    """
+    stored = targets.sparkSession.read.parquet(path)
+    rows = update(touched(stored, targets))
+    overwrite_partitions(rows.select(*stored.columns), path, partition)
+
+
 def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
     """SNK3: materialise ``df`` in the shared checkpoint folder and read it back.
 
     Used after every model call so a recomputation (task retry, lost executor,
     second action) never calls the model again.  With ``name`` the result is a
-    Parquet table ``<spark.checkpoint.dir>/<name>`` (a fixed path, kept so a failed
-    run can resume from it), else a
+    Parquet table ``<spark.checkpoint.dir>/<name>`` (a fixed path, overwritten by
+    a rerun of the same name), else a
     reliable ``checkpoint()`` in the same folder.  Never a local checkpoint.
     """
     spark = df.sparkSession

@@ -9,6 +9,7 @@ registration, so a restarted or repeated run never registers a file twice.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,19 +21,26 @@ DAY_FROM_PATH = r"/([^/]+)/[^/]+\.pdf$"
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _table_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+def _table_or_empty(spark: SparkSession, path: str, schema, days: DataFrame) -> DataFrame:
+    """The table's rows of the given batches; empty on the first run, when there is no table.  Any other
+    failure to read it is raised: going on without it would register every file again."""
     try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - first run: the table does not exist yet
+        table = spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
+    return table.join(days, "day_id", "left_semi")
 
 
 def register_batch(batch: DataFrame, log_path: str, parsed_path: str, run_id: str | None) -> None:
-    """One micro-batch: keys and size class from the path, then idempotent registration."""
+    """One micro-batch: keys and size class from the path, then idempotent registration
+    against the batches (``day_id``) that its files belong to."""
     spark = batch.sparkSession
     files = classify_size(path_keys(batch)).withColumn("day_id", F.regexp_extract("path", DAY_FROM_PATH, 1))
-    log = _table_or_empty(spark, log_path, PROCESSING_LOG)
-    parsed = _table_or_empty(spark, parsed_path, PARSED_DOCUMENTS)
+    days = files.select("day_id").distinct()
+    log = _table_or_empty(spark, log_path, PROCESSING_LOG, days)
+    parsed = _table_or_empty(spark, parsed_path, PARSED_DOCUMENTS, days)
     rows = register(files, parsed, log, run_id, F.current_timestamp())
     append(rows, log_path, PROCESSING_LOG)
 

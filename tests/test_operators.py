@@ -152,5 +152,6 @@ def test_retyping_helpers(spark):
 def test_scale_conf_sizes_partitions_to_input():
     from folio.session import scale_conf
     c = scale_conf(100 * 1024 ** 4, 8000)
-    assert c["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // (128 * 1024 ** 2))
+    assert c["spark.sql.shuffle.partitions"] == "50000" and c["spark.sql.files.maxPartitionBytes"] == "512m"
+    assert scale_conf(10 * 1024 ** 4, 800)["spark.sql.shuffle.partitions"] == str(10 * 1024 ** 4 // (512 * 1024 ** 2))
     assert scale_conf(10 * 1024 ** 2, 8)["spark.sql.shuffle.partitions"] == "24"

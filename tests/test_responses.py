@@ -10,7 +10,9 @@ PARSE_CASES = [
     ('```json\n{"predicted_starts": [9,3,3]}\n```', [1, 3, 9]), ('{"predicted_starts": [2,"5"]}', [1, 2, 5]),
     ('{"predicted_starts": [0,4,11]}', [1, 4]), ('{"a":{"b":1},"predicted_starts":[4]}', None),
     ('{"predicted_starts": [7.9, true]}', [1, 7]), ('{"predicted_starts": "37"}', None),
-    ('{"predicted_starts": [null]}', None), ('text {"predicted_starts": [3]} more {"x": 1}', [1, 3]),
+    ('{"predicted_starts": [null]}', None), ('{"predicted_starts": [1,"99999999999",3]}', [1, 3]),
+    ('{"predicted_starts": [99999999999999999999999, 4]}', [1, 4]), ('{"predicted_starts": ["3.5"]}', None),
+    ('{"predicted_starts": ["99999999999999999999999999", " +6 "]}', [1, 6]), ('text {"predicted_starts": [3]} more {"x": 1}', [1, 3]),
 ]
 
 
@@ -31,6 +33,8 @@ CORRECTION_CASES = [
     ('[{"action":"move","from_page":9,"to_page":13}]', [1, 5]),
     ('```json\n[{"action":"MOVE","from_page":5,"to_page":4}, {"action":"confirm","from_page":9}]\n```', [1, 4, 9]),
     ('[{"action":"remove","from_page":5}, {"action":"move","from_page":9,"to_page":10}]', [1, 10]),
+    ('[{"action":"remove","from_page":9}, 7]', [1, 5]), ('[null, "x", {"action":"remove","from_page":9.0}]', [1, 5]),
+    ('[{"action":"remove","from_page":"9"}, {"action":"remove","from_page":5}]', [1, 9]),
 ]
 
 
@@ -76,3 +80,12 @@ def test_apply_corrections_random(spark):
     got = {r["i"]: r["x"] for r in df.select("i", apply_corrections(F.col("p"), F.col("r"), F.col("t")).alias("x")).collect()}
     for i in range(len(rows)):
         assert got[i] == want[i], rows[i]
+
+
+def test_fixed_prompt_texts_are_unchanged():
+    import hashlib
+    from folio.functions import prompt_text as P
+    assert hashlib.sha256(P.BOUNDARY_SYSTEM.encode()).hexdigest() == (
+        "b4282329984bcf9b1a604c82cd5cfe0fe76c5f4a1835f5ef286af33630cbdbb6")
+    assert hashlib.sha256(P.VERIFY_SYSTEM.encode()).hexdigest() == (
+        "df78602a10dddd1f0337df64ea5628028085bb742d83cf00c7eaeb0b7750c69f")

@@ -125,3 +125,20 @@ def test_bucketed_state_tables_join_without_shuffle(spark, sf_small):
         assert sorted(map(tuple, st.select(*cols).collect())) == sorted(map(tuple, ref.select(*cols).collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+
+
+def test_rewrite_batches_touches_only_the_targets_partitions(spark, tmp_path):
+    import os
+    from folio.operators import state as ST
+    from folio.sources.sinks import rewrite_batches
+    path = str(tmp_path / "log")
+    rows = [("202401", "a", "error", 0), ("202401", "b", "done", 0), ("202402", "c", "error", 0)]
+    log = spark.createDataFrame(rows, "day_id string, filename string, status string, retry_count int") \
+        .withColumns({c: F.lit(None).cast("string") for c in ("error_message", "error_stage")})
+    log.write.partitionBy("day_id").parquet(path)
+    files = lambda day: sorted(os.listdir(f"{path}/day_id={day}"))
+    before = files("202402")
+    target = spark.createDataFrame([("202401", "a")], "day_id string, filename string")
+    rewrite_batches(path, target, lambda t: ST.retry_parse(t, target))
+    got = {r["filename"]: (r["status"], r["retry_count"]) for r in spark.read.parquet(path).collect()}
+    assert got == {"a": ("pending", 1), "b": ("done", 0), "c": ("error", 0)} and files("202402") == before
