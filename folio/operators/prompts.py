@@ -160,7 +160,7 @@ def invoke(prompts: DataFrame, predictor: Callable[[str, int], str], keys: list[
         try:
             return {"result": predictor(prompt, budget), "errorMessage": None}
         except Exception as ex:  # noqa: BLE001 - failures are data here
-            return {"result": None, "errorMessage": f"{type(ex).__name__}: {ex}"[:2000]}
+            return {"result": None, "errorMessage": f"{type(ex).__name__}: {ex}"}
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from folio.functions.common import KEYS
 from folio.operators import delivery as DL
+from folio.operators import run_events as RE
 from folio.operators import sampling as SM
 from folio.operators import segments as SE
 from folio.operators import views as V
@@ -21,14 +22,25 @@ from folio.operators.state import event_rows
 MISSING_BOTH = "missing from both inbox and archive"
 
 
-def export_stage(split: DataFrame, manifest: DataFrame, day_id: str, sample_pct: float) -> dict[str, DataFrame]:
+def export_stage(split: DataFrame, manifest: DataFrame, day_id: str, sample_pct: float, *, run_id: str | None = None,
+                 at: Column | None = None) -> dict[str, DataFrame]:
     """Check export: the batch's annotation sample and one record per sampled file
-    that has no ground truth yet."""
+    that has no ground truth yet.  Opens the annotation gate (event ``awaiting_annotation``)."""
+    at = at if at is not None else F.current_timestamp()
+    spark = split.sparkSession
     latest = V.latest_split(split.where(F.col("day_id") == day_id))
     sample = SM.annotation_sample(latest, sample_pct)
     gt = manifest.where((F.col("volume") == "ground_truth") & (F.col("day_id") == day_id)).select(*KEYS)
     pending = sample.join(gt, list(KEYS), "left_anti")
-    return {"sample": sample, "records": SM.export_predictions(pending, latest)}
+    n = RE.tally(spark, day_id, n_split=latest, n_sampled=sample, n_pending=pending)
+    status = (F.when(F.col("n_split") == 0, "NO_SPLIT_RESULTS").when(F.col("n_sampled") == 0, "NO_FILES_IN_VALIDATION")
+              .when(F.col("n_pending") == 0, "ALL_ANNOTATED").otherwise("success"))
+    detail = RE.text("n_sampled=", F.col("n_sampled"), " to_annotate=", F.col("n_pending"), " already_annotated=",
+                     F.col("n_sampled") - F.col("n_pending"), f" sample_pct={sample_pct}")
+    events = (RE.run_event(spark, "check_export", "run_started", day_id, at, run_id, F.lit(f"sample_pct={sample_pct}"))
+              .unionByName(RE.counted_event(n.where(status == "success"), "check_export", "awaiting_annotation", at, run_id, detail))
+              .unionByName(RE.counted_event(n, "check_export", "run_completed", at, run_id, detail, status)))
+    return {"sample": sample, "records": SM.export_predictions(pending, latest), "events": events}
 
 
 def deliver_stage(split: DataFrame, log: DataFrame, manifest: DataFrame, day_id: str, *,
@@ -50,9 +62,9 @@ def deliver_stage(split: DataFrame, log: DataFrame, manifest: DataFrame, day_id:
     counts = physical_pages if physical_pages is not None else to_split.select(*KEYS).limit(0).withColumn(
         "n_pages", F.lit(None).cast("int"))
     rec = SE.reconcile_pages(to_split, counts)
-    segs = SE.segments(rec, gt_docs)
-
     arch = SE.archive_outcome(to_split, manifest.where(F.col("day_id") == day_id), root)
+    # a package that is archived already was split by an earlier run; one that is nowhere cannot be
+    segs = SE.segments(rec.join(arch.where(F.col("archive_state") == "moved").select(*KEYS), list(KEYS), "left_semi"), gt_docs)
     ok = (rec.join(arch.where(F.col("archive_state") != "missing").select(*KEYS), list(KEYS))
           .select(*KEYS, F.concat(F.lit(f"{root}/output/"), F.col("day_id"), F.lit("/"), F.col("folder_id"))
                   .alias("output_folder"), F.col("total_pages").alias("n_pages")))
@@ -78,6 +90,20 @@ def deliver_stage(split: DataFrame, log: DataFrame, manifest: DataFrame, day_id:
                                       detail=F.concat(F.lit(f"remote folder missing: {remote_base}/"),
                                                       F.col("folder_id"))))
               .unionByName(event_rows(outcome, "sftp_upload", F.col("event_type"), "pipeline", at, run_id=run_id,
-                                      error_message=F.col("fail_reason"))))
+                                      detail=F.when(F.col("outcome") == "delivered", F.col("remote_folder")),
+                                      error_message=F.col("fail_reason")))
+              .unionByName(event_rows(rec.where("page_count_changed"), "pdf_split", "status_change", "pipeline", at, run_id=run_id,
+                                      detail=RE.text("page count reconciled: pdf=", F.col("total_pages"))))
+              .unionByName(event_rows(arch.where(F.col("archived_path").isNotNull()), "pdf_split", "archived", "pipeline", at,
+                                      run_id=run_id, detail=F.col("archived_path"))))
+    spark = split.sparkSession
+    n = RE.tally(spark, day_id, n_split=to_split, n_lost=err, n_queue=queue, n_tasks=tasks,
+                 n_upload=tasks.where(F.col("route") == "upload"), n_failed=outcome.where(F.col("outcome") == "failed"))
+    split_status = F.when(F.col("n_split") == 0, "NO_FILES_TO_SPLIT").when(F.col("n_lost") > 0, "partial_failure").otherwise("success")
+    sent_status = (F.when(F.col("n_queue") == 0, "NO_FILES_PENDING").when(F.col("n_upload") == 0, "ALL_DEFERRED")
+                   .when(F.col("n_failed") > 0, "partial_failure").otherwise("success"))
+    for stage, detail, status in (("pdf_split", None, split_status), ("sftp_upload", f"remote_base={remote_base}", sent_status)):
+        started = RE.run_event(spark, stage, "run_started", day_id, at, run_id, F.lit(detail))
+        events = events.unionByName(started).unionByName(RE.counted_event(n, stage, "run_completed", at, run_id, None, status))
     return {"candidates": cand, "blocked": blocked, "segments": segs, "archive": arch, "tasks": tasks,
             "verified": verified, "folders": folders, "outcome": outcome, "log": log3, "events": events}

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from folio.functions.common import KEYS
 from folio.operators import intake as IN
+from folio.operators import run_events as RE
 from folio.operators import state as ST
 from folio.operators.signals import n_pages_expr
 from folio.schemas import PARSED_DOCUMENTS, PROCESSING_LOG, conform
@@ -39,7 +40,7 @@ def run_parser(files: DataFrame, parser: Parser, partitions: int | None = None)
                     err.append(None)
                 except Exception as ex:  # noqa: BLE001 - failures are data here
                     out.append(None)
-                    err.append(f"{type(ex).__name__}: {ex}"[:2000])
+                    err.append(f"{type(ex).__name__}: {ex}")
             yield pd.DataFrame({"day_id": pdf["day_id"], "filename": pdf["filename"],
                                 "parsed_content": out, "parse_error": err})
 
@@ -55,20 +56,27 @@ def intake_stage(spark: SparkSession, inbox_root: str, day_id: str, log: DataFra
     """One batch: register new files, parse what is queued, apply the log transitions.
 
     Returns ``new_log_rows`` (append), ``parsed_documents`` (append), ``log``
-    (the batch's log after mark-parsed, parse errors and reconciliation, for a
-    partition rewrite), ``events`` and ``outcome`` (run status counts).
+    (the batch's log after the parsing transition, mark-parsed, parse errors and reconciliation, for a
+    partition rewrite), ``events`` (with the run's own), ``outcome`` (run status counts) and ``quarantine``
+    (files to move away after repeated failures).
     """
     at = at if at is not None else F.current_timestamp()
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", "true") \
         .load(f"{inbox_root.rstrip('/')}/{day_id}")
     listing = IN.classify_size(IN.path_keys(files.select("path", "length"))).withColumn("day_id", F.lit(day_id))
-    day_log = log.where(F.col("day_id") == day_id)
-    new_rows = IN.register(listing, parsed.where(F.col("day_id") == day_id), day_log, run_id, at)
+    day_log, day_parsed = log.where(F.col("day_id") == day_id), parsed.where(F.col("day_id") == day_id)
+    new_rows = IN.register(listing, day_parsed, day_log, run_id, at)
     log1 = day_log.unionByName(conform(new_rows, day_log.schema), allowMissingColumns=True)
 
-    queue = IN.parse_queue(listing, parsed.where(F.col("day_id") == day_id))
-    todo = queue.select(*KEYS).join(
-        IN.path_keys(files.select("path", "content")).withColumn("day_id", F.lit(day_id)), list(KEYS))
+    queue = IN.parse_queue(listing, day_parsed)
+    # 'parsing' from pending and from error: a file that failed before is tried again and counted
+    log1 = ST.guarded_update(log1, queue.select(*KEYS), {
+        "status": F.lit("parsing"), "started_at": at, "error_message": F.lit(None), "error_stage": F.lit(None),
+        "retry_count": F.coalesce("retry_count", F.lit(0)) + (F.col("status") == "error").cast("int")},
+        guard=F.col("status").isin("pending", "error"), run_id=run_id).drop("updated")
+    # the length test reaches the scan, so bytes of oversized files are never read
+    within = files.where(F.col("length") <= IN.MAX_FILE_SIZE_MB * IN.MB).select("path", "content")
+    todo = IN.path_keys(within).withColumn("day_id", F.lit(day_id)).join(queue.select(*KEYS), list(KEYS), "left_semi")
     out = run_parser(todo, parser)
     out = cut_lineage(out, f"{run_id}-{day_id}/parsed") if materialize else out  # never parse twice
     ok = out.where(F.col("parse_error").isNull())
@@ -88,5 +96,19 @@ def intake_stage(spark: SparkSession, inbox_root: str, day_id: str, log: DataFra
               .unionByName(ST.event_rows(errors, "parse", "error", "pipeline", at, run_id=run_id,
                                          error_message=F.col("err"))))
     log4 = ST.reconcile_stuck(log3, run_id, at).drop("updated")
+    poison = IN.quarantine_plan(log4, inbox_root.rstrip("/").rsplit("/", 1)[0])
+    outcome = IN.run_outcome(log4, "parse")
+    n = RE.tally(spark, day_id, n_inbox=listing, n_to_parse=queue, n_new=new_rows,
+                 n_oversized_new=new_rows.where(F.col("status") == "skipped"))
+    done = n.join(outcome.select("day_id", "run_status", "parsed", "errored"), "day_id", "left")
+    status = (F.when(F.col("n_inbox") == 0, "NO_FILES")
+              .when((F.col("n_to_parse") == 0) & (F.col("n_oversized_new") == 0), "ALL_ALREADY_PARSED").otherwise(F.col("run_status")))
+    events = (events
+              .unionByName(RE.run_event(spark, "parse", "run_started", day_id, at, run_id, F.lit(f"inbox={inbox_root}/{day_id}")))
+              .unionByName(RE.counted_event(n, "parse", "registered", at, run_id, RE.text(F.col("n_new"), " files registered")))
+              .unionByName(ST.event_rows(poison, "parse", "quarantined", "pipeline", at, detail=F.col("dst"), run_id=run_id,
+                                         error_message=F.col("reason")))
+              .unionByName(RE.counted_event(done, "parse", "run_completed", at, run_id, RE.text(
+                  "parsed=", F.coalesce("parsed", F.lit(0)), " errored=", F.coalesce("errored", F.lit(0))), status)))
     return {"new_log_rows": new_rows, "parsed_documents": parsed_rows, "log": conform(log4, PROCESSING_LOG),
-            "events": events, "outcome": IN.run_outcome(log4, "parse"), "queue": queue}
+            "events": events, "outcome": outcome, "queue": queue, "quarantine": poison}

@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from folio.functions import prompt_text as P
 from folio.operators import boundaries as BD
 from folio.operators import prompts as PR
+from folio.operators import run_events as RE
 from folio.operators import signals as SG
-from folio.operators.state import event_rows
+from folio.operators.state import event_rows, mark_done
+from folio.session import ship
 from folio.sources.sinks import cut_lineage
 
 Predictor = Callable[[str, int], str]
@@ -28,28 +30,39 @@ def _materialize(df: DataFrame, name: str, on: bool) -> DataFrame:
     return cut_lineage(df, name) if on else df
 
 
-def _call(prompts: DataFrame, fn: Predictor, keys: list[str], name: str, on: bool) -> DataFrame:
-    return _materialize(PR.unpack_response(PR.invoke(prompts, fn, keys)), name, on)
-
-
 def split_stage(parsed: DataFrame, predictor: Predictor, fallback: Predictor | None = None,
-                verifier: Predictor | None = None, *, run_id: str, day_id: str | None = None,
+                verifier: Predictor | None = None, *, run_id: str, day_id: str,
                 primary_model: str = "primary", fallback_model: str = "fallback", at: Column | None = None,
-                materialize: bool = True) -> dict[str, DataFrame]:
+                log: DataFrame | None = None, split: DataFrame | None = None, materialize: bool = True,
+                partitions: int | None = None, concurrency: int = 1) -> dict[str, DataFrame]:
+    """One batch (``day_id``): file names are unique within it, so its stages are keyed by name.
+
+    ``split``: existing split results; their files are not sent to a model again.  ``log``: the
+    processing log; the result's ``log`` is the batch's log with split files marked done.
+    ``partitions`` and ``concurrency`` spread the model calls (see ``prompts.invoke``).
+    """
     at = at if at is not None else F.current_timestamp()
-    tag = f"{run_id}-{day_id or 'all'}"
-    signals = SG.page_signals(SG.parse_elements(parsed), run_id, day_id)
+    tag = f"{run_id}-{day_id}"
+    spark = parsed.sparkSession
+    ship(spark)
+    if "day_id" in parsed.columns:
+        parsed = parsed.where(F.col("day_id") == day_id)
+    if split is not None:
+        parsed = parsed.join(split.where(F.col("day_id") == day_id).select("filename").distinct(), "filename", "left_anti")
+    signals = _materialize(SG.page_signals(SG.parse_elements(parsed), run_id, day_id), f"{tag}/page_signals", materialize)
     pkg = SG.package_summary(signals, parsed.select("filename", "folder_id") if "folder_id" in parsed.columns else None)
     pkg = _materialize(pkg, f"{tag}/package_summaries", materialize)
 
+    def call(prompts: DataFrame, fn: Predictor, keys: list[str], name: str) -> DataFrame:
+        return _materialize(PR.unpack_response(PR.invoke(prompts, fn, keys, partitions=partitions, concurrency=concurrency)),
+                            f"{tag}/{name}", materialize)
+
     # single call: primary, then fallback for failures
     plan = PR.prompt_plan(pkg).withColumn("prompt", PR.primary_prompt(F.col("package_summary")))
-    prim = PR.with_parsed(_call(plan, predictor, ["filename", "total_pages", "token_bucket"], f"{tag}/primary",
-                                materialize))
+    prim = PR.with_parsed(call(plan, predictor, ["filename", "total_pages", "token_bucket"], "primary"))
     _, failures = PR.split_outcomes(prim)
     fb_plan = BD.fallback_prompts(plan, failures)
-    fb = PR.with_parsed(_call(fb_plan, fallback or predictor, ["filename", "total_pages", "token_bucket"],
-                              f"{tag}/fallback", materialize))
+    fb = PR.with_parsed(call(fb_plan, fallback or predictor, ["filename", "total_pages", "token_bucket"], "fallback"))
     single = BD.resolve_single(prim, fb)
 
     # chunked: packages above the single-call limit
@@ -57,8 +70,7 @@ def split_stage(parsed: DataFrame, predictor: Predictor, fallback: Predictor | N
     chunks = chunks.withColumn("prompt", PR.chunk_prompt(F.col("chunk_start"), F.col("chunk_end"),
                                                          F.col("total_pages"), F.col("chunk_summary")))
     chunks = chunks.withColumn("max_tokens", PR.max_tokens(F.col("token_bucket")))
-    cresp = _call(chunks, predictor, ["filename", "total_pages", "chunk_idx", "chunk_start", "chunk_end", "token_bucket"],
-                  f"{tag}/chunks", materialize)
+    cresp = call(chunks, predictor, ["filename", "total_pages", "chunk_idx", "chunk_start", "chunk_end", "token_bucket"], "chunks")
     cparsed = PR.with_parsed(cresp, out="chunk_starts")
     merged = BD.merge_chunks(cparsed)
     large = pkg.where(F.col("total_pages") > P.MAX_PAGES_SINGLE_CALL)
@@ -68,24 +80,37 @@ def split_stage(parsed: DataFrame, predictor: Predictor, fallback: Predictor | N
     batch = BD.with_verify_prompt(BD.verify_batch(BD.verify_windows(BD.proposed(resolved), signals)))
     if verifier is not None:
         vb = batch.withColumn("max_tokens", F.lit(P.TOKENS_VERIFY))
-        vr = _call(vb, verifier, ["filename", "total_pages"], f"{tag}/verify", materialize)
-        vr = vr.select("filename", F.col("raw_response").alias("verify_response"),
+        answers = call(vb, verifier, ["filename", "total_pages"], "verify")
+        vr = answers.select("filename", F.col("raw_response").alias("verify_response"),
                        F.col("error_message").alias("verify_error"))
         corrected = BD.apply_corrections(batch.join(vr, "filename"))
     else:
+        answers = None
         corrected = batch.withColumn("verify_response", F.lit(None).cast("string")) \
                          .withColumn("verify_error", F.lit("no verifier configured"))
         corrected = BD.apply_corrections(corrected)
     final = BD.final_boundaries(corrected, resolved)
 
-    log = (PR.log_responses(prim, "primary_pass", primary_model, False, run_id, day_id, at)
+    responses = (PR.log_responses(prim, "primary_pass", primary_model, False, run_id, day_id, at)
            .unionByName(PR.log_responses(fb, "retry_fallback", fallback_model, True, run_id, day_id, at))
            .unionByName(PR.log_responses(cparsed.withColumnRenamed("chunk_starts", "parsed_starts"), "chunk",
                                          primary_model, False, run_id, day_id, at)))
-    info = BD.model_info(log)
-    split = BD.split_results(final, pkg, info, resolved, run_id, day_id, at)
+    info = BD.model_info(responses)
+    if answers is not None:
+        responses = responses.unionByName(PR.log_responses(answers, "verification", primary_model, False, run_id, day_id, at))
+    results = BD.split_results(final, pkg, info, resolved, run_id, day_id, at)
     review = BD.review_events(resolved)
     events = event_rows(review.withColumn("day_id", F.lit(day_id).cast("string")), "split", "needs_review",
                         "pipeline", at, detail=F.col("detail"), run_id=run_id)
-    return {"page_signals": signals, "package_summaries": pkg, "responses": log, "resolved": resolved,
-            "split_results": split, "events": events}
+    n = RE.tally(spark, day_id, n_to_split=pkg, n_split=final, n_failed=resolved.where(F.col("boundary_source") == "ultimate_fallback"))
+    status = F.when(F.col("n_to_split") == 0, "NO_FILES_TO_SPLIT").when(F.col("n_failed") > 0, "partial_failure").otherwise("success")
+    events = (events.unionByName(RE.run_event(spark, "split", "run_started", day_id, at, run_id))
+              .unionByName(event_rows(n, "split", "status_change", "pipeline", at, detail=RE.text(F.col("n_split"), " files split"),
+                                      run_id=run_id, old_status=F.lit("parsed"), new_status=F.lit("done")))
+              .unionByName(RE.counted_event(n, "split", "run_completed", at, run_id, RE.text("n_results=", F.col("n_split")), status)))
+    out = {"page_signals": signals, "package_summaries": pkg, "responses": responses, "resolved": resolved,
+           "split_results": results, "events": events}
+    if log is not None:
+        named = final.withColumn("day_id", F.lit(day_id))
+        out["log"] = mark_done(log.where(F.col("day_id") == day_id), named, run_id, at).drop("updated")
+    return out
