@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-import re
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
@@ -192,16 +190,18 @@ def rule_boundaries(signals: DataFrame) -> DataFrame:
     A page starts a document when it is page 1, when its page indicator reads
     page 1 of N, or -- unless its indicator says it continues (page N > 1) --
     when the invoice number or the doc reference changes from the previous
-    page, or a form number appears or changes.  The previous page comes from an
-    equi-join on (filename, page_num - 1), which spreads a huge package over
-    many tasks instead of sorting it in one window partition.
+    page, or a form number appears or changes.  Each page is sent to its own number and to
+    the next one, and one aggregation brings a page and the one before together: the
+    signals are computed once and a huge package is spread over many tasks.
     """
-    cur = signals.select("filename", "page_num", "total_pages", "page_indicator", "invoice_number", "doc_ref",
-                         "form_number")
-    prev = signals.select("filename", (F.col("page_num") + 1).alias("page_num"),
-                          F.col("invoice_number").alias("p_inv"), F.col("doc_ref").alias("p_ref"),
-                          F.col("form_number").alias("p_form"))
-    j = cur.join(prev, ["filename", "page_num"], "left")
+    cues = F.struct("page_indicator", "invoice_number", "doc_ref", "form_number", "total_pages")
+    sent = signals.select("filename", F.explode(F.array(
+        F.struct("page_num", cues.alias("own"), F.lit(None).alias("before")),
+        F.struct((F.col("page_num") + 1).alias("page_num"), F.lit(None).alias("own"), cues.alias("before")))).alias("s"))
+    j = (sent.groupBy("filename", F.col("s.page_num").alias("page_num"))
+         .agg(F.max("s.own").alias("own"), F.max("s.before").alias("p")).where(F.col("own").isNotNull())
+         .select("filename", "page_num", "own.*", F.col("p.invoice_number").alias("p_inv"), F.col("p.doc_ref").alias("p_ref"),
+                 F.col("p.form_number").alias("p_form")))
     ind = F.col("page_indicator")
     first_of = ind.rlike(r"^([Pp]age\s+1\s*(/|of)|-\s*1\s*/)")
     cont = ind.rlike(r"^[Pp]age\s+0*([2-9]|[1-9]\d+)\s*(/|of)|^-\s*0*([2-9]|[1-9]\d+)\s*/")
@@ -222,26 +222,3 @@ def starts_per_package(flags: DataFrame) -> DataFrame:
         F.max("total_pages").alias("total_pages"),
         F.array_sort(F.array_union(F.array(F.lit(1)), F.collect_set(F.when(F.col("is_start"), F.col("page_num")))))
         .alias("predicted_starts"))
-
-
-_PAGE_HEAD = re.compile(r"=== PAGE (\d+) ===\n")
-_FIRST_OF = re.compile(r"^([Pp]age\s+1\s*(/|of)|-\s*1\s*/)")
-
-
-def cue_predictor(prompt: str, max_tokens: int | None = None) -> str:
-    """Deterministic stand-in for a hosted model, for tests and dry runs.
-
-    Reads the page blocks of a boundary prompt and answers with the pages whose
-    page indicator reads "page 1 of N" or whose invoice number differs from the
-    previous page's, in the JSON form the prompt asks for.
-    """
-    parts = _PAGE_HEAD.split(prompt)
-    starts, prev_inv = [], None
-    for i in range(1, len(parts) - 1, 2):
-        page, body = int(parts[i]), parts[i + 1]
-        fields = dict(line.split(": ", 1) for line in body.split("\n") if ": " in line)
-        ind, inv = fields.get("page_indicator", ""), fields.get("invoice_number", "")
-        if page == 1 or _FIRST_OF.match(ind) or (inv and prev_inv and inv != prev_inv):
-            starts.append(page)
-        prev_inv = inv or prev_inv
-    return json.dumps({"predicted_starts": starts})

@@ -139,18 +139,21 @@ def _labelled(page_num: Column, text: Column) -> Column:
 
 
 def ordered_text(df: DataFrame, keys: list[str], pos: str, text: str, out: str, sep: str = "\n",
-                 max_cols: tuple[str, ...] = ()) -> DataFrame:
+                 max_cols: tuple[str, ...] = (), positions: str | None = None) -> DataFrame:
     """Join ``text`` per ``keys`` in ``pos`` order, in two steps so no single task
     sorts every piece of a very large group: slabs of ``SUMMARY_SLAB`` positions
-    first, then the slabs in order.  ``max_cols`` are carried along as maxima."""
+    first, then the slabs in order.  ``max_cols`` are carried along as maxima; ``positions`` names a
+    column for the sorted distinct positions."""
     slab = F.floor(F.col(pos) / SUMMARY_SLAB)
     mx = [F.max(c).alias(c) for c in max_cols]
     parts = (df.withColumn("_slab", slab).groupBy(*keys, "_slab")
              .agg(F.concat_ws(sep, F.transform(F.sort_array(F.collect_list(F.struct(F.col(pos), F.col(text)))),
-                                               lambda x: x[text])).alias("_part"), *mx))
+                                               lambda x: x[text])).alias("_part"),
+                  F.collect_set(pos).alias("_at"), *mx))
+    at = [F.array_sort(F.array_distinct(F.flatten(F.collect_list("_at")))).alias(positions)] if positions else []
     return (parts.groupBy(*keys)
             .agg(F.concat_ws(sep, F.transform(F.sort_array(F.collect_list(F.struct("_slab", "_part"))),
-                                              lambda x: x["_part"])).alias(out), *mx))
+                                              lambda x: x["_part"])).alias(out), *at, *mx))
 
 
 def package_summary(signals: DataFrame, folders: DataFrame | None = None) -> DataFrame:

@@ -200,6 +200,17 @@ def search_files(status: DataFrame, day_id: str | None = None, st: str | None =
     return df.orderBy("filename", "day_id").limit(limit)
 
 
+# The order in which each view is listed (SRT3, DLV8).
+LISTED = {"batch_status": ("-day_id",), "stuck_files": ("-day_id", "stuck_reason", "filename"),
+          "delivery_board": ("-day_id", "folder_id"), "needs_review": ("-day_id", "filename"), "deferred_files": ("filename", "day_id")}
+
+
+def in_order(df: DataFrame, view: str) -> DataFrame:
+    """SRT3: a view's rows in its listing order.  Sort only what is shown; with a limit Spark keeps the
+    first rows of each task and never sorts the whole view."""
+    return df.orderBy(*[F.col(c[1:]).desc() if c.startswith("-") else F.col(c) for c in LISTED[view]])
+
+
 def deferred_files(status: DataFrame, day_id: str | None = None) -> DataFrame:
     """DLV8: deferred deliveries for re-delivery."""
     df = status.where(F.col("sftp_delivery_status") == "deferred")

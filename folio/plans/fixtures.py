@@ -264,3 +264,42 @@ def fx_parsed(spark: SparkSession, sf_dir: str, elements: DataFrame | None = Non
             .select("filename", F.concat(F.lit('{"document":{"elements":['),
                                          F.concat_ws(",", F.transform("items", lambda x: x["j"])),
                                          F.lit("]}}")).alias("parsed_content")))
+
+
+DOC_PAGE_CHARS = 600
+
+
+def fx_doc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Real text: one document is one package, cut into pages of 600 characters, with all shapes of
+    page indicators, form and invoice numbers around it."""
+    text = F.coalesce("text", F.lit(""))
+    d = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", text.alias("text"),
+        F.greatest(F.lit(1), F.ceil(F.length(text) / DOC_PAGE_CHARS)).cast("int").alias("n"))
+    p, n = F.col("page_num"), F.col("total_pages")
+    pages = d.select("doc_id", "source", "lang", "text", F.col("n").alias("total_pages"),
+                     F.explode(F.sequence(F.lit(1), F.col("n"))).alias("page_num"))
+    shape = (F.col("doc_id") * 7 + p) % 9
+    head = (F.when(shape == 0, F.concat(F.lit("Page "), p, F.lit(" of "), n, F.lit(" ")))
+            .when(shape == 1, F.concat(F.lit("- "), p, F.lit(" / "), n, F.lit(" - ")))
+            .when(shape == 2, F.lit("Form 3461 "))
+            .when(shape == 3, F.concat(F.lit("Form CBP 7512 invoice no: INV-"), F.col("doc_id") % 50, F.lit(" ")))
+            .when(shape == 4, F.concat(F.lit("INVOICE # A/1."), p, F.lit(" ")))
+            .when(shape == 5, F.concat(F.lit("page "), p, F.lit("/"), n, F.lit("\n"))).otherwise(F.lit("")))
+    tail = F.when(p % 4 == 0, F.concat(F.lit("\nPage "), p, F.lit("/ "), n)).otherwise(F.lit(""))
+    body = F.substring("text", (p - 1) * DOC_PAGE_CHARS + 1, F.lit(DOC_PAGE_CHARS))
+    return pages.select(F.concat(F.col("doc_id").cast("string"), F.lit("_DOC")).alias("filename"), "source", "lang",
+                        "page_num", "total_pages", head.alias("head"), body.alias("body"), tail.alias("tail"))
+
+
+def fx_doc_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One parsed-document JSON text per document, escaped by the JSON writer."""
+    p = F.col("page_num")
+    box = F.array(F.struct((p - 1).alias("page_id"))).alias("bbox")
+    title = F.when(p % 3 == 1, F.struct(
+        (2 * (p - 1)).alias("id"), F.when(p % 2 == 1, F.lit("title")).otherwise(F.lit("sectionHeading")).alias("type"),
+        F.concat(F.lit('Section "'), "source", F.lit('" \\'), "lang").alias("content"), box))
+    text = F.struct((2 * (p - 1) + 1).alias("id"), F.lit("text").alias("type"), F.concat("head", "body", "tail").alias("content"), box)
+    pages = fx_doc_pages(spark, sf_dir).select("filename", F.explode(F.array_compact(F.array(title, text))).alias("e"))
+    els = pages.groupBy("filename").agg(F.sort_array(F.collect_list("e")).alias("elements"))
+    return els.select("filename", F.to_json(F.struct(F.struct("elements").alias("document"))).alias("parsed_content"))

@@ -54,6 +54,19 @@ SELECT filename, page_num, 0 + (page_num - 1) * 2 AS element_id, 'title' AS elem
   concat('Commercial ', l_returnflag, ' Form CBP 7501') AS content FROM fx_pages WHERE l_linestatus = 'O'
 UNION ALL SELECT filename, page_num, 1 + (page_num - 1) * 2, 'text',
   concat('invoice number: INV-', CAST(l_suppkey AS STRING), ' rev ', l_returnflag, ' Page ', CAST(page_num AS STRING), ' of ', CAST(total_pages AS STRING), ' end Page ', CAST(page_num AS STRING), '/', CAST(total_pages AS STRING)) FROM fx_pages""",
+    "fx_doc_elements": r"""
+SELECT filename, page_num, 2 * (page_num - 1) AS element_id, CASE WHEN page_num % 2 = 1 THEN 'title' ELSE 'sectionHeading' END AS element_type,
+  concat('Section "', source, '" \', lang) AS content FROM fx_doc_pages WHERE page_num % 3 = 1
+UNION ALL SELECT filename, page_num, 2 * (page_num - 1) + 1, 'text', concat(head, body, tail) FROM fx_doc_pages""",
+    "fx_doc_pages": r"""
+SELECT concat(d.doc_id, '_DOC') AS filename, d.source, d.lang, CAST(p AS INTEGER) AS page_num, CAST(n AS INTEGER) AS total_pages,
+  substr(text, (p - 1) * 600 + 1, 600) AS body,
+  CASE (d.doc_id * 7 + p) % 9 WHEN 0 THEN concat('Page ', p, ' of ', n, ' ') WHEN 1 THEN concat('- ', p, ' / ', n, ' - ')
+    WHEN 2 THEN 'Form 3461 ' WHEN 3 THEN concat('Form CBP 7512 invoice no: INV-', d.doc_id % 50, ' ')
+    WHEN 4 THEN concat('INVOICE # A/1.', p, ' ') WHEN 5 THEN concat('page ', p, '/', n, chr(10)) ELSE '' END AS head,
+  CASE WHEN p % 4 = 0 THEN concat(chr(10), 'Page ', p, '/ ', n) ELSE '' END AS tail
+FROM (SELECT doc_id, source, lang, coalesce(text, '') AS text, greatest(1, CAST(ceil(length(coalesce(text, '')) / 600.0) AS BIGINT)) AS n
+  FROM documents) d, LATERAL (SELECT unnest(generate_series(1, d.n)) AS p) s""",
     "fx_gt_starts": r"""
 SELECT filename, page_num, total_pages FROM (SELECT filename, page_num, total_pages, l_returnflag,
   lag(l_returnflag) OVER (PARTITION BY filename ORDER BY page_num) AS prev FROM fx_pages) t WHERE page_num = 1 OR l_returnflag <> prev""",

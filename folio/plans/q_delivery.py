@@ -7,17 +7,13 @@ from pyspark.sql import functions as F
 
 from folio.functions.common import KEYS, array_text
 from folio.operators import evaluation as EV
-from folio.operators import boundaries as BD
 from folio.operators import delivery as DL
-from folio.operators import prompts as PR
 from folio.operators import sampling as SM
 from folio.operators import segments as SE
 from folio.operators import views as V
 from folio.plans import fixtures as fx
 from folio.plans.q_evaluation import ORDER_DAY_SQL, order_days
 from folio.plans.q_intake import ROOT, log_df
-from folio.plans.q_prompts import parse_sql, pkg_df
-from folio.plans.q_signals import SIGNALS_CTES
 from folio.plans.q_views import AS_OF_TEXT, FILE_STATUS_CTES, as_of, funnel_df, status_df
 from folio.plans.registry import query
 
@@ -380,30 +376,3 @@ def q_flow_counters(spark, sf_dir):
     vols = V.volume_counts(man)
     gate = EV.gate_state(man.where(F.col("volume") == "validation"), man.where(F.col("volume") == "ground_truth"))
     return V.flow_counters(funnel_df(spark, sf_dir), vols, gate)
-
-
-# ---- end to end ---------------------------------------------------------------------------
-
-
-@query("split_job", f"""WITH {SIGNALS_CTES},
-cue AS (SELECT filename, page_num, total_pages,
-  page_num = 1 OR regexp_matches(page_indicator, '^([Pp]age\\s+1\\s*(/|of)|-\\s*1\\s*/)')
-  OR (invoice_number <> '' AND coalesce(last_value(nullif(invoice_number, '') IGNORE NULLS) OVER (PARTITION BY filename
-      ORDER BY page_num ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') NOT IN ('', invoice_number)) AS is_start
-  FROM sig),
-resp AS (SELECT filename, max(total_pages) AS total_pages, '{{"predicted_starts": [' || string_agg(CAST(page_num AS STRING), ', '
-  ORDER BY page_num) FILTER (WHERE is_start) || ']}}' AS raw_response, CAST(NULL AS VARCHAR) AS error_message
-  FROM cue GROUP BY filename HAVING max(total_pages) <= 50),
-{parse_sql("resp")}
-SELECT filename, array_to_string(CASE WHEN parsed_starts IS NULL THEN [1] ELSE parsed_starts END, ',') AS starts_txt,
-  CAST(len(CASE WHEN parsed_starts IS NULL THEN [1] ELSE parsed_starts END) AS INTEGER) AS n_documents,
-  CASE WHEN parsed_starts IS NULL THEN 'ultimate_fallback' ELSE 'primary' END AS boundary_source FROM parsed""")
-def q_split_job(spark, sf_dir):
-    """Parsed JSON -> signals -> summaries -> prompts -> stand-in model -> parse ->
-    resolution -> final boundaries (no verifier configured: proposals are kept)."""
-    plan = PR.prompt_plan(pkg_df(spark, sf_dir)).withColumn("prompt", PR.primary_prompt(F.col("package_summary")))
-    resp = PR.with_parsed(PR.unpack_response(PR.invoke(plan, PR.cue_predictor, ["filename", "total_pages"])))
-    empty = resp.limit(0).select("filename", "parsed_starts", "error_message")
-    res = BD.resolve_single(resp, empty)
-    return res.select("filename", array_text(F.col("parsed_starts")).alias("starts_txt"),
-                      F.size("parsed_starts").alias("n_documents"), "boundary_source")

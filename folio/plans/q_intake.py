@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from folio.functions.common import KEYS, valid_name
+from folio.functions.common import KEYS, to_bool, to_float, to_int, valid_name
 from folio.operators import evaluation as EV
 from folio.operators import intake as IN
 from folio.operators import state as ST
@@ -13,6 +14,7 @@ from folio.plans import fixtures as fx
 from folio.plans.q_views import AS_OF_TEXT, BATCH_STATUS_CTES, FILE_STATUS_CTES, as_of, status_df
 from folio.plans.registry import query
 from folio.schemas import PROCESSING_LOG
+from folio.sources.files import batch, params_df
 
 ROOT = "/data/docs"
 
@@ -100,6 +102,46 @@ def q_parse_queue(spark, sf_dir):
     return q.select("day_id", "filename", "length", "queue", "chunk", "sequence")
 
 
+@query("flag_null_pages", f"""SELECT day_id, filename, 'parse' AS stage, 'needs_review' AS event_type, '{IN.NULL_PAGES_DETAIL}' AS detail
+FROM fx_split WHERE split_seq % 9 = 0""")
+def q_flag_null_pages(spark, sf_dir):
+    parsed = fx.fx_split(spark, sf_dir).select(*KEYS, F.when(F.col("split_seq") % 9 != 0, F.col("total_pages")).alias("n_pages"))
+    return IN.flag_null_pages(parsed, as_of()).select("day_id", "filename", "stage", "event_type", "detail")
+
+
+@query("batch_scan", "SELECT day_id, filename, log_seq, status FROM fx_log WHERE day_id = '199806'")
+def q_batch_scan(spark, sf_dir):
+    return batch(fx.fx_log(spark, sf_dir), "199806").select("day_id", "filename", "log_seq", "status")
+
+
+@query("params_join", """SELECT l.day_id, l.filename, l.log_seq, p.label FROM fx_log l
+JOIN (VALUES ('error', 'look'), ('deferred''; --', 'none'), ('done', 'fine')) p(status, label) ON p.status = l.status""")
+def q_params_join(spark, sf_dir):
+    rows = [("error", "look"), ("deferred'; --", "none"), ("done", "fine")]
+    names = params_df(spark, rows, T.StructType([T.StructField("status", T.StringType()), T.StructField("label", T.StringType())]))
+    return fx.fx_log(spark, sf_dir).join(names, "status").select("day_id", "filename", "log_seq", "label")
+
+
+@query("typed_casts", """WITH v AS (SELECT o_orderkey AS k, CASE o_orderkey % 6 WHEN 0 THEN ' ' || o_custkey || ' ' WHEN 1 THEN ''
+  WHEN 2 THEN 'x' || o_custkey WHEN 3 THEN CAST(o_totalprice AS VARCHAR) WHEN 4 THEN ' TRUE' END AS txt FROM orders)
+SELECT k, CASE WHEN regexp_full_match(trim(txt), '[0-9]+') THEN CAST(trim(txt) AS INTEGER) END AS as_int,
+  CASE WHEN k % 6 IN (0, 3) THEN CAST(trim(txt) AS DOUBLE) END AS as_float, lower(trim(txt)) = 'true' AS as_bool FROM v""")
+def q_typed_casts(spark, sf_dir):
+    k = F.col("o_orderkey")
+    txt = (F.when(k % 6 == 0, F.concat(F.lit(" "), F.col("o_custkey"), F.lit(" "))).when(k % 6 == 1, F.lit(""))
+           .when(k % 6 == 2, F.concat(F.lit("x"), F.col("o_custkey"))).when(k % 6 == 3, F.format_string("%.2f", F.col("o_totalprice").cast("double")))
+           .when(k % 6 == 4, F.lit(" TRUE")))
+    v = fx.table(spark, sf_dir, "orders").select(k.alias("k"), txt.alias("txt"))
+    return v.select("k", to_int(F.col("txt")).alias("as_int"), to_float(F.col("txt")).alias("as_float"), to_bool(F.col("txt")).alias("as_bool"))
+
+
+@query("retry_split_artifacts", f"""WITH {FILE_STATUS_CTES},
+t AS (SELECT DISTINCT day_id, filename FROM fs WHERE status = 'error' AND error_stage = 'pdf_split')
+SELECT s.day_id, s.filename, s.split_seq FROM fx_split s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.day_id = s.day_id AND t.filename = s.filename)""")
+def q_retry_split_artifacts(spark, sf_dir):
+    return ST.drop_artifacts(fx.fx_split(spark, sf_dir), _eligible(spark, sf_dir, "retry-split")).select("day_id", "filename", "split_seq")
+
+
 @query("quarantine_plan", f"""SELECT DISTINCT day_id, filename, concat('{ROOT}/inbox/', day_id, '/', filename, '.pdf') AS src,
   concat('{ROOT}/quarantine/', day_id, '/', filename, '.pdf') AS dst, 'parse failed after 2 retries' AS reason
 FROM fx_log WHERE status = 'error' AND error_stage = 'parsing' AND retry_count >= 2""")

@@ -170,18 +170,3 @@ SELECT filename, total_pages, array_to_string(predicted_starts, ',') AS starts_t
 def q_rule_boundaries(spark, sf_dir):
     s = PR.starts_per_package(PR.rule_boundaries(signals_df(spark, sf_dir)))
     return s.select("filename", "total_pages", array_text(F.col("predicted_starts")).alias("starts_txt"))
-
-
-@query("invoke", f"""WITH {SIGNALS_CTES},
-cue AS (SELECT filename, page_num, total_pages,
-  page_num = 1 OR regexp_matches(page_indicator, '^([Pp]age\\s+1\\s*(/|of)|-\\s*1\\s*/)')
-  OR (invoice_number <> '' AND coalesce(last_value(nullif(invoice_number, '') IGNORE NULLS) OVER (PARTITION BY filename
-      ORDER BY page_num ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') NOT IN ('', invoice_number)) AS is_start
-  FROM sig)
-SELECT filename, '{{"predicted_starts": [' || string_agg(CAST(page_num AS STRING), ', ' ORDER BY page_num)
-  FILTER (WHERE is_start) || ']}}' AS raw_response, CAST(NULL AS VARCHAR) AS error_message
-FROM cue WHERE total_pages <= 50 GROUP BY filename""")
-def q_invoke(spark, sf_dir):
-    plan = PR.prompt_plan(pkg_df(spark, sf_dir)).withColumn("prompt", PR.primary_prompt(F.col("package_summary")))
-    out = PR.invoke(plan, PR.cue_predictor, ["filename"])
-    return PR.unpack_response(out)

@@ -70,5 +70,5 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     # Importing the modules registers their queries.
-    from folio.plans import (q_boundaries, q_delivery, q_evaluation, q_intake,  # noqa: F401
+    from folio.plans import (q_boundaries, q_delivery, q_documents, q_evaluation, q_intake,  # noqa: F401
                              q_prompts, q_signals, q_views)

@@ -2,22 +2,32 @@
 
 from pyspark.sql import functions as F
 
-import __spark_entry__ as E
-from folio.functions.common import array_text
 from folio.operators import prompts as PR
 from folio.plans import fixtures as fx
 from folio.plans.split_job import split_stage
+import stand_in
+from pyspark import cloudpickle
+from stand_in import cue_predictor
 
+cloudpickle.register_pickle_by_value(stand_in)  # workers need not find this folder
+
+
+def test_split_stage_returns_the_model_s_answer_for_every_package(spark, sf_small):
+    import json
+
+    from folio.operators import signals as SG
 
-def test_split_stage_matches_single_call_query(spark, sf_small):
     parsed = fx.fx_parsed(spark, sf_small)
-    out = split_stage(parsed, PR.cue_predictor, verifier=lambda p, t: "[]", run_id="t1", day_id="202401")
+    out = split_stage(parsed, cue_predictor, verifier=lambda p, t: "[]", run_id="t1", day_id="202401")
     sr = out["split_results"]
     assert sr.count() == parsed.count() == sr.select("filename").distinct().count()
-    got = {r["filename"]: r["s"] for r in sr.select("filename", array_text(F.col("predicted_starts")).alias("s")).collect()}
-    want = {r["filename"]: r["starts_txt"] for r in E.queries()["split_job"](spark, sf_small).collect()}
+    got = {r["filename"]: r["predicted_starts"] for r in sr.select("filename", "predicted_starts").collect()}
+    pkg = SG.package_summary(SG.page_signals(SG.parse_elements(parsed)))
+    want = {r["filename"]: json.loads(cue_predictor(r["package_summary"]))["predicted_starts"] for r in pkg.collect()}
     assert got == want
     assert sr.where(F.col("boundary_source") != "primary").count() == 0
+    stages = {r["stage"] for r in out["responses"].select("stage").distinct().collect()}
+    assert stages == {"primary_pass", "verification"}
 
 
 def test_failures_fall_back_then_need_review(spark, sf_small):
@@ -26,7 +36,7 @@ def test_failures_fall_back_then_need_review(spark, sf_small):
     def flaky(prompt, max_tokens):
         if "=== PAGE 3 ===" in prompt:
             raise TimeoutError("model timeout")
-        return PR.cue_predictor(prompt, max_tokens)
+        return cue_predictor(prompt, max_tokens)
 
     def broken(prompt, max_tokens):
         return "no json here"
