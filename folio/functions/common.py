@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 KEYS = ("day_id", "filename")
 
 
+def pkg_keys(*frames: DataFrame) -> list[str]:
+    """The package key that all frames carry: (day_id, filename), or filename within one batch."""
+    return [c for c in KEYS if c == "filename" or all(c in f.columns for f in frames)]
+
+
 def count_if(cond: Column) -> Column:
     """``SUM(CASE WHEN cond THEN 1 ELSE 0 END)`` as BIGINT (0 on an empty group)."""
     return F.coalesce(F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))), F.lit(0)).cast("bigint")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions import metrics as M
-from folio.functions.common import count_if
+from folio.functions.common import count_if, pkg_keys
 
 METRIC_NAMES = ("exact_match", "n_true_positive", "n_false_positive", "n_false_negative", "precision",
                 "recall", "f1", "n_offby1", "tp_tol", "precision_tol", "recall_tol", "f1_tol",
@@ -38,16 +40,16 @@ def build_ground_truth(df: DataFrame, starts: str = "gt_starts") -> DataFrame:
     )
 
 
-def evaluate(gt: DataFrame, prediction: DataFrame, keys=("filename",)) -> DataFrame:
+def evaluate(gt: DataFrame, prediction: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """EVL5: ground truth left-joined with the (latest) prediction, plus metrics.
 
     ``gt`` has keys, total_pages, gt_starts[, is_multidoc]; ``prediction`` has
-    keys, model_starts[, model_used].  Rows without a prediction keep NULL metrics.
+    keys, model_starts[, model_used]; the keys default to the package key that both carry.  Rows without a prediction keep NULL metrics.
     """
     g = gt
     if "is_multidoc" not in g.columns:
         g = g.withColumn("is_multidoc", F.size(M.normalize(F.col("gt_starts"))) > 1)
-    j = g.join(prediction, list(keys), "left")
+    j = g.join(prediction, list(keys or pkg_keys(g, prediction)), "left")
     # gt_is_multidoc is the annotator's flag, present with or without a prediction.
     ev = boundary_metrics(j).drop("gt_is_multidoc").withColumnRenamed("is_multidoc", "gt_is_multidoc")
     return ev.withColumn("gt_n_documents", F.size("gt_starts")) \

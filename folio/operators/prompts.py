@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folio.functions import prompt_text as P
+from folio.functions.common import pkg_keys
 from folio.functions.responses import with_parsed_starts
 from folio.operators.signals import ordered_text
 from folio.schemas import LLM_RESPONSES, conform
@@ -73,7 +74,7 @@ def chunk_text(pages: DataFrame) -> DataFrame:
     pc = page_chunks(pages)
     tail = F.when(F.col("page_num") < F.col("total_pages"), F.lit("\n")).otherwise(F.lit(""))
     blk = F.concat(F.lit("=== PAGE "), F.col("page_num").cast("string"), F.lit(" ===\n"), F.col("page_block"), tail)
-    return ordered_text(pc.withColumn("_blk", blk), ["filename", "chunk_idx"], "page_num", "_blk", "chunk_summary")
+    return ordered_text(pc.withColumn("_blk", blk), [*pkg_keys(pc), "chunk_idx"], "page_num", "_blk", "chunk_summary")
 
 
 def primary_prompt(summary: Column) -> Column:
@@ -131,7 +132,8 @@ def log_responses(df: DataFrame, stage: str, model: str, is_fallback: bool, run_
         (F.col("parsed_starts") if "parsed_starts" in df.columns else F.lit(None).cast("array<int>")).alias("parsed_starts"),
         F.lit(is_fallback).alias("is_fallback"),
         (at if at is not None else F.current_timestamp()).alias("processing_timestamp"),
-        F.lit(run_id).cast("string").alias("run_id"), F.lit(day_id).cast("string").alias("day_id"))
+        F.lit(run_id).cast("string").alias("run_id"),
+        (F.col("day_id") if "day_id" in df.columns else F.lit(day_id).cast("string")).alias("day_id"))
     return conform(out, LLM_RESPONSES)
 
 
@@ -195,12 +197,13 @@ def rule_boundaries(signals: DataFrame) -> DataFrame:
     signals are computed once and a huge package is spread over many tasks.
     """
     cues = F.struct("page_indicator", "invoice_number", "doc_ref", "form_number", "total_pages")
-    sent = signals.select("filename", F.explode(F.array(
+    keys = pkg_keys(signals)
+    sent = signals.select(*keys, F.explode(F.array(
         F.struct("page_num", cues.alias("own"), F.lit(None).alias("before")),
         F.struct((F.col("page_num") + 1).alias("page_num"), F.lit(None).alias("own"), cues.alias("before")))).alias("s"))
-    j = (sent.groupBy("filename", F.col("s.page_num").alias("page_num"))
+    j = (sent.groupBy(*keys, F.col("s.page_num").alias("page_num"))
          .agg(F.max("s.own").alias("own"), F.max("s.before").alias("p")).where(F.col("own").isNotNull())
-         .select("filename", "page_num", "own.*", F.col("p.invoice_number").alias("p_inv"), F.col("p.doc_ref").alias("p_ref"),
+         .select(*keys, "page_num", "own.*", F.col("p.invoice_number").alias("p_inv"), F.col("p.doc_ref").alias("p_ref"),
                  F.col("p.form_number").alias("p_form")))
     ind = F.col("page_indicator")
     first_of = ind.rlike(r"^([Pp]age\s+1\s*(/|of)|-\s*1\s*/)")
@@ -213,12 +216,12 @@ def rule_boundaries(signals: DataFrame) -> DataFrame:
     form_new = (F.col("form_number") != "") & (F.col("form_number") != F.coalesce(F.col("p_form"), F.lit("")))
     change = changed("invoice_number", "p_inv") | changed("doc_ref", "p_ref") | form_new
     start = (F.col("page_num") == 1) | first_of | (~cont & change)
-    return j.select("filename", "page_num", "total_pages", start.alias("is_start"))
+    return j.select(*keys, "page_num", "total_pages", start.alias("is_start"))
 
 
 def starts_per_package(flags: DataFrame) -> DataFrame:
     """Boundary set per package from per-page start flags (page 1 always included)."""
-    return flags.groupBy("filename").agg(
+    return flags.groupBy(*pkg_keys(flags)).agg(
         F.max("total_pages").alias("total_pages"),
         F.array_sort(F.array_union(F.array(F.lit(1)), F.collect_set(F.when(F.col("is_start"), F.col("page_num")))))
         .alias("predicted_starts"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folio.functions.common import pkg_keys
 from folio.schemas import PARSED_TREE
 
 # Signal patterns and slice lengths of the page signals.
@@ -44,13 +45,14 @@ def n_pages_expr(parsed_content: Column) -> Column:
     return top + 1
 
 
-def parse_elements(parsed: DataFrame, keep: tuple[str, ...] = ("filename",)) -> DataFrame:
+def parse_elements(parsed: DataFrame, keep: tuple[str, ...] | None = None) -> DataFrame:
     """SRC3 / SIG1: one row per element with a page; elements without a bbox page are dropped.
 
     Each row also carries its package's page total (SIG4: the highest element
     page), read from the package's own JSON row, so signals need no extra
     aggregation and join for it.
     """
+    keep = keep or tuple(pkg_keys(parsed))
     tree = parsed.select(*keep, _elements(F.col("parsed_content")).alias("_els"))  # parse once
     els = F.col("_els")
     pages = F.transform(els, lambda x: F.get(x["bbox"], 0)["page_id"] + 1)
@@ -65,7 +67,7 @@ def parse_elements(parsed: DataFrame, keep: tuple[str, ...] = ("filename",)) ->
 
 def page_text(elements: DataFrame) -> DataFrame:
     """SIG2: contents of a page joined by ' ' in element order."""
-    return elements.groupBy("filename", "page_num").agg(
+    return elements.groupBy(*pkg_keys(elements), "page_num").agg(
         F.concat_ws(" ", F.transform(F.sort_array(F.collect_list(F.struct("element_id", "content"))),
                                      lambda x: x["content"])).alias("full_text"))
 
@@ -76,20 +78,20 @@ def _is_heading() -> Column:
 
 def first_heading(elements: DataFrame) -> DataFrame:
     """SIG3: lowest-id title/sectionHeading with element_id <= 3, per page."""
-    return (elements.where(_is_heading()).groupBy("filename", "page_num")
+    return (elements.where(_is_heading()).groupBy(*pkg_keys(elements), "page_num")
             .agg(F.min_by("content", "element_id").alias("first_element")))
 
 
 def total_pages(elements: DataFrame) -> DataFrame:
     """SIG4: package page total = highest page number."""
-    return elements.groupBy("filename").agg(F.max("page_num").alias("total_pages"))
+    return elements.groupBy(*pkg_keys(elements)).agg(F.max("page_num").alias("total_pages"))
 
 
 def _pages(elements: DataFrame) -> DataFrame:
     """Page text and first heading in one aggregation per (filename, page)."""
     head = _is_heading()
     extra = [F.max("total_pages").alias("total_pages")] if "total_pages" in elements.columns else []
-    return elements.groupBy("filename", "page_num").agg(*extra,
+    return elements.groupBy(*pkg_keys(elements), "page_num").agg(*extra,
         F.concat_ws(" ", F.transform(F.sort_array(F.collect_list(F.struct("element_id", "content"))),
                                      lambda x: x["content"])).alias("full_text"),
         F.min_by(F.when(head, F.col("content")), F.when(head, F.col("element_id"))).alias("first_element"))
@@ -105,10 +107,10 @@ def page_signals(elements: DataFrame, run_id: str | None = None, day_id: str | N
     """
     pages = _pages(elements)
     if "total_pages" not in pages.columns:
-        pages = pages.join(total_pages(elements), "filename")
+        pages = pages.join(total_pages(elements), pkg_keys(elements))
     t = F.col("full_text")
     sig = pages.select(
-        "filename", "page_num", "total_pages",
+        *pkg_keys(pages), "page_num", "total_pages",
         F.coalesce(F.col("first_element"), F.lit("")).alias("first_element"),
         F.left(t, F.lit(HEADER_LEN)).alias("header"),
         F.left(t, F.lit(BLOCK_HEADER_LEN)).alias("_header150"),
@@ -131,7 +133,8 @@ def page_signals(elements: DataFrame, run_id: str | None = None, day_id: str | N
         F.lit("text_start: "), F.col("text_start"), F.lit("\n"),
         F.lit("text_end: "), F.col("text_end"))
     out = sig.withColumn("page_block", block).drop("_header150")
-    return out.withColumn("run_id", F.lit(run_id).cast("string")).withColumn("day_id", F.lit(day_id).cast("string"))
+    out = out.withColumn("run_id", F.lit(run_id).cast("string"))
+    return out if day_id is None or "day_id" in out.columns else out.withColumn("day_id", F.lit(day_id))
 
 
 def _labelled(page_num: Column, text: Column) -> Column:
@@ -158,11 +161,13 @@ def ordered_text(df: DataFrame, keys: list[str], pos: str, text: str, out: str,
 
 def package_summary(signals: DataFrame, folders: DataFrame | None = None) -> DataFrame:
     """SIG13: one text per package, page blocks in page order under ``=== PAGE n ===``."""
-    labelled = signals.select("filename", "page_num", "total_pages",
+    keys = pkg_keys(signals)
+    labelled = signals.select(*keys, "page_num", "total_pages",
                               _labelled(F.col("page_num"), F.col("page_block")).alias("_blk"))
-    out = ordered_text(labelled, ["filename"], "page_num", "_blk", "package_summary", max_cols=("total_pages",))
+    out = ordered_text(labelled, keys, "page_num", "_blk", "package_summary", max_cols=("total_pages",))
     if folders is not None:
-        out = out.join(folders.select("filename", "folder_id"), "filename")
+        by = pkg_keys(out, folders)
+        out = out.join(folders.select(*by, "folder_id"), by)
     return out
 
 

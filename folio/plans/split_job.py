@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions import prompt_text as P
+from folio.functions.common import pkg_keys
 from folio.operators import boundaries as BD
 from folio.operators import prompts as PR
 from folio.operators import run_events as RE
@@ -35,7 +36,7 @@ def split_stage(parsed: DataFrame, predictor: Predictor, fallback: Predictor | N
                 primary_model: str = "primary", fallback_model: str = "fallback", at: Column | None = None,
                 log: DataFrame | None = None, split: DataFrame | None = None, materialize: bool = True,
                 partitions: int | None = None, concurrency: int = 1) -> dict[str, DataFrame]:
-    """One batch (``day_id``): file names are unique within it, so its stages are keyed by name.
+    """One batch (``day_id``): its files are those of ``parsed`` with that day, or all where it has no day.
 
     ``split``: existing split results; their files are not sent to a model again.  ``log``: the
     processing log; the result's ``log`` is the batch's log with split files marked done.
@@ -50,8 +51,9 @@ def split_stage(parsed: DataFrame, predictor: Predictor, fallback: Predictor | N
     if split is not None:
         parsed = parsed.join(split.where(F.col("day_id") == day_id).select("filename").distinct(), "filename", "left_anti")
     signals = _materialize(SG.page_signals(SG.parse_elements(parsed), run_id, day_id), f"{tag}/page_signals", materialize)
-    pkg = SG.package_summary(signals, parsed.select("filename", "folder_id") if "folder_id" in parsed.columns else None)
+    pkg = SG.package_summary(signals, parsed.select(*pkg_keys(parsed), "folder_id") if "folder_id" in parsed.columns else None)
     pkg = _materialize(pkg, f"{tag}/package_summaries", materialize)
+    keys = pkg_keys(signals, pkg)
 
     def call(prompts: DataFrame, fn: Predictor, keys: list[str], name: str) -> DataFrame:
         return _materialize(PR.unpack_response(PR.invoke(prompts, fn, keys, partitions=partitions, concurrency=concurrency)),
@@ -59,18 +61,18 @@ def split_stage(parsed: DataFrame, predictor: Predictor, fallback: Predictor | N
 
     # single call: primary, then fallback for failures
     plan = PR.prompt_plan(pkg).withColumn("prompt", PR.primary_prompt(F.col("package_summary")))
-    prim = PR.with_parsed(call(plan, predictor, ["filename", "total_pages", "token_bucket"], "primary"))
+    prim = PR.with_parsed(call(plan, predictor, [*keys, "total_pages", "token_bucket"], "primary"))
     _, failures = PR.split_outcomes(prim)
     fb_plan = BD.fallback_prompts(plan, failures)
-    fb = PR.with_parsed(call(fb_plan, fallback or predictor, ["filename", "total_pages", "token_bucket"], "fallback"))
+    fb = PR.with_parsed(call(fb_plan, fallback or predictor, [*keys, "total_pages", "token_bucket"], "fallback"))
     single = BD.resolve_single(prim, fb)
 
     # chunked: packages above the single-call limit
-    chunks = PR.chunk_plan(pkg.select("filename", "total_pages")).join(PR.chunk_text(signals), ["filename", "chunk_idx"])
+    chunks = PR.chunk_plan(pkg.select(*keys, "total_pages")).join(PR.chunk_text(signals), [*keys, "chunk_idx"])
     chunks = chunks.withColumn("prompt", PR.chunk_prompt(F.col("chunk_start"), F.col("chunk_end"),
                                                          F.col("total_pages"), F.col("chunk_summary")))
     chunks = chunks.withColumn("max_tokens", PR.max_tokens(F.col("token_bucket")))
-    cresp = call(chunks, predictor, ["filename", "total_pages", "chunk_idx", "chunk_start", "chunk_end", "token_bucket"], "chunks")
+    cresp = call(chunks, predictor, [*keys, "total_pages", "chunk_idx", "chunk_start", "chunk_end", "token_bucket"], "chunks")
     cparsed = PR.with_parsed(cresp, out="chunk_starts")
     merged = BD.merge_chunks(cparsed)
     large = pkg.where(F.col("total_pages") > P.MAX_PAGES_SINGLE_CALL)
@@ -80,10 +82,10 @@ def split_stage(parsed: DataFrame, predictor: Predictor, fallback: Predictor | N
     batch = BD.with_verify_prompt(BD.verify_batch(BD.verify_windows(BD.proposed(resolved), signals)))
     if verifier is not None:
         vb = batch.withColumn("max_tokens", F.lit(P.TOKENS_VERIFY))
-        answers = call(vb, verifier, ["filename", "total_pages"], "verify")
-        vr = answers.select("filename", F.col("raw_response").alias("verify_response"),
+        answers = call(vb, verifier, [*keys, "total_pages"], "verify")
+        vr = answers.select(*keys, F.col("raw_response").alias("verify_response"),
                        F.col("error_message").alias("verify_error"))
-        corrected = BD.apply_corrections(batch.join(vr, "filename"))
+        corrected = BD.apply_corrections(batch.join(vr, keys))
     else:
         answers = None
         corrected = batch.withColumn("verify_response", F.lit(None).cast("string")) \
@@ -95,12 +97,12 @@ def split_stage(parsed: DataFrame, predictor: Predictor, fallback: Predictor | N
            .unionByName(PR.log_responses(fb, "retry_fallback", fallback_model, True, run_id, day_id, at))
            .unionByName(PR.log_responses(cparsed.withColumnRenamed("chunk_starts", "parsed_starts"), "chunk",
                                          primary_model, False, run_id, day_id, at)))
-    info = BD.model_info(responses)
+    info = BD.model_info(responses, keys)
     if answers is not None:
         responses = responses.unionByName(PR.log_responses(answers, "verification", primary_model, False, run_id, day_id, at))
     results = BD.split_results(final, pkg, info, resolved, run_id, day_id, at)
     review = BD.review_events(resolved)
-    events = event_rows(review.withColumn("day_id", F.lit(day_id).cast("string")), "split", "needs_review",
+    events = event_rows(review.withColumn("day_id", F.lit(day_id)), "split", "needs_review",
                         "pipeline", at, detail=F.col("detail"), run_id=run_id)
     n = RE.tally(spark, day_id, n_to_split=pkg, n_split=final, n_failed=resolved.where(F.col("boundary_source") == "ultimate_fallback"))
     status = F.when(F.col("n_to_split") == 0, "NO_FILES_TO_SPLIT").when(F.col("n_failed") > 0, "partial_failure").otherwise("success")
@@ -111,6 +113,6 @@ def split_stage(parsed: DataFrame, predictor: Predictor, fallback: Predictor | N
     out = {"page_signals": signals, "package_summaries": pkg, "responses": responses, "resolved": resolved,
            "split_results": results, "events": events}
     if log is not None:
-        named = final.withColumn("day_id", F.lit(day_id))
+        named = final if "day_id" in final.columns else final.withColumn("day_id", F.lit(day_id))
         out["log"] = mark_done(log.where(F.col("day_id") == day_id), named, run_id, at).drop("updated")
     return out

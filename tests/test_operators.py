@@ -155,3 +155,41 @@ def test_scale_conf_sizes_partitions_to_input():
     assert c["spark.sql.shuffle.partitions"] == "50000" and c["spark.sql.files.maxPartitionBytes"] == "512m"
     assert scale_conf(10 * 1024 ** 4, 800)["spark.sql.shuffle.partitions"] == str(10 * 1024 ** 4 // (512 * 1024 ** 2))
     assert scale_conf(10 * 1024 ** 2, 8)["spark.sql.shuffle.partitions"] == "24"
+
+
+def test_same_file_names_in_two_batches_stay_apart(spark, sf_small):
+    """Every step keyed on (day_id, filename) gives each batch what it gives that batch alone."""
+    from folio.functions.common import KEYS
+    from folio.operators import boundaries as BD
+    from folio.operators import evaluation as EV
+    from folio.operators import prompts as PR
+    from folio.operators import signals as SG
+    from folio.plans import fixtures as fx
+
+    docs = fx.fx_doc_parsed(spark, sf_small)
+    key = F.split("filename", "_")[0].cast("int")
+    renamed = docs.where(key < 60).withColumn("day_id", F.when(key < 30, "202401").otherwise("202402")) \
+        .withColumn("filename", F.concat((key % 30).cast("string"), F.lit("_F")))
+    both = renamed
+
+    def steps(parsed):
+        signals = SG.page_signals(SG.parse_elements(parsed))
+        rules = PR.starts_per_package(PR.rule_boundaries(signals))
+        summary = SG.package_summary(signals)
+        raw = F.concat(F.lit('{"predicted_starts": ['), F.array_join(F.transform("predicted_starts", lambda x: x.cast("string")), ","), F.lit("]}"))
+        answers = PR.with_parsed(rules.select(*[c for c in KEYS if c in rules.columns], "total_pages", raw.alias("raw_response"),
+                                              F.lit(None).cast("string").alias("error_message"), F.lit("S").alias("token_bucket")))
+        resolved = BD.resolve_single(answers, answers.where("false"))
+        batch = BD.verify_batch(BD.verify_windows(BD.proposed(resolved), signals))
+        final = BD.final_boundaries(BD.apply_corrections(batch.withColumn("verify_response", F.lit("[]")).withColumn(
+            "verify_error", F.lit(None).cast("string"))), resolved)
+        ev = EV.evaluate(rules.withColumnRenamed("predicted_starts", "gt_starts"), final.withColumnRenamed("predicted_starts", "model_starts"))
+        return signals, summary, batch, final, ev
+
+    out = steps(both)
+    for day in ("202401", "202402"):
+        alone = steps(both.where(F.col("day_id") == day).drop("day_id"))
+        for a, b in zip(out, alone):
+            cols = sorted(c for c in b.columns if c != "run_id")
+            got = sorted(map(repr, a.where(F.col("day_id") == day).select(cols).collect()))
+            assert got == sorted(map(repr, b.select(cols).collect())) and got
