@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions import metrics as M
-from folio.functions.common import count_if, pkg_keys
+from folio.functions.common import KEYS, count_if, pkg_keys
+from folio.operators.views import latest_split
+from folio.schemas import EVALUATION_RESULTS, conform
 
 METRIC_NAMES = ("exact_match", "n_true_positive", "n_false_positive", "n_false_negative", "precision",
                 "recall", "f1", "n_offby1", "tp_tol", "precision_tol", "recall_tol", "f1_tol",
@@ -56,6 +58,14 @@ def evaluate(gt: DataFrame, prediction: DataFrame, keys: Sequence[str] | None =
              .withColumn("model_n_documents", F.size("model_starts"))
 
 
+def evaluation_rows(gt: DataFrame, split: DataFrame, at: Column) -> DataFrame:
+    """EVL5: rows in the evaluation table's layout, from annotated payloads (day_id, filename, folder_id, total_pages,
+    predicted_starts, is_multidoc, annotator) and split results (the latest prediction per file)."""
+    model = latest_split(split).select(*KEYS, F.col("predicted_starts").alias("model_starts"), "model_used")
+    human = gt.select(*KEYS, "folder_id", "total_pages", F.col("predicted_starts").alias("gt_starts"), "is_multidoc", "annotator")
+    return conform(evaluate(human, model, KEYS).withColumn("annotated_at", at), EVALUATION_RESULTS)
+
+
 def _stats_aggs():
     with_model = F.col("model_starts").isNotNull() & F.col("exact_match").isNotNull()
     n = F.count(F.lit(1))

@@ -88,29 +88,32 @@ def flag_null_pages(parsed: DataFrame, at: Column, run_id: str | None = None) ->
                       detail=F.lit(NULL_PAGES_DETAIL), run_id=run_id)
 
 
-def quarantine_plan(log: DataFrame, root: str = "") -> DataFrame:
-    """INT9: repeat parse failures to move out of the inbox."""
-    q = log.where((F.col("status") == "error") & (F.col("error_stage") == "parsing")
-                  & (F.col("retry_count") >= MAX_RETRIES)).select(*KEYS).distinct()
-    return disposition_rows(q, root, "inbox", "quarantine", F.lit(f"parse failed after {MAX_RETRIES} retries"))
+def _moves(log: DataFrame, root: str, rules: list[tuple[Column, str, str]]) -> DataFrame:
+    """One scan of the log: per file the moves whose condition holds (condition, target, reason)."""
+    said = F.array_compact(F.array(*[F.when(c, F.struct(F.lit(dst).alias("to"), F.lit(why).alias("reason"))) for c, dst, why in rules]))
+    moves = log.select(*KEYS, F.explode(said).alias("m")).distinct()
+    path = lambda vol: F.concat(F.lit(f"{root}/"), vol, F.lit("/"), F.col("day_id"), F.lit("/"), F.col("filename"), F.lit(".pdf"))
+    return moves.select(*KEYS, path(F.lit("inbox")).alias("src"), path(F.col("m.to")).alias("dst"), F.col("m.reason").alias("reason"))
+
+
+def _poison() -> Column:
+    return (F.col("status") == "error") & (F.col("error_stage") == "parsing") & (F.col("retry_count") >= MAX_RETRIES)
 
 
-def disposition_rows(df: DataFrame, root: str, src_vol: str, dst_vol: str, reason: Column) -> DataFrame:
-    def path(vol: str) -> Column:
-        return F.concat(F.lit(f"{root}/{vol}/"), F.col("day_id"), F.lit("/"), F.col("filename"), F.lit(".pdf"))
+QUARANTINE_REASON = f"parse failed after {MAX_RETRIES} retries"
 
-    return df.select(*KEYS, path(src_vol).alias("src"), path(dst_vol).alias("dst"), reason.alias("reason"))
+
+def quarantine_plan(log: DataFrame, root: str = "") -> DataFrame:
+    """INT9: repeat parse failures to move out of the inbox."""
+    return _moves(log, root, [(_poison(), "quarantine", QUARANTINE_REASON)])
 
 
 def disposition_plan(log: DataFrame, root: str = "") -> DataFrame:
     """INT12: file moves as a table (src, dst, reason): oversized, quarantined, delivered
     packages to archive.  The copies themselves are done outside Spark."""
-    over = log.where((F.col("status") == "skipped")).select(*KEYS).distinct()
-    arch = log.where((F.col("status") == "done") & F.col("sftp_delivery_status").isin("pending", "delivered")) \
-              .select(*KEYS).distinct()
-    return (disposition_rows(over, root, "inbox", "oversized", F.lit("oversized"))
-            .unionByName(quarantine_plan(log, root))
-            .unionByName(disposition_rows(arch, root, "inbox", "archive", F.lit("split"))))
+    split = (F.col("status") == "done") & F.col("sftp_delivery_status").isin("pending", "delivered")
+    return _moves(log, root, [(F.col("status") == "skipped", "oversized", "oversized"),
+                              (_poison(), "quarantine", QUARANTINE_REASON), (split, "archive", "split")])
 
 
 def reconcile_events(log: DataFrame, at: Column, run_id: str | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions.common import KEYS
-from folio.functions.metrics import canonical_starts
+from folio.functions.metrics import canonical_starts, to_documents
 from folio.operators.state import event_rows, guarded_update
 
 # Event detail of a blocked package, output name pattern.
@@ -51,28 +51,22 @@ def segments(cand: DataFrame, gt_docs: DataFrame | None = None, keys=KEYS) -> Da
 
     Ground truth, where present, wins: its documents are used with the end
     clipped to the package and documents starting past the end dropped.  Else
-    the model starts: each document runs to the page before the next start.
+    the model starts: each document runs to the page before the next start.  One left join
+    and one explode of whichever list applies.
     """
     keys = [k for k in keys if k in cand.columns]
-    model = cand.select(*keys, "total_pages", F.posexplode("predicted_starts").alias("i", "s"),
-                        "predicted_starts")
-    model = model.select(*keys, "total_pages", "i", (F.col("s") - 1).alias("from_page"),
-                         F.coalesce(F.get("predicted_starts", F.col("i") + 1) - 2, F.col("total_pages") - 1)
-                         .alias("to_page"), F.lit("model").alias("split_source"))
-    out = model
+    j = cand.select(*keys, "total_pages", to_documents(F.col("predicted_starts"), F.col("total_pages")).alias("_model"))
     if gt_docs is not None:
-        gk = gt_docs.select(*keys).distinct()
-        model = model.join(gk, keys, "left_anti")
-        g = gt_docs.join(cand.select(*keys, "total_pages"), keys)
-        g = g.select(*keys, "total_pages", F.posexplode("documents").alias("i", "d"))
-        g = g.where(F.col("d.start") <= F.col("total_pages")).select(
-            *keys, "total_pages", "i", (F.col("d.start") - 1).alias("from_page"),
-            (F.least(F.col("d.end"), F.col("total_pages")) - 1).alias("to_page"),
-            F.lit("ground_truth").alias("split_source"))
-        out = model.unionByName(g)
-    return out.select(*keys, (F.col("i") + 1).cast("int").alias("doc_index"), "from_page", "to_page",
-                      F.format_string(OUT_NAME_FMT, F.col("filename"), F.col("i") + 1).alias("out_name"),
-                      "split_source")
+        j = j.join(gt_docs.select(*keys, F.col("documents").alias("_human")), keys, "left")
+    else:
+        j = j.withColumn("_human", F.lit(None).cast(j.schema["_model"].dataType))
+    pair = lambda a: F.transform(a, lambda d: F.struct(d["start"].cast("int").alias("start"), d["end"].cast("int").alias("end")))
+    docs = j.select(*keys, "total_pages", F.when(F.col("_human").isNotNull(), "ground_truth").otherwise("model").alias("split_source"),
+                    F.posexplode(F.coalesce(pair("_human"), pair("_model"))).alias("i", "d"))
+    return docs.where(F.col("d.start") <= F.col("total_pages")).select(
+        *keys, (F.col("i") + 1).cast("int").alias("doc_index"), (F.col("d.start") - 1).alias("from_page"),
+        (F.least(F.col("d.end"), F.col("total_pages")) - 1).alias("to_page"),
+        F.format_string(OUT_NAME_FMT, F.col("filename"), F.col("i") + 1).alias("out_name"), "split_source")
 
 
 PAGE_BLOCK = 64

@@ -138,3 +138,17 @@ def test_fold_on_large_and_small_sets_equals_greedy_scan(spark):
     for r in got.collect():
         want = greedy([1] + rows[r["i"]][0], [1] + rows[r["i"]][1])
         assert (r["a"]["m"], r["a"]["o"]) == want
+
+
+def test_evaluation_rows_take_the_latest_prediction_in_table_layout(spark):
+    from folio.schemas import EVALUATION_RESULTS
+    gt = spark.createDataFrame([("d1", "a", "f1", 9, [1, 5], True, "ann"), ("d2", "a", "f2", 4, [1], False, "bob")],
+                               "day_id string, filename string, folder_id string, total_pages int, predicted_starts array<int>, "
+                               "is_multidoc boolean, annotator string")
+    split = spark.createDataFrame([("d1", "a", [1, 3], "old", "2024-01-01 00:00:00"), ("d1", "a", [1, 5], "new", "2024-01-02 00:00:00")],
+                                  "day_id string, filename string, predicted_starts array<int>, model_used string, processing_timestamp string")
+    rows = EV.evaluation_rows(gt, split, F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    assert rows.columns == EVALUATION_RESULTS.names
+    got = {r["day_id"]: r for r in rows.collect()}
+    assert got["d1"]["model_used"] == "new" and got["d1"]["exact_match"] and got["d1"]["annotator"] == "ann" and got["d1"]["folder_id"] == "f1"
+    assert got["d2"]["model_starts"] is None and got["d2"]["exact_match"] is None and got["d2"]["gt_n_documents"] == 1
