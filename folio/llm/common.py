@@ -70,32 +70,48 @@ def text_hash() -> Column:
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
+def row_hash() -> Column:
+    return F.xxhash64("doc_id", "text_hash")
+
+
+def mark_perhaps(rows: DataFrame, row_key: Column, keys: DataFrame, key: Column, bits: int, name: str) -> DataFrame:
+    """``rows`` with the boolean ``name``: false if the long ``row_key`` is certainly not among the ``key`` of ``keys``.
+
+    The bitmap is a table of ``bits`` / 32,768 rows of 4 KB, whatever the number of keys, and is joined by
+    broadcast.  DataFrame operations only.
+    """
+    place = lambda k: k.bitwiseAND(F.lit(bits - 1))
+    marks = (keys.where(key.isNotNull()).select(place(key).alias("__at"))
+             .groupBy(F.floor(F.col("__at") / BUCKET_BITS).alias("__bucket"))
+             .agg(F.bitmap_construct_agg(F.col("__at") % BUCKET_BITS).alias("__marks")))
+    at = rows.withColumn("__at", place(row_key)).withColumn("__bucket", F.floor(F.col("__at") / BUCKET_BITS))
+    byte = F.conv(F.hex(F.substring("__marks", F.floor(F.col("__at") % BUCKET_BITS / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    is_set = byte.bitwiseAND(F.expr("shiftleft(1L, CAST(__at % 8 AS INT))")) != 0
+    return (at.join(F.broadcast(marks), "__bucket", "left").withColumn(name, F.coalesce(is_set, F.lit(False)))
+            .drop("__at", "__bucket", "__marks"))
+
+
 def keep_rows(docs: DataFrame, verdicts: DataFrame, bits: int = 1 << 24) -> DataFrame:
     """The rows of ``docs`` that ``verdicts`` (doc_id, text_hash, stays: one row per row of ``docs``) lets stay; of
     rows with the same id and text at most one.
 
     Rows to which nothing happens are not shuffled: a bitmap of fixed size (2 MB) of the rows that go or
-    repeat is joined by broadcast, and only rows that it may hold are joined with the verdicts.  DataFrame
+    repeat is broadcast, and only rows that it may hold are joined with the verdicts.  DataFrame
     operations only.
     """
     odd = keep(verdicts.groupBy("doc_id", "text_hash").agg(F.max("stays").alias("stays"), F.count("*").alias("n"))
                .where(~F.col("stays") | (F.col("n") > 1)), "odd-rows")
-    at = F.xxhash64("doc_id", "text_hash").bitwiseAND(F.lit(bits - 1))
-    marks = (odd.select(at.alias("at")).groupBy(F.floor(F.col("at") / BUCKET_BITS).alias("bucket"))
-             .agg(F.bitmap_construct_agg(F.col("at") % BUCKET_BITS).alias("marks")))
-    rows = (docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"))
-            .withColumn("at", at).withColumn("bucket", F.floor(F.col("at") / BUCKET_BITS))
-            .join(F.broadcast(marks), "bucket", "left"))
-    byte = F.conv(F.hex(F.substring("marks", F.floor(F.col("at") % BUCKET_BITS / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
-    set_ = F.coalesce(byte.bitwiseAND(F.expr("shiftleft(1L, CAST(at % 8 AS INT))")) != 0, F.lit(False))
-    sure = rows.where(~set_).select("row")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"))
+    rows = mark_perhaps(rows, row_hash(), odd, row_hash(), bits, "odd")
+    sure = rows.where(~F.col("odd")).select("row")
     known = odd.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "stays")
-    rest = (rows.where(set_).select("row", "doc_id", "text_hash")
+    rest = (rows.where("odd").select("row", "doc_id", "text_hash")
             .join(known, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")), "left"))
     passed = rest.where("stays IS NULL").select("row")
     one = rest.where("stays").groupBy("id", "hash").agg(F.first("row").alias("row")).select("row")
     return sure.unionByName(passed).unionByName(one).select("row.*")
 
 
-__all__ = ["ASCII_UPPER", "WHITE", "hash_bitmap", "keep", "keep_rows", "lower_ascii", "may_contain", "scratch", "sha256_hex", "ship",
+__all__ = ["ASCII_UPPER", "WHITE", "hash_bitmap", "keep", "keep_rows", "lower_ascii", "mark_perhaps", "may_contain",
+           "row_hash", "scratch", "sha256_hex", "ship",
            "table", "text_hash"]

@@ -9,22 +9,24 @@ the whole sequence is the one shingle).  Two documents link when
   ``d(x, q) <= d(x, p) + 2 eps``.
 
 Document pivots alone separate nothing here: unrelated texts are all at distance about 1 from
-every pivot, so every window would take in every document.  The first level therefore uses
-single shingles as pivots (a set is nearest to the pivots that it contains, its rarest one first), and
-takes as the window the least number of them that two linked sets cannot both miss:
-
-1. Equal sets are one set from here on; copies only rejoin at the end.
-2. Each set hands out the shingles with its ``handed`` smallest hashes; how many sets hand out a
-   shingle is counted over all documents.  Of its ``tested`` smallest, in the order (rarity,
-   hash), a linked set lacks at most ``size // 10`` (for 90 %), so one of the first
-   ``size // 10 + 1`` is handed out by each set linked to it.  Sets with more
-   shingles of their own than that are linked with nothing.
-3. Sets that meet at such a shingle are one region (components of a star per shingle).
+every pivot, so every window would take in every document.  The first level therefore finds regions by
+the same metric's bound on the symmetric difference:
+
+1. Equal sets are one set from here on, named by its first row; copies only rejoin at the end.
+2. Linked sets of sizes a and b differ in at most ``d = (a + b) * (100 - least) / (100 + least)``
+   shingles.  The hash space is cut into ``d + spare`` parts; then at least ``spare`` parts of two linked sets
+   are equal.  A set hands out one signature per part, for its own size class and the next one, so
+   that sets of neighbouring classes meet.  Parts with fewer than two shingles tell little and are
+   left out, unless a set has ``spare`` of them or more.
+3. Sets with an equal signature are one region (components of a star per signature).
 4. A region joins recursively: document pivots, nearest pivot, windows of ``2 eps``, until regions
    are small or windows no longer separate; then sets are compared exactly, except those
-   already in one component.  Regions above ``max_region`` shingles are split by pivots on the cluster
+   already in one component.  Regions above ``max_region`` bytes of text are split by pivots on the cluster
    first, smaller ones within a task.
 
+Bitmaps of fixed size keep texts and shingles of sets without a possible partner out of the
+shuffles.  A false "perhaps" costs a comparison and changes no result.
+
 Links between different sets are used for components, so a task emits at most one edge per set.
 
 Defined results: null or empty texts have no shingles, link with nothing and are their own
@@ -35,6 +37,8 @@ sets; an empty table gives no rows; extra columns are ignored.  Shingles are 63-
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,16 +48,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import hash_bitmap, keep, keep_rows, may_contain, ship
+from folio.llm.common import hash_bitmap, keep, keep_rows, mark_perhaps, may_contain, row_hash, ship, text_hash
 from folio.llm.components import connected_components
 
 MAX_KEPT_WORDS = 500_000
-#: Shingles of all sets of a region that one task takes.
-MAX_REGION = 16_000_000
+#: Bytes of text of a region that one task takes.
+MAX_REGION = 48_000_000
 #: Regions of so many sets are compared directly.
 SMALL = 48
 PIVOTS = 8
 FILTER_BITS = 1 << 27
+ROW_BITS = 1 << 25
 
 
 class Shingler:
@@ -83,26 +88,50 @@ class Shingler:
         return np.unique((out >> np.uint64(1)).view(np.int64))
 
 
-def missing(size, least: int):
-    """How many shingles of a set of this size a linked set can lack."""
-    return size * (100 - least) // 100
-
-
-def tested(size, least: int):
-    return missing(size, least) + np.maximum(8, size // 25)
-
-
-def handed(size, least: int):
-    """Enough to include every shingle that a linked set tests: that set has at most
-    ``size * 100 / least`` shingles, and this one has at most ``missing`` others below its last tested."""
-    return tested(size * 100 // least + 1, least) + missing(size, least)
+def size_class(size: int, least: int) -> int:
+    """The number of a size class; the sizes of linked sets are in the same or in neighbouring classes."""
+    return int(math.floor(math.log(size) / math.log(100 / least) + 1e-9))
+
+
+@functools.lru_cache(maxsize=None)
+def parts_of(tag: int, least: int) -> tuple[int, int]:
+    """Of pairs that meet under a class's tag (sets of that class and the one below): the largest
+    symmetric difference of a link, and the spare parts."""
+    largest = math.ceil((100 / least) ** (tag + 1)) + 1
+    differ = 2 * largest * (100 - least) // (100 + least)
+    return differ, 4 + differ // 8
+
+
+def signatures(shingles: np.ndarray, least: int) -> np.ndarray:
+    """Distinct signatures of a set: per tag and part the sum of its mixed shingles."""
+    if not len(shingles):
+        return np.empty(0, np.int64)
+    mixed = shingles.view(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(31)
+    own, out = size_class(len(shingles), least), []
+    for tag in (own, own + 1):
+        differ, spare = parts_of(tag, least)
+        if not differ:
+            continue  # too small for a link between different sets
+        n = differ + spare
+        part = ((mixed >> np.uint64(20)) % np.uint64(n)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        count = np.bincount(part, minlength=n)
+        seen = np.flatnonzero(count)
+        total = np.zeros(n, dtype=np.uint64)
+        total[seen] = np.add.reduceat(mixed[order], np.concatenate([[0], np.cumsum(count[seen])[:-1]]))
+        chosen = np.flatnonzero(count >= 2) if (count < 2).sum() < spare else np.arange(n)
+        sign = (total[chosen] + chosen.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(tag + 1)) * np.uint64(0xD6E8FEB86659FD93)
+        sign ^= sign >> np.uint64(32)
+        out.append((sign * np.uint64(0x94D049BB133111EB) >> np.uint64(1)).view(np.int64))
+    return np.unique(np.concatenate(out)) if out else np.empty(0, np.int64)
 
 
 def shingle_sets(docs: DataFrame, n: int, least: int) -> DataFrame:
-    """(doc_id, text_hash, sid, size, shingles): the set's digest and its handed out shingles, least hash first."""
+    """(doc_id, text_hash, sid, size, signatures) by row: the set's digest, size and signatures."""
     ship(docs.sparkSession)
     body = F.coalesce(F.col("text"), F.lit(""))
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body).alias("text_hash"), body.cast("binary").alias("body"))
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), body.cast("binary").alias("body"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(n)
@@ -111,55 +140,30 @@ def shingle_sets(docs: DataFrame, n: int, least: int) -> DataFrame:
             yield pd.DataFrame({
                 "doc_id": part["doc_id"].astype("Int64"), "text_hash": part["text_hash"],
                 "sid": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "size": [len(s) for s in sets],
-                "shingles": [s[:handed(len(s), least)] for s in sets]})
+                "signatures": [signatures(s, least) for s in sets]})
 
-    return source.mapInPandas(run, "doc_id long, text_hash long, sid binary, size long, shingles array<long>")
+    return source.mapInPandas(run, "doc_id long, text_hash long, sid binary, size long, signatures array<long>")
 
 
-def shared_shingles(sets: DataFrame, least: int, bits: int) -> DataFrame:
-    """(sid, size, shingle, sets, test): the shingles that at least two sets hand out, for sets that may have a link.
+def region_edges(sets: DataFrame, bits: int) -> DataFrame:
+    """(a, b): per signature that at least two sets have, a star over those sets.
 
-    Most shingles belong to one set.  A bitmap of fixed size of those that do not lets most sets go before
-    the join with the counts; what it lets pass by chance the join removes.
+    Most signatures belong to one set.  A bitmap of fixed size of those that do not lets most rows go before
+    the shuffle; what it lets pass by chance meets nobody in the join with the counts.
     """
-    spark = sets.sparkSession
-    common = keep(sets.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("sets"))
-                  .where(F.col("sets") > 1), "shared-shingles")
-    perhaps = spark.sparkContext.broadcast(hash_bitmap(common, "shingle", bits))
+    common = keep(sets.select(F.explode("signatures").alias("signature")).groupBy("signature").agg(F.count("*").alias("n"))
+                  .where("n > 1").select("signature"), "shared-signatures")
+    perhaps = sets.sparkSession.sparkContext.broadcast(hash_bitmap(common, "signature", bits))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            sid, size, shingle, test = [], [], [], []
-            for i, z, s in zip(part["sid"], part["size"], part["shingles"]):
-                s = np.asarray(s, dtype=np.int64)
-                known = may_contain(perhaps.value, s)
-                k = min(int(tested(z, least)), len(s))
-                if k - known[:k].sum() <= missing(z, least):
-                    at = np.flatnonzero(known)
-                    sid += [i] * len(at)
-                    size += [z] * len(at)
-                    shingle.append(s[at])
-                    test.append(at < k)
-            yield pd.DataFrame({"sid": sid, "size": size, "shingle": np.concatenate(shingle) if shingle else np.empty(0, np.int64),
-                                "test": np.concatenate(test) if test else np.empty(0, bool)})
-
-    some = sets.select("sid", "size", "shingles").mapInPandas(run, "sid binary, size long, shingle long, test boolean")
-    return keep(some.join(common, "shingle"), "set-shingles")
-
-
-def region_edges(rows: DataFrame, least: int) -> DataFrame:
-    """(a, b): per shingle that is in some set's window, a star over the sets that hand it out."""
-    size = F.col("size")
-    lack = F.floor(size * (100 - least) / 100)
-    n_test = F.least(size, lack + F.greatest(F.lit(8), F.floor(size / 25)))
-    # the window of a set: its first lack + 1 tested shingles; those of its own come first and meet nobody
-    own = n_test - F.count("*").over(Window.partitionBy("sid"))
-    place = F.row_number().over(Window.partitionBy("sid").orderBy("sets", "shingle"))
-    pivots = (rows.where("test").withColumn("own", own).withColumn("place", place)
-              .where(F.col("place") + F.col("own") <= lack + 1).select("shingle").distinct())
-    met = rows.select("sid", "shingle").join(pivots, "shingle")
-    hub = met.groupBy("shingle").agg(F.min("sid").alias("hub"))
-    return met.join(hub, "shingle").select(F.col("sid").alias("a"), F.col("hub").alias("b")).where("a != b").distinct()
+            known = [s[may_contain(perhaps.value, s)] for s in map(np.asarray, part["signatures"])]
+            yield pd.DataFrame({"sid": np.repeat(part["sid"].to_numpy(), [len(k) for k in known]),
+                                "signature": np.concatenate(known) if known else np.empty(0, np.int64)})
+
+    met = keep(sets.select("sid", "signatures").mapInPandas(run, "sid binary, signature long").join(common, "signature"), "met")
+    hub = met.groupBy("signature").agg(F.min("sid").alias("hub"))
+    return met.join(hub, "signature").select(F.col("sid").alias("a"), F.col("hub").alias("b")).where("a != b").distinct()
 
 
 class Region:
@@ -246,62 +250,64 @@ class Region:
                     self.link(x, y)
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, n: int, bits: int) -> DataFrame:
-    """(sid, region, shingles) of the sets in ``wanted`` (sid, text_hash, region), one row each.  The texts
-    are read again and filtered where they are read (bitmap of the texts' hashes); no text is shuffled."""
-    perhaps = docs.sparkSession.sparkContext.broadcast(hash_bitmap(wanted, "text_hash", bits))
-    body = F.coalesce(F.col("text"), F.lit(""))
-    source = docs.select(F.xxhash64(body).alias("text_hash"), body.cast("binary").alias("body"))
+@functools.lru_cache(maxsize=2)
+def worker_shingler(n: int) -> Shingler:
+    """One per Python worker, kept between groups and tasks."""
+    return Shingler(n)
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler = Shingler(n)
-        for part in parts:
-            some = part[may_contain(perhaps.value, part["text_hash"].to_numpy())]
-            if len(some):
-                sets = [shingler.set_of(b) for b in some["body"]]
-                yield pd.DataFrame({"sid": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "text_hash": some["text_hash"].to_numpy(),
-                                    "shingles": sets})
 
-    got = source.mapInPandas(run, "sid binary, text_hash long, shingles array<long>")
-    return got.join(wanted, ["sid", "text_hash"]).groupBy("sid").agg(
-        F.first("region").alias("region"), F.first("shingles").alias("shingles"))
+def region_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(sid, region, body) of the sets in ``wanted`` (sid, doc_id, text_hash, region).  Texts are read again and
+    filtered where they are read; only texts of sets that share a region are shuffled."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), "text")
+    some = mark_perhaps(rows, row_hash(), wanted, row_hash(), ROW_BITS, "perhaps").where("perhaps")
+    asked = wanted.select("sid", "region", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
+    return some.join(asked, same).select("sid", "region", F.col("text").cast("binary").alias("body"))
 
 
-def split_regions(sets: DataFrame, least: int, max_region: int) -> DataFrame:
-    """Split regions above ``max_region`` shingles by document pivots, on the cluster.
+def split_regions(texts: DataFrame, n: int, least: int, max_region: int) -> DataFrame:
+    """Split regions above ``max_region`` bytes by document pivots, on the cluster: (sid, region, cell, body).
 
-    Each such region gets two pivots per ``max_region`` shingles (by hash, so the choice is the same
+    Each such region gets two pivots per ``max_region`` bytes (by hash, so the choice is the same
     everywhere); every set goes to the nearest one's region and, within the window, to others.
     """
-    large = (sets.groupBy("region").agg(F.sum(F.size("shingles")).alias("n")).where(F.col("n") > max_region)
+    large = (texts.groupBy("region").agg(F.sum(F.octet_length("body")).alias("n")).where(F.col("n") > max_region)
              .select("region", F.ceil(2 * F.col("n") / max_region).alias("pivots")))
     if not large.limit(1).count():
-        return sets.withColumn("cell", F.lit(0))
-    ranked = (sets.join(large, "region").select("region", "sid", "shingles", "pivots")
-              .withColumn("cell", F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("sid"), "sid")))
+        return texts.withColumn("cell", F.lit(0))
+
+    def shingle(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            yield pd.DataFrame({"sid": part["sid"], "region": part["region"], "pivots": part["pivots"],
+                                "shingles": [worker_shingler(n).set_of(b) for b in part["body"]]})
+
+    sets = keep(texts.join(large, "region").select("sid", "region", "pivots", "body").mapInPandas(
+        shingle, "sid binary, region binary, pivots long, shingles array<long>").dropDuplicates(["sid"]), "large-regions")
+    ranked = (sets.withColumn("cell", F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("sid"), "sid")))
               .where(F.col("cell") <= F.col("pivots")).select("region", "cell", F.col("shingles").alias("pivot")))
     far = (sets.join(ranked, "region")
            .withColumn("s", F.size(F.array_intersect("shingles", "pivot")))
-           .select("sid", "region", "cell", (1 - F.col("s") / (F.size("shingles") + F.size("pivot") - F.col("s"))).alias("far")))
-    near = far.groupBy("sid", "region").agg(F.min("far").alias("near"))
-    cells = far.join(near, ["sid", "region"]).where(F.col("far") <= F.col("near") + 2 * (1 - least / 100) + 1e-9).select("sid", "region", "cell")
-    small = sets.join(large, "region", "left_anti").withColumn("cell", F.lit(0))
-    return small.unionByName(sets.join(cells, ["sid", "region"]).select("sid", "region", "shingles", "cell"))
+           .select("sid", "cell", (1 - F.col("s") / (F.size("shingles") + F.size("pivot") - F.col("s"))).alias("far")))
+    near = far.groupBy("sid").agg(F.min("far").alias("near"))
+    cells = far.join(near, "sid").where(F.col("far") <= F.col("near") + 2 * (1 - least / 100) + 1e-9).select("sid", "cell")
+    small = texts.join(large, "region", "left_anti").withColumn("cell", F.lit(0))
+    return small.unionByName(texts.join(cells, "sid").select("sid", "region", "body", "cell"))
 
 
-def link_edges(sets: DataFrame, least: int) -> DataFrame:
+def link_edges(texts: DataFrame, n: int, least: int) -> DataFrame:
     """(a, b): links that connect every component within the regions, at most one per set and region."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.drop_duplicates("sid").sort_values("sid")
         if len(part) < 2:
             return pd.DataFrame({"a": [], "b": []})
-        part = part.sort_values("sid")
-        region = Region([np.asarray(s, dtype=np.int64) for s in part["shingles"]], least)
+        region = Region([worker_shingler(n).set_of(b) for b in part["body"]], least)
         region.join(np.arange(len(part)))
         sid = part["sid"].to_numpy()
         return pd.DataFrame({"a": [sid[x] for x, _ in region.edges], "b": [sid[y] for _, y in region.edges]})
 
-    return sets.groupBy("region", "cell").applyInPandas(run, "a binary, b binary")
+    return texts.groupBy("region", "cell").applyInPandas(run, "a binary, b binary")
 
 
 def grouped(docs: DataFrame, n: int = 5, least: int = 80, max_region: int = MAX_REGION, bits: int = FILTER_BITS) -> DataFrame:
@@ -309,15 +315,15 @@ def grouped(docs: DataFrame, n: int = 5, least: int = 80, max_region: int = MAX_
     shingles.  ``first``: the row is its component's first one, by id (null last), then by text hash."""
     rows = keep(shingle_sets(docs, n, least), "shingle-sets")
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    sets = keep(rows.where("size > 0").groupBy("sid").agg(
-        F.min(row).alias("least_row"), F.first("size").alias("size"), F.first("text_hash").alias("text_hash"),
-        F.first("shingles").alias("shingles")), "sets")
-    edges = region_edges(shared_shingles(sets, least, bits), least)
+    named = keep(rows.where("size > 0").groupBy("sid").agg(F.min(row).alias("least_row")), "sets")
+    first = F.xxhash64("least_row.doc_id", "least_row.text_hash")
+    sets = mark_perhaps(rows.where("size > 0"), row_hash(), named, first, ROW_BITS, "perhaps").where("perhaps")
+    edges = region_edges(sets, bits)
     regions = connected_components(edges).select(F.col("node").alias("sid"), F.col("label").alias("region"))
-    wanted = keep(sets.select("sid", "text_hash").join(regions, "sid"), "wanted")
-    whole = keep(full_sets(docs, wanted, n, bits), "full-sets")
-    links = connected_components(link_edges(split_regions(whole, least, max_region), least))
-    own = sets.select("sid", "least_row")
+    wanted = keep(named.join(regions, "sid").select("sid", "region", "least_row.doc_id", "least_row.text_hash"), "wanted")
+    texts = keep(region_texts(docs, wanted), "region-texts")
+    links = connected_components(link_edges(split_regions(texts, n, least, max_region), n, least))
+    own = named
     linked = links.select(F.col("node").alias("sid"), "label").join(own, "sid")
     best = linked.groupBy("label").agg(F.min("least_row").alias("best"))
     by_set = linked.join(best, "label").select("sid", "best")
