@@ -95,8 +95,9 @@ def apply_delivery(log: DataFrame, outcome: DataFrame, deferred: DataFrame, remo
     one = lambda df, kind, value: df.select(*KEYS, F.lit(kind).alias("kind"), value.alias("value"))
     base = f"remote folder missing: {remote_base.rstrip('/')}/"
     updates = (one(deferred, "deferred", F.concat(F.lit(base), F.col("folder_id")))
-               .unionByName(one(outcome.where(F.col("outcome") == "delivered"), "delivered", F.col("remote_folder")))
-               .unionByName(one(outcome.where(F.col("outcome") == "failed"), "failed", F.col("fail_reason"))))
+               .unionByName(outcome.where(F.col("outcome").isin("delivered", "failed")).select(
+                   *KEYS, F.col("outcome").alias("kind"),
+                   F.when(F.col("outcome") == "delivered", F.col("remote_folder")).otherwise(F.col("fail_reason")).alias("value"))))
     said = lambda k: F.max(F.when(F.col("kind") == k, F.struct("value"))).alias(k)
     t = updates.groupBy(*KEYS).agg(said("deferred"), said("delivered"), said("failed"))
     sent = F.col("u_delivered").isNotNull() & (F.col("status") == "done")

@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import pyarrow.parquet as pq  # noqa: E402
 
-import __spark_entry__ as E  # noqa: E402
+from folio.plans import registry  # noqa: E402
 from folio.session import get_session  # noqa: E402
 
 OPS = [("Exchange", "Exchange hashpartitioning|Exchange rangepartitioning|Exchange RoundRobin|Exchange SinglePartition"),
@@ -36,8 +36,9 @@ def main() -> None:
              "`scan` lists `table:columns read/columns in table` for every parquet scan.", "",
              "| query | " + " | ".join(n for n, _ in OPS) + " | scan |",
              "|---|" + "---|" * len(OPS) + "---|"]
-    for key in sorted(E.queries()):
-        df = E.queries()[key](spark, sf_dir)
+    registry.load_all()
+    for key in sorted(registry.QUERIES):
+        df = registry.QUERIES[key](spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         counts = [len(re.findall(p, plan)) for _, p in OPS]
         scans = []
