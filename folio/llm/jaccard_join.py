@@ -176,19 +176,13 @@ class Region:
         self.start = np.concatenate([[0], np.cumsum(self.size)])
         self.flat = flat.astype(np.int64)
         self.mark = np.zeros(int(flat.max()) + 1, dtype=np.int64)
-        self.root = list(range(len(sets)))
+        self.component = np.arange(len(sets))
         self.edges: list[tuple[int, int]] = []
 
-    def find(self, x: int) -> int:
-        while self.root[x] != x:
-            self.root[x] = self.root[self.root[x]]
-            x = self.root[x]
-        return x
-
     def link(self, x: int, y: int) -> None:
-        a, b = self.find(x), self.find(y)
+        a, b = self.component[x], self.component[y]
         if a != b:
-            self.root[max(a, b)] = min(a, b)
+            self.component[self.component == max(a, b)] = min(a, b)
             self.edges.append((x, y))
 
     def tokens(self, x: int) -> np.ndarray:
@@ -227,13 +221,12 @@ class Region:
                     self.link(int(p), int(x))
                 far[i] = 1 - s / u
             near = far.min(axis=0)
-            for i in range(len(pivots)):
-                # the region of a pivot and its window; equal distances make sets members of several regions
-                inside = members[far[i] <= near + 2 * self.eps + 1e-9]
-                if len(inside) > 0.8 * len(members):
-                    self.compare(inside)
-                elif len(inside) > 1:
-                    todo.append(inside)
+            # the region of a pivot and its window; equal distances make sets members of several regions
+            regions = [members[f <= near + 2 * self.eps + 1e-9] for f in far]
+            if max(map(len, regions)) > 0.8 * len(members):
+                self.compare(members)  # windows separate no longer
+            else:
+                todo += [r for r in regions if len(r) > 1]
 
     def compare(self, members: np.ndarray) -> None:
         """Exact comparison within a region, leaving out pairs that are in one component."""
@@ -242,8 +235,7 @@ class Region:
             x = int(order[i])
             rest = order[i + 1:]
             rest = rest[self.size[rest] * self.least <= 100 * self.size[x]]
-            mine = self.find(x)
-            rest = np.array([y for y in rest.tolist() if self.find(y) != mine], dtype=np.int64)
+            rest = rest[self.component[rest] != self.component[x]]
             if len(rest):
                 s = self.shared(x, rest)
                 for y in rest[self.is_link(s, self.union(x, rest, s))].tolist():
