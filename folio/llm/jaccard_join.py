@@ -17,8 +17,10 @@ the same metric's bound on the symmetric difference:
    shingles.  The hash space is cut into ``d + spare`` parts; then at least ``spare`` parts of two linked sets
    are equal.  A set hands out one signature per part, for its own size class and the next one, so
    that sets of neighbouring classes meet.  Parts with fewer than two shingles tell little and are
-   left out, unless a set has ``spare`` of them or more.
-3. Sets with an equal signature are one region (components of a star per signature).
+   left out, unless a set has as many of them as it must have parts equal to a linked one's.
+3. Of sets with an equal signature those are joined to a region whose histograms over 32 parts of the hash
+   space differ by ``d`` at most (pivots and their neighbours, breadth first): the sum of differences is a
+   metric that never exceeds the symmetric difference.
 4. A region joins recursively: document pivots, nearest pivot, windows of ``2 eps``, until regions
    are small or windows no longer separate; then sets are compared exactly, except those
    already in one component.  Regions above ``max_region`` bytes of text are split by pivots on the cluster
@@ -57,6 +59,8 @@ MAX_REGION = 48_000_000
 #: Regions of so many sets are compared directly.
 SMALL = 48
 PIVOTS = 8
+#: Bins of a set's histogram.
+BINS = 32
 FILTER_BITS = 1 << 27
 ROW_BITS = 1 << 25
 
@@ -99,7 +103,7 @@ def parts_of(tag: int, least: int) -> tuple[int, int]:
     symmetric difference of a link, and the spare parts."""
     largest = math.ceil((100 / least) ** (tag + 1)) + 1
     differ = 2 * largest * (100 - least) // (100 + least)
-    return differ, 4 + differ // 8
+    return differ, 6 + differ // 4
 
 
 def signatures(shingles: np.ndarray, least: int) -> np.ndarray:
@@ -120,7 +124,9 @@ def signatures(shingles: np.ndarray, least: int) -> np.ndarray:
         seen = np.flatnonzero(count)
         total = np.zeros(n, dtype=np.uint64)
         total[seen] = np.add.reduceat(mixed[order], np.concatenate([[0], np.cumsum(count[seen])[:-1]]))
-        chosen = np.flatnonzero(count >= 2) if (count < 2).sum() < spare else np.arange(n)
+        # a linked set has at most 100 / least times this one's shingles: so many parts are equal at least
+        alike = n - min(differ, (len(shingles) + len(shingles) * 100 // least) * (100 - least) // (100 + least))
+        chosen = np.flatnonzero(count >= 2) if (count < 2).sum() < alike else np.arange(n)
         sign = (total[chosen] + chosen.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(tag + 1)) * np.uint64(0xD6E8FEB86659FD93)
         sign ^= sign >> np.uint64(32)
         out.append((sign * np.uint64(0x94D049BB133111EB) >> np.uint64(1)).view(np.int64))
@@ -128,7 +134,7 @@ def signatures(shingles: np.ndarray, least: int) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, n: int, least: int) -> DataFrame:
-    """(doc_id, text_hash, sid, size, signatures) by row: the set's digest, size and signatures."""
+    """(doc_id, text_hash, sid, size, bins, signatures) by row: the set's digest, size, histogram and signatures."""
     ship(docs.sparkSession)
     body = F.coalesce(F.col("text"), F.lit(""))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), body.cast("binary").alias("body"))
@@ -140,30 +146,79 @@ def shingle_sets(docs: DataFrame, n: int, least: int) -> DataFrame:
             yield pd.DataFrame({
                 "doc_id": part["doc_id"].astype("Int64"), "text_hash": part["text_hash"],
                 "sid": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "size": [len(s) for s in sets],
-                "signatures": [signatures(s, least) for s in sets]})
+                "bins": [histogram(s) for s in sets], "signatures": [signatures(s, least) for s in sets]})
 
-    return source.mapInPandas(run, "doc_id long, text_hash long, sid binary, size long, signatures array<long>")
+    return source.mapInPandas(run, "doc_id long, text_hash long, sid binary, size long, bins binary, signatures array<long>")
 
 
-def region_edges(sets: DataFrame, bits: int) -> DataFrame:
-    """(a, b): per signature that at least two sets have, a star over those sets.
+def histogram(shingles: np.ndarray) -> bytes:
+    """Shingles per bin of the hash space (at most 255 counted): the bins of two sets differ by no more than the sets."""
+    bins = (shingles.view(np.uint64) * np.uint64(0x94D049BB133111EB) >> np.uint64(40)) % np.uint64(BINS)
+    return np.minimum(np.bincount(bins.astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+
+
+def near_edges(size: np.ndarray, bins: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Edges that connect sets whose histograms are as near as a link requires; one per set at most.
+
+    Breadth first from a pivot: what is near the pivot is joined, and each joined set is a pivot in turn.
+    """
+    edges, left = [], np.arange(len(size))
+    while len(left) > 1:
+        front, left = [int(left[0])], left[1:]
+        while front and len(left):
+            x = front.pop()
+            far = np.abs(bins[left] - bins[x]).sum(axis=1) * (100 + least) > (size[left] + size[x]) * (100 - least)
+            near = left[~far]
+            edges += [(x, int(y)) for y in near]
+            front += near.tolist()
+            left = left[far]
+    return edges
+
+
+def region_edges(sets: DataFrame, least: int, bits: int) -> DataFrame:
+    """(a, b): edges between sets with an equal signature that may be linked.
 
     Most signatures belong to one set.  A bitmap of fixed size of those that do not lets most rows go before
-    the shuffle; what it lets pass by chance meets nobody in the join with the counts.
+    the shuffle; what it lets pass by chance meets nobody.  Sets that merely share a passage may have an equal
+    part too: within a signature only sets are joined whose histograms differ by no more than linked sets can.
     """
     common = keep(sets.select(F.explode("signatures").alias("signature")).groupBy("signature").agg(F.count("*").alias("n"))
                   .where("n > 1").select("signature"), "shared-signatures")
     perhaps = sets.sparkSession.sparkContext.broadcast(hash_bitmap(common, "signature", bits))
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def shared(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             known = [s[may_contain(perhaps.value, s)] for s in map(np.asarray, part["signatures"])]
-            yield pd.DataFrame({"sid": np.repeat(part["sid"].to_numpy(), [len(k) for k in known]),
-                                "signature": np.concatenate(known) if known else np.empty(0, np.int64)})
+            times = [len(k) for k in known]
+            yield pd.DataFrame({c: np.repeat(part[c].to_numpy(), times) for c in ("sid", "size", "bins")} | {
+                "signature": np.concatenate(known) if known else np.empty(0, np.int64)})
 
-    met = keep(sets.select("sid", "signatures").mapInPandas(run, "sid binary, signature long").join(common, "signature"), "met")
-    hub = met.groupBy("signature").agg(F.min("sid").alias("hub"))
-    return met.join(hub, "signature").select(F.col("sid").alias("a"), F.col("hub").alias("b")).where("a != b").distinct()
+    def join(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for part in parts:
+            part = part if rest is None else pd.concat([rest, part], ignore_index=True)
+            last = part["signature"].to_numpy() == part["signature"].iloc[-1] if len(part) else np.empty(0, bool)
+            rest, done = part[last], part[~last]
+            if len(done):
+                yield edges(done)
+        if rest is not None and len(rest):
+            yield edges(rest)
+
+    def edges(part: pd.DataFrame) -> pd.DataFrame:
+        key, sid, size = part["signature"].to_numpy(), part["sid"].to_numpy(), part["size"].to_numpy()
+        bins = np.frombuffer(b"".join(part["bins"]), dtype=np.uint8).reshape(-1, BINS).astype(np.int32)
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        count = np.diff(np.append(first, len(key)))
+        two = first[count == 2]
+        near = np.abs(bins[two] - bins[two + 1]).sum(axis=1) * (100 + least) <= (size[two] + size[two + 1]) * (100 - least)
+        found = [(x, x + 1) for x in two[near].tolist()]
+        for f, n in zip(first[count > 2].tolist(), count[count > 2].tolist()):
+            found += [(f + x, f + y) for x, y in near_edges(size[f:f + n], bins[f:f + n], least)]
+        return pd.DataFrame({"a": [sid[x] for x, _ in found], "b": [sid[y] for _, y in found]}).drop_duplicates()
+
+    met = sets.select("sid", "size", "bins", "signatures").mapInPandas(shared, "sid binary, size long, bins binary, signature long")
+    return (met.repartition("signature").sortWithinPartitions("signature").mapInPandas(join, "a binary, b binary")
+            .where("a != b").distinct())
 
 
 class Region:
@@ -310,7 +365,7 @@ def grouped(docs: DataFrame, n: int = 5, least: int = 80, max_region: int = MAX_
     named = keep(rows.where("size > 0").groupBy("sid").agg(F.min(row).alias("least_row")), "sets")
     first = F.xxhash64("least_row.doc_id", "least_row.text_hash")
     sets = mark_perhaps(rows.where("size > 0"), row_hash(), named, first, ROW_BITS, "perhaps").where("perhaps")
-    edges = region_edges(sets, bits)
+    edges = region_edges(sets, least, bits)
     regions = connected_components(edges).select(F.col("node").alias("sid"), F.col("label").alias("region"))
     wanted = keep(named.join(regions, "sid").select("sid", "region", "least_row.doc_id", "least_row.text_hash"), "wanted")
     texts = keep(region_texts(docs, wanted), "region-texts")

@@ -113,6 +113,8 @@ def test_linked_sets_share_a_signature():
             y = z
         signs = [set(jaccard_join.signatures(np.array(sorted(k), dtype=np.int64), least).tolist()) for k in (x, y)]
         assert x == y or signs[0] & signs[1], (size, least, len(x), len(y))
+        bins = np.array([list(jaccard_join.histogram(np.array(sorted(k), dtype=np.int64))) for k in (x, y)], dtype=np.int32)
+        assert jaccard_join.near_edges(np.array([len(x), len(y)]), bins, least) == [(0, 1)]
 
 
 def test_connected_components_of_a_long_chain_and_a_star(spark):
