@@ -1,22 +1,26 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-1. Every whole text is cut into words (letters and digits, lower case) and all its n-grams are
-   looked up among those of the benchmark items; documents per n-gram are counted over the whole corpus.
-2. Seeds: of each item, the rarer half of its n-grams (by that count, ties by text; eight at least).  Rarity
-   is a rank within the item, so a passage copied a million times has seeds like any other, while a
-   phrase common to many texts is not what finds it.
-3. Where a text holds a seed of an item, the words around (the item's length on both sides) are aligned
-   with the item's words by Smith-Waterman (match 2, mismatch -1, gap -1).  The item is found in the
-   text when the best local score reaches ``least`` of a whole copy's score, 2 per word of
-   the item.  So edited and paraphrased copies are found by what is left of them.
-
-The benchmark is handled in blocks of items whose text fits ``block_chars``; a block's n-grams are
+"""Benchmark decontamination: rare word seeds, a score bound, then Smith-Waterman alignment.
+
+An item is found in a text when the best local Smith-Waterman score of their words (letters and digits, lower
+case; match 2, mismatch -1, gap -1) reaches ``least`` of a whole copy's score, 2 per word of the item.  Items
+with fewer words than ``n`` are found as whole sequences only (there a single word could reach the share).
+The steps before the alignment leave out only what cannot reach that score:
+
+1. Every whole text is cut into words, and documents per word of the benchmark are counted over the whole corpus.
+2. Seeds: a score of ``least`` needs ``least`` of the item's words matched, so of any set of one more place than may
+   stay unmatched at least one is.  That set is the item's rarest words (by that count); rarity is a rank within
+   the item, and the seeds cover every passage that reaches the score, however many texts share it.
+3. An alignment through a seed lies within ``(3 - 2 least)`` lengths of the item around it.  In that window each word that
+   the item has counts 2 and each other word -1: no alignment scores more than the best run of that sum.
+4. Windows whose bound reaches the score are aligned.
+
+The benchmark is handled in blocks of items whose text fits ``block_chars``; a block's words are
 broadcast.  Each block reads all documents, never a part of them.  A document's work is its own:
 nothing is grouped by passage, so a passage that a third of all texts share is no hot key.
 
-``find`` gives one row per (document row, item) found, ``clean`` the rows that hold none.  Defined results: null or empty texts hold
-nothing; items with fewer words than ``n`` are not searched (they are no evidence of a copy);
-repeated items are found each; an empty benchmark or corpus gives no rows; extra columns are ignored.
+``find`` gives one row per (document row, item) found, ``clean`` the rows that hold none.  Defined results: null or
+empty texts hold nothing; items without a word are not searched; a run of letters without spaces is one word, so
+an item in a script without spaces is found only where the text has the same runs; repeated items are found
+each; an empty benchmark or corpus gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,9 +37,8 @@ from folio.llm.common import ship
 
 N = 5
 LEAST = 0.5
-LEAST_SEEDS = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Characters of benchmark text per block; its words and n-grams are what is broadcast.
+#: Characters of benchmark text per block; its words are what is broadcast.
 BLOCK_CHARS = 8_000_000
 #: Aligned at once, to bound memory: cells of one row of all alignments.
 MAX_CELLS = 1_000_000
@@ -48,7 +51,7 @@ def words(text: str | None) -> list[str]:
 
 
 class Items:
-    """A block of benchmark items: words numbered from 1, n-grams as sorted keys."""
+    """A block of benchmark items: words numbered from 1."""
 
     def __init__(self, items: list[tuple[int, str]], n: int):
         self.n = n
@@ -57,52 +60,46 @@ class Items:
         self.items: list[np.ndarray] = []
         for key, text in items:
             ws = words(text)
-            if len(ws) >= n:
+            if ws:
                 self.ids.append(key)
                 self.items.append(np.array([self.number.setdefault(w, len(self.number) + 1) for w in ws], dtype=np.int64))
-        grams = [keys_of(x, n) for x in self.items]
-        self.keys = np.unique(np.concatenate(grams)) if grams else np.empty(0, np.uint64)
-        self.grams_of = [np.unique(np.searchsorted(self.keys, g)) for g in grams]
-
-    def choose_seeds(self, seen: np.ndarray) -> None:
-        """``seen``: documents by n-gram.  Keeps, by n-gram, the items that it is a seed of."""
-        pairs = []
-        for item, grams in enumerate(self.grams_of):
-            order = grams[np.lexsort((grams, seen[grams]))]
-            pairs.append(np.stack([order[:max(LEAST_SEEDS, (len(order) + 1) // 2)],
-                                   np.full(min(len(order), max(LEAST_SEEDS, (len(order) + 1) // 2)), item)]))
-        gram, item = np.concatenate(pairs, axis=1) if pairs else np.empty((2, 0), np.int64)
-        order = np.lexsort((item, gram))
-        self.seed_gram, self.seed_item = gram[order], item[order]
-
-    def look_up(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Word numbers of all texts in a row (0: in no item), where texts start, and the places and n-grams of all hits."""
+        self.size = np.array([len(x) for x in self.items], dtype=np.int64)
+
+    def choose_seeds(self, seen: np.ndarray, least: float) -> None:
+        """``seen``: documents by word.  Keeps, by word, the items that it is a seed of."""
+        self.least = np.where(self.size < self.n, 1.0, least)
+        #: Words of a text that an alignment with the item's least score may span.
+        self.span = np.maximum(self.size, np.floor((3 - 2 * self.least) * self.size + 1e-9).astype(np.int64))
+        pairs = [np.empty((2, 0), np.int64)]
+        for item, numbers in enumerate(self.items):
+            order = numbers[np.lexsort((numbers, seen[numbers]))]
+            unmatched = len(order) - max(1, int(np.ceil(self.least[item] * len(order) - 1e-9)))
+            seeds = np.unique(order[:unmatched + 1])
+            pairs.append(np.stack([seeds, np.full(len(seeds), item)]))
+        word, item = np.concatenate(pairs, axis=1)
+        self.seed_item = item[np.lexsort((item, word))]
+        self.seeds_of = np.bincount(word, minlength=len(self.number) + 1)
+        self.seed_start = np.cumsum(self.seeds_of) - self.seeds_of
+
+    def look_up(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers of all texts in a row (0: in no item), and where texts start."""
         get = self.number.get
         parts = [np.array([get(w, 0) for w in words(t)], dtype=np.int64) for t in texts]
-        start = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-        flat = np.concatenate(parts) if parts else np.empty(0, np.int64)
-        if len(flat) < self.n or not len(self.keys):
-            return flat, start, np.empty(0, np.int64), np.empty(0, np.int64)
-        # places where all n words are known and lie in one text
-        known = np.concatenate([[0], np.cumsum(flat > 0)])
-        at = np.flatnonzero(known[self.n:] - known[:-self.n] == self.n)
-        at = at[np.searchsorted(start, at, "right") == np.searchsorted(start, at + self.n - 1, "right")]
-        keys = keys_at(flat, at, self.n)
-        gram = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        hit = self.keys[gram] == keys
-        return flat, start, at[hit], gram[hit]
+        start = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+        return np.concatenate(parts) if parts else np.empty(0, np.int64), start
 
 
-def keys_at(numbers: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    key = np.zeros(len(at), dtype=np.uint64)
-    for k in range(n):
-        key = key * np.uint64(0x9E3779B97F4A7C15) + numbers[at + k].astype(np.uint64)
-        key ^= key >> np.uint64(29)
-    return key
-
-
-def keys_of(numbers: np.ndarray, n: int) -> np.ndarray:
-    return keys_at(numbers, np.arange(len(numbers) - n + 1), n)
+def bounds(item: np.ndarray, flat: np.ndarray, left: np.ndarray, right: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Per window (left to right in ``flat``) a score that no alignment of the item exceeds: the best run's sum."""
+    length = right - left
+    first = np.cumsum(length + 1) - (length + 1)  # one place before each window
+    at = np.arange(first[-1] + length[-1] + 1) + np.repeat(left - 1 - first, length + 1)
+    mark[item] = True
+    gain = np.where(mark[flat[at]], MATCH, MISMATCH)
+    mark[item] = False
+    gain[first] = -((MATCH - MISMATCH) * int(length.max()) + 1)  # each window starts below all before it
+    total = np.cumsum(gain)
+    return np.maximum.reduceat(total - np.minimum.accumulate(total), first)
 
 
 def align(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,28 +127,35 @@ def align(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return best, end_item, end_text
 
 
-def find_in(block: Items, texts: list[str | None], least: float) -> list[list[tuple]]:
+def find_in(block: Items, texts: list[str | None]) -> list[list[tuple]]:
     """Per text the block's items that it holds: (item_id, score, word_start, word_end), in order of place."""
-    flat, start, at, gram = block.look_up(texts)
+    flat, start = block.look_up(texts)
     out: list[list[tuple]] = [[] for _ in texts]
+    at = np.flatnonzero(block.seeds_of[flat])
     if not len(at):
         return out
-    lo, hi = np.searchsorted(block.seed_gram, gram, "left"), np.searchsorted(block.seed_gram, gram, "right")
-    times = hi - lo
+    times = block.seeds_of[flat[at]]
     place = np.repeat(at, times)
-    item = block.seed_item[np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(lo, times)]
-    doc = np.searchsorted(start, place, "right") - 1
-    size = np.array([len(x) for x in block.items])
-    # windows: hits of the same item that lie within its length of each other share one
-    order = np.lexsort((place, item, doc))
+    item = block.seed_item[np.arange(times.sum()) + np.repeat(block.seed_start[flat[at]] - np.cumsum(times) + times, times)]
+    doc = np.searchsorted(start, at, "right").repeat(times) - 1
+    size = block.size
+    # windows: hits of the same item that lie within its span of each other share one
+    order = np.lexsort((place, doc, item))
     place, item, doc = place[order], item[order], doc[order]
     new = np.ones(len(place), dtype=bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (place[1:] - place[:-1] > size[item[1:]])
+    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (place[1:] - place[:-1] > block.span[item[1:]])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(place)) - 1
     doc, item = doc[first], item[first]
-    left = np.maximum(start[doc], place[first] - size[item])
-    right = np.minimum(start[doc + 1], place[last] + block.n + size[item])
+    left = np.maximum(start[doc], place[first] - block.span[item] + 1)
+    right = np.minimum(start[doc + 1], place[last] + block.span[item])
+    least = block.least[item] * MATCH * size[item]
+    good = np.zeros(len(item), dtype=bool)
+    mark = np.zeros(len(block.number) + 1, dtype=bool)
+    of_item = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]]))
+    for a, b in zip(of_item, np.append(of_item[1:], len(item))):
+        good[a:b] = bounds(block.items[item[a]], flat, left[a:b], right[a:b], mark) >= least[a:b]
+    doc, item, left, right = doc[good], item[good], left[good], right[good]
     best: dict[tuple[int, int], tuple] = {}
     order = np.lexsort((right - left, size[item]))
     k = 0
@@ -168,7 +172,7 @@ def find_in(block: Items, texts: list[str | None], least: float) -> list[list[tu
         items_at = np.stack([block.items[item[j]] for j in some])
         top, end_item, end_text = align(items_at, texts_at)
         full = MATCH * items_at.shape[1]
-        good = np.flatnonzero(top >= least * full)
+        good = np.flatnonzero(top >= block.least[item[some]] * full)
         if len(good):
             # the start: the same alignment, read backwards from its end
             back_items = np.full((len(good), items_at.shape[1]), -1, dtype=np.int64)
@@ -209,44 +213,44 @@ def mark(docs: DataFrame, benchmark: DataFrame, n: int = N, least: float = LEAST
     others = [F.col(f"`{c}`") for c in docs.columns if c != column]
     out = docs.select(*others, F.array().cast(HIT).alias(column))
     for block in blocks(benchmark, n, block_chars):
-        block.choose_seeds(documents_per_gram(docs, block))
-        search = searcher(spark.sparkContext.broadcast(block), least)
+        block.choose_seeds(documents_per_word(docs, block), least)
+        search = searcher(spark.sparkContext.broadcast(block))
         out = out.withColumn(column, F.concat(column, search("text")))
     return out
 
 
-def searcher(shared, least: float):
+def searcher(shared):
     @F.pandas_udf(HIT)
     def search(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
             hits: list[list[dict]] = []
             for texts in chunks(part.tolist()):
                 hits += [[dict(zip(("item_id", "score", "word_start", "word_end"), h)) for h in hs]
-                         for hs in find_in(shared.value, texts, least)]
+                         for hs in find_in(shared.value, texts)]
             yield pd.Series(hits, dtype=object)
 
     return search
 
 
-def documents_per_gram(docs: DataFrame, block: Items) -> np.ndarray:
-    """How many documents of the whole corpus hold each n-gram of the block (one number per n-gram reaches the driver)."""
+def documents_per_word(docs: DataFrame, block: Items) -> np.ndarray:
+    """How many documents of the whole corpus hold each word of the block (one number per word reaches the driver)."""
     shared = docs.sparkSession.sparkContext.broadcast(block)
+    many = len(block.number) + 1
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = np.zeros(len(shared.value.keys), dtype=np.int64)
+        seen = np.zeros(many, dtype=np.int64)
         for part in parts:
             for texts in chunks(part["text"].tolist()):
-                _, start, at, gram = shared.value.look_up(texts)
-                doc = np.searchsorted(start, at, "right")
-                pairs = np.unique(doc * np.int64(max(len(seen), 1)) + gram)
-                np.add.at(seen, pairs % max(len(seen), 1), 1)
+                flat, start = shared.value.look_up(texts)
+                doc = np.repeat(np.arange(len(texts)), np.diff(start))
+                seen += np.bincount(np.unique((doc * many + flat)[flat > 0]) % many, minlength=many)
         at = np.flatnonzero(seen)
-        yield pd.DataFrame({"gram": at, "docs": seen[at]})
+        yield pd.DataFrame({"word": at, "docs": seen[at]})
 
-    seen = np.zeros(len(block.keys), dtype=np.int64)
-    rows = docs.select("text").mapInPandas(count, "gram long, docs long").groupBy("gram").agg(F.sum("docs").alias("docs"))
+    seen = np.zeros(many, dtype=np.int64)
+    rows = docs.select("text").mapInPandas(count, "word long, docs long").groupBy("word").agg(F.sum("docs").alias("docs"))
     for r in rows.toLocalIterator():
-        seen[r["gram"]] = r["docs"]
+        seen[r["word"]] = r["docs"]
     return seen
 
 

@@ -297,3 +297,43 @@ def test_alignment_matches_plain_smith_waterman():
                 h[i][j] = max(0, h[i - 1][j - 1] + (2 if a[i - 1] == b[j - 1] else -1), h[i - 1][j] - 1, h[i][j - 1] - 1)
         best, _, _ = decontaminate.align(np.array([a]), np.array([b]))
         assert best[0] == max(map(max, h))
+
+
+def plain_score(a, b):
+    """The best Smith-Waterman score of two lists of words, as a share of a whole copy's of the first."""
+    best, above = 0, [0] * (len(b) + 1)
+    for x in a:
+        now = [0]
+        for j, y in enumerate(b, 1):
+            now.append(max(0, above[j - 1] + (2 if x == y else -1), above[j] - 1, now[j - 1] - 1))
+        best, above = max(best, *now), now
+    return best / (2 * len(a))
+
+
+def test_decontamination_finds_all_that_plain_alignment_accepts(spark):
+    rng = random.Random(21)
+    items = [(k, cases.words_text(rng, rng.randrange(15, 21), 300)) for k in range(10)] + [(10, cases.words_text(rng, 40, 300))]
+    rows = []
+    for k, text in items[:10]:
+        for i in range(8):  # from lightly to heavily edited: changed, dropped and inserted words
+            share = 0.08 * (i + 1)
+            ws = [w for w in text.split() for w in ([w] if rng.random() > share else rng.choice([["new"], [], [w, "more"]]))]
+            rows.append((100 * k + i, cases.words_text(rng, 30, 300) + " " + " ".join(ws) + " " + cases.words_text(rng, 30, 300)))
+        ws = text.split()
+        ws[4::5] = ["changed"] * len(ws[4::5])  # no five words in a row are left
+        rows.append((100 * k + 8, " ".join(ws)))
+        rows.append((100 * k + 9, " and ".join(text.split())))  # no two
+    half = " ".join(items[10][1].split()[:22])  # a passage that many documents share
+    rows += [(2000 + i, cases.words_text(rng, 20, 300) + " " + half + " " + cases.words_text(rng, 20, 300)) for i in range(60)]
+    score = {(d, k): plain_score(text.split(), t.split()) for d, t in rows for k, text in items}
+    want = {pair: s for pair, s in score.items() if s >= 0.5}
+    assert {(2000 + i, 10) for i in range(60)} | {(100 * k + j, k) for k in range(10) for j in (8, 9)} <= set(want)
+    got = decontaminate.find(cases.frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in got} == want
+
+
+def test_decontamination_finds_short_items_as_whole_sequences(spark):
+    items = [(1, "Fjord"), (2, "red fox"), (3, "what is a quark"), (4, "..."), (5, "東京の首都")]
+    rows = [(1, "the fjord, here"), (2, "a red, FOX ran"), (3, "red dog, blue fox"), (4, "what is a red quark"), (5, "Say: what is a quark?"), (6, "(東京の首都)")]
+    got = decontaminate.find(cases.frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"], r["score"]) for r in got} == {(1, 1, 1.0), (2, 2, 1.0), (5, 3, 1.0), (6, 5, 1.0)}
