@@ -80,3 +80,11 @@ def test_plans_have_no_pair_joins_or_row_udfs(spark, sf_small):
 def test_latest_per_key_limits_before_the_shuffle(spark, sf_small):
     plan = E.queries()["file_status"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_stuck_files_are_listed_whole_and_in_order(spark, sf_small):
+    listed = [tuple(r) for r in E.queries()["stuck_files_listed"](spark, sf_small).collect()]
+    every = E.queries()["stuck_files"](spark, sf_small).select("day_id", "filename", "status", "stuck_reason").collect()
+    assert len(listed) > 200 and sorted(map(repr, listed)) == sorted(repr(tuple(r)) for r in every)
+    by_name = sorted(listed, key=lambda r: (r[3], r[1]))
+    assert listed == sorted(by_name, key=lambda r: r[0], reverse=True)
