@@ -5,9 +5,15 @@ Two passes over each whole text:
 1. the base detectors run on the text as it is (e-mail, IP, card, phone);
 2. transducers write a normalised text together with the source span of every piece:
    homoglyphs and full-width or other decimal digits become ASCII (one character each), zero-width
-   characters vanish, runs of spelled digits become digits, and disguises of ``@`` and ``.``
-   (``[at]``, ``(dot)``, `` at `` followed by a `` dot ``) become those characters.  The same
-   detectors run on the normalised text, and their spans are mapped back to source characters.
+   characters vanish, spelled digits become digits, and disguises of ``@`` and ``.``
+   (``[at]``, ``(dot)``, `` dot ``, `` at `` before a host) become those characters.  The same
+   detectors run on the normalised text and decide what counts (address shape, IP parts, Luhn, phone
+   length); their spans are mapped back to source characters.  Spelled digits are rewritten in two ways,
+   long runs only and also short ones next to digits, dots or each other, so that a number word in
+   front of a number hides nothing; of spans that meet the longer one counts.
+
+A bare `` at `` needs a disguised dot in the host (``john at example [dot] com``) or, where its dots are real, a
+local part that is no plain word (``john.doe at example.com``): ``look at example.com`` is no address.
 
 A span of the second pass is added when it covers at least one transduced piece and meets no
 base span of its kind.  Base spans always stay.  A text without any transduced
@@ -119,7 +125,7 @@ SPELLED = {
     "9": ("nine", "neun", "neuf", "nueve"),
 }
 INVISIBLE = "​‌‍⁠﻿­"
-#: Spelled digits count only in runs of so many, so that single number words stay words.
+#: Runs of so many spelled digits are rewritten wherever they are, shorter ones next to digits or dots.
 LEAST_SPELLED = 4
 
 _FOLD = {ord(x): to for to, xs in HOMOGLYPHS.items() for x in xs} | {0xFF10 + d: str(d) for d in range(10)} \
@@ -127,16 +133,25 @@ _FOLD = {ord(x): to for to, xs in HOMOGLYPHS.items() for x in xs} | {0xFF10 + d:
     | {start + d: str(d) for start in (0x660, 0x6F0, 0x966) for d in range(10)}
 _DIGIT_OF = {w: d for d, ws in SPELLED.items() for w in ws}
 _WORD = "|".join(sorted(_DIGIT_OF, key=len, reverse=True))
-_SPELLED = re.compile(rf"\b(?:{_WORD})(?:[\x20,-]{{1,2}}(?:{_WORD}|[0-9]))+\b", re.I)
+_SPELLED = re.compile(rf"\b(?:{_WORD})\b(?:[\x20,-]{{1,2}}(?:(?:{_WORD})|[0-9])\b)*+", re.I)
 _SPELLED_PART = re.compile(rf"{_WORD}|[0-9]", re.I)
+_DOT_WORD = "(?:dot|punto|punkt|point)"
 _OPEN, _CLOSE = r"[\x20]{0,2}[\[({<][\x20]?", r"[\x20]?[\])}>][\x20]{0,2}"
-_BRACKETED = re.compile(rf"{_OPEN}(?:(at|arroba)|(dot|punto|punkt|point))(?:{_CLOSE})", re.I)
-_LABEL = r"[A-Za-z0-9-]+"
-#: "name at host dot com": a bare "at" counts only where a bare or bracketed dot follows one label on.
-_BARE = re.compile(rf"(?<=[A-Za-z0-9])(\x20{{1,2}}(?:at|arroba)\x20{{1,2}})(?=({_LABEL}(?:\.{_LABEL})*)((?:\x20{{1,2}}(?:dot|punto|punkt|point)\x20{{1,2}}{_LABEL})+))", re.I)
-_BARE_DOT = re.compile(r"\x20{1,2}(?:dot|punto|punkt|point)\x20{1,2}", re.I)
+_BRACKETED = re.compile(rf"{_OPEN}(?:(at|arroba)|({_DOT_WORD})){_CLOSE}", re.I)
+_DISGUISED = rf"(?:\x20{{1,2}}{_DOT_WORD}\x20{{1,2}}|{_OPEN}{_DOT_WORD}{_CLOSE})"
+_LABEL = r"[A-Za-z0-9-]++"
+_BARE_DOT = re.compile(rf"(?<=[A-Za-z0-9_%+-])\x20{{1,2}}{_DOT_WORD}\x20{{1,2}}(?=[A-Za-z0-9_%+-])", re.I)
+_BARE_AT = re.compile(rf"(?<=[A-Za-z0-9])\x20{{1,2}}(?:at|arroba)\x20{{1,2}}(?=({_LABEL}(?:(?:\.|{_DISGUISED}){_LABEL})+))", re.I)
+_DOT_BEFORE = re.compile(rf"{_DISGUISED}[A-Za-z0-9_%+-]+\Z", re.I)
+_HAS_DISGUISED = re.compile(_DISGUISED, re.I)
+#: What joins digits of one identifier, on both sides of a short run of spelled ones.
+_JOINT = rf"(?:{_DISGUISED}|[\x20().,-]{{1,3}})"
+_NUMBER_AFTER = re.compile(rf"{_JOINT}(?:[0-9]|(?:{_WORD})\b)", re.I)
+_NUMBER_BEFORE = re.compile(rf"(?:[0-9+]|\b(?:{_WORD})){_JOINT}\Z|[+(]\Z", re.I)
+#: A joint and a spelled digit have no more characters.
+_REACH = 20
 _ODD = re.compile("[" + re.escape("".join(map(chr, _FOLD)) + INVISIBLE) + "]")
-_HINT = re.compile(r"[\[({<]\x20?(?:at|arroba|dot|punto|punkt|point)\x20?[\])}>]|\x20(?:dot|punto|punkt|point)\x20", re.I)
+_HINT = re.compile(rf"[\[({{<]\x20?(?:at|arroba|{_DOT_WORD})\x20?[\])}}>]|\x20{_DOT_WORD}\x20|\x20(?:at|arroba)\x20{{1,2}}{_LABEL}\.[A-Za-z0-9]", re.I)
 
 
 class Tape:
@@ -203,30 +218,62 @@ def fold_characters(tape: Tape) -> None:
     tape.rewrite([(m.start(), m.end(), _FOLD.get(ord(m.group()), "")) for m in _ODD.finditer(tape.text)])
 
 
-def spelled_digits(tape: Tape) -> None:
-    edits = []
-    for m in _SPELLED.finditer(tape.text):
+def spelled_digits(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
+    """Edits of long runs, and of these and of short runs that other digits or dots stand next to."""
+    long, every = [], []
+    for m in _SPELLED.finditer(text):
+        a, b = m.span()
         parts = _SPELLED_PART.findall(m.group())
+        edit = (a, b, "".join(_DIGIT_OF.get(p.lower(), p) for p in parts))
         if len(parts) >= LEAST_SPELLED:
-            edits.append((m.start(), m.end(), "".join(_DIGIT_OF.get(p.lower(), p) for p in parts)))
-    tape.rewrite(edits)
+            long.append(edit)
+            every.append(edit)
+        elif _NUMBER_AFTER.match(text, b, b + _REACH) or _NUMBER_BEFORE.search(text[max(0, a - _REACH):a]):
+            every.append(edit)
+    return long, every
 
 
 def address_disguises(tape: Tape) -> None:
-    edits = []
-    for m in _BARE.finditer(tape.text):
-        edits.append((m.start(1), m.end(1), "@"))
-        edits += [(m.start(3) + d.start(), m.start(3) + d.end(), ".") for d in _BARE_DOT.finditer(m.group(3))]
-    bracketed = [(m.start(), m.end(), "@" if m.group(1) else ".") for m in _BRACKETED.finditer(tape.text)]
-    edits = sorted(edits + bracketed)
+    text, edits = tape.text, []
+    for m in _BARE_AT.finditer(text):
+        if _HAS_DISGUISED.search(m.group(1)) or (m.group(1)[-1].isalpha() and named(text, m.start())):
+            edits.append((m.start(), m.end(), "@"))
+    edits += [(m.start(), m.end(), ".") for m in _BARE_DOT.finditer(text)]
+    edits += [(m.start(), m.end(), "@" if m.group(1) else ".") for m in _BRACKETED.finditer(text)]
     free, apart = 0, []
-    for e in edits:
+    for e in sorted(edits):
         if e[0] >= free:
             apart.append(e)
             free = e[1]
     tape.rewrite(apart)
 
 
+def named(text: str, end: int) -> bool:
+    """The local part that ends here is no plain word: digits, a dot or the like are in it, or a disguised dot."""
+    start = end
+    while start > max(0, end - 64) and text[start - 1] in _LOCAL_CHARS:
+        start -= 1
+    local = text[start:end]
+    return any(map(str.isalpha, local)) and (any(c in "0123456789._%+" for c in local)
+                                             or _DOT_BEFORE.search(text[max(0, start - _REACH):end]) is not None)
+
+
+def normalised(text: str, odd: bool) -> list[Tape]:
+    """The text with its disguises undone; twice if short runs of spelled digits make a difference."""
+    folded = Tape(text)
+    if odd:
+        fold_characters(folded)
+    long, every = spelled_digits(folded.text)
+    out = []
+    for edits in (long, every) if len(every) > len(long) else (long,):
+        tape = Tape(folded.text)
+        tape.starts, tape.source, tape.touched = folded.starts, folded.source, folded.touched
+        tape.rewrite(edits)
+        address_disguises(tape)
+        out.append(tape)
+    return out
+
+
 def scan(text: str | None) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
     """Base spans and added spans by kind."""
     if not text:
@@ -236,23 +283,30 @@ def scan(text: str | None) -> tuple[dict[str, list[Span]], dict[str, list[Span]]
     odd = not text.isascii() and _ODD.search(text) is not None
     if not odd and not _HINT.search(text) and not _SPELLED.search(text):
         return base, added
-    tape = Tape(text)
-    if odd:
-        fold_characters(tape)
-    spelled_digits(tape)
-    address_disguises(tape)
-    if tape.text == text:
-        return base, added
-    for kind, spans in detect(tape.text).items():
-        known = base[kind]
-        starts = [s for s, _ in known]
-        for a, b in spans:
-            if tape.covers_touched(a, b):
-                s, e = tape.source_span(a, b)
-                k = bisect_right(starts, s)
-                if (k == 0 or known[k - 1][1] <= s) and (k == len(known) or known[k][0] >= e):
-                    added[kind].append((s, e))
-    return base, added
+    for tape in normalised(text, odd):
+        if tape.text == text:
+            continue
+        for kind, spans in detect(tape.text).items():
+            known = base[kind]
+            starts = [s for s, _ in known]
+            for a, b in spans:
+                if tape.covers_touched(a, b):
+                    s, e = tape.source_span(a, b)
+                    k = bisect_right(starts, s)
+                    if (k == 0 or known[k - 1][1] <= s) and (k == len(known) or known[k][0] >= e):
+                        added[kind].append((s, e))
+    return base, {kind: longest(spans) for kind, spans in added.items()}
+
+
+def longest(spans: list[Span]) -> list[Span]:
+    """Of spans that meet the longer one."""
+    out: list[Span] = []
+    for s, e in sorted(set(spans)):
+        if not out or out[-1][1] <= s:
+            out.append((s, e))
+        elif e - s > out[-1][1] - out[-1][0]:
+            out[-1] = (s, e)
+    return out
 
 
 def joined(spans: dict[str, list[Span]]) -> str:

@@ -337,3 +337,38 @@ def test_decontamination_finds_short_items_as_whole_sequences(spark):
     rows = [(1, "the fjord, here"), (2, "a red, FOX ran"), (3, "red dog, blue fox"), (4, "what is a red quark"), (5, "Say: what is a quark?"), (6, "(東京の首都)")]
     got = decontaminate.find(cases.frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r["doc_id"], r["item_id"], r["score"]) for r in got} == {(1, 1, 1.0), (2, 2, 1.0), (5, 3, 1.0), (6, 5, 1.0)}
+
+
+@pytest.mark.parametrize("text,kind,found", [
+    ("host one nine two dot one six eight dot one dot one up", "ip", "one nine two dot one six eight dot one dot one"),
+    ("at 192 dot 168 dot 1 dot one now", "ip", "192 dot 168 dot 1 dot one"),
+    ("at ten (dot) zero, 10 [dot] zero [dot] zero [dot] 7", "ip", "10 [dot] zero [dot] zero [dot] 7"),
+    ("call +49 five five five 1234 567 now", "phone", "+49 five five five 1234 567"),
+    ("call +four nine 30 1234 five six seven", "phone", "+four nine 30 1234 five six seven"),
+    ("card 4111 one one one one 1111 one one 11.", "card", "4111 one one one one 1111 one one 11"),
+    ("card one ４１１１ 1111 1111 1111", "card", "４１１１ 1111 1111 1111"),
+    ("write john at example [dot] com now", "email", "john at example [dot] com"),
+    ("ask john dot doe at example dot com, please", "email", "john dot doe at example dot com"),
+    ("ask john [dot] doe [at] mail.example dot com", "email", "john [dot] doe [at] mail.example dot com"),
+    ("ask john.doe at example.com, please", "email", "john.doe at example.com"),
+    ("ask john dot doe at example.com", "email", "john dot doe at example.com"),
+    ("mail john dot doe@example.com", "email", None),  # the base span stays
+])
+def test_disguises_in_parts_map_back_to_their_source(text, kind, found):
+    base, added = pii.scan(text)
+    assert [text[s:e] for s, e in added[kind]] == ([found] if found else [])
+    assert base == base_by_hand(text) and not any(spans for k, spans in added.items() if k != kind)
+
+
+@pytest.mark.parametrize("text", ["one dot two dot three", "see figure 3 at 2.5 km", "host at 10.0.0.1", "un 12 de dos dot com",
+                                  "nine nine nine dot one dot one dot one", "+49 five", "at one, the dot com boom", "drop at noon. Next"])
+def test_rewritten_text_without_an_identifier_gets_no_span(text):
+    assert not any(pii.scan(text)[1].values())
+
+
+def test_time_of_disguises_grows_with_the_text():
+    import time
+    for piece in ("one ", "a dot ", "a at b.", "a at ", "1 one ", "one dot ", "a [dot] ", "x.", "+", "oh-"):
+        began = time.time()
+        pii.scan(piece * 20_000)
+        assert time.time() - began < 5, piece
