@@ -23,8 +23,11 @@ the same metric's bound on the symmetric difference:
    metric that never exceeds the symmetric difference.
 4. A region joins recursively: document pivots, nearest pivot, windows of ``2 eps``, until regions
    are small or windows no longer separate; then sets are compared exactly, except those
-   already in one component.  Regions above ``max_region`` bytes of text are split by pivots on the cluster
-   first, smaller ones within a task.
+   already in one component.
+5. Regions above ``max_region`` bytes are joined on the cluster.  Rounds of a few pivots per region are compared
+   with all its sets, since near copies of one text are within every window but link to such a pivot.
+   What is linked is one component; sets of different components are compared block against block, each two
+   blocks within ``max_region`` bytes.
 
 Bitmaps of fixed size keep texts and shingles of sets without a possible partner out of the
 shuffles.  A false "perhaps" costs a comparison and changes no result.
@@ -313,48 +316,102 @@ def region_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return some.join(asked, same).select("sid", "region", F.col("text").cast("binary").alias("body"))
 
 
-def split_regions(texts: DataFrame, n: int, least: int, max_region: int) -> DataFrame:
-    """Split regions above ``max_region`` bytes by document pivots, on the cluster: (sid, region, cell, body).
-
-    Each such region gets two pivots per ``max_region`` bytes (by hash, so the choice is the same
-    everywhere); every set goes to the nearest one's region and, within the window, to others.
-    """
-    large = (texts.groupBy("region").agg(F.sum(F.octet_length("body")).alias("n")).where(F.col("n") > max_region)
-             .select("region", F.ceil(2 * F.col("n") / max_region).alias("pivots")))
-    if not large.limit(1).count():
-        return texts.withColumn("cell", F.lit(0))
+def large_sets(texts: DataFrame, large: DataFrame, n: int) -> DataFrame:
+    """(sid, region, bytes, shingles) of the sets in large regions."""
 
     def shingle(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            yield pd.DataFrame({"sid": part["sid"], "region": part["region"], "pivots": part["pivots"],
-                                "shingles": [worker_shingler(n).set_of(b) for b in part["body"]]})
-
-    sets = keep(texts.join(large, "region").select("sid", "region", "pivots", "body").mapInPandas(
-        shingle, "sid binary, region binary, pivots long, shingles array<long>").dropDuplicates(["sid"]), "large-regions")
-    ranked = (sets.withColumn("cell", F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("sid"), "sid")))
-              .where(F.col("cell") <= F.col("pivots")).select("region", "cell", F.col("shingles").alias("pivot")))
-    far = (sets.join(ranked, "region")
-           .withColumn("s", F.size(F.array_intersect("shingles", "pivot")))
-           .select("sid", "cell", (1 - F.col("s") / (F.size("shingles") + F.size("pivot") - F.col("s"))).alias("far")))
-    near = far.groupBy("sid").agg(F.min("far").alias("near"))
-    cells = far.join(near, "sid").where(F.col("far") <= F.col("near") + 2 * (1 - least / 100) + 1e-9).select("sid", "cell")
-    small = texts.join(large, "region", "left_anti").withColumn("cell", F.lit(0))
-    return small.unionByName(texts.join(cells, "sid").select("sid", "region", "body", "cell"))
-
-
-def link_edges(texts: DataFrame, n: int, least: int) -> DataFrame:
-    """(a, b): links that connect every component within the regions, at most one per set and region."""
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.drop_duplicates("sid").sort_values("sid")
-        if len(part) < 2:
-            return pd.DataFrame({"a": [], "b": []})
-        region = Region([worker_shingler(n).set_of(b) for b in part["body"]], least)
+            sets = [worker_shingler(n).set_of(b) for b in part["body"]]
+            yield pd.DataFrame({"sid": part["sid"], "region": part["region"],
+                                "bytes": [max(len(b), s.nbytes) for b, s in zip(part["body"], sets)], "shingles": sets})
+
+    return keep(texts.join(large.select("region"), "region").select("sid", "region", "body").mapInPandas(
+        shingle, "sid binary, region binary, bytes long, shingles array<long>").dropDuplicates(["sid"]), "large-regions")
+
+
+def pivot_links(sets: DataFrame, least: int) -> DataFrame:
+    """(a, b): links between pivots and all sets of their regions, in rounds of ``PIVOTS`` sets per region that no
+    earlier pivot links to, as long as a round links a tenth of what is left."""
+    edges, left = None, sets.select("sid", "region")
+    count = left.count()
+    while count:
+        first = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("sid"), "sid"))
+        chosen = left.withColumn("rank", first).where(F.col("rank") <= PIVOTS).select("sid")
+        pivots = keep(sets.join(chosen, "sid").select("region", F.col("sid").alias("pivot"), F.col("shingles").alias("other")), "pivots")
+        shared = F.size(F.array_intersect("shingles", "other"))
+        linked = (sets.join(F.broadcast(pivots), "region").withColumn("shared", shared)
+                  .where(100 * F.col("shared") >= least * (F.size("shingles") + F.size("other") - F.col("shared")))
+                  .select(F.col("pivot").alias("a"), F.col("sid").alias("b")))
+        found = keep(linked, "pivot-links")  # a pivot is linked to itself
+        edges = found if edges is None else edges.unionByName(found)
+        left = keep(left.join(found.select(F.col("b").alias("sid")).distinct(), "sid", "left_anti"), "unlinked")
+        before, count = count, left.count()
+        if 10 * count > 9 * before:
+            break
+    return edges.where("a != b")
+
+
+def block_tasks(sets: DataFrame, links: DataFrame, max_region: int) -> DataFrame:
+    """(sid, region, label, shingles, task): every two sets of a region that ``links`` leave in different components
+    are in a task together; a task has two blocks of about half of ``max_region`` bytes at most.
+
+    A component above a quarter of it has blocks of its own, which are not compared with each other; the
+    rest of a region is dealt into blocks by set.
+    """
+    known = connected_components(links).select(F.col("node").alias("sid"), "label")
+    sets = sets.join(known, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    room = max_region / 4  # blocks are dealt by hash: on average half of what they may have
+    whole = sets.groupBy("region", "label").agg(F.sum("bytes").alias("bytes"))
+    own = keep(whole.withColumn("own", F.when(F.col("bytes") > room, F.col("label")))
+               .groupBy("region", "own").agg(F.sum("bytes").alias("bytes"))
+               .withColumn("blocks", F.ceil(F.col("bytes") / room)), "components-in-blocks")
+    several = own.where("own IS NOT NULL").select("region", F.col("own").alias("label"), "blocks")
+    pooled = own.where("own IS NULL").select("region", F.col("blocks").alias("pooled"))
+    dealt = (sets.join(F.broadcast(several), ["region", "label"], "left").join(F.broadcast(pooled), "region", "left")
+             .withColumn("own", F.when(F.col("blocks").isNotNull(), F.col("label")))
+             .withColumn("block", F.pmod(F.xxhash64("sid"), F.coalesce("blocks", "pooled")))
+             .select("sid", "region", "label", "shingles", "own", "block"))
+    each = own.select("region", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    name = F.struct(F.coalesce("own", F.lit(b"")).alias("own"), "block")
+    x = each.select("region", F.col("own").alias("x_own"), name.alias("x"))
+    y = each.select("region", F.col("own").alias("y_own"), name.alias("y"))
+    pairs = (x.join(y, "region").where("x <= y AND NOT (x_own IS NOT NULL AND x_own <=> y_own)")
+             .withColumn("task", F.xxhash64("x", "y")).select("region", "x", "y", "task"))
+    sides = pairs.select("region", F.col("x").alias("at"), "task").unionByName(pairs.where("x != y").select("region", F.col("y").alias("at"), "task"))
+    return dealt.withColumn("at", name).join(sides, ["region", "at"]).select("sid", "region", "label", "shingles", "task")
+
+
+def link_edges(texts: DataFrame, n: int, least: int, max_region: int = MAX_REGION) -> DataFrame:
+    """(a, b): links that connect every component within the regions."""
+
+    def edges(part: pd.DataFrame, sets: list[np.ndarray]) -> pd.DataFrame:
+        region = Region(sets, least)
+        if "label" in part:
+            region.component = pd.factorize(part["label"])[0]
         region.join(np.arange(len(part)))
         sid = part["sid"].to_numpy()
         return pd.DataFrame({"a": [sid[x] for x, _ in region.edges], "b": [sid[y] for _, y in region.edges]})
 
-    return texts.groupBy("region", "cell").applyInPandas(run, "a binary, b binary")
+    def by_text(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.drop_duplicates("sid").sort_values("sid")
+        if len(part) < 2:
+            return pd.DataFrame({"a": [], "b": []})
+        return edges(part, [worker_shingler(n).set_of(b) for b in part["body"]])
+
+    def by_block(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("sid")
+        if part["label"].nunique() < 2:
+            return pd.DataFrame({"a": [], "b": []})
+        return edges(part, [np.asarray(s, dtype=np.int64) for s in part["shingles"]])
+
+    large = keep(texts.groupBy("region").agg(F.sum(F.octet_length("body")).alias("n")).where(F.col("n") > max_region), "large")
+    if not large.limit(1).count():
+        return texts.groupBy("region").applyInPandas(by_text, "a binary, b binary")
+    small = texts.join(large, "region", "left_anti").groupBy("region").applyInPandas(by_text, "a binary, b binary")
+    sets = large_sets(texts, large, n)
+    links = pivot_links(sets, least)
+    blocks = block_tasks(sets, links, max_region).groupBy("region", "task").applyInPandas(by_block, "a binary, b binary")
+    return small.unionByName(links).unionByName(blocks)
 
 
 def grouped(docs: DataFrame, n: int = 5, least: int = 80, max_region: int = MAX_REGION, bits: int = FILTER_BITS) -> DataFrame:
@@ -369,7 +426,7 @@ def grouped(docs: DataFrame, n: int = 5, least: int = 80, max_region: int = MAX_
     regions = connected_components(edges).select(F.col("node").alias("sid"), F.col("label").alias("region"))
     wanted = keep(named.join(regions, "sid").select("sid", "region", "least_row.doc_id", "least_row.text_hash"), "wanted")
     texts = keep(region_texts(docs, wanted), "region-texts")
-    links = connected_components(link_edges(split_regions(texts, n, least, max_region), n, least))
+    links = connected_components(link_edges(texts, n, least, max_region))
     own = named
     linked = links.select(F.col("node").alias("sid"), "label").join(own, "sid")
     best = linked.groupBy("label").agg(F.min("least_row").alias("best"))

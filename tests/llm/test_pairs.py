@@ -184,3 +184,36 @@ def test_long_texts_are_sliced(monkeypatch):
            for k in range(int(t - f) + 1)}
     suffix_dedup.powers.cache_clear()
     assert whole == cut and len(whole) == 4801
+
+
+def test_a_large_region_of_near_copies_is_compared_in_bounded_tasks(spark):
+    """Near copies of one text are within every pivot's window, so no cell of pivots would be smaller than the region."""
+    rng = random.Random(9)
+    base = [f"v{rng.randrange(10 ** 6)}" for _ in range(150)]
+    rows, now = [], list(base)
+    for i in range(200):  # copies with one changed word
+        rows.append((i, " ".join(base[:i % 150] + [f"n{i}"] + base[i % 150 + 1:])))
+    for i in range(200, 260):  # a chain that leads away from them
+        now = list(now)
+        now[rng.randrange(150)] = f"n{i}"
+        rows.append((i, " ".join(now)))
+    rows += [(300 + i, " ".join(base[:100] + [f"o{i}_{k}" for k in range(50)])) for i in range(40)]  # share a passage, no link
+    want, _ = cases.component_ids(rows, 3, 90)
+    want = {i: c for (i, _), (_, c) in zip(rows, want)}
+    bound = 60_000
+    assert sum(len(t) for _, t in rows) > 4 * bound
+    docs = cases.frame(spark, rows)
+    got = jaccard_join.components(docs, 3, 90, max_region=bound)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
+    texts = spark.createDataFrame([(str(i).encode(), b"region", t.encode()) for i, t in rows], "sid binary, region binary, body binary")
+    sets = jaccard_join.large_sets(texts, texts.select("region").distinct(), 3)
+    tasks = jaccard_join.block_tasks(sets, jaccard_join.pivot_links(sets, 90), bound).join(sets.select("sid", "bytes"), "sid").collect()
+    held, together = collections.Counter(), collections.defaultdict(set)
+    label = {}
+    for r in tasks:
+        held[r["task"]] += r["bytes"]
+        together[r["task"]].add(int(r["sid"]))
+        label[int(r["sid"])] = bytes(r["label"])
+    assert max(held.values()) <= bound and len(held) > 4
+    met = {(x, y) for ids in together.values() for x in ids for y in ids}
+    assert all((x, y) in met for x in label for y in label if label[x] != label[y])
