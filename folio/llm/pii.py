@@ -251,7 +251,7 @@ def address_disguises(tape: Tape) -> None:
 def named(text: str, end: int) -> bool:
     """The local part that ends here is no plain word: digits, a dot or the like are in it, or a disguised dot."""
     start = end
-    while start > max(0, end - 64) and text[start - 1] in _LOCAL_CHARS:
+    while start and text[start - 1] in _LOCAL_CHARS:  # runs before different ends do not overlap: linear in the text
         start -= 1
     local = text[start:end]
     return any(map(str.isalpha, local)) and (any(c in "0123456789._%+" for c in local)

@@ -267,7 +267,7 @@ def test_decontamination_finds_whole_and_edited_copies_only(spark):
         rows.append((200 + k, cases.words_text(rng, 30, 2000) + " " + " ".join(edited)))
         rows.append((300 + k, cases.words_text(rng, 30, 2000) + " " + " ".join(ws[:8])))  # a few words are no copy
         want |= {(100 + k, k), (200 + k, k)}
-    rows.append((400, items[23][1]))
+    rows.append((400, items[-1][1]))
     want.add((400, 23))
     docs = cases.frame(spark, rows)
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -352,6 +352,7 @@ def test_decontamination_finds_short_items_as_whole_sequences(spark):
     ("ask john [dot] doe [at] mail.example dot com", "email", "john [dot] doe [at] mail.example dot com"),
     ("ask john.doe at example.com, please", "email", "john.doe at example.com"),
     ("ask john dot doe at example.com", "email", "john dot doe at example.com"),
+    ("ask j." + "d" * 200 + " at example.com", "email", "j." + "d" * 200 + " at example.com"),
     ("mail john dot doe@example.com", "email", None),  # the base span stays
 ])
 def test_disguises_in_parts_map_back_to_their_source(text, kind, found):
