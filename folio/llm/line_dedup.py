@@ -151,11 +151,11 @@ def lost_lines(docs: DataFrame, least_docs: int = 3, least_chars: int = 20) -> D
     # written first: the borders of ranges are found by a pass of its own
     ranged = keep(keyed_lines(docs, least_chars), "line-keys").repartitionByRange(*order).sortWithinPartitions(*order)
     judged = keep(ranged.mapInPandas(_judge(least_docs), _JUDGED), "lines-judged")
-    # a row per task and end: at most twice as many rows as tasks
+    # a row of at most least_docs ids per task and end: twice as many rows as there are tasks, so they may be broadcast
     documents = F.array_distinct(F.flatten(F.collect_list("docs")))
     ends = (judged.where("kind = 'end'").groupBy("h1", "h2").agg(documents.alias("docs"))
             .where(F.size("docs") >= least_docs).select("h1", "h2", F.array_max("docs").alias("first_id")))
-    opened = judged.where("kind = 'open'").join(ends, ["h1", "h2"]).where("id != first_id")
+    opened = judged.where("kind = 'open'").join(F.broadcast(ends), ["h1", "h2"]).where("id != first_id")
     columns = ["id", "text_hash", "n_lines", "at"]
     return judged.where("kind = 'drop'").select(*columns).unionByName(opened.select(*columns))
 
