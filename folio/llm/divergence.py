@@ -140,37 +140,39 @@ def difference(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), p + q)
 
 
-def _both(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _both(block: int):
     """Per two sources and over the terms that both have: f of the weights instead of what the histograms say."""
-    sums: dict[tuple[str, int, int], np.ndarray] = {}
 
     def f(p: np.ndarray, q: np.ndarray) -> np.ndarray:
         p, q = p[:, None], q[None, :]
         return (p - q) ** 2 // (p + q)
 
-    def take() -> Iterator[pd.DataFrame]:
+    def take(sums: dict[tuple[str, int, int], np.ndarray]) -> Iterator[pd.DataFrame]:
         for (lang, x, y), m in sums.items():
             i, j = np.nonzero(m)
             value = m[i, j]
+            i, j = i + x * block, j + y * block
             if x != y:
-                i, j, value = np.append(i + x * BLOCK, j + y * BLOCK), np.append(j + y * BLOCK, i + x * BLOCK), np.append(value, value)
-            else:
-                i, j = i + x * BLOCK, j + x * BLOCK
+                i, j, value = np.append(i, j), np.append(j, i), np.append(value, value)
             if len(i):
                 yield pd.DataFrame({"lang": lang, "a": i, "b": j, "v": value})
         sums.clear()
 
-    for part in parts:
-        for lang, x, y, i, p, zero, j, q, none in part.itertuples(index=False):
-            if (lang, x, y) not in sums:
-                if len(sums) >= MAX_MATRICES:
-                    yield from take()
-                sums[lang, x, y] = np.zeros((BLOCK, BLOCK), dtype=np.int64)
-            sums[lang, x, y][np.ix_(i, j)] += f(p, q) - f(p, none) - f(zero, q) + f(zero, none)
-    yield from take()
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple[str, int, int], np.ndarray] = {}
+        for part in parts:
+            for lang, x, y, i, p, zero, j, q, none in part.itertuples(index=False):
+                if (lang, x, y) not in sums:
+                    if len(sums) >= MAX_MATRICES:
+                        yield from take(sums)
+                    sums[lang, x, y] = np.zeros((block, block), dtype=np.int64)
+                sums[lang, x, y][np.ix_(i, j)] += f(p, q) - f(p, none) - f(zero, q) + f(zero, none)
+        yield from take(sums)
+
+    return run
 
 
-def audit(docs: DataFrame, least_docs: int = 10, top: int = 10) -> DataFrame:
+def audit(docs: DataFrame, least_docs: int = 10, top: int = 10, block: int = BLOCK) -> DataFrame:
     """(lang, source, part, item, value, rank): ``pair`` rows for every two sources of a language, and the ``top`` ``term``
     rows of each group whose weight is above the language's."""
     every = keep(counted(docs), "term-counts")
@@ -196,15 +198,14 @@ def audit(docs: DataFrame, least_docs: int = 10, top: int = 10) -> DataFrame:
     term_rows = ranked(weighed.where("p > q").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"),
                                                      difference(F.col("p"), F.col("q")).alias("value"))).where(F.col("rank") <= top)
 
-    block = F.floor(F.col("at") / BLOCK)
-    one = F.struct((F.col("at") % BLOCK).alias("i"), "p", "zero")
-    rows = weighed.groupBy("lang", "term", block.alias("block")).agg(F.collect_list(one).alias("x"))
+    one = F.struct((F.col("at") % block).alias("i"), "p", "zero")
+    rows = weighed.groupBy("lang", "term", F.floor(F.col("at") / block).alias("block")).agg(F.collect_list(one).alias("x"))
     side = lambda x: [F.col(f"{x}.i"), F.col(f"{x}.p"), F.col(f"{x}.zero")]
     within = rows.select("lang", "block", F.col("block"), *side("x"), *side("x"))
     other = rows.where("block > 0").select("lang", "term", F.col("block").alias("block2"), F.col("x").alias("y"))
     across = rows.join(other, ["lang", "term"]).where("block < block2").select("lang", "block", "block2", *side("x"), *side("y"))
     schema = ["lang", "b1", "b2", "i", "p", "zero", "j", "q", "none"]
-    both = (within.toDF(*schema).unionByName(across.toDF(*schema)).mapInPandas(_both, "lang string, a long, b long, v long")
+    both = (within.toDF(*schema).unionByName(across.toDF(*schema)).mapInPandas(_both(block), "lang string, a long, b long, v long")
             .groupBy("lang", "a", "b").agg(F.sum("v").alias("both")))
 
     weights = weighed.groupBy("lang", "source", "p").agg(F.count("*").alias("m"))
