@@ -11,8 +11,9 @@ rank.  For each distinct word of a batch:
    A proposal whose adjacent pairs are all compatible is what merging would give;
 3. repair: only words with a failing pair are merged exactly.
 
-Unknown pairs are decided by merging those few symbols once and remembered.  Word results and
-pair verdicts are kept per Python worker in tables that are emptied at a fixed number of
+Unknown pairs are decided by merging those few symbols once and remembered.  Merging, of pairs as of failing words,
+is done for a whole batch at once: per round every word takes its next merge, the lowest rank and the leftmost
+of equal ones.  Word results and pair verdicts are kept per Python worker in tables that are emptied at a fixed number of
 entries, so memory is bounded; results do not depend on them.
 
 Special tokens written out in a text are found first and get their own ids.  Decoding joins the
@@ -25,7 +26,9 @@ file's path is a parameter and the file is broadcast (it is read on the driver).
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import gc
 import hashlib
 import heapq
 import json
@@ -33,6 +36,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import regex
@@ -51,12 +55,11 @@ MAX_WORDS = 250_000
 MAX_PAIRS = 2_000_000
 #: Words longer than this many bytes are not kept in the worker's table.
 MAX_KEPT_WORD = 64
-#: Up to so many symbols a plain scan for the lowest rank is faster than a heap; both merge alike.
+#: Words of up to so many symbols are merged together; longer ones each with a heap.  Both merge alike.
 SHORT_WORD = 64
 NO_RANK = 1 << 60
-NO_MERGE = (NO_RANK, -1)
 #: Texts are encoded together up to so many characters.
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 4_000_000
 
 
 @functools.cache
@@ -81,26 +84,33 @@ class Vocabulary:
             self.merges[self.ids[left] << 32 | self.ids[right]] = (rank, self.ids[left + right])
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
         self.tokens |= {i: t for t, i in self.special.items()}
-        self.longest: dict[str, int] = {}
+        self.prefixes = ahocorasick.Automaton()
         for t in self.ids:
-            bare = t[:-len(WORD_END)] if t.endswith(WORD_END) and len(t) > len(WORD_END) else t
-            self.longest[bare[:2]] = max(len(bare), self.longest.get(bare[:2], 0))
+            self.prefixes.add_word(t, True)
+        self.decimal = {i: str(i) for i in self.tokens}
+        # the same tables as arrays: merges sorted by pair, and every token's symbols
+        self.pairs = np.array(sorted(self.merges), dtype=np.int64)
+        self.ranks = np.array([self.merges[p][0] for p in self.pairs.tolist()], dtype=np.int64)
+        self.merged = np.array([self.merges[p][1] for p in self.pairs.tolist()], dtype=np.int64)
+        parts = [self.symbols(self.tokens.get(i, "")) for i in range(max(self.tokens) + 1)]
+        self.part_count = np.array(list(map(len, parts)), dtype=np.int64)
+        self.part_start = np.concatenate([[0], np.cumsum(self.part_count)])
+        self.parts = np.array([x for p in parts for x in p], dtype=np.int64)
+        self.inner = np.array([self.ids.get(chr(c), -1) for c in range(512)], dtype=np.int64)  # byte symbols are below 512
+        self.final = np.array([self.ids.get(chr(c) + WORD_END, -1) for c in range(512)], dtype=np.int64)
+        self.ends = np.array([self.tokens.get(i, "").endswith(WORD_END) for i in range(len(parts))], dtype=bool)
 
     def propose(self, word: str) -> list[int] | None:
-        """Greedy longest match over a word's byte symbols; None where a symbol is in no token."""
-        ids, out, i, n = self.ids, [], 0, len(word)
+        """Greedy longest match over a word's byte symbols with their end; None where a symbol is in no token."""
+        ids, reach, out, i, n = self.ids, self.prefixes.longest_prefix, [], 0, len(word)
         while i < n:
-            most = max(self.longest.get(word[i:i + 2], 0), 1)
-            if n - i <= most and (k := ids.get(word[i:] + WORD_END)) is not None:
-                out.append(k)
-                return out
-            for j in range(min(n - 1, i + most), i, -1):
-                if (k := ids.get(word[i:j])) is not None:
-                    out.append(k)
-                    i = j
-                    break
-            else:
+            j = i + reach(word[i:])  # no token goes on beyond; one that ends within the word's end does not count
+            while j > i and ((k := ids.get(word[i:j])) is None or n > j >= n - len(WORD_END)):
+                j -= 1
+            if j == i:
                 return None
+            out.append(k)
+            i = j
         return out
 
     def symbols(self, token: str) -> list[int]:
@@ -110,22 +120,74 @@ class Vocabulary:
         parts = [*bare[:-1], bare[-1] + WORD_END] if end else list(bare)
         return [k for x in parts if (k := self.ids.get(x)) is not None]
 
+    def symbols_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the byte symbols of words, one after the other, and how many each word has; unknown symbols are dropped."""
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        code = np.frombuffer("".join(words).encode("utf-16-le"), dtype="<u2")
+        flat = self.inner[code]
+        flat[np.cumsum(length) - 1] = self.final[code[np.cumsum(length) - 1]]
+        known = flat >= 0
+        if not known.all():
+            length = np.bincount(np.repeat(np.arange(len(words)), length)[known], minlength=len(words))
+            flat = flat[known]
+        return flat, length
+
+    def merge_all(self, flat: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exact merging of many words at once: ``flat`` holds their symbols one after the other.
+
+        A round does each word's next merge: the lowest rank, the leftmost of equal ones.  Words
+        without one are done and leave the working arrays.
+        """
+        out, count = flat.copy(), length.copy()
+        start = np.concatenate([[0], np.cumsum(length)[:-1]]) if len(length) else np.empty(0, np.int64)
+        word = np.repeat(np.arange(len(length)), length)
+        symbol = flat.astype(np.int64)
+
+        def look(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Rank and result of the pairs that begin at these places."""
+            rank, to = np.full(len(at), NO_RANK, dtype=np.int64), np.full(len(at), -1, dtype=np.int64)
+            inner = np.flatnonzero(at + 1 < len(word))
+            inner = inner[word[at[inner]] == word[at[inner] + 1]]
+            pair = symbol[at[inner]] << 32 | symbol[at[inner] + 1]
+            place = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+            hit = self.pairs[place] == pair
+            rank[inner[hit]], to[inner[hit]] = self.ranks[place[hit]], self.merged[place[hit]]
+            return rank, to
+
+        rank, to = look(np.arange(len(symbol)))
+        while len(symbol):
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))  # of words that have symbols
+            least = np.minimum.reduceat(rank, first)
+            size = np.diff(np.append(first, len(symbol)))
+            going = least < NO_RANK
+            if not going.all():
+                stays = np.repeat(going, size)
+                done = ~stays
+                names = word[first][~going]
+                n = size[~going]
+                count[names] = n
+                within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                out[np.repeat(start[names], n) + within] = symbol[done]
+                symbol, word, rank, to = symbol[stays], word[stays], rank[stays], to[stays]
+                size, least = size[going], least[going]
+                if not len(symbol):
+                    break
+            lowest = np.flatnonzero(rank == np.repeat(least, size))
+            of = word[lowest]
+            place = lowest[np.concatenate([[True], of[1:] != of[:-1]])]
+            symbol[place] = to[place]
+            stays = np.ones(len(symbol), dtype=bool)
+            stays[place + 1] = False
+            symbol, word, rank, to = symbol[stays], word[stays], rank[stays], to[stays]
+            place = place - np.arange(len(place))  # one symbol went before each later place
+            before = place[place > 0] - 1
+            again = np.concatenate([place, before])
+            rank[again], to[again] = look(again)
+        return out[np.repeat(start, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)], count
+
     def merge(self, part: list[int]) -> list[int]:
-        """Exact merging: always the lowest rank, the leftmost of equal ones."""
-        return self._scan(part) if len(part) <= SHORT_WORD else self._heap(part)
-
-    def _scan(self, part: list[int]) -> list[int]:
-        part, merges = list(part), self.merges
-        rank = [merges.get(a << 32 | b, NO_MERGE)[0] for a, b in zip(part, part[1:])]
-        while rank and (least := min(rank)) < NO_RANK:
-            i = rank.index(least)
-            part[i:i + 2] = [merges[part[i] << 32 | part[i + 1]][1]]
-            del rank[i]
-            if i < len(rank):
-                rank[i] = merges.get(part[i] << 32 | part[i + 1], NO_MERGE)[0]
-            if i:
-                rank[i - 1] = merges.get(part[i - 1] << 32 | part[i], NO_MERGE)[0]
-        return part
+        """Exact merging of one word."""
+        return self._heap(part)
 
     def _heap(self, part: list[int]) -> list[int]:
         n = len(part)
@@ -176,7 +238,7 @@ class Encoder:
             at = np.minimum(np.searchsorted(self.known, need), len(self.known) - 1)
             need = need[self.known[at] != need]
         if len(need):
-            fits = np.fromiter((self._compatible(int(p >> 32), int(p & 0xFFFFFFFF)) for p in need), bool, len(need))
+            fits = self._compatible(need >> 32, need & 0xFFFFFFFF)
             if len(self.known) + len(need) > MAX_PAIRS:
                 self.known, self.fits = np.empty(0, dtype=np.int64), np.empty(0, dtype=bool)
                 return self.pair_verdicts(pairs) if len(need) < MAX_PAIRS else self._direct(pairs, need, fits)
@@ -189,19 +251,26 @@ class Encoder:
     def _direct(pairs, need, fits):
         return fits[np.searchsorted(need, pairs)]
 
-    def _compatible(self, left: int, right: int) -> bool:
-        v = self.v
-        if left < 0:
-            return v.merge(v.symbols(v.tokens[right])) == [right]
-        if v.tokens[left].endswith(WORD_END):
-            return False
-        return v.merge(v.symbols(v.tokens[left]) + v.symbols(v.tokens[right])) == [left, right]
+    def _compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether merging the symbols of both tokens (of the right one where left is -1) gives back both."""
+        v, lone = self.v, left < 0
+        own = np.where(lone, 0, v.part_count[np.maximum(left, 0)])
+        both = np.column_stack([own, v.part_count[right]]).ravel()
+        begin = np.column_stack([v.part_start[np.maximum(left, 0)], v.part_start[right]]).ravel()
+        flat = v.parts[np.repeat(begin, both) + np.arange(both.sum()) - np.repeat(np.cumsum(both) - both, both)]
+        out, count = v.merge_all(flat, own + v.part_count[right])
+        last = np.cumsum(count)
+        good = (count == np.where(lone, 1, 2)) & (lone | ~v.ends[np.maximum(left, 0)])
+        good[good] = out[last[good] - 1] == right[good]
+        pair = good & ~lone
+        good[pair] = out[last[pair] - 2] == left[pair]
+        return good
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of distinct words, verified together."""
         table = byte_symbols()
         cut = [w.encode("utf-8").decode("latin-1").translate(table) for w in words]
-        proposals = [self.v.propose(s) for s in cut]
+        proposals = [self.v.propose(s + WORD_END) for s in cut]
         ids = [p or [] for p in proposals]
         length = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((i for p in ids for i in p), np.int64, int(length.sum()))
@@ -219,9 +288,15 @@ class Encoder:
             bad[word[~good]] = True
         else:
             bad = np.zeros(len(ids), dtype=bool)
-        for i, p in enumerate(proposals):
-            if p is None or bad[i]:
-                self.failed += 1
+        failing = [i for i, p in enumerate(proposals) if p is None or bad[i]]
+        self.failed += len(failing)
+        short = [i for i in failing if len(cut[i]) <= SHORT_WORD]
+        flat, count = self.v.merge_all(*self.v.symbols_of([cut[i] for i in short]))
+        merged, end = flat.tolist(), np.cumsum(count).tolist()
+        for i, n, to in zip(short, count.tolist(), end):
+            ids[i] = merged[to - n:to]
+        for i in failing:
+            if len(cut[i]) > SHORT_WORD:
                 ids[i] = self.v.merge(self.v.symbols(cut[i] + WORD_END))
         return ids
 
@@ -258,25 +333,44 @@ class Encoder:
                 at += 1
             table = self._table(set().union(*chunk))
             for words in chunk:
-                found = [e for e in map(table.__getitem__, words) if e[0]]
-                yield (sum([e[0] for e in found]), " ".join([e[1] for e in found]), " ".join([e[2] for e in found]))
+                n, ids, decoded = zip(*map(table.__getitem__, words)) if words else ((), (), ())
+                if 0 in n:  # words without a known symbol
+                    ids, decoded = [x for x, k in zip(ids, n) if k], [x for x, k in zip(decoded, n) if k]
+                yield sum(n), " ".join(ids), " ".join(decoded)
 
     def _table(self, words: set[str]) -> dict[str, tuple[int, str, str]]:
         """Entries of the given words: number of ids, the ids, their decoding.  Two generations of
         entries are kept; what is asked for is in the younger one afterwards."""
-        entries = {w: e for w in words if (e := self.words.get(w) or self.older.get(w))}
-        special = self.v.special
-        fresh = [w for w in words if w not in entries and w not in special]
-        done = zip(fresh, self.encode_words(fresh))
-        for w, i in [*done, *((w, [special[w]]) for w in words if w in special)]:
-            entries[w] = (len(i), " ".join(map(str, i)), self.decode(i))
-        if len(self.words) + len(entries) > MAX_WORDS:
-            self.older, self.words = self.words, {}
-        self.words.update((w, e) for w, e in entries.items() if len(w) <= MAX_KEPT_WORD)
+        entries, fresh, young, older, special = {}, [], self.words, self.older, self.v.special
+        kept = {}  # what the younger generation lacks
+        for w in words:
+            if (e := young.get(w)) is not None:
+                entries[w] = e
+            elif (e := older.get(w)) is not None:
+                entries[w] = kept[w] = e
+            elif w not in special:
+                fresh.append(w)
+        number, token = self.v.decimal.__getitem__, self.v.tokens.__getitem__
+        for w, i in [*zip(fresh, self.encode_words(fresh)), *((w, [special[w]]) for w in words if w in special)]:
+            e = entries[w] = (len(i), " ".join(map(number, i)), " ".join(map(token, i)))
+            if len(w) <= MAX_KEPT_WORD:
+                kept[w] = e
+        if len(young) + len(kept) > MAX_WORDS:
+            self.older, self.words = young, {}
+        self.words.update(kept)
         return entries
 
-    def decode(self, ids: list[int]) -> str:
-        return " ".join(self.v.tokens[i] for i in ids)
+
+@contextlib.contextmanager
+def without_collector() -> Iterator[None]:
+    """Encoding makes no reference cycles; the collector would only walk the worker's tables again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
 
 
 def load(path: str) -> str:
@@ -301,9 +395,9 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", digests_only: b
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = worker_encoder(shared.value)
         for texts in parts:
-            rows = encoder.encode(texts.tolist())
-            yield pd.DataFrame([(n, sha(i), sha(d)) if digests_only else (n, i, d) for n, i, d in rows],
-                               columns=["n_tokens", *names])
+            with without_collector():
+                rows = [(n, sha(i), sha(d)) if digests_only else (n, i, d) for n, i, d in encoder.encode(texts.tolist())]
+            yield pd.DataFrame(rows, columns=["n_tokens", *names])
 
     others = [c for c in docs.columns if c not in ("n_tokens", *names)]
     return (docs.withColumn("__bpe", run(F.col(text)))
