@@ -11,19 +11,25 @@ from folio.llm.common import keep
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, label) for all nodes of ``edges`` (a, b); the label is the least node of the component.
 
-    Every round each node takes the least label among its neighbours and then its label's
-    label, so long chains shrink by a factor per round.  Rounds are written to the shared
-    checkpoint folder; the driver sees one count per round.
+    Every round each node takes the least label among its neighbours and then its label's label.  Then the edges
+    are contracted: their ends become labels, loops and repeats go.  So the edge table shrinks from round to
+    round, and only nodes that are still ends of edges take part; the others follow their label at the end.
+    Rounds are written to the shared checkpoint folder; the driver sees one count per round.
     """
-    both = keep(edges.select("a", "b").where(F.col("a") != F.col("b")).union(edges.select("b", "a").where(F.col("a") != F.col("b"))).distinct(), "edges")
-    labels = keep(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), "labels")
-    while True:
-        near = (both.join(labels.select(F.col("node").alias("b"), "label"), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near")))
-        told = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        above = labels.select(F.col("node").alias("label"), F.col("label").alias("jump"))
-        after = keep(told.join(above, "label").select("node", "old", F.least("label", "jump").alias("label")), "labels")
-        changed = after.where(F.col("old") != F.col("label")).limit(1).count()
-        labels = after.select("node", "label")
-        if not changed:
-            return labels
+    pair = lambda a, b: [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+    left = keep(edges.where(F.col("a") != F.col("b")).select(*pair("a", "b")).distinct(), "edges")
+    steps = []
+    while not steps or left.limit(1).count():
+        both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = keep(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("up")), "labels")
+        above = least.select(F.col("node").alias("up"), F.col("up").alias("label"))
+        step = keep(least.join(above, "up").select("node", "label"), "labels")
+        steps.append(step)
+        a, b = (step.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label")) for c in "ab")
+        left = keep(left.join(a, "a").join(b, "b").where("a_label != b_label").select(*pair("a_label", "b_label")).distinct(), "edges")
+    # a node's label in one round is a node of the next round, or has no edge any more
+    labels = steps.pop()
+    while steps:
+        after = labels.select(F.col("node").alias("label"), F.col("label").alias("final"))
+        labels = keep(steps.pop().join(after, "label", "left").select("node", F.coalesce("final", "label").alias("label")), "labels")
+    return labels

@@ -64,6 +64,8 @@ SMALL = 48
 PIVOTS = 8
 #: Bins of a set's histogram.
 BINS = 32
+#: Sets that a task's forest remembers.
+MAX_MET = 500_000
 FILTER_BITS = 1 << 27
 ROW_BITS = 1 << 25
 
@@ -163,7 +165,8 @@ def histogram(shingles: np.ndarray) -> bytes:
 def near_edges(size: np.ndarray, bins: np.ndarray, least: int) -> list[tuple[int, int]]:
     """Edges that connect sets whose histograms are as near as a link requires; one per set at most.
 
-    Breadth first from a pivot: what is near the pivot is joined, and each joined set is a pivot in turn.
+    Breadth first from the first set that is left: what is near it is joined, and each joined set is a pivot in
+    turn.  Sets come in one order everywhere (by ``sid``), so groups that share sets have the same pivots.
     """
     edges, left = [], np.arange(len(size))
     while len(left) > 1:
@@ -178,6 +181,34 @@ def near_edges(size: np.ndarray, bins: np.ndarray, least: int) -> list[tuple[int
     return edges
 
 
+class Forest:
+    """Union-find over the sets that a task has met, so that it hands out edges of a forest only.  It forgets all
+    at a fixed number of sets; an edge may then come again."""
+
+    def __init__(self) -> None:
+        self.above: dict[bytes, bytes] = {}
+
+    def root(self, x: bytes) -> bytes:
+        above = self.above
+        top = x
+        while (up := above.get(top, top)) != top:
+            top = up
+        while (up := above.get(x, x)) != x:
+            above[x], x = top, up
+        return top
+
+    def join(self, x: bytes, y: bytes) -> bool:
+        """Whether the two were apart so far."""
+        a, b = self.root(x), self.root(y)
+        if a == b:
+            return False
+        if len(self.above) >= MAX_MET:
+            self.above.clear()
+            a, b = x, y
+        self.above[max(a, b)] = min(a, b)
+        return True
+
+
 def region_edges(sets: DataFrame, least: int, bits: int) -> DataFrame:
     """(a, b): edges between sets with an equal signature that may be linked.
 
@@ -197,17 +228,17 @@ def region_edges(sets: DataFrame, least: int, bits: int) -> DataFrame:
                 "signature": np.concatenate(known) if known else np.empty(0, np.int64)})
 
     def join(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
+        rest, forest = None, Forest()
         for part in parts:
             part = part if rest is None else pd.concat([rest, part], ignore_index=True)
             last = part["signature"].to_numpy() == part["signature"].iloc[-1] if len(part) else np.empty(0, bool)
             rest, done = part[last], part[~last]
             if len(done):
-                yield edges(done)
+                yield edges(done, forest)
         if rest is not None and len(rest):
-            yield edges(rest)
+            yield edges(rest, forest)
 
-    def edges(part: pd.DataFrame) -> pd.DataFrame:
+    def edges(part: pd.DataFrame, forest: Forest) -> pd.DataFrame:
         key, sid, size = part["signature"].to_numpy(), part["sid"].to_numpy(), part["size"].to_numpy()
         bins = np.frombuffer(b"".join(part["bins"]), dtype=np.uint8).reshape(-1, BINS).astype(np.int32)
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -217,10 +248,11 @@ def region_edges(sets: DataFrame, least: int, bits: int) -> DataFrame:
         found = [(x, x + 1) for x in two[near].tolist()]
         for f, n in zip(first[count > 2].tolist(), count[count > 2].tolist()):
             found += [(f + x, f + y) for x, y in near_edges(size[f:f + n], bins[f:f + n], least)]
-        return pd.DataFrame({"a": [sid[x] for x, _ in found], "b": [sid[y] for _, y in found]}).drop_duplicates()
+        new = [(sid[x], sid[y]) for x, y in found if forest.join(sid[x], sid[y])]
+        return pd.DataFrame({"a": [x for x, _ in new], "b": [y for _, y in new]})
 
     met = sets.select("sid", "size", "bins", "signatures").mapInPandas(shared, "sid binary, size long, bins binary, signature long")
-    return (met.repartition("signature").sortWithinPartitions("signature").mapInPandas(join, "a binary, b binary")
+    return (met.repartition("signature").sortWithinPartitions("signature", "sid").mapInPandas(join, "a binary, b binary")
             .where("a != b").distinct())
 
 
