@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
@@ -142,7 +143,7 @@ RESULT_TYPE = T.StructType([T.StructField("result", T.StringType()), T.StructFie
 
 def invoke(prompts: DataFrame, predictor: Callable[[str, int], str], keys: list[str],
            prompt_col: str = "prompt", budget_col: str = "max_tokens", partitions: int | None = None,
-           concurrency: int = 1) -> DataFrame:
+           concurrency: int = 1, tries: int = 1, delay: float = 0.0, with_tries: bool = False) -> DataFrame:
     """PRM9: call ``predictor(prompt, max_tokens)`` on every row, failures as data.
 
     Runs in Arrow batches through ``mapInPandas``; each row's exception becomes
@@ -150,17 +151,25 @@ def invoke(prompts: DataFrame, predictor: Callable[[str, int], str], keys: list[
     off).  ``partitions`` spreads the prompts evenly (round robin) over that many
     tasks, so calls are not stuck behind a skewed upstream partition;
     ``concurrency`` > 1 overlaps the latency-bound calls of one task with a
-    bounded thread pool.  Cut the result's lineage (``sinks.cut_lineage``) before
-    using it twice, so a model is never called again on recomputation.
+    bounded thread pool.  A call that fails is tried up to ``tries`` times, ``delay`` seconds
+    after the first failure and twice as long after each further one; ``with_tries`` adds the number of calls made.
+    Cut the result's lineage (``sinks.cut_lineage``) before using it twice, so a model is never called again
+    on recomputation, or ask through ``sources.answers``, so that no later run calls it again either.
     """
     schema = T.StructType([f for f in prompts.select(*keys).schema.fields] + [T.StructField("llm_result", RESULT_TYPE)])
-    cols = [*keys, prompt_col] + ([budget_col] if budget_col in prompts.columns else [])
+    if with_tries:
+        schema = schema.add("tries", T.IntegerType())
+    cols = list(dict.fromkeys([*keys, prompt_col, *([budget_col] if budget_col in prompts.columns else [])]))
 
     def call(prompt, budget):
-        try:
-            return {"result": predictor(prompt, budget), "errorMessage": None}
-        except Exception as ex:  # noqa: BLE001 - failures are data here
-            return {"result": None, "errorMessage": f"{type(ex).__name__}: {ex}"}
+        for n in range(1, max(tries, 1) + 1):
+            try:
+                return {"result": predictor(prompt, budget), "errorMessage": None}, n
+            except Exception as ex:  # noqa: BLE001 - failures are data here
+                failure = f"{type(ex).__name__}: {ex}"
+            if n < tries and delay:
+                time.sleep(delay * 2 ** (n - 1))
+        return {"result": None, "errorMessage": failure}, n
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
@@ -174,7 +183,9 @@ def invoke(prompts: DataFrame, predictor: Callable[[str, int], str], keys: list[
                 pairs = list(zip(pdf[prompt_col], budgets))
                 results = list(pool.map(lambda a: call(*a), pairs)) if pool else [call(p, b) for p, b in pairs]
                 out = pdf[keys].copy()
-                out["llm_result"] = pd.Series(results, index=pdf.index)
+                out["llm_result"] = pd.Series([r for r, _ in results], index=pdf.index, dtype=object)
+                if with_tries:
+                    out["tries"] = pd.Series([n for _, n in results], index=pdf.index, dtype="int32")
                 yield out
         finally:
             if pool:

@@ -12,6 +12,7 @@ from folio.plans import fixtures as fx
 from folio.plans.q_signals import PACKAGE_SQL, SIGNALS_CTES, signals_df
 from folio.plans.q_views import AS_OF_TEXT
 from folio.plans.registry import query
+from folio.sources import answers as AN
 
 
 def sql_text(s: str) -> str:
@@ -153,6 +154,52 @@ def q_log_responses(spark, sf_dir):
     return log.withColumn("starts_txt", array_text(F.col("parsed_starts"))).drop("parsed_starts")
 
 
+_QUESTION = """sha256(length('primary')::VARCHAR || chr(10) || length(max_tokens::VARCHAR)::VARCHAR || chr(10) || 'primary' || chr(10) ||
+    max_tokens::VARCHAR || chr(10) || prompt)"""
+#: Questions per order and a store of earlier runs: both response adapters, an order's text asked in groups of seven.
+_ASKED_SQL = f"""asked AS (SELECT filename, CASE WHEN total_pages <= 30 THEN 500 WHEN total_pages <= 60 THEN 800 ELSE 2000 END AS max_tokens,
+    'split ' || CAST(CAST(split_part(filename, '_', 1) AS BIGINT) // 7 AS VARCHAR) AS prompt FROM fx_responses),
+keyed AS (SELECT *, {_QUESTION} AS question FROM asked),
+runs AS (SELECT filename, raw_response, error_message, 1 AS tries FROM fx_responses
+  UNION ALL SELECT filename, raw_response, error_message, 3 FROM fx_fallback_responses),
+stored AS (SELECT question, raw_response AS result, error_message, tries FROM runs JOIN keyed USING (filename)
+  WHERE CAST(split_part(filename, '_', 1) AS BIGINT) % 7 < 2 AND CAST(split_part(filename, '_', 1) AS BIGINT) % 3 > 0)"""
+
+
+def _answer_tables(spark, sf_dir):
+    order = F.split_part(F.col("filename"), F.lit("_"), F.lit(1)).cast("long")
+    first, second = fx.fx_responses(spark, sf_dir), fx.fx_fallback_responses(spark, sf_dir)
+    asked = first.select("filename", PR.max_tokens(PR.token_bucket(F.col("total_pages"))).alias("max_tokens"),
+                         F.concat(F.lit("split "), F.floor(order / 7).cast("string")).alias("prompt"))
+    asked = AN.with_question(asked, "primary")
+    runs = first.withColumn("tries", F.lit(1)).unionByName(second.withColumn("tries", F.lit(3)))
+    stored = (runs.where((order % 7 < 2) & (order % 3 > 0)).join(asked.select("filename", "question"), "filename")
+              .select("question", F.col("raw_response").alias("result"), "error_message", "tries"))
+    return asked, stored
+
+
+@query("answers_missing", f"""WITH {_ASKED_SQL}
+SELECT DISTINCT question, max_tokens, prompt FROM keyed
+WHERE question NOT IN (SELECT question FROM stored WHERE error_message IS NULL)""")
+def q_answers_missing(spark, sf_dir):
+    asked, stored = _answer_tables(spark, sf_dir)
+    return AN.unanswered(asked.select("question", "max_tokens", "prompt"), stored)
+
+
+@query("answers_stored", f"""WITH {_ASKED_SQL},
+best AS (SELECT question, coalesce(bool_or(error_message IS NULL), false) AS ok,
+    list_sort(list(result) FILTER (error_message IS NULL), 'ASC', 'NULLS FIRST')[1] AS result, sum(tries) AS tries FROM stored GROUP BY question),
+failed AS (SELECT question, (list({{'t': -tries, 'm': error_message}} ORDER BY tries DESC, error_message))[1].m AS error_message
+  FROM stored WHERE error_message IS NOT NULL GROUP BY question)
+SELECT filename, result AS raw_response, CASE WHEN NOT ok THEN error_message END AS error_message, CAST(tries AS INT) AS tries
+FROM keyed LEFT JOIN best USING (question) LEFT JOIN failed USING (question)""")
+def q_answers_stored(spark, sf_dir):
+    asked, stored = _answer_tables(spark, sf_dir)
+    told = PR.unpack_response(AN.answered(asked.select("filename", "question"), stored))
+    tries = asked.select("filename", "question").join(AN.best_answers(stored).select("question", "tries"), "question", "left")
+    return told.join(tries.select("filename", "tries"), "filename")
+
+
 RULE_SQL = """flags AS (SELECT c.filename, c.page_num, c.total_pages,
     c.page_num = 1 OR regexp_matches(c.page_indicator, '^([Pp]age\\s+1\\s*(/|of)|-\\s*1\\s*/)')
     OR (NOT regexp_matches(c.page_indicator, '^[Pp]age\\s+0*([2-9]|[1-9]\\d+)\\s*(/|of)|^-\\s*0*([2-9]|[1-9]\\d+)\\s*/')

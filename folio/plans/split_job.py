@@ -3,6 +3,7 @@
 Composition of the operators in the order the reference runs them.  Every model
 call is followed by ``cut_lineage`` (a table in the shared checkpoint folder),
 so retries, lost executors or a second action never call a model twice.
+With an answer store (``sources.answers``) a later run does not call twice either.
 Predictors are plain callables ``(prompt, max_tokens) -> text`` run in Arrow
 batches; their failures are data.
 """
@@ -22,6 +23,7 @@ from folio.operators import run_events as RE
 from folio.operators import signals as SG
 from folio.operators.state import event_rows, mark_done
 from folio.session import ship
+from folio.sources.answers import AnswerStore
 from folio.sources.sinks import cut_lineage
 
 Predictor = Callable[[str, int], str]
@@ -35,12 +37,15 @@ def split_stage(parsed: DataFrame, predictor: Predictor, fallback: Predictor | N
                 verifier: Predictor | None = None, *, run_id: str, day_id: str,
                 primary_model: str = "primary", fallback_model: str = "fallback", at: Column | None = None,
                 log: DataFrame | None = None, split: DataFrame | None = None, materialize: bool = True,
-                partitions: int | None = None, concurrency: int = 1) -> dict[str, DataFrame]:
+                partitions: int | None = None, concurrency: int = 1, answers: AnswerStore | None = None,
+                waves: int = 1, tries: int = 1, delay: float = 0.0) -> dict[str, DataFrame]:
     """One batch (``day_id``): its files are those of ``parsed`` with that day, or all where it has no day.
 
     ``split``: existing split results; their files are not sent to a model again.  ``log``: the
     processing log; the result's ``log`` is the batch's log with split files marked done.
-    ``partitions`` and ``concurrency`` spread the model calls (see ``prompts.invoke``).
+    ``partitions`` and ``concurrency`` spread the model calls, ``tries`` and ``delay`` repeat failed ones (see
+    ``prompts.invoke``).  ``answers``: a store that all models are asked through, in ``waves`` commits per pass; a run
+    after a killed one then calls only what the store lacks.
     """
     at = at if at is not None else F.current_timestamp()
     tag = f"{run_id}-{day_id}"
@@ -55,16 +60,17 @@ def split_stage(parsed: DataFrame, predictor: Predictor, fallback: Predictor | N
     pkg = _materialize(pkg, f"{tag}/package_summaries", materialize)
     keys = pkg_keys(signals, pkg)
 
-    def call(prompts: DataFrame, fn: Predictor, keys: list[str], name: str) -> DataFrame:
-        return _materialize(PR.unpack_response(PR.invoke(prompts, fn, keys, partitions=partitions, concurrency=concurrency)),
-                            f"{tag}/{name}", materialize)
+    def call(prompts: DataFrame, fn: Predictor, keys: list[str], name: str, model: str) -> DataFrame:
+        how = {"partitions": partitions, "concurrency": concurrency, "tries": tries, "delay": delay}
+        told = PR.invoke(prompts, fn, keys, **how) if answers is None else answers.ask(prompts, fn, keys, model, waves=waves, **how)
+        return _materialize(PR.unpack_response(told), f"{tag}/{name}", materialize)
 
     # single call: primary, then fallback for failures
     plan = PR.prompt_plan(pkg).withColumn("prompt", PR.primary_prompt(F.col("package_summary")))
-    prim = PR.with_parsed(call(plan, predictor, [*keys, "total_pages", "token_bucket"], "primary"))
+    prim = PR.with_parsed(call(plan, predictor, [*keys, "total_pages", "token_bucket"], "primary", primary_model))
     _, failures = PR.split_outcomes(prim)
     fb_plan = BD.fallback_prompts(plan, failures)
-    fb = PR.with_parsed(call(fb_plan, fallback or predictor, [*keys, "total_pages", "token_bucket"], "fallback"))
+    fb = PR.with_parsed(call(fb_plan, fallback or predictor, [*keys, "total_pages", "token_bucket"], "fallback", fallback_model))
     single = BD.resolve_single(prim, fb)
 
     # chunked: packages above the single-call limit
@@ -72,7 +78,7 @@ def split_stage(parsed: DataFrame, predictor: Predictor, fallback: Predictor | N
     chunks = chunks.withColumn("prompt", PR.chunk_prompt(F.col("chunk_start"), F.col("chunk_end"),
                                                          F.col("total_pages"), F.col("chunk_summary")))
     chunks = chunks.withColumn("max_tokens", PR.max_tokens(F.col("token_bucket")))
-    cresp = call(chunks, predictor, [*keys, "total_pages", "chunk_idx", "chunk_start", "chunk_end", "token_bucket"], "chunks")
+    cresp = call(chunks, predictor, [*keys, "total_pages", "chunk_idx", "chunk_start", "chunk_end", "token_bucket"], "chunks", primary_model)
     cparsed = PR.with_parsed(cresp, out="chunk_starts")
     merged = BD.merge_chunks(cparsed)
     large = pkg.where(F.col("total_pages") > P.MAX_PAGES_SINGLE_CALL)
@@ -82,7 +88,7 @@ def split_stage(parsed: DataFrame, predictor: Predictor, fallback: Predictor | N
     batch = BD.with_verify_prompt(BD.verify_batch(BD.verify_windows(BD.proposed(resolved), signals)))
     if verifier is not None:
         vb = batch.withColumn("max_tokens", F.lit(P.TOKENS_VERIFY))
-        answers = call(vb, verifier, [*keys, "total_pages"], "verify")
+        answers = call(vb, verifier, [*keys, "total_pages"], "verify", f"{primary_model}/verify")
         vr = answers.select(*keys, F.col("raw_response").alias("verify_response"),
                        F.col("error_message").alias("verify_error"))
         corrected = BD.apply_corrections(batch.join(vr, keys))
