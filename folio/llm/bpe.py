@@ -51,7 +51,7 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _L, _N, _W = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\\x09-\\x0d\\x20\x85\xa0"
 LATIN_WORD_PATTERN = f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_W}{_L}{_N}]+"
 WORD_END = "</w>"
-MAX_WORDS = 250_000
+MAX_WORDS = 150_000
 MAX_PAIRS = 2_000_000
 #: Words longer than this many bytes are not kept in the worker's table.
 MAX_KEPT_WORD = 64
@@ -59,7 +59,7 @@ MAX_KEPT_WORD = 64
 SHORT_WORD = 64
 NO_RANK = 1 << 60
 #: Texts are encoded together up to so many characters.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_000_000
 
 
 @functools.cache
@@ -379,25 +379,29 @@ def load(path: str) -> str:
         return f.read()
 
 
-def encode(docs: DataFrame, vocabulary: str, text: str = "text", digests_only: bool = False) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, text: str = "text", digests_only: bool = False,
+           decode: bool = True) -> DataFrame:
     """All columns of ``docs`` with ``n_tokens``, ``ids`` (decimal, joined by one space) and ``decoded``; with
-    ``digests_only`` the SHA-256 of the two texts instead (``ids_sha256``, ``decoded_sha256``).
+    ``digests_only`` the SHA-256 of the two texts instead (``ids_sha256``, ``decoded_sha256``); without ``decode`` no decoding.
 
     ``vocabulary``: the file's text (see ``load``), broadcast to the executors.
     """
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(vocabulary)
-    names = ("ids_sha256", "decoded_sha256") if digests_only else ("ids", "decoded")
+    names = (("ids_sha256", "decoded_sha256") if digests_only else ("ids", "decoded"))[:2 if decode else 1]
     sha = lambda s: hashlib.sha256(s.encode("utf-8")).hexdigest()
 
-    @F.pandas_udf(f"n_tokens long, {names[0]} string, {names[1]} string")
+    @F.pandas_udf(", ".join(["n_tokens long", *(f"{c} string" for c in names)]))
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = worker_encoder(shared.value)
         for texts in parts:
             with without_collector():
-                rows = [(n, sha(i), sha(d)) if digests_only else (n, i, d) for n, i, d in encoder.encode(texts.tolist())]
-            yield pd.DataFrame(rows, columns=["n_tokens", *names])
+                columns: list[list] = [[] for _ in range(1 + len(names))]
+                for row in encoder.encode(texts.tolist()):
+                    for column, x in zip(columns, row):
+                        column.append(sha(x) if digests_only and column is not columns[0] else x)
+            yield pd.DataFrame(dict(zip(["n_tokens", *names], columns)))
 
     others = [c for c in docs.columns if c not in ("n_tokens", *names)]
     return (docs.withColumn("__bpe", run(F.col(text)))
