@@ -51,7 +51,7 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _L, _N, _W = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\\x09-\\x0d\\x20\x85\xa0"
 LATIN_WORD_PATTERN = f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_W}{_L}{_N}]+"
 WORD_END = "</w>"
-MAX_WORDS = 150_000
+MAX_WORDS = 100_000
 MAX_PAIRS = 2_000_000
 #: Words longer than this many bytes are not kept in the worker's table.
 MAX_KEPT_WORD = 64
@@ -231,6 +231,10 @@ class Encoder:
         self.fits = np.empty(0, dtype=bool)
         self.failed = 0
 
+    def forget(self) -> None:
+        """Empty the tables of words, so that an idle worker holds the vocabulary only."""
+        self.words, self.older = {}, {}
+
     def pair_verdicts(self, pairs: np.ndarray) -> np.ndarray:
         """Compatible or not, for packed pairs (left id * 2^32 + right id; a lone token's left is -1)."""
         need = np.unique(pairs)
@@ -402,6 +406,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", digests_only: b
                     for column, x in zip(columns, row):
                         column.append(sha(x) if digests_only and column is not columns[0] else x)
             yield pd.DataFrame(dict(zip(["n_tokens", *names], columns)))
+        encoder.forget()
 
     others = [c for c in docs.columns if c not in ("n_tokens", *names)]
     return (docs.withColumn("__bpe", run(F.col(text)))

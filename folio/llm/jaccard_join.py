@@ -56,7 +56,7 @@ from pyspark.sql import functions as F
 from folio.llm.common import hash_bitmap, keep, keep_rows, mark_perhaps, may_contain, row_hash, ship, text_hash
 from folio.llm.components import connected_components
 
-MAX_KEPT_WORDS = 500_000
+MAX_KEPT_WORDS = 150_000
 #: Bytes of text of a region that one task takes.
 MAX_REGION = 48_000_000
 #: Regions of so many sets are compared directly.

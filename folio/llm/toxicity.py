@@ -42,7 +42,7 @@ MAX_LABELLED = 20_000
 N_FEATURES = 4_096
 SWAP_WEIGHT = 1.0
 PREFIXES = range(3, 9)
-MAX_KEPT_WORDS = 500_000
+MAX_KEPT_WORDS = 150_000
 _WORD = re.compile(r"\w+")
 
 #: Identity terms by group; a term is swapped within its group.
