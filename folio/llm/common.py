@@ -8,7 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.session import ensure_checkpoint_dir, ship
+from folio.session import ensure_checkpoint_dir
+from folio.session import ship as ship_package
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WHITE = " \t\n\x0b\x0c\r"
@@ -16,6 +17,19 @@ WHITE = " \t\n\x0b\x0c\r"
 BUCKET_BITS = 32_768
 
 
+#: Bytes of rows that go to a Python worker at once.  Texts are wide: Spark's default of 10,000 rows is 30 MB and more of
+#: them, held by the JVM, the worker's Arrow buffers and its strings at the same time.
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, and bound what they get at once unless the session says how much."""
+    ship_package(spark)
+    if spark.conf.get(_BATCH_CONF, None) is None:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
