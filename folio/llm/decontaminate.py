@@ -6,10 +6,11 @@ with fewer words than ``n`` are found as whole sequences only (there a single wo
 The steps before the alignment leave out only what cannot reach that score:
 
 1. Every whole text is cut into words, and documents per word of the benchmark are counted over the whole corpus.
-2. Seeds: a score of ``least`` needs ``least`` of the item's words matched, so of any set of one more place than may
-   stay unmatched at least one is.  That set is the item's rarest words (by that count); rarity is a rank within
+2. Seeds: a score of ``least`` needs ``least`` of the item's words matched, so of any set of ``k`` more places than may
+   stay unmatched at least ``k`` are.  That set is the item's rarest words (by that count); rarity is a rank within
    the item, and the seeds cover every passage that reaches the score, however many texts share it.
-3. An alignment through a seed lies within ``(3 - 2 least)`` lengths of the item around it.  In that window each word that
+3. An alignment is at most ``(3 - 2 least)`` lengths of the item long, so ``k`` of its seeds lie as near in the text (a
+   skip n-gram of rare words); seeds that do not are dropped.  In the window around the others each word that
    the item has counts 2 and each other word -1: no alignment scores more than the best run of that sum.
 4. Windows whose bound reaches the score are aligned.
 
@@ -40,6 +41,10 @@ LEAST = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Characters of benchmark text per block; its words are what is broadcast.
 BLOCK_CHARS = 8_000_000
+#: Seeds that must lie near each other before a window is looked at (fewer for items with fewer words).
+NEAR_SEEDS = 3
+#: Seed hits that are handled at once, to bound memory; items are dealt into slices by their hits.
+MAX_HITS = 2_000_000
 #: Aligned at once, to bound memory: cells of one row of all alignments.
 MAX_CELLS = 1_000_000
 _WORD = re.compile(r"[^\W_]+")
@@ -70,16 +75,17 @@ class Items:
         self.least = np.where(self.size < self.n, 1.0, least)
         #: Words of a text that an alignment with the item's least score may span.
         self.span = np.maximum(self.size, np.floor((3 - 2 * self.least) * self.size + 1e-9).astype(np.int64))
+        matched = np.maximum(1, np.ceil(self.least * self.size - 1e-9).astype(np.int64))
+        #: Seeds of the item that any such alignment matches.
+        self.near = np.minimum(NEAR_SEEDS, matched)
         pairs = [np.empty((2, 0), np.int64)]
         for item, numbers in enumerate(self.items):
             order = numbers[np.lexsort((numbers, seen[numbers]))]
-            unmatched = len(order) - max(1, int(np.ceil(self.least[item] * len(order) - 1e-9)))
-            seeds = np.unique(order[:unmatched + 1])
+            seeds = np.unique(order[:len(order) - matched[item] + self.near[item]])
             pairs.append(np.stack([seeds, np.full(len(seeds), item)]))
         word, item = np.concatenate(pairs, axis=1)
-        self.seed_item = item[np.lexsort((item, word))]
-        self.seeds_of = np.bincount(word, minlength=len(self.number) + 1)
-        self.seed_start = np.cumsum(self.seeds_of) - self.seeds_of
+        order = np.lexsort((item, word))
+        self.seed_word, self.seed_item = word[order], item[order]
 
     def look_up(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of all texts in a row (0: in no item), and where texts start."""
@@ -130,18 +136,51 @@ def align(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 def find_in(block: Items, texts: list[str | None]) -> list[list[tuple]]:
     """Per text the block's items that it holds: (item_id, score, word_start, word_end), in order of place."""
     flat, start = block.look_up(texts)
+    best: dict[tuple[int, int], tuple] = {}
+    for place, item in seed_hits(block, flat, start):
+        best.update(align_windows(block, flat, start, place, item))
     out: list[list[tuple]] = [[] for _ in texts]
-    at = np.flatnonzero(block.seeds_of[flat])
-    if not len(at):
-        return out
-    times = block.seeds_of[flat[at]]
-    place = np.repeat(at, times)
-    item = block.seed_item[np.arange(times.sum()) + np.repeat(block.seed_start[flat[at]] - np.cumsum(times) + times, times)]
-    doc = np.searchsorted(start, at, "right").repeat(times) - 1
+    for (d, i), hit in best.items():
+        out[d].append((block.ids[i], *hit))
+    return [sorted(hits, key=lambda h: (h[2], h[3], h[0] is None, h[0] or 0)) for hits in out]
+
+
+def seed_hits(block: Items, flat: np.ndarray, start: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(place, item) of seeds that lie as near each other as an alignment needs, sorted by item and place.
+
+    An item's hits are always in one slice, and a slice has at most ``MAX_HITS`` and one item's more.
+    """
+    words_in_all, total = len(block.number) + 1, len(flat)
+    hits = np.bincount(flat, minlength=words_in_all)[block.seed_word]
+    of_item = np.bincount(block.seed_item, hits, len(block.items)).astype(np.int64)
+    slice_of = np.maximum(np.cumsum(of_item) - 1, 0) // MAX_HITS
+    for number in np.unique(slice_of[of_item > 0]):
+        own = (slice_of[block.seed_item] == number) & (hits > 0)
+        seed_item = block.seed_item[own]
+        times_of = np.bincount(block.seed_word[own], minlength=words_in_all)
+        first_of = np.cumsum(times_of) - times_of
+        at = np.flatnonzero(times_of[flat])
+        times = times_of[flat[at]]
+        entry = np.arange(times.sum()) + np.repeat(first_of[flat[at]] - np.cumsum(times) + times, times)
+        key = np.sort(seed_item[entry] * total + np.repeat(at, times))
+        place, item = key % total, key // total
+        doc = np.searchsorted(start, place, "right") - 1
+        near = np.zeros(len(key), dtype=bool)
+        for k in np.unique(block.near[item]).tolist():
+            last = len(key) - k + 1
+            run = np.flatnonzero((block.near[item[:last]] == k) & (item[k - 1:] == item[:last]) & (doc[k - 1:] == doc[:last])
+                                 & (place[k - 1:] - place[:last] < block.span[item[:last]])) if last > 0 else np.empty(0, np.int64)
+            for i in range(k):
+                near[run + i] = True
+        if near.any():
+            yield place[near], item[near]
+
+
+def align_windows(block: Items, flat: np.ndarray, start: np.ndarray, place: np.ndarray, item: np.ndarray) -> dict[tuple[int, int], tuple]:
+    """By (text, item): the best alignment (score, word_start, word_end) around the places, where it reaches the item's score."""
+    doc = np.searchsorted(start, place, "right") - 1
     size = block.size
     # windows: hits of the same item that lie within its span of each other share one
-    order = np.lexsort((place, doc, item))
-    place, item, doc = place[order], item[order], doc[order]
     new = np.ones(len(place), dtype=bool)
     new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (place[1:] - place[:-1] > block.span[item[1:]])
     first = np.flatnonzero(new)
@@ -187,9 +226,7 @@ def find_in(block: Items, texts: list[str | None]) -> list[list[tuple]]:
                 key, hit = (int(doc[j]), int(item[j])), (float(top[g]) / full, end - int(length[row]), end)
                 if key not in best or (hit[0], -hit[1]) > (best[key][0], -best[key][1]):
                     best[key] = hit
-    for (d, i), hit in best.items():
-        out[d].append((block.ids[i], *hit))
-    return [sorted(hits, key=lambda h: (h[2], h[3], h[0] is None, h[0] or 0)) for hits in out]
+    return best
 
 
 def blocks(benchmark: DataFrame, n: int, block_chars: int) -> Iterator[Items]:

@@ -332,6 +332,39 @@ def test_decontamination_finds_all_that_plain_alignment_accepts(spark):
     assert {(r["doc_id"], r["item_id"]): r["score"] for r in got} == want
 
 
+def test_many_items_of_common_words_are_searched_in_bounded_slices(monkeypatch):
+    """2,000 items from a skewed vocabulary of 2,000 words: each word of a text is a seed of many items."""
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(2000)]
+    weights = [1 / (i + 1) ** 0.5 for i in range(2000)]
+    text_of = lambda n: " ".join(rng.choices(words, weights, k=n))
+    items = [(k, text_of(20)) for k in range(2000)]
+    texts = [text_of(400) for _ in range(200)]
+    for k in range(0, 200, 10):  # half of an item, and a whole one with every fifth word changed
+        texts[k] += " " + " ".join(items[k][1].split()[:11])
+        texts[k + 1] += " " + " ".join("other" if i % 5 == 4 else w for i, w in enumerate(items[k + 1][1].split()))
+    block = decontaminate.Items(items, 5)
+    seen = [0] * (len(block.number) + 1)
+    for t in texts:
+        for w in set(decontaminate.words(t)) & set(block.number):
+            seen[block.number[w]] += 1
+    block.choose_seeds(decontaminate.np.array(seen), 0.5)
+    sizes = []
+    hits_of = decontaminate.seed_hits
+    monkeypatch.setattr(decontaminate, "MAX_HITS", 100_000)
+    monkeypatch.setattr(decontaminate, "seed_hits", lambda *a: (sizes.append(len(h[0])) or h for h in hits_of(*a)))
+    got = decontaminate.find_in(block, texts)
+    assert len(sizes) > 5 and max(sizes) < 100_000
+    for k in range(0, 200, 10):
+        assert k in [h[0] for h in got[k]] and k + 1 in [h[0] for h in got[k + 1]]
+    for d in rng.sample(range(200), 6):  # all items against a text, by plain alignment
+        found = {h[0] for h in got[d]}
+        ids = [i for i in rng.sample(range(2000), 60)] + sorted(found)
+        for i in ids:
+            item = items[i][1].split()
+            assert (i in found) == (plain_score(item, texts[d].split()) >= 0.5)
+
+
 def test_decontamination_finds_short_items_as_whole_sequences(spark):
     items = [(1, "Fjord"), (2, "red fox"), (3, "what is a quark"), (4, "..."), (5, "東京の首都")]
     rows = [(1, "the fjord, here"), (2, "a red, FOX ran"), (3, "red dog, blue fox"), (4, "what is a red quark"), (5, "Say: what is a quark?"), (6, "(東京の首都)")]
