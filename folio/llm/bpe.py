@@ -30,6 +30,7 @@ import contextlib
 import functools
 import gc
 import hashlib
+import itertools
 import heapq
 import json
 import re
@@ -43,7 +44,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import ship
+from folio.llm.common import ship, tidy
 
 #: Fixed value: the vocabulary file's word pattern.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -53,6 +54,8 @@ LATIN_WORD_PATTERN = f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_W}{_L}{_N}]+"
 WORD_END = "</w>"
 MAX_WORDS = 100_000
 MAX_PAIRS = 2_000_000
+#: New words that are verified and merged together.
+WORDS_AT_ONCE = 16_384
 #: Words longer than this many bytes are not kept in the worker's table.
 MAX_KEPT_WORD = 64
 #: Words of up to so many symbols are merged together; longer ones each with a heap.  Both merge alike.
@@ -355,7 +358,9 @@ class Encoder:
             elif w not in special:
                 fresh.append(w)
         number, token = self.v.decimal.__getitem__, self.v.tokens.__getitem__
-        for w, i in [*zip(fresh, self.encode_words(fresh)), *((w, [special[w]]) for w in words if w in special)]:
+        slices = (fresh[k:k + WORDS_AT_ONCE] for k in range(0, len(fresh), WORDS_AT_ONCE))
+        encoded = itertools.chain.from_iterable(zip(some, self.encode_words(some)) for some in slices)
+        for w, i in itertools.chain(encoded, ((w, [special[w]]) for w in words if w in special)):
             e = entries[w] = (len(i), " ".join(map(number, i)), " ".join(map(token, i)))
             if len(w) <= MAX_KEPT_WORD:
                 kept[w] = e
@@ -397,6 +402,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", digests_only: b
     sha = lambda s: hashlib.sha256(s.encode("utf-8")).hexdigest()
 
     @F.pandas_udf(", ".join(["n_tokens long", *(f"{c} string" for c in names)]))
+    @tidy
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = worker_encoder(shared.value)
         for texts in parts:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +34,25 @@ def ship(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
 
 
+def tidy(run: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """``run`` over a task's batches; memory that it has freed goes back to the system when the task ends.
+
+    Workers are used again by later tasks and stages.  What one of them held at its peak would otherwise stay with it,
+    in Arrow's pool and in the allocator, beside the executor's own memory.
+    """
+    @functools.wraps(run)
+    def tidied(parts):
+        try:
+            yield from run(parts)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim is not None:
+                trim(0)
+
+    return tidied
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -128,4 +151,4 @@ def keep_rows(docs: DataFrame, verdicts: DataFrame, bits: int = 1 << 24) -> Data
 
 __all__ = ["ASCII_UPPER", "WHITE", "hash_bitmap", "keep", "keep_rows", "lower_ascii", "mark_perhaps", "may_contain",
            "row_hash", "scratch", "sha256_hex", "ship",
-           "table", "text_hash"]
+           "table", "text_hash", "tidy"]

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import ship
+from folio.llm.common import ship, tidy
 
 N = 5
 LEAST = 0.5
@@ -258,6 +258,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, n: int = N, least: float = LEAST
 
 def searcher(shared):
     @F.pandas_udf(HIT)
+    @tidy
     def search(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
             hits: list[list[dict]] = []
@@ -274,6 +275,7 @@ def documents_per_word(docs: DataFrame, block: Items) -> np.ndarray:
     shared = docs.sparkSession.sparkContext.broadcast(block)
     many = len(block.number) + 1
 
+    @tidy
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = np.zeros(many, dtype=np.int64)
         for part in parts:

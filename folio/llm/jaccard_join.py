@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import hash_bitmap, keep, keep_rows, mark_perhaps, may_contain, row_hash, ship, text_hash
+from folio.llm.common import hash_bitmap, keep, keep_rows, mark_perhaps, may_contain, row_hash, ship, text_hash, tidy
 from folio.llm.components import connected_components
 
 MAX_KEPT_WORDS = 150_000
@@ -144,6 +144,7 @@ def shingle_sets(docs: DataFrame, n: int, least: int) -> DataFrame:
     body = F.coalesce(F.col("text"), F.lit(""))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), body.cast("binary").alias("body"))
 
+    @tidy
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(n)
         for part in parts:
@@ -220,6 +221,7 @@ def region_edges(sets: DataFrame, least: int, bits: int) -> DataFrame:
                   .where("n > 1").select("signature"), "shared-signatures")
     perhaps = sets.sparkSession.sparkContext.broadcast(hash_bitmap(common, "signature", bits))
 
+    @tidy
     def shared(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             known = [s[may_contain(perhaps.value, s)] for s in map(np.asarray, part["signatures"])]
@@ -227,6 +229,7 @@ def region_edges(sets: DataFrame, least: int, bits: int) -> DataFrame:
             yield pd.DataFrame({c: np.repeat(part[c].to_numpy(), times) for c in ("sid", "size", "bins")} | {
                 "signature": np.concatenate(known) if known else np.empty(0, np.int64)})
 
+    @tidy
     def join(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest, forest = None, Forest()
         for part in parts:
@@ -351,6 +354,7 @@ def region_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def large_sets(texts: DataFrame, large: DataFrame, n: int) -> DataFrame:
     """(sid, region, bytes, shingles) of the sets in large regions."""
 
+    @tidy
     def shingle(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             sets = [worker_shingler(n).set_of(b) for b in part["body"]]

@@ -16,7 +16,8 @@ mention in neutral text moves the score little, whatever the labels of the texts
 Scoring reads every whole text once.  Labels, language, source and id are no inputs of a score.
 
 Defined results: null and empty texts score the bias alone; rows whose label is null are not
-used; an id labelled more than once counts as toxic if any label says so; without labelled
+used; an id labelled more than once counts as toxic if any label says so; of an id on several documents the
+text with the least hash is learned from; without labelled
 rows of both kinds every text scores the share of toxic ones, (toxic + 0.5) / (rows + 1);
 repeated rows are scored each; other columns are passed through, and columns that carry a result
 name are replaced.
@@ -35,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import keep, ship
+from folio.llm.common import keep, ship, tidy
 
 PLACES = 1 << 20
 MAX_LABELLED = 20_000
@@ -87,16 +88,22 @@ def is_held_out(key: Column) -> Column:
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, max_labelled: int) -> DataFrame:
-    """(toxic, text) of at most ``max_labelled`` labelled ids outside the held-out fold."""
+    """(doc_id, toxic, text), one row per id, of at most ``max_labelled`` labelled ids outside the held-out fold.
+
+    Of an id's rows the text with the least hash is taken, on Spark, so repeated ids add nothing to what is collected.
+    """
     few = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~is_held_out(F.col("doc_id")))
            .groupBy("doc_id").agg(F.max((F.col(label) != 0).cast("int")).alias("toxic"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
-    return keep(docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("doc_id", "toxic", "text"), "labelled")
+    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).join(F.broadcast(few), "doc_id")
+    one = rows.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    return keep(one, "labelled")
 
 
 def feature_counts(sample: DataFrame) -> DataFrame:
     """(place, pos, neg): texts by label that have a feature."""
 
+    @tidy
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = np.zeros((2, PLACES), dtype=np.int64)
         for part in parts:
@@ -123,6 +130,7 @@ def sparse_rows(sample: DataFrame, chosen: list[int], groups) -> pd.DataFrame:
     index = {p: i for i, p in enumerate(chosen)}
     shared = sample.sparkSession.sparkContext.broadcast(index)
 
+    @tidy
     def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at = shared.value
         for part in parts:
@@ -207,6 +215,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
+    @tidy
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(shared.value)
         for texts in parts:
