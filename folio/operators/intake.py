@@ -21,6 +21,12 @@ STEM_RE = r"([^/]+)\.pdf$"
 FOLDER_RE = r"^([A-Za-z0-9]+)_"
 # Hash buckets over which a batch's files are numbered (three hex digits of a name's md5).
 NUMBER_BUCKETS_HEX = 3
+#: Bytes of files that one parsing task takes, about.
+BIN_BYTES = 512 * MB
+
+
+def _number_bucket() -> Column:
+    return F.conv(F.substring(F.md5("filename"), 1, NUMBER_BUCKETS_HEX), 16, 10).cast("int")
 
 
 def path_keys(df: DataFrame, path: str = "path") -> DataFrame:
@@ -70,8 +76,7 @@ def parse_queue(inbox: DataFrame, parsed: DataFrame) -> DataFrame:
     todo = inbox.where(F.col("length") <= MAX_FILE_SIZE_MB * MB).join(
         parsed.select(*KEYS).distinct(), list(KEYS), "left_anti")
     parallel = F.col("length") <= LARGE_FILE_THRESHOLD_MB * MB
-    bucket = F.conv(F.substring(F.md5("filename"), 1, NUMBER_BUCKETS_HEX), 16, 10).cast("int")
-    t = todo.withColumn("queue", F.when(parallel, F.lit("parallel")).otherwise(F.lit("sequential"))).withColumn("_b", bucket)
+    t = todo.withColumn("queue", F.when(parallel, F.lit("parallel")).otherwise(F.lit("sequential"))).withColumn("_b", _number_bucket())
     per = ["day_id", "queue"]
     before = Window.partitionBy(*per).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     first = (t.groupBy(*per, "_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -82,6 +87,26 @@ def parse_queue(inbox: DataFrame, parsed: DataFrame) -> DataFrame:
         F.when(F.col("queue") == "sequential", n).cast("int").alias("sequence"))
 
 
+def byte_bins(files: DataFrame, bin_bytes: int = BIN_BYTES) -> DataFrame:
+    """INT7: ``files`` with the number from 0 of the bin (task) that parses each; a batch's bins have nearly equal bytes.
+
+    A bin is a stretch of the running sum of bytes by (hash bucket, filename), so it is off the batch's mean by one
+    file at most.  As in ``parse_queue`` a task only sums the files of one bucket.
+    """
+    t = files.withColumn("_b", _number_bucket())
+    before = Window.partitionBy("day_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    first = (t.groupBy("day_id", "_b").agg(F.sum("length").alias("_n"))
+             .select("day_id", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"),
+                     F.sum("_n").over(Window.partitionBy("day_id")).alias("_total"))
+             .withColumn("_bins", F.greatest(F.lit(1), F.expr(f"(_total + {bin_bytes - 1}) div {bin_bytes}")))
+             .withColumn("_width", F.greatest(F.lit(1), F.expr("(_total + _bins - 1) div _bins"))))
+    inside = Window.partitionBy("day_id", "_b").orderBy("filename", "length").rowsBetween(Window.unboundedPreceding, -1)
+    summed = t.withColumn("_inside", F.coalesce(F.sum("length").over(inside), F.lit(0)))
+    # the last bytes' files may be empty ones, beyond the last bin's start
+    number = F.least(F.expr("(_first + _inside) div _width"), F.col("_bins") - 1)
+    return summed.join(first, ["day_id", "_b"]).select(*files.columns, number.cast("int").alias("bin"))
+
+
 def flag_null_pages(parsed: DataFrame, at: Column, run_id: str | None = None) -> DataFrame:
     """INT6: a needs_review event per parsed file without a page count."""
     return event_rows(parsed.where(F.col("n_pages").isNull()), "parse", "needs_review", "pipeline", at,

@@ -102,6 +102,22 @@ def q_parse_queue(spark, sf_dir):
     return q.select("day_id", "filename", "length", "queue", "chunk", "sequence")
 
 
+_BIN_BYTES = 2_000 * IN.MB
+
+
+@query("byte_bins", f"""WITH {INBOX_SQL},
+todo AS (SELECT * FROM ikeys k WHERE length <= 100 * 1048576
+  AND NOT EXISTS (SELECT 1 FROM fx_split s WHERE s.day_id = k.day_id AND s.filename = k.filename)),
+t AS (SELECT day_id, filename, length, sum(length) OVER (PARTITION BY day_id) AS total,
+        coalesce(sum(length) OVER (PARTITION BY day_id ORDER BY substr(md5(filename), 1, 3), filename, length
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM todo),
+w AS (SELECT *, greatest(1, (total + {_BIN_BYTES - 1}) // {_BIN_BYTES}) AS bins FROM t)
+SELECT day_id, filename, length, CAST(least(before // greatest(1, (total + bins - 1) // bins), bins - 1) AS INTEGER) AS bin FROM w""")
+def q_byte_bins(spark, sf_dir):
+    q = IN.byte_bins(IN.parse_queue(keyed_inbox(spark, sf_dir), fx.fx_split(spark, sf_dir)), _BIN_BYTES)
+    return q.select("day_id", "filename", "length", "bin")
+
+
 @query("flag_null_pages", f"""SELECT day_id, filename, 'parse' AS stage, 'needs_review' AS event_type, '{IN.NULL_PAGES_DETAIL}' AS detail
 FROM fx_split WHERE split_seq % 9 = 0""")
 def q_flag_null_pages(spark, sf_dir):

@@ -105,6 +105,49 @@ def test_intake_stage_registers_parses_and_transitions(spark):
     assert (o["parsed"], o["errored"], o["run_status"]) == (2, 1, "partial_failure")
 
 
+def test_files_are_parsed_in_bins_of_bytes_and_large_ones_again(spark, tmp_path):
+    import re
+    import statistics
+
+    from folio.operators import intake as IN
+    from folio.plans.intake_job import run_parser
+
+    inbox, tried = tmp_path / "in", tmp_path / "tried"
+    inbox.mkdir()
+    tried.mkdir()
+    for i in range(400):
+        (inbox / f"F{i}_x.pdf").write_bytes(bytes([65 + i % 26]) * (1 + 37 * i % 1000))
+    files = spark.read.format("binaryFile").load(str(inbox)).select("path", "length")
+    files = IN.path_keys(files).selectExpr("*", "'202403' AS day_id")
+    parsed = files.limit(0).select("day_id", "filename")
+    queue = IN.parse_queue(files, parsed).selectExpr("* EXCEPT (queue)", "IF(filename LIKE 'F7%', 'sequential', 'parallel') AS queue")
+    binned = IN.byte_bins(queue, 10_000)
+    rows = binned.collect()
+    size = {}
+    for r in rows:
+        size[r["bin"]] = size.get(r["bin"], 0) + r["length"]
+    assert len(rows) == 400 and sorted(size) == list(range(-(-sum(size.values()) // 10_000)))
+    assert max(size.values()) <= 2 * statistics.median(size.values())
+
+    def parser(blob: bytes) -> str:  # fails on its first call for each file
+        mark = tried / f"{len(blob)}-{blob[:1].hex()}"
+        if not mark.exists():
+            mark.write_text("")
+            raise RuntimeError("not now")
+        return str(len(blob))
+
+    out = run_parser(binned, parser, delay=0.0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in re.sub("parsed_content", "", plan)
+    length = {r["filename"]: r["length"] for r in rows}
+    for r in out.collect():
+        if r["filename"].startswith("F7"):
+            assert r["parsed_content"] == str(length[r["filename"]]) and r["parse_error"] is None and len(r["failures"]) <= 1
+        elif r["parse_error"]:
+            assert r["parsed_content"] is None and r["failures"] == ["RuntimeError: not now"]
+    assert IN.byte_bins(queue.limit(0)).count() == 0 and run_parser(IN.byte_bins(queue.limit(0)), parser).count() == 0
+
+
 def test_export_and_deliver_stages(spark, sf_small):
     from folio.functions.common import KEYS
     from folio.plans.deliver_job import deliver_stage, export_stage
