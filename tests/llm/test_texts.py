@@ -59,6 +59,25 @@ def test_sharding_is_balanced_gapless_and_versioned(spark, tmp_path):
     assert {r["version"] for r in latest.collect()} == {2} and first.count() == latest.count() == 512
 
 
+def test_a_row_repeated_a_thousand_times_is_spread_over_shards(spark, tmp_path):
+    import zlib
+    rng = random.Random(3)
+    rows = [(7, "same text again")] * 1000 + [(None, None)] * 300 + [(i, "x" * rng.randrange(40)) for i in range(100, 1100)]
+    got = sharding.shard(cases.frame(spark, rows).repartition(5), 6, str(tmp_path / "map"), n_slots=256).collect()
+    want = collections.Counter((k, len((t or "").encode()) + 16, zlib.crc32((t or "").encode()), "bytes", None) for k, t in rows)
+    assert collections.Counter((r["doc_id"], r["size"], r["text_crc32"], r["law"], r["grown_shard"]) for r in got) == want
+    total, places, slots = collections.Counter(), collections.defaultdict(list), collections.Counter()
+    for r in got:
+        total[r["shard"]] += r["size"]
+        places[r["shard"]].append(r["slot"])
+        slots[r["virtual_slot"]] += 1
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert max(total.values()) - min(total.values()) < 0.03 * sum(total.values()) / 6 and max(slots.values()) < 60
+    owner = {r["slot"]: r for r in sharding.load_map(spark, str(tmp_path / "map")).collect()}
+    assert all(owner[r["virtual_slot"]]["shard"] == r["shard"] for r in got)
+    assert all((s["parent"] is not None) == (k >= 256) for k, s in owner.items()) and len(owner) > 256
+
+
 def test_growing_moves_slots_only_where_needed():
     rng = random.Random(2)
     sizes = {s: (rng.randrange(1, 1000), 1) for s in range(400)}
