@@ -102,8 +102,8 @@ SELECT conv_id, count(*) AS n_turns,
 FROM escaped GROUP BY conv_id""")
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    added = spark.createDataFrame([(-1, 0, "user", ADDED_CONVERSATION), (-1, 1, "assistant", ADDED_CONVERSATION)],
-                                  "conv_id long, turn long, role string, text string")
+    added = spark.sql(f"SELECT * FROM VALUES (-1L, 0L, 'user', '{ADDED_CONVERSATION}'), (-1L, 1L, 'assistant', '{ADDED_CONVERSATION}') "
+                      "AS added(conv_id, turn, role, text)")
     blocks = chat_format.render(chat_format.fold(chat_format.as_events(rows.unionByName(added))))
     back = chat_format.read_back(blocks).select(
         "conv_id", "char_start", "formatted_chars", F.size("turns").cast("long").alias("n_turns"),
