@@ -17,10 +17,14 @@ the same metric's bound on the symmetric difference:
    shingles.  The hash space is cut into ``d + spare`` parts; then at least ``spare`` parts of two linked sets
    are equal.  A set hands out one signature per part, for its own size class and the next one, so
    that sets of neighbouring classes meet.  Parts with fewer than two shingles tell little and are
-   left out, unless a set has as many of them as it must have parts equal to a linked one's.
+   left out, unless a set has as many of them as it must have parts equal to a linked one's; an empty part
+   then comes with each part of a second cut.  Of the parts that must be equal nearly half may be left out on either
+   side, so a set does without the signatures that most sets have (a passage that many documents share).
 3. Of sets with an equal signature those are joined to a region whose histograms over 32 parts of the hash
    space differ by ``d`` at most (pivots and their neighbours, breadth first): the sum of differences is a
-   metric that never exceeds the symmetric difference.
+   metric that never exceeds the symmetric difference.  Signatures of more than ``HOT`` sets are dealt into
+   blocks; a block's sets join pivots close to them, and the blocks' pivots join each other within wider bounds, so
+   that linked sets of different blocks are in one region too.
 4. A region joins recursively: document pivots, nearest pivot, windows of ``2 eps``, until regions
    are small or windows no longer separate; then sets are compared exactly, except those
    already in one component.
@@ -66,6 +70,13 @@ PIVOTS = 8
 BINS = 32
 #: Sets that a task's forest remembers.
 MAX_MET = 500_000
+#: Signatures of more sets are left out where a set can do without them, and else dealt into blocks of so many sets at most
+#: (on average).  The driver and the tasks hold one bitmap of fixed size for each power of four above.
+HOT = 2_000
+HOT_BITS = 1 << 22
+HOT_LEVELS = 12
+#: Sets of a block that are so close to a pivot, as a share of what linked sets may differ in, are represented by it.
+CLOSE = 0.125
 FILTER_BITS = 1 << 27
 ROW_BITS = 1 << 25
 
@@ -111,35 +122,78 @@ def parts_of(tag: int, least: int) -> tuple[int, int]:
     return differ, 6 + differ // 4
 
 
-def signatures(shingles: np.ndarray, least: int) -> np.ndarray:
-    """Distinct signatures of a set: per tag and part the sum of its mixed shingles."""
+def part_sums(mixed: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sum and number of the shingles in each of ``n`` parts of the hash space."""
+    part = ((mixed >> np.uint64(20)) % np.uint64(n)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    count = np.bincount(part, minlength=n)
+    seen = np.flatnonzero(count)
+    total = np.zeros(n, dtype=np.uint64)
+    total[seen] = np.add.reduceat(mixed[order], np.concatenate([[0], np.cumsum(count[seen])[:-1]]))
+    return total, count
+
+
+def signatures(shingles: np.ndarray, least: int) -> tuple[np.ndarray, list[int]]:
+    """A set's signatures, tag by tag, and for each tag their number and how many of them it can do without.
+
+    A set that has fewer low parts than parts that must be equal to a linked set's hands out the others; if
+    both sets leave out less than half of those that must be equal, they still meet.  A set with more low parts hands out all
+    parts: an empty one, which many sets have, with each part of a second cut into one part more than linked sets
+    differ in, so that one of these is equal too; where that part is empty as well, with each part of a third cut.
+    """
     if not len(shingles):
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int64), []
     mixed = shingles.view(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
     mixed ^= mixed >> np.uint64(31)
-    own, out = size_class(len(shingles), least), []
+    own, out, can_do_without = size_class(len(shingles), least), [], []
     for tag in (own, own + 1):
         differ, spare = parts_of(tag, least)
         if not differ:
             continue  # too small for a link between different sets
         n = differ + spare
-        part = ((mixed >> np.uint64(20)) % np.uint64(n)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        count = np.bincount(part, minlength=n)
-        seen = np.flatnonzero(count)
-        total = np.zeros(n, dtype=np.uint64)
-        total[seen] = np.add.reduceat(mixed[order], np.concatenate([[0], np.cumsum(count[seen])[:-1]]))
+        total, count = part_sums(mixed, n)
         # a linked set has at most 100 / least times this one's shingles: so many parts are equal at least
         alike = n - min(differ, (len(shingles) + len(shingles) * 100 // least) * (100 - least) // (100 + least))
-        chosen = np.flatnonzero(count >= 2) if (count < 2).sum() < alike else np.arange(n)
-        sign = (total[chosen] + chosen.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(tag + 1)) * np.uint64(0xD6E8FEB86659FD93)
+        low = int((count < 2).sum())
+        if low < alike:
+            number = np.flatnonzero(count >= 2)
+            total, free = total[number], (alike - low - 1) // 2
+        else:
+            m = differ + 1
+            (second, have), (third, _) = (part_sums(mixed * np.uint64(k), m) for k in (0x94D049BB133111EB, 0xD6E8FEB86659FD93))
+            full, empty = np.flatnonzero(count), np.flatnonzero(count == 0)
+            pairs = (empty[:, None] * m + np.flatnonzero(have)).ravel()
+            triples = ((empty[:, None] * m + np.flatnonzero(have == 0)).ravel()[:, None] * m + np.arange(m)).ravel()
+            number = np.concatenate([full, n + pairs, n + n * m + triples])
+            total, free = np.concatenate([total[full], second[pairs % m], third[triples % m]]), 0
+        sign = (total + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(tag + 1)) * np.uint64(0xD6E8FEB86659FD93)
         sign ^= sign >> np.uint64(32)
         out.append((sign * np.uint64(0x94D049BB133111EB) >> np.uint64(1)).view(np.int64))
-    return np.unique(np.concatenate(out)) if out else np.empty(0, np.int64)
+        can_do_without += [len(number), free]
+    return (np.concatenate(out) if out else np.empty(0, np.int64)), can_do_without
+
+
+def hot_level(signs: np.ndarray, hot: list[np.ndarray]) -> np.ndarray:
+    """How hot signatures are: in how many of the bitmaps for ever more sets they are."""
+    return np.sum([may_contain(h, signs) for h in hot], axis=0, dtype=np.int64) if hot else np.zeros(len(signs), np.int64)
+
+
+def meeting(signs: np.ndarray, can_do_without: list[int], perhaps: np.ndarray, hot: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures that another set may have, less the hottest of those that the set can do without, and their levels."""
+    level = hot_level(signs, hot)
+    use = may_contain(perhaps, signs)
+    if hot and (use & (level > 0)).any():
+        at = 0
+        for count, free in zip(can_do_without[::2], can_do_without[1::2]):
+            own = np.arange(at, at + count)
+            own = own[use[own] & (level[own] > 0)]
+            use[own[np.argsort(-level[own], kind="stable")][:free]] = False
+            at += count
+    return signs[use], level[use]
 
 
 def shingle_sets(docs: DataFrame, n: int, least: int) -> DataFrame:
-    """(doc_id, text_hash, sid, size, bins, signatures) by row: the set's digest, size, histogram and signatures."""
+    """(doc_id, text_hash, sid, size, bins, signatures, can_do_without) by row: the set's digest, size, histogram and signatures."""
     ship(docs.sparkSession)
     body = F.coalesce(F.col("text"), F.lit(""))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), body.cast("binary").alias("body"))
@@ -149,12 +203,14 @@ def shingle_sets(docs: DataFrame, n: int, least: int) -> DataFrame:
         shingler = Shingler(n)
         for part in parts:
             sets = [shingler.set_of(b) for b in part["body"]]
+            signs = [signatures(s, least) for s in sets]
             yield pd.DataFrame({
                 "doc_id": part["doc_id"].astype("Int64"), "text_hash": part["text_hash"],
                 "sid": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "size": [len(s) for s in sets],
-                "bins": [histogram(s) for s in sets], "signatures": [signatures(s, least) for s in sets]})
+                "bins": [histogram(s) for s in sets], "signatures": [s for s, _ in signs], "can_do_without": [c for _, c in signs]})
 
-    return source.mapInPandas(run, "doc_id long, text_hash long, sid binary, size long, bins binary, signatures array<long>")
+    return source.mapInPandas(run, "doc_id long, text_hash long, sid binary, size long, bins binary, signatures array<long>, "
+                                   "can_do_without array<int>")
 
 
 def histogram(shingles: np.ndarray) -> bytes:
@@ -163,8 +219,8 @@ def histogram(shingles: np.ndarray) -> bytes:
     return np.minimum(np.bincount(bins.astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
 
 
-def near_edges(size: np.ndarray, bins: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Edges that connect sets whose histograms are as near as a link requires; one per set at most.
+def near_edges(size: np.ndarray, bins: np.ndarray, least: int, wide: float = 1) -> list[tuple[int, int]]:
+    """Edges that connect sets whose histograms are as near as a link requires, or ``wide`` times that; one per set at most.
 
     Breadth first from the first set that is left: what is near it is joined, and each joined set is a pivot in
     turn.  Sets come in one order everywhere (by ``sid``), so groups that share sets have the same pivots.
@@ -174,7 +230,7 @@ def near_edges(size: np.ndarray, bins: np.ndarray, least: int) -> list[tuple[int
         front, left = [int(left[0])], left[1:]
         while front and len(left):
             x = front.pop()
-            far = np.abs(bins[left] - bins[x]).sum(axis=1) * (100 + least) > (size[left] + size[x]) * (100 - least)
+            far = np.abs(bins[left] - bins[x]).sum(axis=1) * (100 + least) > wide * ((size[left] + size[x]) * (100 - least))
             near = left[~far]
             edges += [(x, int(y)) for y in near]
             front += near.tolist()
@@ -182,6 +238,31 @@ def near_edges(size: np.ndarray, bins: np.ndarray, least: int) -> list[tuple[int
     return edges
 
 
+def leaders(size: np.ndarray, bins: np.ndarray, least: int) -> tuple[list[tuple[int, int]], list[int]]:
+    """(edges, pivots) of a block: each set is a pivot or ``CLOSE`` to one that it has an edge to.
+
+    Linked x and y are connected: where the first of them joins its pivot p, the other is no further from p than a link
+    (x is 100 / least times y at most) and the closeness of x to p allow, and gets an edge to p too.
+    """
+    differ, grow = (100 - least) / (100 + least), 100 / least
+    edges, pivots, left = [], [], np.arange(len(size))
+    while len(left):
+        p, left = int(left[0]), left[1:]
+        pivots.append(p)
+        apart = np.abs(bins[left] - bins[p]).sum(axis=1)
+        near = apart <= differ * (size[left] * (1 + grow) + CLOSE * (grow * size[left] + size[p])) + 1e-9
+        bound = CLOSE * differ * (size[left] + size[p])
+        edges += [(p, y) for y in left[near].tolist()]
+        left = left[(apart > bound) | (np.abs(size[left] - size[p]) > bound)]
+    return edges, pivots
+
+
+def wide_bound(least: int) -> float:
+    """Times a link's bound that the pivots of linked sets may be apart: the link, and the closeness on both sides."""
+    close = CLOSE * (100 - least) / (100 + least)
+    return (1 + CLOSE) * (1 + close) / (1 - close) + CLOSE + 1e-9
+
+
 class Forest:
     """Union-find over the sets that a task has met, so that it hands out edges of a forest only.  It forgets all
     at a fixed number of sets; an edge may then come again."""
@@ -210,6 +291,13 @@ class Forest:
         return True
 
 
+def hot_bitmaps(counts: DataFrame) -> list[np.ndarray]:
+    """Bitmaps of the signatures that more than ``HOT``, 4 ``HOT``, 16 ``HOT`` ... sets have, as far as there are any."""
+    most = counts.agg(F.max("n")).first()[0] or 0
+    steps = [HOT * 4 ** k for k in range(HOT_LEVELS) if HOT * 4 ** k < most]
+    return [hash_bitmap(counts.where(F.col("n") > n), "signature", HOT_BITS) for n in steps]
+
+
 def region_edges(sets: DataFrame, least: int, bits: int) -> DataFrame:
     """(a, b): edges between sets with an equal signature that may be linked.
 
@@ -218,45 +306,74 @@ def region_edges(sets: DataFrame, least: int, bits: int) -> DataFrame:
     part too: within a signature only sets are joined whose histograms differ by no more than linked sets can.
     """
     common = keep(sets.select(F.explode("signatures").alias("signature")).groupBy("signature").agg(F.count("*").alias("n"))
-                  .where("n > 1").select("signature"), "shared-signatures")
-    perhaps = sets.sparkSession.sparkContext.broadcast(hash_bitmap(common, "signature", bits))
+                  .where("n > 1"), "shared-signatures")
+    hot = hot_bitmaps(common)
+    maps = sets.sparkSession.sparkContext.broadcast((hash_bitmap(common, "signature", bits), hot))
 
     @tidy
     def shared(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            known = [s[may_contain(perhaps.value, s)] for s in map(np.asarray, part["signatures"])]
-            times = [len(k) for k in known]
+            known = [meeting(np.asarray(s), c, *maps.value) for s, c in zip(part["signatures"], part["can_do_without"])]
+            times = [len(k) for k, _ in known]
             yield pd.DataFrame({c: np.repeat(part[c].to_numpy(), times) for c in ("sid", "size", "bins")} | {
-                "signature": np.concatenate(known) if known else np.empty(0, np.int64)})
-
-    @tidy
-    def join(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest, forest = None, Forest()
-        for part in parts:
-            part = part if rest is None else pd.concat([rest, part], ignore_index=True)
-            last = part["signature"].to_numpy() == part["signature"].iloc[-1] if len(part) else np.empty(0, bool)
-            rest, done = part[last], part[~last]
-            if len(done):
-                yield edges(done, forest)
-        if rest is not None and len(rest):
-            yield edges(rest, forest)
-
-    def edges(part: pd.DataFrame, forest: Forest) -> pd.DataFrame:
-        key, sid, size = part["signature"].to_numpy(), part["sid"].to_numpy(), part["size"].to_numpy()
+                "signature": np.concatenate([k for k, _ in known]) if known else np.empty(0, np.int64),
+                "level": np.concatenate([v for _, v in known]) if known else np.empty(0, np.int64)})
+
+    def by_signature(wide: float):
+        """Edges of whole groups (signature, block), which come one after the other, and the pivots of hot blocks."""
+        @tidy
+        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            rest, current, forest = [], None, Forest()
+            for part in parts:
+                if not len(part):
+                    continue
+                key, block = part["signature"].to_numpy(), part["block"].to_numpy()
+                last = (key == key[-1]) & (block == block[-1])
+                if last.all() and current in (None, (key[-1], block[-1])):
+                    rest.append(part)
+                else:
+                    yield edges(pd.concat([*rest, part[~last]], ignore_index=True), forest, wide)
+                    rest = [part[last]]
+                current = key[-1], block[-1]
+            if rest:
+                yield edges(pd.concat(rest, ignore_index=True), forest, wide)
+        return run
+
+    def edges(part: pd.DataFrame, forest: Forest, wide: float) -> pd.DataFrame:
+        key, block, sid, size = (part[c].to_numpy() for c in ("signature", "block", "sid", "size"))
         bins = np.frombuffer(b"".join(part["bins"]), dtype=np.uint8).reshape(-1, BINS).astype(np.int32)
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        count = np.diff(np.append(first, len(key)))
-        two = first[count == 2]
-        near = np.abs(bins[two] - bins[two + 1]).sum(axis=1) * (100 + least) <= (size[two] + size[two + 1]) * (100 - least)
-        found = [(x, x + 1) for x in two[near].tolist()]
-        for f, n in zip(first[count > 2].tolist(), count[count > 2].tolist()):
-            found += [(f + x, f + y) for x, y in near_edges(size[f:f + n], bins[f:f + n], least)]
+        first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (block[1:] != block[:-1])]))
+        count, plain = np.diff(np.append(first, len(key))), block[first] < 0
+        two = first[plain & (count == 2)]
+        near = np.abs(bins[two] - bins[two + 1]).sum(axis=1) * (100 + least) <= wide * ((size[two] + size[two + 1]) * (100 - least))
+        found, pivots = [(x, x + 1) for x in two[near].tolist()], []
+        for f, n in zip(first[plain & (count > 2)].tolist(), count[plain & (count > 2)].tolist()):
+            found += [(f + x, f + y) for x, y in near_edges(size[f:f + n], bins[f:f + n], least, wide)]
+        for f, n in zip(first[~plain].tolist(), count[~plain].tolist()):
+            linked, chosen = leaders(size[f:f + n], bins[f:f + n], least)
+            found += [(f + x, f + y) for x, y in linked]
+            pivots += [f + x for x in chosen]
         new = [(sid[x], sid[y]) for x, y in found if forest.join(sid[x], sid[y])]
-        return pd.DataFrame({"a": [x for x, _ in new], "b": [y for _, y in new]})
-
-    met = sets.select("sid", "size", "bins", "signatures").mapInPandas(shared, "sid binary, size long, bins binary, signature long")
-    return (met.repartition("signature").sortWithinPartitions("signature", "sid").mapInPandas(join, "a binary, b binary")
-            .where("a != b").distinct())
+        joined = pd.DataFrame({"a": [x for x, _ in new], "b": [y for _, y in new]})
+        if not pivots:
+            return joined.assign(signature=None, size=None, bins=None)
+        kept = part.iloc[pivots]
+        return pd.concat([joined, pd.DataFrame({"a": kept["sid"], "b": None, "signature": kept["signature"].astype("Int64"),
+                                                "size": kept["size"].astype("Int64"), "bins": kept["bins"]})], ignore_index=True)
+
+    schema = "a binary, b binary, signature long, size long, bins binary"
+    block = F.when(F.col("level") > 0, F.pmod(F.xxhash64("sid"), F.pow(F.lit(4.0), F.col("level")).cast("long"))).otherwise(F.lit(-1))
+    met = (sets.select("sid", "size", "bins", "signatures", "can_do_without")
+           .mapInPandas(shared, "sid binary, size long, bins binary, signature long, level long")
+           .select("sid", "size", "bins", "signature", block.cast("long").alias("block")))
+    found = (met.repartition("signature", "block").sortWithinPartitions("signature", "block", "sid").mapInPandas(by_signature(1), schema))
+    if hot:
+        found = keep(found, "near-sets")
+        pivots = found.where("b IS NULL").select(F.col("a").alias("sid"), "size", "bins", "signature", F.lit(-1).cast("long").alias("block"))
+        across = (pivots.repartition("signature").sortWithinPartitions("signature", "sid")
+                  .mapInPandas(by_signature(wide_bound(least)), schema))
+        found = found.where("b IS NOT NULL").unionByName(across)
+    return found.select("a", "b").where("a != b").distinct()
 
 
 class Region:
@@ -341,14 +458,16 @@ def worker_shingler(n: int) -> Shingler:
     return Shingler(n)
 
 
-def region_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def region_texts(docs: DataFrame, wanted: DataFrame, repeated: bool = True) -> DataFrame:
     """(sid, region, body) of the sets in ``wanted`` (sid, doc_id, text_hash, region).  Texts are read again and
-    filtered where they are read; only texts of sets that share a region are shuffled."""
+    filtered where they are read; only texts of sets that share a region are shuffled.  ``repeated``: rows of ``docs`` may
+    be equal in id and text; then one of them is taken before a region's texts come together."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), "text")
     some = mark_perhaps(rows, row_hash(), wanted, row_hash(), ROW_BITS, "perhaps").where("perhaps")
     asked = wanted.select("sid", "region", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
-    return some.join(asked, same).select("sid", "region", F.col("text").cast("binary").alias("body"))
+    found = some.join(asked, same).select("sid", "region", F.col("text").cast("binary").alias("body"))
+    return found.dropDuplicates(["sid"]) if repeated else found
 
 
 def large_sets(texts: DataFrame, large: DataFrame, n: int) -> DataFrame:
@@ -375,7 +494,7 @@ def pivot_links(sets: DataFrame, least: int) -> DataFrame:
         chosen = left.withColumn("rank", first).where(F.col("rank") <= PIVOTS).select("sid")
         pivots = keep(sets.join(chosen, "sid").select("region", F.col("sid").alias("pivot"), F.col("shingles").alias("other")), "pivots")
         shared = F.size(F.array_intersect("shingles", "other"))
-        linked = (sets.join(F.broadcast(pivots), "region").withColumn("shared", shared)
+        linked = (sets.join(pivots, "region").withColumn("shared", shared)
                   .where(100 * F.col("shared") >= least * (F.size("shingles") + F.size("other") - F.col("shared")))
                   .select(F.col("pivot").alias("a"), F.col("sid").alias("b")))
         found = keep(linked, "pivot-links")  # a pivot is linked to itself
@@ -403,7 +522,7 @@ def block_tasks(sets: DataFrame, links: DataFrame, max_region: int) -> DataFrame
                .withColumn("blocks", F.ceil(F.col("bytes") / room)), "components-in-blocks")
     several = own.where("own IS NOT NULL").select("region", F.col("own").alias("label"), "blocks")
     pooled = own.where("own IS NULL").select("region", F.col("blocks").alias("pooled"))
-    dealt = (sets.join(F.broadcast(several), ["region", "label"], "left").join(F.broadcast(pooled), "region", "left")
+    dealt = (sets.join(several, ["region", "label"], "left").join(pooled, "region", "left")
              .withColumn("own", F.when(F.col("blocks").isNotNull(), F.col("label")))
              .withColumn("block", F.pmod(F.xxhash64("sid"), F.coalesce("blocks", "pooled")))
              .select("sid", "region", "label", "shingles", "own", "block"))
@@ -461,7 +580,8 @@ def grouped(docs: DataFrame, n: int = 5, least: int = 80, max_region: int = MAX_
     edges = region_edges(sets, least, bits)
     regions = connected_components(edges).select(F.col("node").alias("sid"), F.col("label").alias("region"))
     wanted = keep(named.join(regions, "sid").select("sid", "region", "least_row.doc_id", "least_row.text_hash"), "wanted")
-    texts = keep(region_texts(docs, wanted), "region-texts")
+    again = rows.where("size > 0").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1")
+    texts = keep(region_texts(docs, wanted, bool(again.limit(1).count())), "region-texts")
     links = connected_components(link_edges(texts, n, least, max_region))
     own = named
     linked = links.select(F.col("node").alias("sid"), "label").join(own, "sid")

@@ -111,12 +111,47 @@ def test_linked_sets_share_a_signature():
             if 100 * len(x & z) < least * len(x | z):
                 break
             y = z
-        signs = [set(jaccard_join.signatures(np.array(sorted(k), dtype=np.int64), least).tolist()) for k in (x, y)]
+        found = [jaccard_join.signatures(np.array(sorted(k), dtype=np.int64), least) for k in (x, y)]
+        signs = [set(s.tolist()) for s, _ in found]
         assert x == y or signs[0] & signs[1], (size, least, len(x), len(y))
+        # whichever signatures are hot, what both sets do without is not all that they share
+        full = np.full(jaccard_join.HOT_BITS // 8, 255, np.uint8)
+        some = np.frombuffer(rng.randbytes(len(full)), np.uint8)
+        left = [set(jaccard_join.meeting(s, c, full, [full, some])[0].tolist()) for s, c in found]
+        assert x == y or left[0] & left[1], (size, least, len(x), len(y))
         bins = np.array([list(jaccard_join.histogram(np.array(sorted(k), dtype=np.int64))) for k in (x, y)], dtype=np.int32)
         assert jaccard_join.near_edges(np.array([len(x), len(y)]), bins, least) == [(0, 1)]
 
 
+def test_short_sets_share_no_signature_by_an_empty_part():
+    rng = np.random.default_rng(5)
+    for size, least in ((5, 80), (8, 80), (12, 80), (9, 90), (20, 90)):
+        held = collections.Counter()
+        for _ in range(5000):
+            held.update(set(jaccard_join.signatures(np.unique(rng.integers(0, 1 << 62, size)), least)[0].tolist()))
+        assert max(held.values(), default=0) < 200, (size, least)
+
+
+@pytest.mark.parametrize("n,least", [(3, 90), (5, 80)])
+def test_hot_signatures_are_dealt_into_blocks_and_lose_no_link(spark, monkeypatch, n, least):
+    """Near copies, chains and a passage that many texts share; signatures of more than four sets count as hot."""
+    monkeypatch.setattr(jaccard_join, "HOT", 4)
+    rng = random.Random(12)
+    base, passage = ([f"w{rng.randrange(10 ** 6)}" for _ in range(m)] for m in (120, 80))
+    rows = [(i, " ".join(base[:i % 120] + [f"n{i}"] + base[i % 120 + 1:])) for i in range(150)]
+    now = list(base)
+    for i in range(150, 230):
+        now = list(now)
+        now[rng.randrange(120)] = f"c{i}"
+        rows.append((i, " ".join(now)))
+    rows += [(300 + i, " ".join([f"o{i}_{k}" for k in range(rng.randrange(10, 60))] + passage)) for i in range(120)]
+    rows += [(500 + i, cases.words_text(rng, 9, 40)) for i in range(150)]
+    rows += rows[:3] + [(7, rows[0][1])] + [(900, rows[0][1])] * 20
+    want, _ = cases.component_ids(rows, n, least)
+    want = collections.Counter((i, size, c) for (i, _), (size, c) in zip(rows, want))
+    assert by_row(jaccard_join.components(cases.frame(spark, rows), n, least), "doc_id", "n_shingles", "component_id") == want
+
+
 def test_connected_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, i) for i in range(2, 40)] + [(200, 200)]
     got = {r["node"]: r["label"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
