@@ -134,9 +134,10 @@ def gate_state(sample: DataFrame, gt: DataFrame) -> DataFrame:
     The missing files themselves are the ``annotated = false`` rows of
     ``worklist``; they are not gathered into one list per batch.
     """
-    w = worklist(sample, gt)
-    return (w.groupBy("day_id").agg(F.count(F.lit(1)).alias("n_sampled"),
-                                    count_if(F.col("annotated")).alias("n_annotated"))
+    one = lambda df, n, done: df.select("day_id", "filename", F.lit(n).cast("bigint").alias("n"), F.lit(done).cast("bigint").alias("done"))
+    files = (one(sample, 1, 0).unionByName(one(gt.dropna(subset=["day_id", "filename"]), 0, 1))
+             .groupBy("day_id", "filename").agg(F.sum("n").alias("n"), F.max("done").alias("done")).where("n > 0"))
+    return (files.groupBy("day_id").agg(F.sum("n").alias("n_sampled"), F.sum(F.col("n") * F.col("done")).alias("n_annotated"))
             .withColumn("n_missing", F.col("n_sampled") - F.col("n_annotated"))
             .withColumn("complete", (F.col("n_sampled") > 0) & (F.col("n_missing") == 0)))
 
@@ -152,14 +153,14 @@ def delivery_allowed(batches: DataFrame, gate: DataFrame) -> DataFrame:
 
 def batch_list(status: DataFrame, manifest: DataFrame, gate: DataFrame) -> DataFrame:
     """EVL10: batches from the tables, inbox and validation listings, with the
-    lifecycle refined to 'annotated' when the gate is complete."""
-    inbox = manifest.where(F.col("volume") == "inbox").groupBy("day_id").agg(
-        F.count(F.lit(1)).alias("n_inbox"))
-    val = manifest.where(F.col("volume") == "validation").select("day_id")
-    days = (status.select("day_id").unionByName(inbox.select("day_id")).unionByName(val).distinct())
-    j = (days.join(status.select("day_id", "lifecycle", "has_errors", "n_files"), "day_id", "left")
-         .join(inbox, "day_id", "left")
-         .join(gate.select("day_id", "complete"), "day_id", "left"))
+    lifecycle refined to 'annotated' when the gate is complete.  Listings are counted per batch; then all facts of a batch
+    meet in one aggregation."""
+    listed = (manifest.where(F.col("volume").isin("inbox", "validation")).groupBy("day_id")
+              .agg(F.sum((F.col("volume") == "inbox").cast("bigint")).alias("n_inbox")))
+    facts = (status.select("day_id", F.struct("lifecycle", "has_errors", "n_files").alias("known"))
+             .unionByName(listed, allowMissingColumns=True).unionByName(gate.select("day_id", "complete"), allowMissingColumns=True))
+    j = (facts.groupBy("day_id").agg(F.max("known").alias("known"), F.max("n_inbox").alias("n_inbox"), F.max("complete").alias("complete"))
+         .where("known IS NOT NULL OR n_inbox IS NOT NULL").select("day_id", "known.*", "n_inbox", "complete"))
     life = F.coalesce(F.col("lifecycle"), F.lit("uploaded"))
     life = F.when((life == "awaiting_annotation") & F.coalesce(F.col("complete"), F.lit(False)),
                   F.lit("annotated")).otherwise(life)

@@ -197,6 +197,65 @@ def invoke(prompts: DataFrame, predictor: Callable[[str, int], str], keys: list[
     return src.mapInPandas(run, schema)
 
 
+def invoke_stream(blocks: DataFrame, predictor: Callable[[Iterator[str], int | None], str], keys: list[str], head: str = "",
+                  tail: str = "", budget: int | None = None, sep: str = "\n") -> DataFrame:
+    """PRM9 for prompts of any length: ``predictor(pieces, budget)`` reads a package's prompt as an iterator of texts.
+
+    ``blocks`` has rows (keys, position, text); see ``signals.page_blocks`` and ``boundaries.verify_blocks``.  They are dealt by
+    ``keys`` and sorted by position within the task, and a task holds one Arrow batch of them at a time, however long
+    a package is: a package that goes over a batch's end is read on from the next batch.  The pieces are ``head``, the
+    texts of negative positions as they are, the others with ``sep`` between them, and ``tail``.  Null texts are left out.
+    A predictor need not read to the end.  A failure is data; a stream is not read again, so there is one try.
+    """
+    schema = T.StructType([*blocks.select(*keys).schema.fields, T.StructField("llm_result", RESULT_TYPE)])
+    held_rows, held_chars = 1_000, 4_000_000
+
+    def run(batches: Iterator) -> Iterator:
+        import itertools
+
+        import pandas as pd
+
+        def rows():
+            for pdf in batches:
+                named = [pdf[k].astype(object).where(pdf[k].notna(), None) for k in keys]
+                yield from zip(zip(*named), pdf["position"], pdf["text"])
+
+        def pieces(group):
+            yield head
+            first = True
+            for _, position, text in group:
+                if text is None:
+                    continue
+                if position < 0:
+                    yield text
+                else:
+                    yield text if first else sep + text
+                    first = False
+            yield tail
+
+        def frame(done):
+            out = pd.DataFrame([key for key, _ in done], columns=keys)
+            out["llm_result"] = pd.Series([told for _, told in done], dtype=object)
+            return out
+
+        done, chars = [], 0
+        for key, group in itertools.groupby(rows(), key=lambda r: r[0]):
+            try:
+                told = {"result": predictor(pieces(group), budget), "errorMessage": None}
+            except Exception as ex:  # noqa: BLE001 - failures are data here
+                told = {"result": None, "errorMessage": f"{type(ex).__name__}: {ex}"}
+            done.append((key, told))
+            chars += len(told["result"] or "")
+            if len(done) >= held_rows or chars >= held_chars:
+                yield frame(done)
+                done, chars = [], 0
+        if done:
+            yield frame(done)
+
+    rows = blocks.select(*keys, "position", "text").repartition(*keys).sortWithinPartitions(*keys, "position")
+    return rows.mapInPandas(run, schema)
+
+
 def rule_boundaries(signals: DataFrame) -> DataFrame:
     """PRM10: the prompt's boundary cues as a deterministic predictor.
 

@@ -35,27 +35,26 @@ def sample_size(n: Column, pct: float) -> Column:
 def annotation_sample(split: DataFrame, pct: float) -> DataFrame:
     """SMP1: per batch the k files with the smallest seeded hash; same sample on rerun.
 
-    Exact top-k without sorting a batch in one task: files are counted per
-    (batch, hash bucket), a running count over the <= 65536 buckets of a batch
-    finds the bucket where the cut falls, every file below it is taken and only
-    the files of that one bucket are ranked.
+    Exact bottom-k by one digit of a radix select: one aggregation gathers the distinct files of each (batch,
+    hash bucket); a running count over a batch's 65536 buckets at most finds how many files each bucket gives, and
+    only the bucket where the cut falls is sorted.  A bucket is 1/65536 of a batch.  Files are read and shuffled once: the
+    counts come from the same exchange.
     """
     if not 0 < pct <= 100:
         raise ValueError(f"sample_pct={pct} out of range (0, 100]")
-    files = split.select(*KEYS).distinct()
-    h = files.withColumn("_h", sample_key(F.col("day_id"), F.col("filename"))) \
-             .withColumn("_b", F.conv(F.substring("_h", 1, HASH_BUCKETS_HEX), 16, 10).cast("int"))
-    counts = h.groupBy("day_id", "_b").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy("day_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = counts.withColumn("_cum", F.sum("_c").over(w)).withColumn(
-        "_n", F.sum("_c").over(Window.partitionBy("day_id"))).withColumn("_k", sample_size(F.col("_n"), pct))
-    cum = cum.withColumn("_before", F.col("_cum") - F.col("_c")).where(F.col("_before") < F.col("_k"))
-    j = h.join(cum.select("day_id", "_b", "_cum", "_before", "_k"), ["day_id", "_b"])
-    full = j.where(F.col("_cum") <= F.col("_k"))
-    edge = j.where(F.col("_cum") > F.col("_k"))
-    wr = Window.partitionBy("day_id", "_b").orderBy("_h", "filename")
-    edge = edge.withColumn("_r", F.row_number().over(wr)).where(F.col("_r") <= F.col("_k") - F.col("_before")).drop("_r")
-    return full.unionByName(edge).select(*KEYS, F.col("_h").alias("sample_key"))
+    h = split.select(*KEYS, sample_key(F.col("day_id"), F.col("filename")).alias("_h"))
+    h = h.withColumn("_b", F.conv(F.substring("_h", 1, HASH_BUCKETS_HEX), 16, 10).cast("int"))
+    # said here, so that both uses of the buckets have the same filter and share an exchange
+    buckets = (h.where("day_id IS NOT NULL AND _b IS NOT NULL").groupBy("day_id", "_b").agg(F.collect_set(F.struct(F.col("_h").alias("sample_key"), "filename")).alias("_files"))
+               .withColumn("_c", F.size("_files").cast("bigint")))
+    batch = Window.partitionBy("day_id")
+    upto = batch.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    room = sample_size(F.sum("_c").over(batch), pct) - (F.sum("_c").over(upto) - F.col("_c"))
+    cut = buckets.select("day_id", "_b", room.alias("_room")).where("_room > 0")
+    j = buckets.join(cut, ["day_id", "_b"])
+    taken = F.when(F.col("_c") <= F.col("_room"), F.col("_files")).otherwise(
+        F.slice(F.sort_array("_files"), 1, F.least("_c", "_room").cast("int")))
+    return j.select("day_id", F.explode(taken).alias("f")).select("day_id", "f.filename", "f.sample_key")
 
 
 def export_predictions(pending: DataFrame, split: DataFrame) -> DataFrame:

@@ -159,6 +159,12 @@ def ordered_text(df: DataFrame, keys: list[str], pos: str, text: str, out: str,
                                               lambda x: x["_part"])).alias(out), *at, *mx))
 
 
+def page_blocks(signals: DataFrame) -> DataFrame:
+    """SIG13 piece by piece: one row (keys, position, text) per page; joined by newlines in the order of the
+    positions, a package's rows are its summary.  No row holds more than one page."""
+    return signals.select(*pkg_keys(signals), F.col("page_num").alias("position"), _labelled(F.col("page_num"), F.col("page_block")).alias("text"))
+
+
 def package_summary(signals: DataFrame, folders: DataFrame | None = None) -> DataFrame:
     """SIG13: one text per package, page blocks in page order under ``=== PAGE n ===``."""
     keys = pkg_keys(signals)

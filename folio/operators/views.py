@@ -48,24 +48,21 @@ def file_status(log: DataFrame, split: DataFrame, log_tiebreak: str | None = "lo
     return best.join(s, list(KEYS), "left")
 
 
+def funnel_counters() -> dict[str, Column]:
+    """What the funnel counts: a condition per counter."""
+    st, sf = F.col("status"), F.col("sftp_delivery_status")
+    return {"n_files": F.lit(True),
+            **{f"n_{name}": st == value for name, value in (
+                ("pending", "pending"), ("parsing", "parsing"), ("parsed", "parsed"), ("predicted", "done"), ("error", "error"),
+                ("skipped", "skipped"), ("manual", "manual"))},
+            **{f"n_{name}": sf == value for name, value in (
+                ("sftp_pending", "pending"), ("delivered", "delivered"), ("sftp_failed", "failed"), ("deferred", "deferred"))},
+            "n_needs_review": F.col("needs_review")}
+
+
 def funnel(status: DataFrame) -> DataFrame:
     """AGG1: per-batch counts on both status axes."""
-    st, sf = F.col("status"), F.col("sftp_delivery_status")
-    return status.groupBy("day_id").agg(
-        F.count(F.lit(1)).alias("n_files"),
-        count_if(st == "pending").alias("n_pending"),
-        count_if(st == "parsing").alias("n_parsing"),
-        count_if(st == "parsed").alias("n_parsed"),
-        count_if(st == "done").alias("n_predicted"),
-        count_if(st == "error").alias("n_error"),
-        count_if(st == "skipped").alias("n_skipped"),
-        count_if(st == "manual").alias("n_manual"),
-        count_if(sf == "pending").alias("n_sftp_pending"),
-        count_if(sf == "delivered").alias("n_delivered"),
-        count_if(sf == "failed").alias("n_sftp_failed"),
-        count_if(sf == "deferred").alias("n_deferred"),
-        count_if(F.col("needs_review")).alias("n_needs_review"),
-    )
+    return status.groupBy("day_id").agg(*[count_if(c).alias(n) for n, c in funnel_counters().items()])
 
 
 def event_marks(events: DataFrame) -> DataFrame:
@@ -90,7 +87,12 @@ def lifecycle(f: DataFrame) -> Column:
 
 def batch_status(fun: DataFrame, events: DataFrame) -> DataFrame:
     """AGG2: coarse lifecycle per batch (funnel left-joined with event marks)."""
-    j = fun.join(event_marks(events), "day_id", "left")
+    return with_lifecycle(fun, event_marks(events))
+
+
+def with_lifecycle(fun: DataFrame, marks: DataFrame) -> DataFrame:
+    """AGG2 over counts and event marks that are at hand."""
+    j = fun.join(marks, "day_id", "left")
     return j.select("*", lifecycle(j).alias("lifecycle"),
                     ((F.col("n_error") + F.col("n_sftp_failed")) > 0).alias("has_errors"))
 

@@ -18,6 +18,7 @@ from folio.operators import sampling as SM
 from folio.operators import segments as SE
 from folio.operators import views as V
 from folio.operators.state import event_rows
+from folio.sources.sinks import cut_lineage
 
 MISSING_BOTH = "missing from both inbox and archive"
 
@@ -74,7 +75,8 @@ def deliver_stage(split: DataFrame, log: DataFrame, manifest: DataFrame, day_id:
 
     queue = DL.delivery_queue(log2).select(*KEYS, "folder_id")
     tasks = DL.route_delivery(queue, local, remote_folders, remote_base)
-    verified = DL.verify_sizes(tasks.where(F.col("route") == "upload"), remote_files)
+    settled = cut_lineage(DL.verify_sizes(tasks, remote_files), f"{run_id}-{day_id}/delivery_checks")  # read by all that follows
+    tasks, verified = settled.select(*tasks.columns), settled.where(F.col("route") == "upload")
     folders = DL.folder_completeness(verified)
     outcome = DL.file_outcome(verified, folders)
     deferred = tasks.where(F.col("route") == "deferred").groupBy(*KEYS).agg(F.max("folder_id").alias("folder_id"))

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from folio.functions.common import array_text
 from folio.operators import boundaries as BD
 from folio.operators import prompts as PR
+from folio.operators import signals as SG
 from folio.plans import fixtures as fx
-from folio.plans.q_prompts import CHUNK_PLAN_SQL, long_pkg, parse_sql, pkg_df, sql_text
+from folio.plans.q_prompts import CHUNK_PLAN_SQL, long_pkg, parse_sql, sql_text
 from folio.plans.q_signals import PACKAGE_SQL, SIGNALS_CTES, signals_df
 from folio.plans.q_views import AS_OF_TEXT
 from folio.plans.registry import query
 from folio.functions import prompt_text as P
+from folio.session import ship
 
 # ---- adapters for the model answers of the later stages ----------------------
 
@@ -240,6 +244,29 @@ def q_verify_batch(spark, sf_dir):
                     "all_windows_context", F.md5("prompt").alias("prompt_md5"))
 
 
+def prompt_digest(pieces, budget):
+    """A stand-in model for streamed prompts: the MD5 of what it is told, piece by piece."""
+    told = hashlib.md5()
+    for piece in pieces:
+        told.update(piece.encode())
+    return told.hexdigest()
+
+
+@query("streamed_prompts", f"""WITH {SIGNALS_CTES}, {WINDOW_SQL}, {PACKAGE_SQL}
+SELECT 'package' AS kind, filename, md5({sql_text(P.BOUNDARY_SYSTEM + P.INPUT_OPEN)} || package_summary || {sql_text(P.BOUNDARY_TAIL)})
+  AS prompt_md5 FROM pkg
+UNION ALL SELECT 'verify', filename, md5({sql_text(P.VERIFY_SYSTEM + P.INPUT_OPEN + P.VERIFY_HEAD)} || CAST(all_proposed AS VARCHAR) ||
+      {sql_text(P.VERIFY_MID)} || all_windows_context || {sql_text(P.VERIFY_TAIL)}) FROM vb""")
+def q_streamed_prompts(spark, sf_dir):
+    ship(spark)
+    told = {"package": PR.invoke_stream(SG.page_blocks(signals_df(spark, sf_dir)), prompt_digest, ["filename"],
+                                        head=P.BOUNDARY_SYSTEM + P.INPUT_OPEN, tail=P.BOUNDARY_TAIL),
+            "verify": PR.invoke_stream(BD.verify_blocks(windows_df(spark, sf_dir)), prompt_digest, ["filename"],
+                                       head=P.VERIFY_SYSTEM + P.INPUT_OPEN + P.VERIFY_HEAD, tail=P.VERIFY_TAIL)}
+    one, two = (t.select(F.lit(k).alias("kind"), "filename", F.col("llm_result.result").alias("prompt_md5")) for k, t in told.items())
+    return one.unionByName(two)
+
+
 CORRECT_SQL = f"""{VERIFY_RESP_SQL},
 vr2 AS (SELECT *, regexp_extract(trim(regexp_replace(verify_response, '```(?:json)?\\s*', '', 'g')), '(?s)\\[.*\\]', 0) AS arr_txt
   FROM vr),
@@ -337,11 +364,9 @@ SELECT fin.filename, pkg.total_pages, array_to_string(fin.predicted_starts, ',')
 FROM fin JOIN pkg ON pkg.filename = fin.filename LEFT JOIN minfo m ON m.filename = fin.filename
 LEFT JOIN whence r ON r.filename = fin.filename""")
 def q_split_results(spark, sf_dir):
-    final = final_df(spark, sf_dir)
-    pkg = pkg_df(spark, sf_dir)
-    info = BD.model_info(response_log(spark, sf_dir))
-    source = combined_df(spark, sf_dir)
-    sr = BD.split_results(final, pkg, info, source, "run-1", None, F.lit(AS_OF_TEXT).cast("timestamp_ntz"))
+    pages = signals_df(spark, sf_dir).select("filename", "total_pages")
+    sr = BD.split_results(proposals_src(spark, sf_dir), corrected_df(spark, sf_dir), response_log(spark, sf_dir).drop("day_id"),
+                          pages, "run-1", None, F.lit(AS_OF_TEXT).cast("timestamp_ntz"), source=combined_df(spark, sf_dir))
     return sr.select("filename", "total_pages", array_text(F.col("predicted_starts")).alias("starts_txt"),
                      "n_documents", "model_used", "fallback_used", "verification_applied", "processing_timestamp",
                      "run_id", "needs_review", "boundary_source")

@@ -16,6 +16,7 @@ from folio.plans.q_evaluation import ORDER_DAY_SQL, order_days
 from folio.plans.q_intake import ROOT, log_df
 from folio.plans.q_views import AS_OF_TEXT, FILE_STATUS_CTES, as_of, funnel_df, status_df
 from folio.plans.registry import query
+from folio.sources.sinks import cut_lineage
 
 REMOTE_BASE = "/remote/out"
 
@@ -243,11 +244,16 @@ def tasks_df(spark, sf_dir):
     return DL.route_delivery(q, t.select("folder_id", "out_name", "local_size", "upload_error"), rf, REMOTE_BASE)
 
 
-def verified_df(spark, sf_dir):
+def settled_df(spark, sf_dir):
+    """All routed files with their checks."""
     t = fx.fx_transfer(spark, sf_dir)
     remote = t.select(F.concat(F.lit(REMOTE_BASE + "/"), F.col("folder_id"), F.lit("/"), F.col("out_name"))
                       .alias("remote_path"), "remote_size")
-    return DL.verify_sizes(tasks_df(spark, sf_dir).where(F.col("route") == "upload"), remote)
+    return DL.verify_sizes(tasks_df(spark, sf_dir), remote)
+
+
+def verified_df(spark, sf_dir):
+    return settled_df(spark, sf_dir).where(F.col("route") == "upload")
 
 
 @query("route_delivery", f"""WITH {TASKS_SQL}
@@ -269,8 +275,8 @@ def q_folder_completeness(spark, sf_dir):
     return DL.folder_completeness(verified_df(spark, sf_dir))
 
 
-def outcome_df(spark, sf_dir):
-    v = verified_df(spark, sf_dir)
+def outcome_of(settled):
+    v = settled.where(F.col("route") == "upload")
     return DL.file_outcome(v, DL.folder_completeness(v))
 
 
@@ -280,7 +286,7 @@ SELECT day_id, filename, n_expected, n_ok, outcome, fail_reason,
        WHEN fail_reason LIKE 'folder%' THEN 'folder_incomplete' WHEN fail_reason IS NOT NULL THEN 'error' END AS event_type
 FROM fo""")
 def q_file_outcome(spark, sf_dir):
-    return outcome_df(spark, sf_dir).select("day_id", "filename", "n_expected", "n_ok", "outcome", "fail_reason",
+    return outcome_of(cut_lineage(settled_df(spark, sf_dir))).select("day_id", "filename", "n_expected", "n_ok", "outcome", "fail_reason",
                                             "event_type")
 
 
@@ -297,14 +303,13 @@ SELECT lg.day_id, lg.filename,
 FROM lg LEFT JOIN fo f ON f.day_id = lg.day_id AND f.filename = lg.filename
 LEFT JOIN dfr d ON d.day_id = lg.day_id AND d.filename = lg.filename""")
 def q_apply_delivery(spark, sf_dir):
-    _, q = transfer_queue(spark, sf_dir)
-    lg = q.select("day_id", "filename").distinct().select(
+    tasks = cut_lineage(settled_df(spark, sf_dir))  # routed and checked once, as in the job
+    lg = tasks.select("day_id", "filename").distinct().select(
         "day_id", "filename", F.lit("done").alias("status"), F.lit("pending").alias("sftp_delivery_status"),
         F.lit(None).cast("string").alias("sftp_delivery_error"), F.lit(None).cast("string").alias("sftp_target_folder"),
         F.lit(None).cast("timestamp").alias("sftp_delivered_at"), F.lit(None).cast("string").alias("run_id"))
-    tasks = tasks_df(spark, sf_dir)
     deferred = tasks.where(F.col("route") == "deferred").groupBy(*KEYS).agg(F.max("folder_id").alias("folder_id"))
-    out = DL.apply_delivery(lg, outcome_df(spark, sf_dir), deferred, REMOTE_BASE, as_of())
+    out = DL.apply_delivery(lg, outcome_of(tasks), deferred, REMOTE_BASE, as_of())
     return out.select("day_id", "filename", "sftp_delivery_status", "sftp_delivery_error", "sftp_target_folder")
 
 

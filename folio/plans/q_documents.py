@@ -13,6 +13,7 @@ from folio.plans import fixtures as fx
 from folio.plans.q_prompts import RULE_SQL, sql_text
 from folio.plans.q_signals import PACKAGE_SQL, SIGNAL_COLS, signals_ctes
 from folio.plans.registry import query
+from folio.sources.sinks import cut_lineage
 
 DOC_CTES = signals_ctes("fx_doc_elements")
 
@@ -41,7 +42,7 @@ def answer_text(starts):
 def doc_resolved(spark, sf_dir):
     """Every package with its boundary set: the answers are a relation made by the rule predictor, one per
     single-call package and one per chunk of a long one (some of them unusable), parsed like a model's."""
-    rules = PR.starts_per_package(PR.rule_boundaries(doc_signals(spark, sf_dir)))
+    rules = cut_lineage(PR.starts_per_package(PR.rule_boundaries(doc_signals(spark, sf_dir))))
     key = F.split("filename", "_")[0].cast("bigint")
     broken = F.when(key % 11 == 3, F.lit("no answer"))
     whole = rules.where(F.col("total_pages") <= P.MAX_PAGES_SINGLE_CALL).select(
@@ -99,7 +100,7 @@ SELECT filename, total_pages, array_to_string(CASE WHEN CAST(split_part(filename
 def q_split_job(spark, sf_dir):
     """Parsed JSON -> signals -> answers -> resolution of single, fallback and chunked packages ->
     proposals -> corrections (every third package drops its first proposal) -> final boundaries."""
-    resolved = doc_resolved(spark, sf_dir)
+    resolved = cut_lineage(doc_resolved(spark, sf_dir))
     above = F.filter("parsed_starts", lambda x: x > 1)
     asked = resolved.where(F.size(above) > 0).select("filename", "total_pages", above.alias("all_proposed"))
     drop = F.concat(F.lit('[{"action": "remove", "from_page": '), F.element_at("all_proposed", 1).cast("string"), F.lit("}]"))

@@ -97,20 +97,19 @@ def split_stage(parsed: DataFrame, predictor: Predictor, fallback: Predictor | N
         corrected = batch.withColumn("verify_response", F.lit(None).cast("string")) \
                          .withColumn("verify_error", F.lit("no verifier configured"))
         corrected = BD.apply_corrections(corrected)
-    final = BD.final_boundaries(corrected, resolved)
 
     responses = (PR.log_responses(prim, "primary_pass", primary_model, False, run_id, day_id, at)
            .unionByName(PR.log_responses(fb, "retry_fallback", fallback_model, True, run_id, day_id, at))
            .unionByName(PR.log_responses(cparsed.withColumnRenamed("chunk_starts", "parsed_starts"), "chunk",
                                          primary_model, False, run_id, day_id, at)))
-    info = BD.model_info(responses, keys)
+    results = BD.split_results(resolved, corrected, responses, pkg, run_id, day_id, at)
+    results = _materialize(results, f"{tag}/split_results", materialize)
     if answers is not None:
         responses = responses.unionByName(PR.log_responses(answers, "verification", primary_model, False, run_id, day_id, at))
-    results = BD.split_results(final, pkg, info, resolved, run_id, day_id, at)
     review = BD.review_events(resolved)
     events = event_rows(review.withColumn("day_id", F.lit(day_id)), "split", "needs_review",
                         "pipeline", at, detail=F.col("detail"), run_id=run_id)
-    n = RE.tally(spark, day_id, n_to_split=pkg, n_split=final, n_failed=resolved.where(F.col("boundary_source") == "ultimate_fallback"))
+    n = RE.tally(spark, day_id, n_to_split=pkg, n_split=results, n_failed=resolved.where(F.col("boundary_source") == "ultimate_fallback"))
     status = F.when(F.col("n_to_split") == 0, "NO_FILES_TO_SPLIT").when(F.col("n_failed") > 0, "partial_failure").otherwise("success")
     events = (events.unionByName(RE.run_event(spark, "split", "run_started", day_id, at, run_id))
               .unionByName(event_rows(n, "split", "status_change", "pipeline", at, detail=RE.text(F.col("n_split"), " files split"),
@@ -119,6 +118,5 @@ def split_stage(parsed: DataFrame, predictor: Predictor, fallback: Predictor | N
     out = {"page_signals": signals, "package_summaries": pkg, "responses": responses, "resolved": resolved,
            "split_results": results, "events": events}
     if log is not None:
-        named = final if "day_id" in final.columns else final.withColumn("day_id", F.lit(day_id))
-        out["log"] = mark_done(log.where(F.col("day_id") == day_id), named, run_id, at).drop("updated")
+        out["log"] = mark_done(log.where(F.col("day_id") == day_id), results, run_id, at).drop("updated")
     return out
