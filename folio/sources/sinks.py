@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -44,16 +45,13 @@ def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
     """SNK3: materialise ``df`` in the shared checkpoint folder and read it back.
 
     Used after every model call so a recomputation (task retry, lost executor,
-    second action) never calls the model again.  With ``name`` the result is a
-    Parquet table ``<spark.checkpoint.dir>/<name>`` (a fixed path, overwritten by
-    a rerun of the same name), else a
-    reliable ``checkpoint()`` in the same folder.  Never a local checkpoint.
+    second action) never calls the model again.  The result is a Parquet table
+    ``<spark.checkpoint.dir>/<name>`` (a fixed path, overwritten by a rerun of the same name), or one
+    with a name of its own; ``checkpoint()`` would compute the rows twice.  Never a local checkpoint.
     """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark)
-    if name is None:
-        return df.checkpoint(eager=True)
-    path = f"{root.rstrip('/')}/{name}"
+    path = f"{root.rstrip('/')}/{name or 'cut-' + uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
