@@ -102,14 +102,28 @@ def fx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Tasks per file split when rows are dealt by package: a row becomes a few kilobytes of page texts in the same task.
+TASKS_PER_SPLIT = 24
+
+
+def by_package(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows by package into tasks that grow in number with the files read.  The number is given, because adaptive
+    coalescing goes by the bytes shuffled here and what is made of them in the same task is many times that."""
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), TASKS_PER_SPLIT * df.rdd.getNumPartitions())
+    return df.repartition(n, *keys)
+
+
 def fx_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page skeleton: one order is one package, one line item one page."""
-    li = table(spark, sf_dir, "lineitem")
-    w = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+    """Page skeleton: one order is one package, one line item one page.  Rows are dealt by package once; what
+    is later grouped by package, or by package and page, needs no further shuffle."""
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
+    li = by_package(table(spark, sf_dir, "lineitem").select(
+        F.concat(F.col("l_orderkey").cast("string"), F.lit("_ORDER")).alias("filename"),
+        *order, "l_returnflag", "l_linestatus"), "filename")
+    w = Window.partitionBy("filename").orderBy(*order)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # same sort, one window pass
     return li.select(
-        F.concat(F.col("l_orderkey").cast("string"), F.lit("_ORDER")).alias("filename"),
+        "filename",
         F.row_number().over(w).cast("int").alias("page_num"),
         F.count(F.lit(1)).over(whole).cast("int").alias("total_pages"),
         "l_returnflag", "l_linestatus", "l_suppkey",
@@ -169,6 +183,13 @@ def fx_long_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fx_long_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packages of ``fx_long_pages`` with their page totals: counted, without ordering the pages."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.groupBy(F.concat(F.col("l_suppkey").cast("string"), F.lit("_LONG")).alias("filename")).agg(
+        F.count(F.lit(1)).cast("int").alias("total_pages"))
+
+
 def fx_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw model output text: eight response shapes, one eighth each."""
     return fx_responses_from(table(spark, sf_dir, "orders"))
