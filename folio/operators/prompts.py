@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -252,8 +252,9 @@ def invoke_stream(blocks: DataFrame, predictor: Callable[[Iterator[str], int | N
         if done:
             yield frame(done)
 
-    rows = blocks.select(*keys, "position", "text").repartition(*keys).sortWithinPartitions(*keys, "position")
-    return rows.mapInPandas(run, schema)
+    # numbered within the package: rows that are dealt and sorted by package already are neither shuffled nor sorted again
+    at = F.row_number().over(Window.partitionBy(*keys).orderBy("position")).alias("at")
+    return blocks.select(*keys, "position", "text", at).mapInPandas(run, schema)
 
 
 def rule_boundaries(signals: DataFrame) -> DataFrame:
