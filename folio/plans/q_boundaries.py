@@ -17,6 +17,7 @@ from folio.plans.q_views import AS_OF_TEXT
 from folio.plans.registry import query
 from folio.functions import prompt_text as P
 from folio.session import ship
+from folio.sources.sinks import cut_lineage
 
 # ---- adapters for the model answers of the later stages ----------------------
 
@@ -107,7 +108,7 @@ res AS (SELECT p.filename, p.total_pages, p.token_bucket,
 
 
 def resolved_single(spark, sf_dir):
-    prim = primary_df(spark, sf_dir)
+    prim = cut_lineage(primary_df(spark, sf_dir))  # answers are parsed once, as in the job
     return BD.resolve_single(prim, fallback_df(spark, sf_dir, prim))
 
 
@@ -161,7 +162,7 @@ def q_large_missing(spark, sf_dir):
 
 def combined_df(spark, sf_dir):
     large = long_pkg(spark, sf_dir).where(F.col("total_pages") > P.MAX_PAGES_SINGLE_CALL)
-    merged = merged_df(spark, sf_dir)
+    merged = cut_lineage(merged_df(spark, sf_dir))
     return BD.combine(resolved_single(spark, sf_dir), merged, BD.large_missing(large, merged))
 
 
@@ -193,7 +194,7 @@ def q_review_events(spark, sf_dir):
 def proposals_src(spark, sf_dir):
     """Proposed sets for the verification pass: the model sets of the evaluation adapter
     (their pages have signals, so the windows have text)."""
-    s = fx.fx_eval_sets(spark, sf_dir).where(F.col("model_starts").isNotNull())
+    s = fx.fx_eval_sets(spark, sf_dir, fx.fx_pages(spark, sf_dir, dealt=True)).where(F.col("model_starts").isNotNull())
     return s.select("filename", "total_pages", F.col("model_starts").alias("parsed_starts"))
 
 

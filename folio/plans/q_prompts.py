@@ -40,8 +40,7 @@ def q_prompt_plan(spark, sf_dir):
 def long_pkg(spark, sf_dir):
     """Packages for the chunk path: the long ones, and those of the single-call adapter above its page limit."""
     over = fx.fx_responses(spark, sf_dir).where(F.col("total_pages") > P.MAX_PAGES_SINGLE_CALL).select("filename", "total_pages")
-    return (fx.fx_long_pages(spark, sf_dir).groupBy("filename").agg(F.max("total_pages").alias("total_pages"))
-            .unionByName(over))
+    return fx.fx_long_packages(spark, sf_dir).unionByName(over)
 
 
 CHUNK_PLAN_SQL = """lpkg AS (SELECT filename, max(total_pages) AS total_pages FROM fx_long_pages GROUP BY filename
