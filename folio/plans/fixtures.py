@@ -113,13 +113,13 @@ def by_package(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(n, *keys)
 
 
-def fx_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page skeleton: one order is one package, one line item one page.  Rows are dealt by package once; what
-    is later grouped by package, or by package and page, needs no further shuffle."""
+def fx_pages(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """Page skeleton: one order is one package, one line item one page.  Rows are shuffled by package once; what
+    is later grouped by package, or by package and page, needs no further shuffle.  ``dealt`` (for page texts): see ``by_package``."""
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
-    li = by_package(table(spark, sf_dir, "lineitem").select(
-        F.concat(F.col("l_orderkey").cast("string"), F.lit("_ORDER")).alias("filename"),
-        *order, "l_returnflag", "l_linestatus"), "filename")
+    li = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.col("l_orderkey").cast("string"), F.lit("_ORDER")).alias("filename"), *order, "l_returnflag", "l_linestatus")
+    li = by_package(li, "filename") if dealt else li
     w = Window.partitionBy("filename").orderBy(*order)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # same sort, one window pass
     return li.select(
@@ -252,6 +252,12 @@ def fx_transfer(spark: SparkSession, sf_dir: str, pages: DataFrame | None = None
     )
 
 
+def fx_remote_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folders that ``fx_transfer`` says exist remotely, from the line items alone."""
+    s = F.col("l_suppkey")
+    return table(spark, sf_dir, "lineitem").where(s % 11 != 0).select(s.cast("string").alias("folder_id")).distinct()
+
+
 def fx_eval_sets(spark: SparkSession, sf_dir: str, pages: DataFrame | None = None) -> DataFrame:
     """Ground-truth and model boundary arrays per package (some without a model set).
 
@@ -276,7 +282,7 @@ def fx_eval_sets(spark: SparkSession, sf_dir: str, pages: DataFrame | None = Non
 
 def fx_parsed(spark: SparkSession, sf_dir: str, elements: DataFrame | None = None) -> DataFrame:
     """One parsed-document JSON string per package."""
-    el = elements if elements is not None else fx_elements(spark, sf_dir)
+    el = elements if elements is not None else fx_elements(spark, sf_dir, fx_pages(spark, sf_dir, dealt=True))
     j = F.concat(F.lit('{"id":'), F.col("element_id").cast("string"), F.lit(',"type":"'),
                  F.col("element_type"), F.lit('","content":"'), F.col("content"),
                  F.lit('","bbox":[{"page_id":'), (F.col("page_num") - 1).cast("string"), F.lit("}]}"))

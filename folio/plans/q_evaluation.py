@@ -12,6 +12,7 @@ from folio.plans import fixtures as fx
 from folio.plans.q_views import BATCH_STATUS_CTES, FILE_STATUS_CTES
 from folio.plans.registry import query
 from folio.plans.sqlfrag import atext, metric_ctes, r4, units4
+from folio.sources.sinks import cut_lineage
 
 ORDER_DAY_SQL = """(SELECT concat(CAST(o_orderkey AS STRING),'_ORDER') AS filename,
   replace(substr(CAST(o_orderdate AS STRING),1,7),'-','') AS day_id FROM orders)"""
@@ -25,7 +26,7 @@ def order_days(spark, sf_dir):
 
 def eval_rows(spark, sf_dir):
     """Evaluation rows: ground truth of every package, left-joined with its prediction."""
-    sets = fx.fx_eval_sets(spark, sf_dir)
+    sets = cut_lineage(fx.fx_eval_sets(spark, sf_dir))  # the pages are ordered once, not for each side of the join
     gt = sets.select("filename", "total_pages", "gt_starts")
     pred = sets.where(F.col("model_starts").isNotNull()).select("filename", "model_starts")
     return EV.evaluate(gt, pred).join(order_days(spark, sf_dir), "filename", "left")
