@@ -203,7 +203,8 @@ def q_delivery_queue(spark, sf_dir):
 
 def transfer_queue(spark, sf_dir):
     t = fx.fx_transfer(spark, sf_dir)
-    q = t.select("filename", "folder_id").distinct().join(order_days(spark, sf_dir), "filename")
+    # dealt by file at once: neither the distinct rows nor the join need another shuffle of them
+    q = t.select("filename", "folder_id").repartition("filename").distinct().join(order_days(spark, sf_dir), "filename")
     return t, q
 
 
@@ -239,8 +240,10 @@ fo AS (SELECT day_id, filename, n_expected, n_ok, remote_folder,
 
 
 def tasks_df(spark, sf_dir):
+    """The remote folders are written first: of a table whose size is known the planner sees whether it is small
+    enough for a broadcast, and then the files need not be shuffled by folder."""
     t, q = transfer_queue(spark, sf_dir)
-    rf = t.where(F.col("remote_folder_exists")).select("folder_id")
+    rf = cut_lineage(fx.fx_remote_folders(spark, sf_dir))
     return DL.route_delivery(q, t.select("folder_id", "out_name", "local_size", "upload_error"), rf, REMOTE_BASE)
 
 
@@ -276,8 +279,9 @@ def q_folder_completeness(spark, sf_dir):
 
 
 def outcome_of(settled):
+    """The folders' counts are written first, for the same reason as in ``tasks_df``."""
     v = settled.where(F.col("route") == "upload")
-    return DL.file_outcome(v, DL.folder_completeness(v))
+    return DL.file_outcome(v, cut_lineage(DL.folder_completeness(v)))
 
 
 @query("file_outcome", f"""WITH {TASKS_SQL}

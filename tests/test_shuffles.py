@@ -61,3 +61,13 @@ def test_streamed_pieces_are_in_order_and_not_dealt_again(spark):
     assert shuffles(out) == 1
     got = {r.filename: r.llm_result.result for r in out.collect()}
     assert got == {str(k): ",".join(str(i) for i in reversed(range(300)) if i % 7 == k) for k in range(7)}
+
+
+def test_delivery_files_are_not_shuffled_by_folder(spark, sf_small):
+    """What is routed and checked is written; what follows it is one shuffle, for the outcome of each file."""
+    assert shuffles(registry.QUERIES["file_outcome"](spark, sf_small)) == 1
+
+
+def test_evaluation_orders_the_pages_once(spark, sf_small):
+    plan = registry.QUERIES["evaluate"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan  # both sides read the written sets
