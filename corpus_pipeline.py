@@ -1,4 +1,5 @@
-"""Cleaning a corpus in five stages: toxicity, exact copies, near copies, benchmark passages, token ids.
+"""Cleaning a corpus in five stages: toxicity, exact copies, near copies, benchmark passages, token ids and
+what they decode to.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet to the shared
 checkpoint folder and read again as the next stage's ``docs``; after a lost executor or a failed stage
@@ -40,10 +41,10 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left: (doc_id, n_tokens, ids)."""
+    """Token ids of every document that is left, and the text that they decode to: (doc_id, n_tokens, ids, decoded)."""
     import public_tokenizers
     vocabulary = bpe.load(public_tokenizers.path("word_bpe_49k.json"))
-    return bpe.encode(docs.select("doc_id", "text"), vocabulary, decode=False).select("doc_id", "n_tokens", "ids")
+    return bpe.encode(docs.select("doc_id", "text"), vocabulary).select("doc_id", "n_tokens", "ids", "decoded")
 
 
 STAGES = [

@@ -76,6 +76,20 @@ def test_pipeline_on_awkward_documents(spark, tmp_path):
     assert sorted(((r["doc_id"], r["ids"]) for r in got), key=order) == sorted(want, key=order)
 
 
+def test_pipeline_decodes_the_token_ids(spark, tmp_path):
+    tokenizers, public = pytest.importorskip("tokenizers"), pytest.importorskip("public_tokenizers")
+    rows = [(1, "Two  Words, héllo 42!"), (2, None), (3, ""), (4, "see <|im_end|> it's"), (4, "of one id"), (None, "no id")]
+    tokenizer = tokenizers.Tokenizer.from_file(public.path("word_bpe_49k.json"))
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    _, last = corpus_pipeline.STAGES[-1]
+    got = last(spark, cases.frame(spark, rows), str(tmp_path)).collect()
+    ids = [tokenizer.encode(t or "", add_special_tokens=False).ids for _, t in rows]
+    want = [(k, len(i), " ".join(map(str, i)), tokenizer.decode(i, skip_special_tokens=False)) for (k, _), i in zip(rows, ids)]
+    order = lambda r: (r[0] is None, r[0] or 0, r[2])
+    assert sorted(((r["doc_id"], r["n_tokens"], r["ids"], r["decoded"]) for r in got), key=order) == sorted(want, key=order)
+
+
 def test_queries_have_the_columns_of_their_contracts(spark, tmp_path):
     folder = tables(spark, tmp_path, rows_of_all_kinds()[-20:])
     for name, columns in COLUMNS.items():
