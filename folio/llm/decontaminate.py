@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare word seeds, a score bound, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-gram seeds, a score bound, then Smith-Waterman alignment.
 
 An item is found in a text when the best local Smith-Waterman score of their words (letters and digits, lower
 case; match 2, mismatch -1, gap -1) reaches ``least`` of a whole copy's score, 2 per word of the item.  Items
@@ -7,10 +7,12 @@ The steps before the alignment leave out only what cannot reach that score:
 
 1. Every whole text is cut into words, and documents per word of the benchmark are counted over the whole corpus.
 2. Seeds: a score of ``least`` needs ``least`` of the item's words matched, so of any set of ``k`` more places than may
-   stay unmatched at least ``k`` are.  That set is the item's rarest words (by that count); rarity is a rank within
-   the item, and the seeds cover every passage that reaches the score, however many texts share it.
-3. An alignment is at most ``(3 - 2 least)`` lengths of the item long, so ``k`` of its seeds lie as near in the text (a
-   skip n-gram of rare words); seeds that do not are dropped.  In the window around the others each word that
+   stay unmatched at least ``k`` are, in the item's order.  That set is the item's rarest words (by that count); its
+   n-grams with gaps (``k`` of these words in order) are the seeds.  Rarity is a rank within the item, and the
+   seeds cover every passage that reaches the score, however many texts share it and wherever it was edited; n-grams without
+   gaps would lose copies in which every fifth word is changed.
+3. An alignment is at most ``(3 - 2 least)`` lengths of the item long.  A window is where ``k`` rare words of an item lie as
+   near in a text and a seed is among them, its words in the item's order.  In a window each word that
    the item has counts 2 and each other word -1: no alignment scores more than the best run of that sum.
 4. Windows whose bound reaches the score are aligned.
 
@@ -41,8 +43,10 @@ LEAST = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Characters of benchmark text per block; its words are what is broadcast.
 BLOCK_CHARS = 8_000_000
-#: Seeds that must lie near each other before a window is looked at (fewer for items with fewer words).
-NEAR_SEEDS = 3
+#: Words of a seed (fewer for items with fewer words).
+SEED_WORDS = 3
+#: A place beyond every item.
+FAR = 1 << 60
 #: Seed hits that are handled at once, to bound memory; items are dealt into slices by their hits.
 MAX_HITS = 2_000_000
 #: Aligned at once, to bound memory: cells of one row of all alignments.
@@ -71,21 +75,24 @@ class Items:
         self.size = np.array([len(x) for x in self.items], dtype=np.int64)
 
     def choose_seeds(self, seen: np.ndarray, least: float) -> None:
-        """``seen``: documents by word.  Keeps, by word, the items that it is a seed of."""
+        """``seen``: documents by word.  Keeps, by word, the items that have it in a seed, and its first and last place there."""
         self.least = np.where(self.size < self.n, 1.0, least)
         #: Words of a text that an alignment with the item's least score may span.
         self.span = np.maximum(self.size, np.floor((3 - 2 * self.least) * self.size + 1e-9).astype(np.int64))
         matched = np.maximum(1, np.ceil(self.least * self.size - 1e-9).astype(np.int64))
-        #: Seeds of the item that any such alignment matches.
-        self.near = np.minimum(NEAR_SEEDS, matched)
-        pairs = [np.empty((2, 0), np.int64)]
+        #: Rare words of the item that any such alignment matches: the words of a seed.
+        self.near = np.minimum(SEED_WORDS, matched)
+        pairs = [np.empty((4, 0), np.int64)]
         for item, numbers in enumerate(self.items):
-            order = numbers[np.lexsort((numbers, seen[numbers]))]
-            seeds = np.unique(order[:len(order) - matched[item] + self.near[item]])
-            pairs.append(np.stack([seeds, np.full(len(seeds), item)]))
-        word, item = np.concatenate(pairs, axis=1)
+            places = np.lexsort((numbers, seen[numbers]))[:len(numbers) - matched[item] + self.near[item]]
+            seeds, of = np.unique(numbers[places], return_inverse=True)
+            first, last = np.full(len(seeds), FAR), np.zeros(len(seeds), dtype=np.int64)
+            np.minimum.at(first, of, places)
+            np.maximum.at(last, of, places)
+            pairs.append(np.stack([seeds, np.full(len(seeds), item), first, last]))
+        word, item, first, last = np.concatenate(pairs, axis=1)
         order = np.lexsort((item, word))
-        self.seed_word, self.seed_item = word[order], item[order]
+        self.seed_word, self.seed_item, self.seed_first, self.seed_last = word[order], item[order], first[order], last[order]
 
     def look_up(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of all texts in a row (0: in no item), and where texts start."""
@@ -145,8 +152,36 @@ def find_in(block: Items, texts: list[str | None]) -> list[list[tuple]]:
     return [sorted(hits, key=lambda h: (h[2], h[3], h[0] is None, h[0] or 0)) for hits in out]
 
 
+def least_before(values: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """For every place h the least of ``values[left[h]:h]`` (``FAR`` where that is empty), by runs of doubling length."""
+    h = np.arange(len(values))
+    length, out, step = h - left, np.full(len(values), FAR), 1
+    while (some := np.flatnonzero(length >= step)).size:
+        out[some] = np.minimum(values[left[some]], values[h[some] - step])  # longer runs come over shorter ones
+        values = np.append(np.minimum(values[:-step], values[step:]), values[-step:])
+        step *= 2
+    return out
+
+
+def ends_seed(block: Items, flat: np.ndarray, doc: np.ndarray, place: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Which hits (sorted by item and place) are the last word of a seed: the words before it come in the item's order, each
+    within the item's span of the next.  Of a word that an item repeats only its first and last place are told apart."""
+    pair = block.seed_word * len(block.items) + block.seed_item
+    at = np.searchsorted(pair, flat[place] * len(block.items) + item)
+    first, last, words_of = block.seed_first[at], block.seed_last[at], block.near[item]
+    key = item * (len(flat) + 1) + place
+    new = np.concatenate([[True], (item[1:] != item[:-1]) | (doc[1:] != doc[:-1])])
+    left = np.maximum(np.searchsorted(key, key - block.span[item], "right"), np.maximum.accumulate(np.where(new, np.arange(len(key)), 0)))
+    reached, ends = first, words_of == 1  # the least place of the item at which the words so far may end
+    for k in range(2, int(words_of.max()) + 1):
+        before = least_before(reached, left)
+        reached = np.where(last > before, np.maximum(first, before + 1), FAR)
+        ends |= (words_of == k) & (reached < FAR)
+    return ends
+
+
 def seed_hits(block: Items, flat: np.ndarray, start: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(place, item) of seeds that lie as near each other as an alignment needs, sorted by item and place.
+    """(place, item) of rare words that lie as near each other as an alignment needs, sorted by item and place.
 
     An item's hits are always in one slice, and a slice has at most ``MAX_HITS`` and one item's more.
     """
@@ -185,6 +220,10 @@ def align_windows(block: Items, flat: np.ndarray, start: np.ndarray, place: np.n
     new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (place[1:] - place[:-1] > block.span[item[1:]])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(place)) - 1
+    seeded = np.logical_or.reduceat(ends_seed(block, flat, doc, place, item), first)
+    first, last = first[seeded], last[seeded]
+    if not len(first):
+        return {}
     doc, item = doc[first], item[first]
     left = np.maximum(start[doc], place[first] - block.span[item] + 1)
     right = np.minimum(start[doc + 1], place[last] + block.span[item])

@@ -425,3 +425,40 @@ def test_time_of_disguises_grows_with_the_text():
         began = time.time()
         pii.scan(piece * 20_000)
         assert time.time() - began < 5, piece
+
+
+def test_seeds_are_rare_words_in_the_order_of_the_item(monkeypatch):
+    """Rare words that merely lie near each other are no seed; a window needs some of them in the item's order."""
+    np = decontaminate.np
+    rng = random.Random(23)
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(12))) for k in range(6)] + [(6, "to be or not to be that is the question"), (7, "fjord")]
+    backwards = [" ".join(reversed(t.split())) for _, t in items[:6]]
+    texts = backwards + ["whether to be or not is the question", "a fjord", "question the is that"] + [t for _, t in items]
+    block = decontaminate.Items(items, 5)
+    block.choose_seeds(np.ones(len(block.number) + 1, dtype=np.int64), 0.5)
+    flat, start = block.look_up(texts)
+    looked_at = []
+    bounds = decontaminate.bounds
+    monkeypatch.setattr(decontaminate, "bounds", lambda item, flat, left, right, mark: looked_at.extend(
+        np.searchsorted(start, left, "right") - 1) or bounds(item, flat, left, right, mark))
+    got = decontaminate.find_in(block, texts)
+    assert not set(looked_at) & {0, 1, 2, 3, 4, 5, 8} and {6, 7, *range(9, 17)} <= set(looked_at)
+    assert [[h[0] for h in hits] for hits in got] == [[]] * 6 + [[6], [7], []] + [[k] for k, _ in items]
+    # against all chains, words that items and texts repeat included
+    for _ in range(200):
+        item = [rng.randrange(6) for _ in range(rng.randrange(1, 9))]
+        words = [rng.randrange(8) for _ in range(rng.randrange(1, 25))]
+        block = decontaminate.Items([(0, " ".join(f"w{x}" for x in item))], 1)
+        block.choose_seeds(np.ones(len(block.number) + 1, dtype=np.int64), 0.5)
+        flat, start = block.look_up([" ".join(f"w{x}" for x in words)])
+        place = np.flatnonzero(np.isin(flat, block.seed_word))
+        if not len(place):
+            continue
+        ends = decontaminate.ends_seed(block, flat, np.zeros_like(place), place, np.zeros_like(place))
+        chosen = {f: [i for i in range(a, b + 1) if block.items[0][i] == f] for f, a, b in zip(block.seed_word, block.seed_first, block.seed_last)}
+        chains = {(p, i) for p in place for i in chosen[flat[p]]}
+        for _ in range(block.near[0] - 1):
+            chains = {(q, j) for p, i in chains for q in place if p < q < p + block.span[0] for j in chosen[flat[q]] if j > i}
+        assert {p for p, _ in chains} <= set(place[ends])
+        if len(set(item)) == len(item):
+            assert {p for p, _ in chains} == set(place[ends])
