@@ -27,7 +27,7 @@ the same metric's bound on the symmetric difference:
    that linked sets of different blocks are in one region too.
 4. A region joins recursively: document pivots, nearest pivot, windows of ``2 eps``, until regions
    are small or windows no longer separate; then sets are compared exactly, except those
-   already in one component.
+   already in one component and those whose distances to a pivot differ by more than ``eps``.
 5. Regions above ``max_region`` bytes are joined on the cluster.  Rounds of a few pivots per region are compared
    with all its sets, since near copies of one text are within every window but link to such a pivot.
    What is linked is one component; sets of different components are compared block against block, each two
@@ -434,18 +434,23 @@ class Region:
             # the region of a pivot and its window; equal distances make sets members of several regions
             regions = [members[f <= near + 2 * self.eps + 1e-9] for f in far]
             if max(map(len, regions)) > 0.8 * len(members):
-                self.compare(members)  # windows separate no longer
+                self.compare(members, far)  # windows of regions separate no longer: those of each set do the rest
             else:
                 todo += [r for r in regions if len(r) > 1]
 
-    def compare(self, members: np.ndarray) -> None:
-        """Exact comparison within a region, leaving out pairs that are in one component."""
-        order = members[np.argsort(self.size[members], kind="stable")]
+    def compare(self, members: np.ndarray, far: np.ndarray | None = None) -> None:
+        """Exact comparison within a region, leaving out pairs that are in one component and, with ``far`` (distances of
+        the members to pivots), pairs whose distances to a pivot differ by more than ``eps``."""
+        by_size = np.argsort(self.size[members], kind="stable")
+        order, far = members[by_size], None if far is None else far[:, by_size]
         for i in range(len(order) - 1):
             x = int(order[i])
             rest = order[i + 1:]
-            rest = rest[self.size[rest] * self.least <= 100 * self.size[x]]
-            rest = rest[self.component[rest] != self.component[x]]
+            near = (self.size[rest] * self.least <= 100 * self.size[x]) & (self.component[rest] != self.component[x])
+            if far is not None:
+                at = i + 1 + np.flatnonzero(near)
+                near[at - i - 1] = np.abs(far[:, at] - far[:, i:i + 1]).max(axis=0) <= self.eps + 1e-9
+            rest = rest[near]
             if len(rest):
                 s = self.shared(x, rest)
                 for y in rest[self.is_link(s, self.union(x, rest, s))].tolist():

@@ -252,3 +252,50 @@ def test_a_large_region_of_near_copies_is_compared_in_bounded_tasks(spark):
     assert max(held.values()) <= bound and len(held) > 4
     met = {(x, y) for ids in together.values() for x in ids for y in ids}
     assert all((x, y) in met for x in label for y in label if label[x] != label[y])
+
+
+@pytest.mark.parametrize("n,least", [(3, 90), (5, 80)])
+def test_sets_outside_each_others_window_are_not_compared(n, least):
+    """Groups around a common passage: every set is in most pivots' windows, but not in that of each other set."""
+    rng = random.Random(17)
+    base = [f"v{i}" for i in range(300)]
+    rows = []
+    for i in range(120):
+        keep = 300 - 2 * i  # a chain of ever shorter texts: neighbours link, ends do not
+        rows.append((i, " ".join(base[:keep])))
+    rng.shuffle(rows)
+    sets = [np.unique([hash(s) >> 1 for s in cases.shingles(t, n)]) for _, t in rows]
+    region = jaccard_join.Region(sets, least)
+    far = np.array([1 - region.shared(p, np.arange(len(sets))) / region.union(p, np.arange(len(sets)), region.shared(p, np.arange(len(sets))))
+                    for p in range(3)])
+    met = []
+    shared = region.shared
+    region.shared = lambda x, rest: met.append((x, rest)) or shared(x, rest)
+    region.compare(np.arange(len(sets)), far)
+    plain = jaccard_join.Region(sets, least)
+    plain.compare(np.arange(len(sets)))
+    assert region.component.tolist() == plain.component.tolist()
+    assert met and all(np.abs(far[:, rest] - far[:, x:x + 1]).max() <= 1 - least / 100 + 1e-9 for x, rest in met)
+
+
+@pytest.mark.parametrize("n,least", [(3, 90), (5, 80)])
+def test_regions_are_cut_by_the_windows_of_pivots(monkeypatch, n, least):
+    """Eight groups in one region: each is joined by itself, so no comparison takes sets of two groups."""
+    rng = random.Random(18)
+    sets, group = [], []
+    for g in range(8):
+        base = [f"g{g}w{i}" for i in range(100 + 10 * g)]
+        for i in range(40):
+            ws = list(base)
+            ws[rng.randrange(len(ws))] = f"n{i}"
+            sets.append(np.unique([hash(s) >> 1 for s in cases.shingles(" ".join(ws), n)]))
+            group.append(g)
+    region = jaccard_join.Region(sets, least)
+    compared = []
+    compare = jaccard_join.Region.compare
+    monkeypatch.setattr(jaccard_join.Region, "compare", lambda self, members, far=None: compared.append(members) or compare(self, members, far))
+    region.join(np.arange(len(sets)))
+    assert len(compared) > 1 and max(map(len, compared)) < len(sets) / 2
+    plain = jaccard_join.Region(sets, least)
+    compare(plain, np.arange(len(sets)))
+    assert region.component.tolist() == plain.component.tolist()
