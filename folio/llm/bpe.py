@@ -331,13 +331,8 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[int, str, str]]:
         """Per text: number of ids, ids joined by one space, decoded text."""
-        at = 0
-        while at < len(texts):
-            chunk, size = [], 0
-            while at < len(texts) and (not chunk or size < CHUNK_CHARS):
-                chunk.append(self.pieces(texts[at]) if texts[at] else [])
-                size += len(texts[at] or "")
-                at += 1
+        for some in runs(texts):
+            chunk = [self.pieces(t) if t else [] for t in some]
             table = self._table(set().union(*chunk))
             for words in chunk:
                 n, ids, decoded = zip(*map(table.__getitem__, words)) if words else ((), (), ())
@@ -370,6 +365,18 @@ class Encoder:
         return entries
 
 
+def runs(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Texts in runs of about ``CHUNK_CHARS`` characters; each run is encoded together."""
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size < CHUNK_CHARS):
+            size += len(texts[end] or "")
+            end += 1
+        yield texts[at:end]
+        at = end
+
+
 @contextlib.contextmanager
 def without_collector() -> Iterator[None]:
     """Encoding makes no reference cycles; the collector would only walk the worker's tables again and again."""
@@ -398,19 +405,12 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", digests_only: b
     ship(spark)
     shared = spark.sparkContext.broadcast(vocabulary)
     names = ("ids_sha256", "decoded_sha256") if digests_only else ("ids", "decoded")
-    sha = lambda s: hashlib.sha256(s.encode("utf-8")).hexdigest()
 
     @F.pandas_udf(", ".join(["n_tokens long", *(f"{c} string" for c in names)]))
     @tidy
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = worker_encoder(shared.value)
-        for texts in parts:
-            with without_collector():
-                columns: list[list] = [[] for _ in range(1 + len(names))]
-                for row in encoder.encode(texts.tolist()):
-                    for column, x in zip(columns, row):
-                        column.append(sha(x) if digests_only and column is not columns[0] else x)
-            yield pd.DataFrame(dict(zip(["n_tokens", *names], columns)))
+        yield from frames(encoder, parts, names, digests_only)
         encoder.forget()
 
     others = [c for c in docs.columns if c not in ("n_tokens", *names)]
@@ -418,6 +418,22 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", digests_only: b
             .select(*[F.col(f"`{c}`") for c in others], *[F.col(f"__bpe.{c}").alias(c) for c in ("n_tokens", *names)]))
 
 
+def frames(encoder: Encoder, parts: Iterator[pd.Series], names: tuple[str, str], digests_only: bool) -> Iterator[pd.DataFrame]:
+    """A task's results, one frame for each run of texts: ids and decoding are some four times as long as the text, and
+    a whole batch of them would be held as strings, in Arrow's buffers and by the JVM at the same time."""
+    sha = lambda s: hashlib.sha256(s.encode("utf-8")).hexdigest()
+    for texts in parts:
+        for some in runs(texts.tolist()):
+            with without_collector():
+                columns: list[list] = [[] for _ in range(1 + len(names))]
+                for row in encoder.encode(some):
+                    for column, x in zip(columns, row):
+                        column.append(sha(x) if digests_only and column is not columns[0] else x)
+                frame = pd.DataFrame(dict(zip(["n_tokens", *names], columns)))
+                del columns
+            yield frame
+
+
 @functools.lru_cache(maxsize=1)
 def worker_encoder(text: str) -> Encoder:
     """One encoder per Python worker, kept between tasks."""

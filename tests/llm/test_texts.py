@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -189,6 +190,24 @@ def test_bpe_rows(spark, tokenizer):
         (i, " ".join(map(str, tokenizer.encode(t or "", add_special_tokens=False).ids))) for i, t in rows)
 
 
+@pytest.mark.parametrize("digests_only", [False, True])
+def test_bpe_hands_out_runs_of_texts_not_whole_batches(encoder, monkeypatch, digests_only):
+    """Ids and decoding are longer than the text; a task holds those of one run, however many rows a batch has."""
+    monkeypatch.setattr(bpe, "CHUNK_CHARS", 100)
+    texts = ["a word or two", None, "", "x" * 250, *["some words"] * 60, "<|endoftext|>"]
+    batches = [pd.Series(texts, dtype=object), pd.Series([], dtype=object), pd.Series(texts[::-1], dtype=object)]
+    names = ("first", "second")
+    got = list(bpe.frames(encoder, iter(batches), names, digests_only))
+    both = texts + texts[::-1]
+    want = [(n, *(hashlib.sha256(x.encode()).hexdigest() if digests_only else x for x in xs)) for n, *xs in encoder.encode(both)]
+    assert [tuple(r) for f in got for r in f[["n_tokens", *names]].itertuples(index=False)] == want
+    at = 0
+    for f in got:
+        sizes = [len(t or "") for t in both[at:at + len(f)]]
+        assert len(f) and sum(sizes[:-1]) < 100
+        at += len(f)
+
+
 CHAT = "conv_id long, turn long, role string, text string"
 NASTY = ["<|im_end|>", "<\\|im_start|>x", "<\\\\|", "<|n|>", "a<", "|b", "", None, "line\nend\n", "<<||>>", "<|im_start|>assistant\nok<|im_end|>\n"]
 
